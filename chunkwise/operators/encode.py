@@ -5,10 +5,10 @@ workers through an Arrow-batched iterator UDF: only the text column crosses to
 Python, and an encoder that loads weights does so once per task.
 
 ``hash_vectors`` is the built-in stand-in encoder (hashed bag of words,
-Weinberger et al. 2009): word buckets are computed in the JVM (md5 of the
-lower-cased word), and only the small int arrays go to Python for one
-``bincount`` per Arrow batch. ``hash_counts`` is the same encoder in sparse,
-pure-SQL form.
+Weinberger et al. 2009), computed entirely in the JVM: bucket = md5 of the
+lower-cased word, counts per bucket from native array scans.
+``hash_vectors_arrow`` counts in Python (one ``bincount`` per Arrow batch) and
+``hash_counts`` is the sparse, pure-SQL form; all three agree exactly.
 """
 
 from __future__ import annotations
@@ -30,12 +30,19 @@ DEFAULT_HASH_DIM = 64
 
 def word_bucket(word: Column, dim: int) -> Column:
     """First 8 hex digits of md5(lower(word)) as an integer, modulo ``dim``."""
-    return F.pmod(F.conv(F.substring(F.md5(F.lower(word)), 1, 8), 16, 10).cast("bigint"),
-                  F.lit(dim)).cast("int")
+    return _bucket_of_lower(F.lower(word), dim)
 
 
 def word_buckets(text: str | Column, dim: int = DEFAULT_HASH_DIM) -> Column:
-    return F.transform(words(text), lambda w: word_bucket(w, dim))
+    """Bucket of every word. The text is lower-cased once, before splitting:
+    lower-casing never creates or removes whitespace, so the words are the same."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.transform(words(F.lower(text)), lambda w: _bucket_of_lower(w, dim))
+
+
+def _bucket_of_lower(word: Column, dim: int) -> Column:
+    return F.pmod(F.conv(F.substring(F.md5(word), 1, 8), 16, 10).cast("bigint"),
+                  F.lit(dim)).cast("int")
 
 
 def hash_counts(df: DataFrame, text: str, keep: list[str], dim: int = DEFAULT_HASH_DIM) -> DataFrame:
@@ -66,10 +73,22 @@ def _bincount_udf(dim: int):
 
 def hash_vectors(df: DataFrame, text: str, dim: int = DEFAULT_HASH_DIM,
                  out: str = "embedding") -> DataFrame:
-    """Dense hashed bag-of-words vector (``array<float>``) for ``text``.
+    """Dense hashed bag-of-words vector (``array<float>``) for ``text``, JVM only.
 
-    Empty or null text gives the zero vector (which has no cosine neighbours).
+    The bucket array is computed once per row; the count of bucket j is
+    ``size(b) - size(array_remove(b, j))`` (native array scans, no per-word
+    lambda). Empty or null text gives the zero vector.
     """
+    tmp = f"_{out}_buckets"
+    with_b = df.withColumn(tmp, F.coalesce(word_buckets(text, dim), F.array().cast("array<int>")))
+    counts = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
+                         lambda j: (F.size(tmp) - F.size(F.array_remove(tmp, j))).cast("float"))
+    return with_b.withColumn(out, counts).drop(tmp)
+
+
+def hash_vectors_arrow(df: DataFrame, text: str, dim: int = DEFAULT_HASH_DIM,
+                       out: str = "embedding") -> DataFrame:
+    """Same vectors, counted by one ``bincount`` per Arrow batch in Python."""
     return df.withColumn(out, _bincount_udf(dim)(word_buckets(text, dim)))
 
 

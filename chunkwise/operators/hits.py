@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chunkwise.session import scratch_dir
+
 # --- fixed values: defaults for missing hit fields -----------------------------
 UNKNOWN_FILE = "Unknown file"
 UNKNOWN_PAGE = "Unknown page"
@@ -31,6 +33,10 @@ def with_payload(hits: DataFrame, payload: DataFrame, on: list[str], how: str =
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
     if hits_bounded:
+        # the hits feed two joins; checkpoint the (small) table so the search
+        # that produced it runs once, and its result survives executor loss
+        scratch_dir(hits.sparkSession)
+        hits = hits.checkpoint(eager=True)
         wanted = F.broadcast(hits.select(*on).distinct())
         payload = payload.join(wanted, on=on, how="left_semi")
     return hits.join(payload, on=on, how=how)

@@ -17,6 +17,7 @@ from chunkwise.operators.encode import DEFAULT_HASH_DIM, hash_vectors
 from chunkwise.operators.hits import keep_queries, with_payload
 from chunkwise.operators.knn import knn_search
 from chunkwise.operators.rag import DEFAULT_TEMPLATE, context, generate, prompt
+from chunkwise.session import scratch_path
 from chunkwise.sources.tables import pages_view, read_table
 
 CHUNK_IDS = ["file", "page", "chunk_index"]
@@ -37,21 +38,35 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("item_id").alias("query_id"), F.col("text").alias("query"))
 
 
-def retrieve(question_df: DataFrame, chunk_df: DataFrame, k_fetch: int = 5,
+def ingest(chunk_df: DataFrame, dim: int = DEFAULT_HASH_DIM, path: str | None = None) -> DataFrame:
+    """Write chunks with their vectors as a store table and return it, read back.
+
+    Searching the written store cuts the lineage (a lost executor recomputes
+    from the table, not from the documents), and lets the distance stage read
+    only ids and vectors while the payload join reads only ids and text.
+    """
+    spark = chunk_df.sparkSession
+    path = path or scratch_path(spark, "chunk-store")
+    store = hash_vectors(chunk_df.select(*CHUNK_IDS, "chunk"), "chunk", dim)
+    store.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
+def retrieve(question_df: DataFrame, store: DataFrame, k_fetch: int = 5,
              k_keep: int | None = None, metric: str = "cosine",
              dim: int = DEFAULT_HASH_DIM, strategy: str = "auto") -> DataFrame:
     """Hits with payload: ``query_id, rank, file, page, chunk_index, chunk, distance``.
 
+    ``store`` has ``file, page, chunk_index, chunk, embedding`` (see ``ingest``).
     Fetch ``k_fetch`` and keep the first ``k_keep`` (S3).
     """
     qv = hash_vectors(question_df.select("query_id", "query"), "query", dim)
-    cv = chunk_vectors(chunk_df, dim)
-    res = knn_search(qv, cv, k_fetch, metric, query_id="query_id", corpus_ids=CHUNK_IDS,
-                     dim=dim, strategy=strategy)
+    res = knn_search(qv, store.select(*CHUNK_IDS, "embedding"), k_fetch, metric,
+                     query_id="query_id", corpus_ids=CHUNK_IDS, dim=dim, strategy=strategy)
     hits = res.hits
     if k_keep is not None:
         hits = hits.where(F.col("rank") <= k_keep)
-    return with_payload(hits, chunk_df.select(*CHUNK_IDS, "chunk"), CHUNK_IDS,
+    return with_payload(hits, store.select(*CHUNK_IDS, "chunk"), CHUNK_IDS,
                         how="left", hits_bounded=res.bounded) \
         .select("query_id", "rank", *CHUNK_IDS, "chunk", "distance")
 
@@ -60,7 +75,7 @@ def rag_prompts(spark: SparkSession, sf_dir: str, style: str = "scored", k_fetch
                 k_keep: int | None = 3, template: str = DEFAULT_TEMPLATE) -> DataFrame:
     """``query_id, query, context, prompt`` for every benchmark question."""
     qs = questions(spark, sf_dir)
-    hits = retrieve(qs, chunks(spark, sf_dir), k_fetch, k_keep)
+    hits = retrieve(qs, ingest(chunks(spark, sf_dir)), k_fetch, k_keep)
     ctx = context(hits, style)
     return prompt(keep_queries(qs, ctx).withColumn("context", F.coalesce("context", F.lit(""))),
                   template)

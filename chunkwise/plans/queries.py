@@ -252,7 +252,7 @@ def knn_join_blocked(spark: SparkSession, sf: str) -> DataFrame:
 
 def knn_two_stage(spark: SparkSession, sf: str) -> DataFrame:
     """S3 + P8: fetch 5, keep 3, hit fields with the text payload."""
-    hits = flows.retrieve(flows.questions(spark, sf), flows.chunks(spark, sf), 5, 3)
+    hits = flows.retrieve(flows.questions(spark, sf), flows.ingest(flows.chunks(spark, sf)), 5, 3)
     return hits.select("query_id", F.col("rank").cast("int").alias("rank"), "file", "page",
                        "chunk", "distance")
 
@@ -288,19 +288,19 @@ def hits_payload_defaults(spark: SparkSession, sf: str) -> DataFrame:
 
 def merge_hits(spark: SparkSession, sf: str) -> DataFrame:
     """A1: five hits per question merged into one record."""
-    hits = flows.retrieve(flows.questions(spark, sf), flows.chunks(spark, sf), 5)
+    hits = flows.retrieve(flows.questions(spark, sf), flows.ingest(flows.chunks(spark, sf)), 5)
     m = merge_hits_op(hits)
     return m.select("query_id", F.array_join("chunks", "\n").alias("chunks"), "file", "page",
                     "distance", "n_hits")
 
 
 def context_scored(spark: SparkSession, sf: str) -> DataFrame:
-    hits = flows.retrieve(flows.questions(spark, sf), flows.chunks(spark, sf), 5, 3)
+    hits = flows.retrieve(flows.questions(spark, sf), flows.ingest(flows.chunks(spark, sf)), 5, 3)
     return context(hits, "scored")
 
 
 def context_plain(spark: SparkSession, sf: str) -> DataFrame:
-    hits = flows.retrieve(flows.questions(spark, sf), flows.chunks(spark, sf), 3)
+    hits = flows.retrieve(flows.questions(spark, sf), flows.ingest(flows.chunks(spark, sf)), 3)
     return context(hits, "plain")
 
 

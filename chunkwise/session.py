@@ -60,6 +60,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def spread(df, *keys: str, min_partitions: int | None = None):
+    """Hash-repartition ``df`` by ``keys`` when it has fewer partitions than cores.
+
+    Text work (tokenising, encoding) is CPU-bound per row; a table stored as one
+    row group would otherwise be processed by one task. Inputs that already have
+    enough splits (any large table) are left alone: no extra shuffle at scale.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
 def is_local_path(path: str) -> bool:
     return path.startswith("/") or path.startswith("file:")
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chunkwise.operators.numbering import row_number_within
+from chunkwise.session import spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -23,7 +24,7 @@ def pages_view(spark: SparkSession, sf_dir: str, keep_doc_id: bool = False) -> D
 
     Page numbering is skew-safe (a source may hold a large share of documents).
     """
-    docs = read_table(spark, sf_dir, "documents").select(
-        F.col("source").alias("file"), "doc_id", "text")
+    docs = spread(read_table(spark, sf_dir, "documents").select(
+        F.col("source").alias("file"), "doc_id", "text"), "doc_id")
     cols = ["doc_id", "file", "page", "text"] if keep_doc_id else ["file", "page", "text"]
     return row_number_within(docs, ["file"], "doc_id", out="page", base=0).select(*cols)
