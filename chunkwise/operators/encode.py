@@ -95,14 +95,31 @@ def hash_vectors_arrow(df: DataFrame, text: str, dim: int = DEFAULT_HASH_DIM,
 class HashEncoder:
     """The hashed encoder as a plain batch callable (same buckets as the JVM form).
 
-    Useful wherever a Python encoder is expected, e.g. ``embed``.
+    Useful wherever a Python encoder is expected, e.g. ``embed``. Buckets of
+    recent words are memoised per worker (word frequencies are heavily skewed).
     """
 
+    MEMO_LIMIT = 500_000
+
     def __init__(self, dim: int = DEFAULT_HASH_DIM):
         self.dim = dim
+        self._memo: dict[str, int] = {}
+
+    def __getstate__(self):
+        return {"dim": self.dim}
+
+    def __setstate__(self, state):
+        self.dim = state["dim"]
+        self._memo = {}
 
     def bucket(self, word: str) -> int:
-        return int(hashlib.md5(word.lower().encode("utf-8")).hexdigest()[:8], 16) % self.dim
+        b = self._memo.get(word)
+        if b is None:
+            if len(self._memo) >= self.MEMO_LIMIT:
+                self._memo.clear()
+            b = int(hashlib.md5(word.lower().encode("utf-8")).hexdigest()[:8], 16) % self.dim
+            self._memo[word] = b
+        return b
 
     def __call__(self, texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), self.dim), dtype=np.float32)

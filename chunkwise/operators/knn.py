@@ -316,11 +316,12 @@ def _space(vec: str, metric: str) -> Column:
 def build_ivf_index(corpus: DataFrame, cells: int, metric: str = "cosine", *,
                     ids: tuple[str, ...] | list[str] = ("id",), vec: str = "embedding",
                     dim: int | None = None, seed: int = 11, train_rows: int = 200_000,
-                    max_iter: int = 25, path: str | None = None) -> IvfIndex:
+                    max_iter: int = 10, path: str | None = None) -> IvfIndex:
     """Cluster the corpus into ``cells`` k-means cells and write it tagged by cell.
 
-    The quantiser is trained on a bounded sample (``train_rows``); every corpus
-    row is assigned. The written table cuts the lineage, so searching never
+    The quantiser is trained on a bounded sample (``train_rows``) for a few
+    iterations (cells only steer the search; exactness comes from ``nprobe``);
+    every corpus row is assigned. The written table cuts the lineage, so searching never
     recomputes the corpus or its embeddings.
     """
     from pyspark.ml.clustering import KMeans

@@ -73,7 +73,7 @@ def chunk_preview(spark: SparkSession, sf: str) -> DataFrame:
 
 def _batches(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """batch 1: every chunk (seq 0, payload 'a'); batch 2: chunks of even pages (seq 1, 'b')."""
-    ch = flows.chunks(spark, sf).withColumn("key", chunk_key("file", "page", "chunk"))
+    ch = flows.chunk_table(spark, sf).withColumn("key", chunk_key("file", "page", "chunk"))
     b1 = ch.withColumn("seq", F.lit(0)).withColumn("payload", F.lit("a"))
     b2 = (ch.where(F.col("page") % 2 == 0)
           .withColumn("seq", F.lit(1)).withColumn("payload", F.lit("b")))
