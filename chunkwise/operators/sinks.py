@@ -107,3 +107,50 @@ def insert_into_store(spark: SparkSession, table: str, df: DataFrame) -> None:
     for v in vec_cols:
         out = check_dim(out, v, int(props["dim"]))
     out.select(*spark.table(table).columns).write.insertInto(table)
+
+
+# --- bucketed stores: merges without shuffling the stored side -------------------
+
+def _num_buckets(spark: SparkSession, table: str) -> int:
+    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
+        if row["col_name"] == "Num Buckets":
+            return int(row["data_type"])
+    raise ValueError(f"{table} is not bucketed")
+
+
+def write_bucketed_store(df: DataFrame, table: str, key: list[str], buckets: int,
+                         location: str | None = None) -> str:
+    """Write a store table bucketed (and sorted) by ``key``: later merges and
+    payload joins on ``key`` find it already hash-partitioned."""
+    writer = df.write.mode("errorifexists").format("parquet").bucketBy(buckets, *key).sortBy(*key)
+    if location:
+        writer = writer.option("path", location)
+    writer.saveAsTable(table)
+    return table
+
+
+def merge_bucketed(spark: SparkSession, table: str, incoming: DataFrame, key: list[str],
+                   order: list[str], latest: bool, new_table: str,
+                   location: str | None = None) -> str:
+    """O4 (``latest``) / O5 merge of a batch into a bucketed store, as a new version.
+
+    The batch is partitioned like the store (same key, same bucket count) and
+    reduced to one row per key; the store is joined in place, bucket against
+    bucket, so only the batch moves. Upsert assumes the batch is newer than
+    every stored row (its ``order`` is larger), as consecutive writes are.
+    """
+    existing = spark.table(table)
+    n = _num_buckets(spark, table)
+    picked = _pick(incoming.repartition(n, *key), key, order, latest=latest)
+    cols = existing.columns
+    if latest:
+        marked = picked.select(*key, *[F.col(c).alias(f"_in_{c}") for c in cols if c not in key],
+                               F.lit(True).alias("_in"))
+        joined = existing.join(marked, on=key, how="full_outer")
+        merged = joined.select(*[F.col(c) if c in key else
+                                 F.when(F.col("_in").isNotNull(), F.col(f"_in_{c}")).otherwise(F.col(c)).alias(c)
+                                 for c in cols])
+    else:
+        fresh = picked.join(existing.select(*key), on=key, how="left_anti")
+        merged = existing.unionByName(fresh.select(*cols))
+    return write_bucketed_store(merged.select(*cols), new_table, key, n, location)

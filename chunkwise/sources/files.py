@@ -44,7 +44,7 @@ def text_pages(files: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """
     keep = keep or []
     body = F.decode(F.col("content"), "UTF-8")
-    body = F.regexp_replace(body, "\u000c$", "")
+    body = F.regexp_replace(body, "\u000c\\z", "")
     return (files.select(*keep, "file", F.posexplode(F.split(body, "\u000c", -1)).alias("page", "text"))
             .select(*keep, "file", F.col("page").cast("int").alias("page"), "text"))
 

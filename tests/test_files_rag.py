@@ -28,6 +28,12 @@ def test_scan_files_only_top_level_pdf(spark, tmpdir_fresh):
     assert [r["file"] for r in files.collect()] == ["a.pdf"]
     pages = text_pages(files).orderBy("page").collect()
     assert [(r["page"], r["text"]) for r in pages] == [(0, "page one"), (1, "page two"), (2, ""), (3, "page four")]
+    _write(f"{d}/more/x.pdf", "p0\fp1\n\f".encode())
+    tail = text_pages(scan_files(spark, f"{d}/more")).orderBy("page").collect()
+    assert [r["text"] for r in tail] == ["p0", "p1\n"]
+    _write(f"{d}/more2/y.pdf", "p0\f\n".encode())
+    tail = text_pages(scan_files(spark, f"{d}/more2")).orderBy("page").collect()
+    assert [r["text"] for r in tail] == ["p0", "\n"]
     custom = extract_pages(files, lambda b: b.decode().upper().split("\f")).orderBy("page").collect()
     assert [r["text"] for r in custom] == ["PAGE ONE", "PAGE TWO", "", "PAGE FOUR"]
 

@@ -69,3 +69,29 @@ def test_reset_create_and_dimension_check(spark):
         sinks.insert_into_store(spark, table, bad)
     assert sinks.reset_store(spark, table) is True
     assert sinks.reset_store(spark, table) is False
+
+
+def test_bucketed_store_merges_move_only_the_batch(spark):
+    b1 = spark.range(600).select(F.concat(F.lit("k"), (F.col("id") % 200).cast("string")).alias("key"),
+                                 F.col("id").cast("int").alias("chunk_index"), F.lit(0).alias("seq"),
+                                 F.lit("a").alias("payload"))
+    b2 = spark.range(300).select(F.concat(F.lit("k"), (F.col("id") % 250).cast("string")).alias("key"),
+                                 F.col("id").cast("int").alias("chunk_index"), F.lit(1).alias("seq"),
+                                 F.lit("b").alias("payload"))
+    base = sinks.merge_latest(None, b1, ["key"], ["seq", "chunk_index"])
+    sinks.write_bucketed_store(base, "bk_v0", ["key"], 4, scratch_path(spark, "bk_v0"))
+    order = ["seq", "chunk_index"]
+    sinks.merge_bucketed(spark, "bk_v0", b2, ["key"], order, True, "bk_up", scratch_path(spark, "bk_up"))
+    sinks.merge_bucketed(spark, "bk_v0", b2, ["key"], order, False, "bk_ins", scratch_path(spark, "bk_ins"))
+    cols = spark.table("bk_v0").columns
+    want_up = sinks.merge_latest(spark.table("bk_v0"), b2, ["key"], order).select(*cols)
+    want_ins = sinks.merge_first(spark.table("bk_v0"), b2, ["key"], order).select(*cols)
+    assert sorted(map(tuple, spark.table("bk_up").collect())) == sorted(map(tuple, want_up.collect()))
+    assert sorted(map(tuple, spark.table("bk_ins").collect())) == sorted(map(tuple, want_ins.collect()))
+    # the stored side of the merge join is read bucketed, with no exchange above it
+    picked = sinks._pick(b2.repartition(4, "key"), ["key"], order, latest=True)
+    plan = spark.table("bk_v0").join(picked, "key", "full_outer")._jdf.queryExecution() \
+        .executedPlan().toString()
+    scan_line = [ln for ln in plan.splitlines() if "bk_v0" in ln][0]
+    assert "Bucketed: true" in scan_line
+    assert plan.count("Exchange") == 1
