@@ -47,6 +47,14 @@ def context(hits: DataFrame, style: str = "scored", query_id: str = "query_id")
         F.array_join(_ordered(F.col("_line")), "\n").alias("context"))
 
 
+def merged_context(merged: DataFrame, query_id: str = "query_id") -> DataFrame:
+    """G1 over A1 records: one scored line per query, the merged chunk texts
+    (newline-joined) in the chunk slot, file/page of the best hit."""
+    m = merged.withColumn("chunk", F.array_join("chunks", "\n"))
+    return with_defaults(m.select(query_id, "file", "page", "chunk", "distance")) \
+        .select(query_id, context_line("scored").alias("context"))
+
+
 def _template_parts(template: str) -> list[tuple[str, str]]:
     """Split a template into literal text and ``{slot}`` references."""
     parts, pos = [], 0

@@ -208,3 +208,25 @@ FROM chunks""",
     "ingest_summary": _with(*CHUNKS) + """SELECT file, count(DISTINCT page) AS n_pages, count(*) AS n_chunks,
        CAST(sum(strlen(chunk)) AS BIGINT) AS text_bytes FROM chunks GROUP BY file""",
 }
+
+def _l2_hits(k: int) -> list[str]:
+    """Dense squared-L2 hits over hashed counts: every (question, chunk) pair,
+    since chunks sharing no bucket still have a finite L2 distance."""
+    base = _hits(k)
+    names = [c.split(" AS (")[0] for c in base]
+    keep = base[:names.index("dots") + 1]
+    return keep + ["""scored AS (
+  SELECT qn.query_id, cn.file, cn.page, cn.chunk_index,
+         CAST(qn.n2 + cn.n2 - 2 * coalesce(d.dot, 0) AS DOUBLE) AS distance
+  FROM q_norm qn CROSS JOIN c_norm cn
+  LEFT JOIN dots d ON d.query_id = qn.query_id AND d.file = cn.file AND d.page = cn.page
+                   AND d.chunk_index = cn.chunk_index)"""] + base[names.index("scored") + 1:]
+
+
+SQL["context_merged"] = _with(*_l2_hits(5)) + """SELECT query_id,
+       'From ' || arg_min(file, rank) || ' (page ' || CAST(arg_min(page, rank) AS VARCHAR) || ', chunk '
+       || string_agg(chunk, chr(10) ORDER BY rank) || ') with similarity ' || printf('%.2f', min(distance)) AS context
+FROM hits GROUP BY query_id"""
+
+SQL["stream_ingest"] = _with(*CHUNKS) + """SELECT chunk_index, chunk FROM chunks
+QUALIFY row_number() OVER (PARTITION BY file, page, chunk ORDER BY chunk_index DESC) = 1"""

@@ -23,16 +23,17 @@ from chunkwise.operators import metrics as M
 from chunkwise.operators import sinks
 from chunkwise.operators.encode import HashEncoder, embed, hash_counts, hash_vectors
 from chunkwise.operators.hits import merge_hits as merge_hits_op
-from chunkwise.operators.hits import with_defaults, with_payload
+from chunkwise.operators.hits import select_hits, with_defaults, with_payload
 from chunkwise.operators.knn import ann_join as ann_join_op
 from chunkwise.operators.knn import build_ivf_index, knn, knn_search, valid_vectors
-from chunkwise.operators.rag import context, generate
+from chunkwise.operators.rag import context, generate, merged_context
 from chunkwise.operators.sessions import take_until
 from chunkwise.plans import flows
 from chunkwise.session import scratch_path
 from chunkwise.sources.files import scan_files, text_pages
 from chunkwise.sources.store import scan_store
 from chunkwise.sources.tables import pages_view, read_table
+from chunkwise.streaming.ingest import ingest_stream, read_store
 
 DIM = 64
 R = 6  # decimals kept for float distances computed in different summation orders
@@ -253,8 +254,7 @@ def knn_join_blocked(spark: SparkSession, sf: str) -> DataFrame:
 def knn_two_stage(spark: SparkSession, sf: str) -> DataFrame:
     """S3 + P8: fetch 5, keep 3, hit fields with the text payload."""
     hits = flows.retrieve(flows.questions(spark, sf), flows.ingest(flows.chunks(spark, sf)), 5, 3)
-    return hits.select("query_id", F.col("rank").cast("int").alias("rank"), "file", "page",
-                       "chunk", "distance")
+    return select_hits(hits.withColumn("rank", F.col("rank").cast("int")))
 
 
 def _ann(spark: SparkSession, sf: str, cells: int, nprobe: int, block_rows: int) -> DataFrame:
@@ -294,6 +294,26 @@ def merge_hits(spark: SparkSession, sf: str) -> DataFrame:
                     "distance", "n_hits")
 
 
+def context_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """Squared-L2 search, five hits merged into one record per question, one scored line."""
+    hits = flows.retrieve(flows.questions(spark, sf), flows.ingest(flows.chunks(spark, sf)), 5,
+                          metric="l2sq")
+    return merged_context(merge_hits_op(hits))
+
+
+def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """Streaming ingest of the documents written as text files (one folder per
+    source, pages separated by form feeds), read back with upsert semantics."""
+    src = scratch_path(spark, "stream-src")
+    docs = read_table(spark, sf, "documents")
+    (docs.repartitionByRange("source", "doc_id").sortWithinPartitions("source", "doc_id")
+     .select("source", "text").write.partitionBy("source")
+     .option("lineSep", "\u000c").text(src))
+    store = scratch_path(spark, "stream-store")
+    ingest_stream(spark, src, store, suffix=".txt", dim=DIM).awaitTermination()
+    return read_store(spark, store, "upsert").select("chunk_index", "chunk")
+
+
 def context_scored(spark: SparkSession, sf: str) -> DataFrame:
     hits = flows.retrieve(flows.questions(spark, sf), flows.ingest(flows.chunks(spark, sf)), 5, 3)
     return context(hits, "scored")
@@ -363,6 +383,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delete_where_file": delete_where_file,
     "store_prefix_scan": store_prefix_scan,
     "scan_text_files": scan_text_files,
+    "stream_ingest": stream_ingest,
     "vector_norms": vector_norms,
     "cosine_distance_centroid": cosine_distance_centroid,
     "cosine_similarity_centroid": cosine_similarity_centroid,
@@ -379,6 +400,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ann_join_full_probe": ann_join_full_probe,
     "hits_payload_defaults": hits_payload_defaults,
     "merge_hits": merge_hits,
+    "context_merged": context_merged,
     "context_scored": context_scored,
     "context_plain": context_plain,
     "rag_prompts": rag_prompts,

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,8 +33,22 @@ def scan_files(spark: SparkSession, directory: str, suffix: str = ".pdf") -> Dat
           .option("pathGlobFilter", f"*{suffix}")
           .option("recursiveFileLookup", "false")
           .load(directory))
-    return df.withColumn("file", F.element_at(F.split(F.col("path"), "/"), -1)) \
-             .drop("modificationTime")
+    return df.withColumn("file", file_name(df)).drop("modificationTime")
+
+
+BINARY_COLUMNS = ("path", "modificationTime", "length", "content")
+
+
+def file_name(files: DataFrame) -> Column:
+    """Base name of the file, prefixed by its ``key=value`` partition folders.
+
+    Spark names part files alike in every partition folder, so the base name
+    alone is unique only within one folder.
+    """
+    base = F.element_at(F.split(F.col("path"), "/"), -1)
+    parts = [F.concat(F.lit(f"{c}="), F.col(c).cast("string"))
+             for c in files.columns if c not in BINARY_COLUMNS and c != "file"]
+    return F.concat_ws("/", *parts, base) if parts else base
 
 
 def text_pages(files: DataFrame, keep: list[str] | None = None) -> DataFrame:

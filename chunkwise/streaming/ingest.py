@@ -20,7 +20,7 @@ from chunkwise.operators import sinks
 from chunkwise.operators.chunking import chunk
 from chunkwise.operators.encode import DEFAULT_HASH_DIM, hash_vectors
 from chunkwise.session import scratch_path
-from chunkwise.sources.files import extract_pages, text_pages
+from chunkwise.sources.files import extract_pages, file_name, text_pages
 
 MODES = ("upsert", "insert_if_absent", "append")
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -36,7 +36,8 @@ def ingest_stream(spark: SparkSession, directory: str, store_path: str, *, suffi
               .option("recursiveFileLookup", "false"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    files = reader.load(directory).withColumn("file", F.element_at(F.split("path", "/"), -1))
+    raw = reader.load(directory)
+    files = raw.withColumn("file", file_name(raw))
     pages = extract_pages(files, extractor) if extractor else text_pages(files)
     chunks = chunk(pages, "text", keep=["file", "page"])
     rows = hash_vectors(chunks, "chunk", dim).withColumn("key", chunk_key())
