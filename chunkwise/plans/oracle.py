@@ -106,11 +106,21 @@ RAG_PROMPTS_SELECT = f"""SELECT q.query_id, coalesce(ctx.context, '') AS context
        {_prompt_expr({'context': "coalesce(ctx.context, '')", 'query': 'q.query'})} AS prompt
 FROM questions q LEFT JOIN ctx ON ctx.query_id = q.query_id"""
 
-KEYED = [f"""keyed AS (
-  SELECT {_q(KEY_PREFIX)} || file || '_page_' || CAST(page AS VARCHAR) || '_chunk_' || chunk AS key,
-         file, page, chunk_index, chunk FROM chunks)""",
-         "b1 AS (SELECT *, 0 AS seq, 'a' AS payload FROM keyed)",
-         "b2 AS (SELECT *, 1 AS seq, 'b' AS payload FROM keyed WHERE page % 2 = 0)"]
+def _chunks_sized(name: str, size: int, step: int) -> str:
+    return f"""{name} AS (
+  SELECT file, page, CAST(i AS INTEGER) AS chunk_index,
+         array_to_string(w[i * {step} + 1 : i * {step} + {size}], ' ') AS chunk
+  FROM (SELECT file, page, w, unnest(generate_series(0, (len(w) - 1) // {step})) AS i
+        FROM page_words WHERE len(w) > 0))"""
+
+
+KEY_COLS = (f"{_q(KEY_PREFIX)} || file || '_page_' || CAST(page AS VARCHAR) || '_chunk_' || chunk AS key, "
+            "file, page, chunk_index, chunk")
+
+KEYED = [f"keyed AS (SELECT {KEY_COLS} FROM chunks)",
+         _chunks_sized("chunks200", 200, 150),
+         f"b1 AS (SELECT {KEY_COLS}, 0 AS seq, 'a' AS payload FROM chunks)",
+         f"b2 AS (SELECT {KEY_COLS}, 1 AS seq, 'b' AS payload FROM chunks200)"]
 STORE_COLS = "key, file, page, chunk_index, seq, payload"
 
 EMB = "e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)"

@@ -21,6 +21,7 @@ from chunkwise.functions.vectors import (cosine_distance, cosine_similarity, l2_
                                          l2sq_distance)
 from chunkwise.operators import metrics as M
 from chunkwise.operators import sinks
+from chunkwise.operators.chunking import chunk
 from chunkwise.operators.encode import HashEncoder, embed, hash_counts, hash_vectors
 from chunkwise.operators.hits import merge_hits as merge_hits_op
 from chunkwise.operators.hits import select_hits, with_defaults, with_payload
@@ -73,13 +74,17 @@ def chunk_preview(spark: SparkSession, sf: str) -> DataFrame:
 # --- sinks -------------------------------------------------------------------------
 
 def _batches(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """batch 1: every chunk (seq 0, payload 'a'); batch 2: chunks of even pages (seq 1, 'b')."""
-    ch = flows.chunk_table(spark, sf).withColumn("key", chunk_key("file", "page", "chunk"))
-    b1 = ch.withColumn("seq", F.lit(0)).withColumn("payload", F.lit("a"))
-    b2 = (ch.where(F.col("page") % 2 == 0)
-          .withColumn("seq", F.lit(1)).withColumn("payload", F.lit("b")))
+    """Two ingests of every page: 300-word windows (seq 0, payload 'a'), then a
+    re-ingest with 200-word windows (seq 1, payload 'b'). Pages short enough to
+    give the same chunk text collide on the key; longer pages add new keys."""
+    pages = pages_view(spark, sf)
     cols = ["key", "file", "page", "chunk_index", "chunk", "seq", "payload"]
-    return b1.select(*cols), b2.select(*cols)
+    out = []
+    for seq, size, payload in ((0, 300, "a"), (1, 200, "b")):
+        ch = chunk(pages, "text", size, 50, keep=["file", "page"])
+        out.append(ch.withColumn("key", chunk_key("file", "page", "chunk"))
+                   .withColumn("seq", F.lit(seq)).withColumn("payload", F.lit(payload)).select(*cols))
+    return out[0], out[1]
 
 
 def _store_cols(df: DataFrame) -> DataFrame:
