@@ -28,13 +28,6 @@ def chunks(spark: SparkSession, sf_dir: str, size: int = 300, overlap: int = 50)
     return chunk(pages_view(spark, sf_dir), "text", size, overlap, keep=["file", "page"])
 
 
-def chunk_table(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
-    """``chunks`` written once to the scratch folder and read back (for reuse)."""
-    path = path or scratch_path(spark, "chunks")
-    chunks(spark, sf_dir).write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
-
-
 def encode(df: DataFrame, text: str, dim: int = DEFAULT_HASH_DIM, out: str = "embedding") -> DataFrame:
     """The flow's encoder: the hashed encoder through the pluggable batch path.
 
