@@ -317,7 +317,7 @@ def build_ivf_index(corpus: DataFrame, cells: int, metric: str = "cosine", *,
                     ids: tuple[str, ...] | list[str] = ("id",), vec: str = "embedding",
                     dim: int | None = None, seed: int = 11, train_rows: int = 200_000,
                     max_iter: int = 10, path: str | None = None) -> IvfIndex:
-    """Cluster the corpus into ``cells`` k-means cells and write it tagged by cell.
+    """Cluster the corpus into ``cells`` k-means cells and write it partitioned by cell.
 
     The quantiser is trained on a bounded sample (``train_rows``) for a few
     iterations (cells only steer the search; exactness comes from ``nprobe``);
@@ -347,7 +347,9 @@ def build_ivf_index(corpus: DataFrame, cells: int, metric: str = "cosine", *,
     centroids = np.array([np.asarray(x, dtype=np.float64) for x in model.clusterCenters()])
     path = path or scratch_path(spark, "ivf-index")
     (model.transform(feats).select(*ids, vec, F.col("cell").cast("int").alias("cell"))
-     .write.mode("errorifexists").parquet(path))
+     # range on (cell, id): a hot cell spans many tasks, a task holds few cells
+     .repartitionByRange("cell", *ids)
+     .write.mode("errorifexists").partitionBy("cell").parquet(path))
     stored = spark.read.parquet(path)
     counts = {int(r["cell"]): int(r["n"]) for r in
               stored.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -379,7 +381,8 @@ def ann_join(queries: DataFrame, index: IvfIndex, k: int, nprobe: int = 1, *,
              block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Approximate k nearest: search only each query's ``nprobe`` nearest cells.
 
-    With ``nprobe >= index.cells`` the result equals ``knn_join``.
+    Only the cells some query probes are read (partition pruning on the cell
+    folders). With ``nprobe >= index.cells`` the result equals ``knn_join``.
     """
     spark = queries.sparkSession
     ids, metric = index.ids, index.metric
@@ -403,7 +406,9 @@ def ann_join(queries: DataFrame, index: IvfIndex, k: int, nprobe: int = 1, *,
           .withColumn("_qs", F.pmod(F.xxhash64("_qid"), F.col("_nqs").cast("long")))
           .withColumn("_cs", F.explode(F.sequence(F.lit(0), F.col("_ncs") - 1)))
           .select("cell", "_cs", F.col("_qs").cast("int").alias("_qs"), "_qid", "_v"))
-    corpus = spark.read.parquet(index.path)
+    # read only the probed cells: the index is partitioned by cell on disk
+    probed_cells = sorted(q_counts)
+    corpus = spark.read.parquet(index.path).where(F.col("cell").isin(probed_cells))
     cx = (corpus.join(F.broadcast(plan), "cell")
           .withColumn("_cs", F.pmod(F.xxhash64(*ids), F.col("_ncs").cast("long")).cast("int"))
           .withColumn("_qs", F.explode(F.sequence(F.lit(0), F.col("_nqs") - 1)))
