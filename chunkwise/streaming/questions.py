@@ -29,10 +29,14 @@ def answer_stream(spark: SparkSession, question_dir: str, store: DataFrame, answ
                   client: Callable[[list[str]], list[str]], *, k_fetch: int = 5,
                   k_keep: int | None = 3, style: str = "scored", template: str = DEFAULT_TEMPLATE,
                   sentinel: str = "exit", checkpoint: str | None = None,
-                  available_now: bool = True) -> StreamingQuery:
+                  available_now: bool = True,
+                  max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start a stream answering question files (JSON lines) dropped in ``question_dir``."""
     ended_path = f"{answers_path}/_ended"
-    questions = spark.readStream.schema(QUESTION_SCHEMA).json(question_dir)
+    reader = spark.readStream.schema(QUESTION_SCHEMA)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    questions = reader.json(question_dir)
 
     def ended_before(batch_id: int) -> DataFrame | None:
         try:

@@ -48,3 +48,21 @@ def test_stream_ingest_then_answer(spark, tmpdir_fresh):
     assert all(r["answer"].startswith("len=") for r in got.collect())
     assert "From a.pdf" in got.where("query = 'alpha beta'").first()["prompt"] or \
         "From b.pdf" in got.where("query = 'alpha beta'").first()["prompt"]
+
+
+def test_sentinel_holds_across_micro_batches(spark, tmpdir_fresh):
+    store = spark.createDataFrame(
+        [("f.pdf", 0, 0, "alpha beta gamma", [1.0] * 64)],
+        "file string, page int, chunk_index int, chunk string, embedding array<float>")
+    qdir = f"{tmpdir_fresh}/q"
+    batches = [[{"session": "s1", "seq": 0, "query": "alpha"}, {"session": "s1", "seq": 1, "query": "Exit"},
+                {"session": "s2", "seq": 0, "query": "beta"}],
+               [{"session": "s1", "seq": 2, "query": "after exit"}, {"session": "s2", "seq": 1, "query": "gamma"}]]
+    for i, lines in enumerate(batches):
+        _write(f"{qdir}/q{i}.json", "\n".join(json.dumps(x) for x in lines).encode())
+    answers = scratch_path(spark, "answers2")
+    s = answer_stream(spark, qdir, store, answers, lambda ps: ["ok"] * len(ps), max_files_per_trigger=1)
+    s.awaitTermination(180)
+    got = spark.read.parquet(answers).where(F.col("batch").isNotNull())
+    rows = sorted((r["batch"], r["session"], r["query"]) for r in got.collect())
+    assert rows == [(0, "s1", "alpha"), (0, "s2", "beta"), (1, "s2", "gamma")]
