@@ -233,7 +233,8 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "cos
                                      metric, k, schema)
     else:
         cand = _blocked_candidates(q, c, query_id, query_vec, ids, corpus_vec,
-                                   metric, k, schema, block_rows)
+                                   metric, k, schema, block_rows,
+                                   queries.select(query_id).count(), corpus.select(*ids).count())
     return KnnResult(_final_topk(cand, query_id, ids, k), bounded=probe is not None)
 
 
@@ -274,9 +275,12 @@ def _cogroup_topk(qx: DataFrame, cx: DataFrame, keys: list[str], ids: list[str],
 
 def _blocked_candidates(q: DataFrame, c: DataFrame, query_id: str, query_vec: str,
                         ids: list[str], corpus_vec: str, metric: str, k: int,
-                        schema: T.StructType, block_rows: int) -> DataFrame:
-    nq_blocks = max(1, math.ceil(q.count() / block_rows))
-    nc_blocks = max(1, math.ceil(c.count() / block_rows))
+                        schema: T.StructType, block_rows: int, n_queries: int,
+                        n_corpus: int) -> DataFrame:
+    """Blocks sized from row counts; upper bounds are enough (invalid vectors
+    are filtered later), so the counts need not read the vector column."""
+    nq_blocks = max(1, math.ceil(n_queries / block_rows))
+    nc_blocks = max(1, math.ceil(n_corpus / block_rows))
     qx = (q.select(F.col(query_id).alias("_qid"), F.col(query_vec).alias("_v"))
           .withColumn("_qb", F.pmod(F.xxhash64("_qid"), F.lit(nq_blocks)))
           .withColumn("_cb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(nc_blocks - 1).cast("long")))))

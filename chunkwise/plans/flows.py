@@ -81,10 +81,16 @@ def retrieve(question_df: DataFrame, store: DataFrame, k_fetch: int = 5,
 
 
 def rag_prompts(spark: SparkSession, sf_dir: str, style: str = "scored", k_fetch: int = 5,
-                k_keep: int | None = 3, template: str = DEFAULT_TEMPLATE) -> DataFrame:
-    """``query_id, query, context, prompt`` for every benchmark question."""
+                k_keep: int | None = 3, template: str = DEFAULT_TEMPLATE,
+                store: DataFrame | None = None) -> DataFrame:
+    """``query_id, query, context, prompt`` for every benchmark question.
+
+    ``store`` is a written chunk store (see ``ingest``); by default the
+    documents are chunked and ingested first.
+    """
     qs = questions(spark, sf_dir)
-    hits = retrieve(qs, ingest(chunks(spark, sf_dir)), k_fetch, k_keep)
+    store = store if store is not None else ingest(chunks(spark, sf_dir))
+    hits = retrieve(qs, store, k_fetch, k_keep)
     ctx = context(hits, style)
     return prompt(keep_queries(qs, ctx).withColumn("context", F.coalesce("context", F.lit(""))),
                   template)
