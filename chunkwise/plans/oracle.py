@@ -240,3 +240,15 @@ FROM hits GROUP BY query_id"""
 
 SQL["stream_ingest"] = _with(*CHUNKS) + """SELECT chunk_index, chunk FROM chunks
 QUALIFY row_number() OVER (PARTITION BY file, page, chunk ORDER BY chunk_index DESC) = 1"""
+
+
+def _smoke_hits() -> list[str]:
+    from chunkwise.plans.queries import SMOKE_QUESTION
+    base = _hits(5)
+    names = [c.split(" AS (")[0] for c in base]
+    base[names.index("questions")] = f"questions AS (SELECT CAST(0 AS BIGINT) AS query_id, {_q(SMOKE_QUESTION)} AS query)"
+    return base
+
+
+SQL["smoke_search"] = _with(*_smoke_hits()) + """SELECT rank, file, page, chunk_index,
+       substring(chunk, 1, 200) || '...' AS preview, distance FROM hits"""

@@ -232,6 +232,21 @@ def knn_single(spark: SparkSession, sf: str) -> DataFrame:
                       _r("distance").alias("distance"))
 
 
+# --- fixed values: the sentence searched right after ingest ---------------------
+SMOKE_QUESTION = "Efficient search in vector databases"
+# ------------------------------------------------------------------------------
+
+
+def smoke_search(spark: SparkSession, sf: str) -> DataFrame:
+    """J1 + P7 + P8: one fixed sentence against the whole chunk store, five best
+    chunks shown as 200-character previews."""
+    store = flows.ingest(flows.chunks(spark, sf))
+    vector = HashEncoder(DIM)([SMOKE_QUESTION])[0].tolist()
+    top = knn(store, vector, 5, "cosine", ids=flows.CHUNK_IDS)
+    return top.select(F.col("rank").cast("int").alias("rank"), "file", "page", "chunk_index",
+                      preview("chunk", 200).alias("preview"), "distance")
+
+
 def _self_queries(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     e = _embeddings(spark, sf)
     return e.select(F.col("vec_id").alias("query_id"), "embedding"), e.select("vec_id", "embedding")
@@ -399,6 +414,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hash_embed": hash_embed,
     "embed_batches": embed_batches,
     "knn_single": knn_single,
+    "smoke_search": smoke_search,
     "knn_join_cosine": knn_join_cosine,
     "knn_join_l2sq": knn_join_l2sq,
     "knn_join_blocked": knn_join_blocked,
