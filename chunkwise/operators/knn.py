@@ -41,6 +41,8 @@ METRICS = ("cosine", "l2sq")
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024   # query matrix shipped to every executor
 BLOCK_ROWS = 20_000                       # rows of one side in one cogroup task
 KERNEL_ENTRIES = 4_000_000                # distance-matrix entries per numpy step
+CANDIDATE_BUDGET = 200_000_000            # candidate rows shuffled by the broadcast form
+REDUCE_EVERY = 8                          # batches between in-task top-k merges
 
 
 def _check_metric(metric: str) -> None:
@@ -240,10 +242,19 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "cos
 
 def _broadcast_candidates(probe, c: DataFrame, query_id: str, query_vec: str, ids: list[str],
                           corpus_vec: str, metric: str, k: int, schema: T.StructType) -> DataFrame:
+    """Every corpus task scores its rows against the broadcast queries and emits
+    its k best per query. Each task emits up to queries x k rows, so the corpus
+    is coalesced (no shuffle) until tasks x queries x k fits CANDIDATE_BUDGET;
+    inside a task the running top-k is merged every few batches."""
     qids = np.asarray(probe.column(query_id).to_pylist(), dtype=object)
     vecs = probe.column(query_vec).to_pylist()
     Q = _matrix(vecs)
-    bc = c.sparkSession.sparkContext.broadcast((qids, Q))
+    spark = c.sparkSession
+    bc = spark.sparkContext.broadcast((qids, Q))
+    per_task = max(1, len(qids) * k)
+    max_tasks = max(spark.sparkContext.defaultParallelism, CANDIDATE_BUDGET // per_task)
+    if c.rdd.getNumPartitions() > max_tasks:
+        c = c.coalesce(max_tasks)
 
     def run(batches):
         qids_b, Q_b = bc.value
@@ -251,8 +262,9 @@ def _broadcast_candidates(probe, c: DataFrame, query_id: str, query_vec: str, id
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            C = _matrix(pdf[corpus_vec])
-            frames.append(topk_block(qids_b, Q_b, pdf[ids], C, metric, k))
+            frames.append(topk_block(qids_b, Q_b, pdf[ids], _matrix(pdf[corpus_vec]), metric, k))
+            if len(frames) >= REDUCE_EVERY:
+                frames = [_reduce(frames, ids, k)]
         res = _reduce(frames, ids, k)
         if res is not None:
             yield res

@@ -16,14 +16,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+ROWS_PER_RANGE = 1_000_000
+MAX_RANGES = 100_000
+
+
 def row_number_within(df: DataFrame, group_cols: list[str], order_col: str,
-                      out: str = "rn", base: int = 1, ranges: int = 256,
-                      rel_error: float = 0.001) -> DataFrame:
+                      out: str = "rn", base: int = 1, ranges: int | None = None,
+                      rel_error: float = 0.001,
+                      rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Add ``out`` = position of the row in its group by ``order_col`` (+ ``base``).
 
     ``order_col`` must be numeric and (near) unique inside a group; ties are
-    broken arbitrarily, as ``row_number`` does.
+    broken arbitrarily, as ``row_number`` does. By default the number of ranges
+    follows the row count, so no (group, range) cell exceeds about
+    ``rows_per_range`` rows, whatever share of the table one group holds.
     """
+    if ranges is None:
+        n = df.count()
+        ranges = min(MAX_RANGES, max(16, -(-n // rows_per_range)))
+    rel_error = min(rel_error, 0.25 / ranges)
     probs = [i / ranges for i in range(ranges + 1)]
     cuts = df.approxQuantile(order_col, probs, rel_error)  # ranges + 1 numbers
     splits = sorted(set(float(c) for c in cuts if c is not None))
