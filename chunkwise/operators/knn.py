@@ -39,12 +39,18 @@ from chunkwise.session import scratch_path
 
 METRICS = ("cosine", "l2sq")
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024   # query matrix shipped to every executor
-BLOCK_ROWS = 20_000                       # rows of one side in one cogroup task
+BLOCK_BYTES = 256 * 1024 * 1024           # vector bytes of one side in one cogroup task
 KERNEL_ENTRIES = 4_000_000                # distance-matrix entries per numpy step
 CANDIDATE_BUDGET = 200_000_000            # candidate rows shuffled by the broadcast form
 REDUCE_EVERY = 8                          # batches between in-task top-k merges
 
 
+def block_rows_for(dim: int, block_bytes: int = BLOCK_BYTES) -> int:
+    """Rows of one side per cogroup task: as many as the byte budget allows
+    (fewer corpus blocks means fewer top-k candidates per query)."""
+    return int(min(1_000_000, max(1_000, block_bytes // (8 * max(dim, 1)))))
+
+
 def _check_metric(metric: str) -> None:
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}, got {metric!r}")
@@ -202,7 +208,7 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "cos
              corpus_ids: tuple[str, ...] | list[str] = ("id",), corpus_vec: str = "embedding",
              dim: int | None = None, strategy: str = "auto",
              broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
-             block_rows: int = BLOCK_ROWS) -> KnnResult:
+             block_rows: int | None = None) -> KnnResult:
     """Exact k nearest corpus rows for every query, with the bound flag.
 
     ``strategy``: ``auto`` (broadcast if the query matrix fits the budget, else
@@ -218,6 +224,7 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "cos
     schema = _candidate_schema(qtype, corpus, ids)
     if dim is None:
         dim = _peek_dim(q, query_vec)
+    block_rows = block_rows or block_rows_for(dim)
     max_rows = max(1, broadcast_max_bytes // (8 * max(dim, 1)))
 
     probe = None
@@ -394,7 +401,7 @@ def _probe_udf(bc, nprobe: int, metric: str):
 
 def ann_join(queries: DataFrame, index: IvfIndex, k: int, nprobe: int = 1, *,
              query_id: str = "query_id", query_vec: str = "embedding",
-             block_rows: int = BLOCK_ROWS) -> DataFrame:
+             block_rows: int | None = None) -> DataFrame:
     """Approximate k nearest: search only each query's ``nprobe`` nearest cells.
 
     Only the cells some query probes are read (partition pruning on the cell
@@ -405,6 +412,7 @@ def ann_join(queries: DataFrame, index: IvfIndex, k: int, nprobe: int = 1, *,
     if query_id in ids:
         raise ValueError("query id column must not share a name with a corpus id column")
     q = valid_vectors(queries.select(query_id, query_vec), query_vec, None)
+    block_rows = block_rows or block_rows_for(index.centroids.shape[1])
     bc = spark.sparkContext.broadcast(index.centroids)
     probed = q.select(F.col(query_id).alias("_qid"), F.col(query_vec).alias("_v"),
                       F.explode(_probe_udf(bc, nprobe, metric)(F.col(query_vec))).alias("cell"))

@@ -277,7 +277,7 @@ def knn_two_stage(spark: SparkSession, sf: str) -> DataFrame:
     return select_hits(hits.withColumn("rank", F.col("rank").cast("int")))
 
 
-def _ann(spark: SparkSession, sf: str, cells: int, nprobe: int, block_rows: int) -> DataFrame:
+def _ann(spark: SparkSession, sf: str, cells: int, nprobe: int, block_rows: int | None) -> DataFrame:
     q, c = _self_queries(spark, sf)
     index = build_ivf_index(c, cells, "cosine", ids=["vec_id"], dim=DIM, seed=7)
     return _hits_out(ann_join_op(q, index, 5, nprobe, block_rows=block_rows))
@@ -285,7 +285,7 @@ def _ann(spark: SparkSession, sf: str, cells: int, nprobe: int, block_rows: int)
 
 def ann_join(spark: SparkSession, sf: str) -> DataFrame:
     """J3 approximate: 16 cells, 4 probed (recall is checked by the tests)."""
-    return _ann(spark, sf, 16, 4, 20_000)
+    return _ann(spark, sf, 16, 4, None)
 
 
 def ann_join_full_probe(spark: SparkSession, sf: str) -> DataFrame:
