@@ -77,3 +77,12 @@ def test_row_number_within_matches_window_on_skewed_groups(spark):
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")) - 1)
     assert sorted(map(tuple, got.select("g", "o", "rn").collect())) == \
         sorted(map(tuple, want.select("g", "o", "rn").collect()))
+
+
+def test_row_number_within_sizes_ranges_from_the_row_count(spark):
+    rows = [("hot", i) for i in range(5000)] + [("cold", 10_000 + i) for i in range(50)]
+    df = spark.createDataFrame(rows, "g string, o long").repartition(5)
+    got = row_number_within(df, ["g"], "o", out="rn", rows_per_range=100)   # ~50 ranges
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")))
+    assert sorted(map(tuple, got.select("g", "o", "rn").collect())) == \
+        sorted(map(tuple, want.select("g", "o", "rn").collect()))
