@@ -18,6 +18,31 @@ from pyspark.sql import functions as F
 
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 100_000
+FIRST_PASS_CUTS = 1024
+
+
+def _range_cuts(df: DataFrame, order_col: str, ranges: int | None, rel_error: float,
+                rows_per_range: int) -> list[float]:
+    """Inner cut points of the order column (at most ranges - 1 of them).
+
+    One aggregate returns the row count and 1024 quantiles; the count decides
+    how many ranges are needed, and only beyond 1024 ranges (about a billion
+    rows) is a second, finer quantile pass made.
+    """
+    probs = [i / FIRST_PASS_CUTS for i in range(1, FIRST_PASS_CUTS)]
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 F.percentile_approx(F.col(order_col).cast("double"), probs,
+                                     int(4 * FIRST_PASS_CUTS / 0.25)).alias("q")).first()
+    n, fine = int(row["n"]), list(row["q"] or [])
+    if ranges is None:
+        ranges = min(MAX_RANGES, max(16, -(-n // rows_per_range)))
+    if ranges <= FIRST_PASS_CUTS:
+        step = FIRST_PASS_CUTS / ranges
+        picked = [fine[int(round(i * step)) - 1] for i in range(1, ranges)]
+    else:
+        err = min(rel_error, 0.25 / ranges)
+        picked = df.approxQuantile(order_col, [i / ranges for i in range(1, ranges)], err)
+    return sorted(set(float(c) for c in picked if c is not None))
 
 
 def row_number_within(df: DataFrame, group_cols: list[str], order_col: str,
@@ -31,16 +56,8 @@ def row_number_within(df: DataFrame, group_cols: list[str], order_col: str,
     follows the row count, so no (group, range) cell exceeds about
     ``rows_per_range`` rows, whatever share of the table one group holds.
     """
-    if ranges is None:
-        n = df.count()
-        ranges = min(MAX_RANGES, max(16, -(-n // rows_per_range)))
-    rel_error = min(rel_error, 0.25 / ranges)
-    probs = [i / ranges for i in range(ranges + 1)]
-    cuts = df.approxQuantile(order_col, probs, rel_error)  # ranges + 1 numbers
-    splits = sorted(set(float(c) for c in cuts if c is not None))
-    splits = [float("-inf")] + splits[1:-1] + [float("inf")] if len(splits) > 1 else [float("-inf"), float("inf")]
-    if len(splits) < 2:
-        splits = [float("-inf"), float("inf")]
+    cuts = _range_cuts(df, order_col, ranges, rel_error, rows_per_range)
+    splits = [float("-inf")] + cuts + [float("inf")]
 
     ordered = df.withColumn("_ord_d", F.col(order_col).cast("double"))
     bucketed = Bucketizer(splits=splits, inputCol="_ord_d", outputCol="_rng",
