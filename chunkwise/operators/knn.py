@@ -109,11 +109,21 @@ def topk_block(qids: np.ndarray, Q: np.ndarray, ids: pd.DataFrame, C: np.ndarray
     cn = np.einsum("ij,ij->i", C, C)
     step = max(1, KERNEL_ENTRIES // nq)
     rs, cs, ds = [], [], []
+    never = np.iinfo(np.int64).max
     for s in range(0, n, step):
         D = _distances(Q, qn, C[s:s + step], cn[s:s + step], metric)
         kk = min(k, D.shape[1])
         kth = np.partition(D, kk - 1, axis=1)[:, kk - 1]
-        r, c = np.nonzero((D <= kth[:, None]) & np.isfinite(D))
+        # rows strictly better than the k-th distance (fewer than k per query) ...
+        r, c = np.nonzero((D < kth[:, None]) & np.isfinite(D))
+        # ... plus, among rows tied at the k-th distance, only the kk with the
+        # smallest ids: many exact copies of one chunk never flood the candidates
+        tied = np.where((D == kth[:, None]) & np.isfinite(D), tie[s:s + step][None, :], never)
+        pick = np.argpartition(tied, kk - 1, axis=1)[:, :kk]
+        keep_tie = np.take_along_axis(tied, pick, axis=1) != never
+        rt = np.repeat(np.arange(nq), kk)[keep_tie.ravel()]
+        ct = pick.ravel()[keep_tie.ravel()]
+        r, c = np.concatenate([r, rt]), np.concatenate([c, ct])
         rs.append(r)
         cs.append(c + s)
         ds.append(D[r, c])

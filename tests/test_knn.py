@@ -117,3 +117,16 @@ def test_ann_hot_cell_is_split(spark):
     got = as_lists(ann_join(qdf, index, 3, 4, block_rows=32).withColumnRenamed("id", "id"))
     want = brute(C[::7], list(range(0, len(C), 7)), C, range(len(C)), 3, "l2sq")
     assert got == want
+
+
+def test_many_exact_copies_keep_candidates_bounded():
+    import pandas as pd
+    n = 5000
+    C = np.tile(np.array([[1.0, 2.0, 3.0]]), (n, 1))
+    C[7] = [3.0, 2.0, 1.0]
+    ids = pd.DataFrame({"id": np.arange(n)[::-1]})          # ids descending by position
+    Q = np.array([[1.0, 2.0, 3.0], [3.0, 2.0, 1.0]])
+    out = topk_block(np.array([1, 2], dtype=object), Q, ids, C, "cosine", 3)
+    got = {q: g["id"].tolist() for q, g in out.groupby("_qid")}
+    assert got[1] == [0, 1, 2]                               # smallest ids among the copies
+    assert got[2][0] == n - 1 - 7 and len(got[2]) == 3
