@@ -56,11 +56,19 @@ def _check_metric(metric: str) -> None:
         raise ValueError(f"metric must be one of {METRICS}, got {metric!r}")
 
 
-def valid_vectors(df: DataFrame, vec: str = "embedding", dim: int | None = None) -> DataFrame:
-    """Drop rows whose vector is null, empty, or not ``dim`` long."""
+def valid_vectors(df: DataFrame, vec: str = "embedding", dim: int | None = None,
+                  observation=None) -> DataFrame:
+    """Drop rows whose vector is null, empty, or not ``dim`` long.
+
+    With a ``pyspark.sql.Observation``, the number of rows seen and rejected is
+    recorded while the query runs (no extra pass).
+    """
     cond = F.col(vec).isNotNull() & (F.size(vec) > 0)
     if dim is not None:
         cond = cond & (F.size(vec) == dim)
+    if observation is not None:
+        df = df.observe(observation, F.count(F.lit(1)).alias("rows"),
+                        F.sum(F.when(cond, 0).otherwise(1)).alias("rejected"))
     return df.where(cond)
 
 

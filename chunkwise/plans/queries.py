@@ -365,7 +365,7 @@ def take_until_sentinel(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def store_stats(spark: SparkSession, sf: str) -> DataFrame:
-    return M.store_stats(hash_vectors(flows.chunks(spark, sf), "chunk", DIM))
+    return M.store_stats(flows.encode(flows.chunks(spark, sf), "chunk", DIM))
 
 
 def ingest_summary(spark: SparkSession, sf: str) -> DataFrame:

@@ -56,3 +56,12 @@ def test_valid_vectors(spark):
                                "id int, v array<float>")
     assert sorted(r["id"] for r in valid_vectors(df, "v", 3).collect()) == [4]
     assert sorted(r["id"] for r in valid_vectors(df, "v").collect()) == [3, 4]
+
+
+def test_valid_vectors_reports_rejects(spark):
+    from pyspark.sql import Observation
+    df = spark.createDataFrame([(1, None), (2, []), (3, [1.0, 2.0]), (4, [1.0, 2.0, 3.0])],
+                               "id int, v array<float>")
+    obs = Observation("vectors")
+    assert valid_vectors(df, "v", 3, observation=obs).count() == 1
+    assert obs.get == {"rows": 4, "rejected": 3}
