@@ -252,3 +252,6 @@ def _smoke_hits() -> list[str]:
 
 SQL["smoke_search"] = _with(*_smoke_hits()) + """SELECT rank, file, page, chunk_index,
        substring(chunk, 1, 200) || '...' AS preview, distance FROM hits"""
+
+SQL["stream_answers"] = (_with(*_hits(5, 3), _context_cte("scored"), "prompts AS (" + RAG_PROMPTS_SELECT + ")")
+                         + "SELECT query_id AS seq, 'answer-' || substr(md5(prompt), 1, 16) AS answer FROM prompts")

@@ -34,6 +34,7 @@ from chunkwise.sources.files import scan_files, text_pages
 from chunkwise.sources.store import scan_store
 from chunkwise.sources.tables import pages_view, read_table
 from chunkwise.streaming.ingest import ingest_stream, read_store
+from chunkwise.streaming.questions import answer_stream
 
 DIM = 64
 R = 6  # decimals kept for float distances computed in different summation orders
@@ -333,6 +334,20 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return read_store(spark, store, "upsert").select("chunk_index", "chunk")
 
 
+def stream_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """The question loop as a stream: benchmark questions arrive as JSON lines
+    (one session), are answered against the ingested chunk store, and the
+    answers are read back."""
+    qdir = scratch_path(spark, "question-files")
+    (read_table(spark, sf, "benchmark")
+     .select(F.lit("bench").alias("session"), F.col("item_id").alias("seq"), F.col("text").alias("query"))
+     .write.json(qdir))
+    store = flows.ingest(flows.chunks(spark, sf))
+    out = scratch_path(spark, "answers")
+    answer_stream(spark, qdir, store, out, stub_client).awaitTermination()
+    return spark.read.parquet(out).select("seq", "answer")
+
+
 def context_scored(spark: SparkSession, sf: str) -> DataFrame:
     hits = flows.retrieve(flows.questions(spark, sf), flows.ingest(flows.chunks(spark, sf)), 5, 3)
     return context(hits, "scored")
@@ -427,6 +442,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "context_plain": context_plain,
     "rag_prompts": rag_prompts,
     "rag_answers": rag_answers,
+    "stream_answers": stream_answers,
     "take_until_sentinel": take_until_sentinel,
     "store_stats": store_stats,
     "ingest_summary": ingest_summary,

@@ -59,3 +59,17 @@ def read_store(spark: SparkSession, store_path: str, mode: str = "upsert") -> Da
         return log
     pick = sinks.merge_latest if mode == "upsert" else sinks.merge_first
     return pick(None, log, ["key"], ["seq", "chunk_index"])
+
+
+def compact_store(spark: SparkSession, store_path: str, out_path: str,
+                  mode: str = "upsert") -> str:
+    """Fold every batch of a log-structured store into one version at ``out_path``.
+
+    The result keeps the ``seq`` column, so a compacted store can itself be
+    read (or compacted again) with the same semantics; the source log is left
+    untouched until the caller switches to the new path.
+    """
+    resolved = read_store(spark, store_path, mode)
+    (resolved.repartitionByRange("key").write.mode("errorifexists")
+     .partitionBy("seq").parquet(out_path))
+    return out_path

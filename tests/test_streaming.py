@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from chunkwise.session import scratch_path
-from chunkwise.streaming import answer_stream, ingest_stream, read_store
+from chunkwise.streaming import answer_stream, compact_store, ingest_stream, read_store
 
 
 def _write(path, data):
@@ -31,6 +31,10 @@ def test_stream_ingest_then_answer(spark, tmpdir_fresh):
     up = read_store(spark, store_path, "upsert")
     assert up.count() == up.select("key").distinct().count()
     assert read_store(spark, store_path, "append").count() >= up.count()
+    compacted = compact_store(spark, store_path, scratch_path(spark, "compacted"))
+    cols = ["key", "seq", "chunk_index"]
+    assert sorted(map(tuple, read_store(spark, compacted, "upsert").select(*cols).collect())) == \
+        sorted(map(tuple, up.select(*cols).collect()))
 
     qdir = f"{tmpdir_fresh}/questions"
     lines = [{"session": "s1", "seq": 0, "query": "alpha beta"},
