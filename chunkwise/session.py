@@ -7,7 +7,6 @@ is the case in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -71,12 +70,3 @@ def spread(df, *keys: str, min_partitions: int | None = None):
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target, *keys) if keys else df.repartition(target)
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def ensure_local_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)

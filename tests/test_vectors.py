@@ -65,3 +65,20 @@ def test_valid_vectors_reports_rejects(spark):
     obs = Observation("vectors")
     assert valid_vectors(df, "v", 3, observation=obs).count() == 1
     assert obs.get == {"rows": 4, "rejected": 3}
+
+
+def test_hashed_encoder_forms_agree(spark):
+    from chunkwise.operators.encode import HashEncoder, embed, hash_counts, hash_vectors, hash_vectors_arrow
+    texts = ["The cat SAT on the mat", "  ünïcode  wörds\u2003and\ttabs ", "", None, "a a a a b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    jvm = {r["id"]: list(r["embedding"]) for r in hash_vectors(df, "text", 16).collect()}
+    arrow = {r["id"]: list(r["embedding"]) for r in hash_vectors_arrow(df, "text", 16).collect()}
+    batch = {r["id"]: list(r["embedding"]) for r in embed(df, "text", HashEncoder(16), 16).collect()}
+    local = HashEncoder(16)([t or "" for t in texts])
+    assert jvm == arrow == batch
+    for i in range(len(texts)):
+        assert jvm[i] == local[i].tolist()
+    sparse = {(r["id"], r["bucket"]): r["cnt"] for r in hash_counts(df, "text", ["id"], 16).collect()}
+    dense = {(i, b): int(v) for i, vec in jvm.items() for b, v in enumerate(vec) if v}
+    assert sparse == dense
+    assert sum(jvm[4]) == 5 and max(jvm[4]) >= 4
