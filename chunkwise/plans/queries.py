@@ -33,7 +33,7 @@ from chunkwise.session import scratch_path
 from chunkwise.sources.files import scan_files, text_pages
 from chunkwise.sources.store import scan_store
 from chunkwise.sources.tables import pages_view, read_table
-from chunkwise.streaming.ingest import ingest_stream, read_store
+from chunkwise.streaming.ingest import ingest_stream, read_store, run_to_end
 from chunkwise.streaming.questions import answer_stream
 
 DIM = 64
@@ -330,7 +330,7 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
      .select("source", "text").write.partitionBy("source")
      .option("lineSep", "\u000c").text(src))
     store = scratch_path(spark, "stream-store")
-    ingest_stream(spark, src, store, suffix=".txt", dim=DIM).awaitTermination()
+    run_to_end(ingest_stream(spark, src, store, suffix=".txt", dim=DIM))
     return read_store(spark, store, "upsert").select("chunk_index", "chunk")
 
 
@@ -344,7 +344,7 @@ def stream_answers(spark: SparkSession, sf: str) -> DataFrame:
      .write.json(qdir))
     store = flows.ingest(flows.chunks(spark, sf))
     out = scratch_path(spark, "answers")
-    answer_stream(spark, qdir, store, out, stub_client).awaitTermination()
+    run_to_end(answer_stream(spark, qdir, store, out, stub_client))
     return spark.read.parquet(out).select("seq", "answer")
 
 

@@ -50,6 +50,17 @@ def ingest_stream(spark: SparkSession, directory: str, store_path: str, *, suffi
     return writer.start()
 
 
+def run_to_end(query: StreamingQuery, timeout_s: float = 3600.0) -> StreamingQuery:
+    """Wait for an available-now stream to finish; stop it and fail past the timeout.
+
+    A failed stream raises its StreamingQueryException from ``awaitTermination``.
+    """
+    if not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"stream {query.name or query.id} did not finish in {timeout_s} s")
+    return query
+
+
 def read_store(spark: SparkSession, store_path: str, mode: str = "upsert") -> DataFrame:
     """The store as of now under the given write semantics."""
     if mode not in MODES:
