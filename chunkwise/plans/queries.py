@@ -139,15 +139,20 @@ def store_prefix_scan(spark: SparkSession, sf: str) -> DataFrame:
     return scan_store(spark, path, prefix="doc:", key="id")
 
 
-def scan_text_files(spark: SparkSession, sf: str) -> DataFrame:
-    """O1 + O2: write documents as text files (pages separated by form feeds, one
-    folder per source), then list and split them back into pages."""
+def _text_files(spark: SparkSession, sf: str) -> str:
+    """Write ``documents`` as text files, one folder per source, pages separated
+    by form feeds (range-partitioned, so a large source spans many files)."""
     path = scratch_path(spark, "text-files")
-    docs = read_table(spark, sf, "documents")
-    (docs.repartitionByRange("source", "doc_id").sortWithinPartitions("source", "doc_id")
+    (read_table(spark, sf, "documents")
+     .repartitionByRange("source", "doc_id").sortWithinPartitions("source", "doc_id")
      .select("source", "text").write.partitionBy("source")
      .option("lineSep", "\u000c").text(path))
-    files = scan_files(spark, path, suffix=".txt")
+    return path
+
+
+def scan_text_files(spark: SparkSession, sf: str) -> DataFrame:
+    """O1 + O2: list the text files and split them back into pages."""
+    files = scan_files(spark, _text_files(spark, sf), suffix=".txt")
     return text_pages(files, keep=["source"]).select("source", "text")
 
 
@@ -322,15 +327,10 @@ def context_merged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Streaming ingest of the documents written as text files (one folder per
-    source, pages separated by form feeds), read back with upsert semantics."""
-    src = scratch_path(spark, "stream-src")
-    docs = read_table(spark, sf, "documents")
-    (docs.repartitionByRange("source", "doc_id").sortWithinPartitions("source", "doc_id")
-     .select("source", "text").write.partitionBy("source")
-     .option("lineSep", "\u000c").text(src))
+    """Streaming ingest of the documents written as text files, read back with
+    upsert semantics."""
     store = scratch_path(spark, "stream-store")
-    run_to_end(ingest_stream(spark, src, store, suffix=".txt", dim=DIM))
+    run_to_end(ingest_stream(spark, _text_files(spark, sf), store, suffix=".txt", dim=DIM))
     return read_store(spark, store, "upsert").select("chunk_index", "chunk")
 
 
