@@ -42,15 +42,18 @@ def get_session(master: str | None = None, app: str = "chunkwise",
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; set one only if unset."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    """The shared folder named by ``spark.checkpoint.dir``; a local one only if unset.
+
+    The setting is read from the session. When nothing names a folder (local
+    runs), a temporary one is created and registered as the context's
+    checkpoint directory, so ``checkpoint()`` and scratch paths agree.
+    """
+    sc = spark.sparkContext
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
         configured = tempfile.mkdtemp(prefix="chunkwise-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(configured)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(configured)
     return configured.rstrip("/")
 
 

@@ -15,12 +15,9 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from chunkwise.session import get_session, scratch_dir
 
-    extra = {}
-    if not os.environ.get("SPARK_CHECKPOINT_DIR_SET"):
-        # tests set their own shared folder only where the session names none
-        extra_dir = tempfile.mkdtemp(prefix="chunkwise-test-ckpt-")
-        extra["spark.checkpoint.dir"] = extra_dir
-    s = get_session("local[4]", app="chunkwise-tests", shuffle_partitions=4, extra=extra)
+    s = get_session("local[4]", app="chunkwise-tests", shuffle_partitions=4)
+    # the session's spark.checkpoint.dir is used when set; scratch_dir creates a
+    # temporary one only where it is unset
     scratch_dir(s)
     yield s
 
