@@ -58,3 +58,35 @@ def test_ann_reads_only_probed_cells(spark):
     scan = [ln for ln in p.splitlines() if "ivf-index" in ln][0]
     assert re.search(r"PartitionFilters: \[[^\]]*\(?cell#\d+ (=|IN) ", scan), scan
     assert hits.count() == 3
+
+
+def test_hot_file_is_spread_over_tasks(spark):
+    """A file holding a third of all pages: a per-file window puts it in one task,
+    the range-cut numbering spreads it."""
+    from pyspark.sql import Window
+    from chunkwise.operators.numbering import row_number_within
+
+    n = 30_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("f"), (F.col("id") % 97).cast("string")))
+        .alias("file"), F.col("id").alias("doc_id"))
+    plain = df.withColumn("page", F.row_number().over(Window.partitionBy("file").orderBy("doc_id")))
+    ours = row_number_within(df, ["file"], "doc_id", out="page", rows_per_range=1_000)
+
+    def max_share(x):
+        # page is referenced, so the numbering cannot be pruned away
+        sizes = x.groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count(F.lit(1)).alias("count"), F.max("page").alias("m")).collect()
+        return max(r["count"] for r in sizes) / n
+
+    # measure the hash layout over 16 partitions, not AQE's merging of tiny ones
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        assert max_share(plain) >= 1 / 3
+        assert max_share(ours) < 0.2
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
