@@ -184,16 +184,27 @@ def _final_topk(cand: DataFrame, query_id: str, id_cols: list[str], k: int) -> D
 # ----------------------------------------------------------------------------
 
 def knn(corpus: DataFrame, vector, k: int, metric: str = "cosine",
-        ids: tuple[str, ...] | list[str] = ("id",), vec: str = "embedding") -> DataFrame:
-    """k nearest rows to one literal vector: ``*corpus columns, distance, rank``.
-
-    Planned as ``TakeOrderedAndProject`` (per-partition top-k, k rows merged).
+        ids: tuple[str, ...] | list[str] = ("id",), vec: str = "embedding",
+        payload: bool = True) -> DataFrame:
+    """k nearest rows to one literal vector: ``*ids, distance, rank`` (+ the other
+    corpus columns when ``payload``).
+
+    Ranking carries only ids and distance (planned as ``TakeOrderedAndProject``:
+    per-partition top-k, k rows per partition merged); the payload of the k
+    winners is joined afterwards, so no text funnels into the merging task.
     """
+    from chunkwise.operators.hits import with_payload
+
+    ids = list(ids)
     target = F.array(*[F.lit(float(x)) for x in vector]).cast("array<double>")
     dist = distance_column(vec, target, metric)
-    top = (corpus.withColumn("distance", dist).where(F.col("distance").isNotNull())
+    top = (corpus.select(*ids, dist.alias("distance")).where(F.col("distance").isNotNull())
            .orderBy("distance", *ids).limit(k))
-    return top.withColumn("rank", F.row_number().over(Window.orderBy("distance", *ids)))
+    top = top.withColumn("rank", F.row_number().over(Window.orderBy("distance", *ids)))
+    if not payload:
+        return top
+    rest = corpus.select(*ids, *[c for c in corpus.columns if c not in ids and c != "distance"])
+    return with_payload(top, rest, ids, how="inner", hits_bounded=True)
 
 
 # ----------------------------------------------------------------------------
