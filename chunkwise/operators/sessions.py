@@ -3,10 +3,10 @@
 For each session, keep the entries strictly before the first one whose value
 equals the sentinel ignoring case (no trimming: " exit" is not the sentinel).
 
-The first sentinel per session is found with a hash aggregate (``min`` of the
-order struct, combined map-side), then joined back; no window puts a whole
-session into one task. A session with a third of all rows is split by AQE's
-skew-join handling on that join.
+The first sentinel per session is found with an aggregate (``min`` of the order
+struct, combined map-side), then joined back with a salted join: a session with
+more than ``target_rows`` entries is spread over several tasks. No window puts a
+whole session into one task.
 """
 
 from __future__ import annotations
@@ -14,12 +14,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chunkwise.operators.skew import TARGET_ROWS, salted_lookup_join
+
 
 def take_until(df: DataFrame, session: list[str], order: list[str], column: str,
-               sentinel: str = "exit") -> DataFrame:
+               sentinel: str = "exit", target_rows: int = TARGET_ROWS) -> DataFrame:
     hit = F.lower(F.col(column)) == F.lit(sentinel.lower())
     key = F.struct(*[F.col(c) for c in order])
     first_stop = (df.where(hit).groupBy(*session)
                   .agg(F.min(key).alias("_stop")))
-    joined = df.join(first_stop, on=session, how="left")
+    joined = salted_lookup_join(df, first_stop, session, "left", target_rows)
     return joined.where(F.col("_stop").isNull() | (key < F.col("_stop"))).drop("_stop")

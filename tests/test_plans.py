@@ -90,3 +90,24 @@ def test_hot_file_is_spread_over_tasks(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+
+def test_hot_session_is_salted(spark):
+    """A session with a third of all events: its rows join their stop row in
+    several tasks, and the result is the same as an unsalted cut."""
+    from chunkwise.operators.skew import hot_keys
+
+    n = 30_000
+    ev = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 50 + 1).alias("user_id"),
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") == 20_001, F.lit("ERROR"))                 # the hot session's first stop
+        .when((F.col("id") % 3 != 0) & (F.col("id") % 997 == 5), F.lit("error"))
+        .otherwise(F.lit("view")).alias("event_type"))
+    hot = {r["user_id"]: r["_ns"] for r in hot_keys(ev, ["user_id"], 1_000).collect()}
+    assert hot == {0: 10}
+    got = take_until(ev, ["user_id"], ["event_id"], "event_type", "error", target_rows=1_000)
+    want = take_until(ev, ["user_id"], ["event_id"], "event_type", "error", target_rows=n)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.where("user_id = 0").count() == len(range(0, 20_001, 3))
