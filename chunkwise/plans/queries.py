@@ -28,6 +28,7 @@ from chunkwise.operators.knn import ann_join as ann_join_op
 from chunkwise.operators.knn import build_ivf_index, knn, knn_search, valid_vectors
 from chunkwise.operators.rag import context, generate, merged_context
 from chunkwise.operators.sessions import take_until
+from chunkwise.operators.skew import salted_lookup_join
 from chunkwise.plans import flows
 from chunkwise.session import scratch_path
 from chunkwise.sources.files import scan_files, text_pages
@@ -175,7 +176,7 @@ def _with_centroid(spark: SparkSession, sf: str) -> DataFrame:
                .groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("m")))
     cents = per_dim.groupBy("label").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("pos", "m"))), lambda s: s["m"]).alias("centroid"))
-    return e.join(cents, "label")
+    return salted_lookup_join(e, cents, ["label"], "inner")
 
 
 def cosine_distance_centroid(spark: SparkSession, sf: str) -> DataFrame:
