@@ -63,13 +63,17 @@ def ingest(chunk_df: DataFrame, dim: int = DEFAULT_HASH_DIM, path: str | None =
 
 def retrieve(question_df: DataFrame, store: DataFrame, k_fetch: int = 5,
              k_keep: int | None = None, metric: str = "cosine",
-             dim: int = DEFAULT_HASH_DIM, strategy: str = "auto") -> DataFrame:
+             dim: int = DEFAULT_HASH_DIM, strategy: str = "auto",
+             encoder: Callable | None = None) -> DataFrame:
     """Hits with payload: ``query_id, rank, file, page, chunk_index, chunk, distance``.
 
     ``store`` has ``file, page, chunk_index, chunk, embedding`` (see ``ingest``).
-    Fetch ``k_fetch`` and keep the first ``k_keep`` (S3).
+    Questions are embedded with ``encoder`` (the one the store was built with;
+    default: the hashed encoder). Fetch ``k_fetch`` and keep the first ``k_keep`` (S3).
     """
-    qv = encode(question_df.select("query_id", "query"), "query", dim)
+    questions_only = question_df.select("query_id", "query")
+    qv = (embed(questions_only, "query", encoder, dim) if encoder is not None
+          else encode(questions_only, "query", dim))
     res = knn_search(qv, store.select(*CHUNK_IDS, "embedding"), k_fetch, metric,
                      query_id="query_id", corpus_ids=CHUNK_IDS, dim=dim, strategy=strategy)
     hits = res.hits
