@@ -47,7 +47,8 @@ def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("item_id").alias("query_id"), F.col("text").alias("query"))
 
 
-def ingest(chunk_df: DataFrame, dim: int = DEFAULT_HASH_DIM, path: str | None = None) -> DataFrame:
+def ingest(chunk_df: DataFrame, dim: int = DEFAULT_HASH_DIM, path: str | None = None,
+           encoder: Callable | None = None) -> DataFrame:
     """Write chunks with their vectors as a store table and return it, read back.
 
     Searching the written store cuts the lineage (a lost executor recomputes
@@ -56,7 +57,8 @@ def ingest(chunk_df: DataFrame, dim: int = DEFAULT_HASH_DIM, path: str | None =
     """
     spark = chunk_df.sparkSession
     path = path or scratch_path(spark, "chunk-store")
-    store = encode(chunk_df.select(*CHUNK_IDS, "chunk"), "chunk", dim)
+    rows = chunk_df.select(*CHUNK_IDS, "chunk")
+    store = embed(rows, "chunk", encoder, dim) if encoder is not None else encode(rows, "chunk", dim)
     store.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 

@@ -30,7 +30,8 @@ def answer_stream(spark: SparkSession, question_dir: str, store: DataFrame, answ
                   k_keep: int | None = 3, style: str = "scored", template: str = DEFAULT_TEMPLATE,
                   sentinel: str = "exit", checkpoint: str | None = None,
                   available_now: bool = True,
-                  max_files_per_trigger: int | None = None) -> StreamingQuery:
+                  max_files_per_trigger: int | None = None,
+                  encoder: Callable | None = None, dim: int = 64) -> StreamingQuery:
     """Start a stream answering question files (JSON lines) dropped in ``question_dir``."""
     ended_path = f"{answers_path}/_ended"
     reader = spark.readStream.schema(QUESTION_SCHEMA)
@@ -55,7 +56,8 @@ def answer_stream(spark: SparkSession, question_dir: str, store: DataFrame, answ
         stops.write.mode("overwrite").parquet(f"{ended_path}/batch={batch_id}")
         kept = take_until(live, ["session"], ["seq"], "query", sentinel)
         qs = kept.select(F.xxhash64("session", "seq").alias("query_id"), "session", "seq", "query")
-        hits = retrieve(qs.select("query_id", "query"), store, k_fetch, k_keep)
+        hits = retrieve(qs.select("query_id", "query"), store, k_fetch, k_keep,
+                        dim=dim, encoder=encoder)
         ctx = context(hits, style)
         prompts = prompt(keep_queries(qs, ctx).withColumn("context", F.coalesce("context", F.lit(""))),
                          template)
