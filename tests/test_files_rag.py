@@ -2,6 +2,8 @@
 
 import os
 
+import numpy as np
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -86,3 +88,32 @@ def test_row_number_within_sizes_ranges_from_the_row_count(spark):
     want = df.withColumn("rn", F.row_number().over(Window.partitionBy("g").orderBy("o")))
     assert sorted(map(tuple, got.select("g", "o", "rn").collect())) == \
         sorted(map(tuple, want.select("g", "o", "rn").collect()))
+
+
+def test_flow_with_a_caller_encoder(spark):
+    from chunkwise.plans.flows import ingest, retrieve
+
+    class ProjectionEncoder:
+        """A model-like stand-in: hashed counts projected to 24 unit-length dims
+        (defined here so workers receive it by value)."""
+
+        def __init__(self):
+            from chunkwise.operators.encode import HashEncoder
+            self.hashed = HashEncoder(64)
+            self.proj = np.random.default_rng(0).normal(size=(64, 24))
+
+        def __call__(self, texts):
+            v = self.hashed(texts) @ self.proj
+            n = np.linalg.norm(v, axis=1, keepdims=True)
+            return np.where(n > 0, v / np.where(n > 0, n, 1), 0.0)
+
+    pages = spark.createDataFrame([("a.pdf", 0, "alpha beta gamma delta"), ("a.pdf", 1, "zeta eta theta"),
+                                   ("b.pdf", 0, "kappa lambda mu nu xi")], "file string, page int, text string")
+    from chunkwise.operators.chunking import chunk
+    enc = ProjectionEncoder()
+    store = ingest(chunk(pages, keep=["file", "page"]), dim=24, encoder=enc)
+    assert store.first()["embedding"] is not None and len(store.first()["embedding"]) == 24
+    qs = spark.createDataFrame([(1, "zeta eta theta"), (2, "kappa lambda mu nu xi")], "query_id long, query string")
+    hits = retrieve(qs, store, k_fetch=2, encoder=enc, dim=24).where("rank = 1").orderBy("query_id").collect()
+    assert [(h["file"], h["page"]) for h in hits] == [("a.pdf", 1), ("b.pdf", 0)]
+    assert all(abs(h["distance"]) < 1e-6 for h in hits)
