@@ -37,10 +37,6 @@ def encode(df: DataFrame, text: str, dim: int = DEFAULT_HASH_DIM, out: str = "em
     return embed(df, text, HashEncoder(dim), dim, out)
 
 
-def chunk_vectors(chunk_df: DataFrame, dim: int = DEFAULT_HASH_DIM) -> DataFrame:
-    return encode(chunk_df.select(*CHUNK_IDS, "chunk"), "chunk", dim).drop("chunk")
-
-
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark items as a batch of typed questions: ``query_id, query``."""
     return read_table(spark, sf_dir, "benchmark").select(
