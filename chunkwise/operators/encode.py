@@ -51,9 +51,8 @@ def hash_counts(df: DataFrame, text: str, keep: list[str], dim: int = DEFAULT_HA
     The count is a map-side-combined aggregate; at most ``dim`` rows per input
     row are shuffled.
     """
-    exploded = df.select(*keep, F.explode(words(text)).alias("_w"))
-    return (exploded.groupBy(*keep, word_bucket(F.col("_w"), dim).alias("bucket"))
-            .agg(F.count(F.lit(1)).alias("cnt")))
+    exploded = df.select(*keep, F.explode(word_buckets(text, dim)).alias("bucket"))
+    return exploded.groupBy(*keep, "bucket").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def _bincount_udf(dim: int):
