@@ -28,13 +28,9 @@ VECTOR_TYPE = T.ArrayType(T.FloatType())
 DEFAULT_HASH_DIM = 64
 
 
-def word_bucket(word: Column, dim: int) -> Column:
-    """First 8 hex digits of md5(lower(word)) as an integer, modulo ``dim``."""
-    return _bucket_of_lower(F.lower(word), dim)
-
-
 def word_buckets(text: str | Column, dim: int = DEFAULT_HASH_DIM) -> Column:
-    """Bucket of every word. The text is lower-cased once, before splitting:
+    """Bucket of every word: the first 8 hex digits of md5(lower(word)) as an
+    integer, modulo ``dim``. The text is lower-cased once, before splitting:
     lower-casing never creates or removes whitespace, so the words are the same."""
     text = F.col(text) if isinstance(text, str) else text
     return F.transform(words(F.lower(text)), lambda w: _bucket_of_lower(w, dim))
