@@ -111,3 +111,16 @@ def test_hot_session_is_salted(spark):
     want = take_until(ev, ["user_id"], ["event_id"], "event_type", "error", target_rows=n)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert got.where("user_id = 0").count() == len(range(0, 20_001, 3))
+
+
+def test_no_registered_query_plans_a_cross_join(spark):
+    import __spark_entry__ as E
+
+    offenders = []
+    for name, fn in E.queries().items():
+        if name == "run_compare":          # orchestration of other queries, no plan of its own
+            continue
+        p = plan_of(fn(spark, SF))
+        if "CartesianProduct" in p or "BroadcastNestedLoopJoin" in p:
+            offenders.append(name)
+    assert offenders == []
