@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chunkwise.llm import quality_rules, secret_scan
+from chunkwise.llm import language_id, quality_rules, secret_scan, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,8 +15,17 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(quality_rules.cascade(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scans, op4_quality_rules)}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.classify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secret_scans, op3_toxicity, op4_quality_rules,
+                                     op10_language_id)}
