@@ -77,4 +77,21 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m
 """
 
-SQL = {"op1_secret_scans": OP1, "op4_quality_rules": OP4}
+OP6 = rf"""
+WITH RECURSIVE
+d AS (SELECT row_number() OVER () AS rid, doc_id,
+             regexp_extract_all(translate(coalesce(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS w FROM documents),
+s AS (SELECT DISTINCT rid, array_to_string(w[i:i + 3], ' ') AS g
+      FROM (SELECT rid, w, unnest(range(1, greatest(1, len(w) - 3) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT rid, count(*) AS n FROM s GROUP BY rid),
+link AS (SELECT a.rid AS u, b.rid AS v FROM s a JOIN s b ON a.g = b.g AND a.rid <> b.rid
+         JOIN n x ON x.rid = a.rid JOIN n y ON y.rid = b.rid
+         GROUP BY a.rid, b.rid, x.n, y.n HAVING 100 * count(*) >= 85 * (x.n + y.n - count(*))),
+reach AS (SELECT rid AS u, rid AS v FROM d UNION SELECT r.u, l.v FROM reach r JOIN link l ON l.u = r.v)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM d LEFT JOIN n USING (rid)
+JOIN (SELECT r.u AS rid, min(t.doc_id) AS component_id FROM reach r JOIN d t ON t.rid = r.v GROUP BY r.u) c USING (rid)
+"""
+
+SQL = {"op6_ngram_jaccard_join": OP6, "op1_secret_scans": OP1, "op4_quality_rules": OP4}
