@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chunkwise.llm import jaccard_join, language_id, quality_rules, secret_scan, toxicity
+from chunkwise.llm import jaccard_join, language_id, lm_scoring, quality_rules, secret_scan, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,10 +27,14 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.classify(table(spark, sf_dir, "documents"))
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.classify(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_secret_scans, op3_toxicity, op4_quality_rules,
-                                     op6_ngram_jaccard_join,
+                                     op6_ngram_jaccard_join, op9_lm_scoring,
                                      op10_language_id)}
