@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chunkwise.llm import jaccard_join, language_id, lm_scoring, quality_rules, secret_scan, toxicity
+from chunkwise.llm import (decontamination, jaccard_join, language_id, lm_scoring, quality_rules,
+                           secret_scan, sentencepiece_codec, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,14 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.digest(table(spark, sf_dir, "documents"), sentencepiece_codec.load())
+
+
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.classify(table(spark, sf_dir, "documents"))
 
@@ -36,5 +45,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_secret_scans, op3_toxicity, op4_quality_rules,
-                                     op6_ngram_jaccard_join, op9_lm_scoring,
+                                     op6_ngram_jaccard_join, op7_sentencepiece,
+                                     op8_benchmark_decontamination, op9_lm_scoring,
                                      op10_language_id)}
