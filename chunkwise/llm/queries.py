@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from chunkwise.llm import (decontamination, jaccard_join, language_id, lm_scoring, quality_rules,
-                           secret_scan, sentencepiece_codec, toxicity)
+                           secret_scan, sentencepiece_codec, substring_dedup, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,7 +48,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.classify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scans, op3_toxicity, op4_quality_rules,
+QUERIES = {f.__name__: f for f in (op1_secret_scans, op2_substring_dedup, op3_toxicity, op4_quality_rules,
                                      op6_ngram_jaccard_join, op7_sentencepiece,
                                      op8_benchmark_decontamination, op9_lm_scoring,
                                      op10_language_id)}
