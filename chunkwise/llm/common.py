@@ -30,6 +30,12 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """A text key of a row that sorts by id: equal for rows of equal id and text only."""
+    return F.concat_ws(":", F.lpad(F.coalesce(doc_id.cast("string"), F.lit("~")), 20, "0"),
+                       F.sha2(F.coalesce(text, F.lit("")), 256), text.isNull().cast("string"))
+
+
 def utf8(text) -> bytes:
     """UTF-8 bytes of a text; null (None or NaN) counts as empty."""
     return text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""

@@ -32,6 +32,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chunkwise.llm.common import row_key, stored
+
 _WORD = re.compile(r"\S+")
 
 
@@ -214,7 +216,9 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
     return reduce(DataFrame.unionByName, map(search, item_blocks(tests, block_chars)))
 
 
-def drop_leaking(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the rows that leak an item; rows with a null id go by their text too."""
-    leaks = find_leaks(docs, items, doc_id, **options).select(F.col("doc_id").alias("_leaks")).distinct()
-    return docs.join(leaks, F.col(f"`{doc_id}`").eqNullSafe(F.col("_leaks")), "left_anti")
+def drop_leaking(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
+                 **options) -> DataFrame:
+    """``docs`` without the rows that leak an item (rows of equal id and text go together)."""
+    keyed = docs.withColumn("_key", row_key(F.col(f"`{doc_id}`"), F.col(f"`{text}`")))
+    leaks = find_leaks(keyed, items, "_key", text, **options).select(F.col("doc_id").alias("_key")).distinct()
+    return keyed.join(stored(leaks, "leaks"), "_key", "left_anti").drop("_key")

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunkwise.llm.common import slices, stored
+from chunkwise.llm.common import row_key, slices, stored
 from chunkwise.llm.components import components
 
 #: A shingle in more than one of so many documents counts as frequent.
@@ -292,3 +292,14 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     return rows.select("doc_id", "n", "f1", "f2").join(named, ["n", "f1", "f2"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def distinct_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of every component: the one of least id (then least text hash)."""
+    keyed = docs.withColumn("_key", row_key(F.col(f"`{doc_id}`"), F.col(f"`{text}`")))
+    found = jaccard_components(keyed, "_key", text, **options)
+    stay = stored(found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_key"))
+                  .agg(F.count(F.lit(1)).alias("_rows")), "stay")
+    kept = keyed.join(stay, "_key")
+    single, repeated = kept.where("_rows = 1"), kept.where("_rows > 1").dropDuplicates(["_key"])
+    return single.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])

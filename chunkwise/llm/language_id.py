@@ -221,38 +221,39 @@ def sample(docs: DataFrame, lang: str = "lang", text: str = "text", use: Column
     return out, langs
 
 
-def identify(docs: DataFrame, model: Model | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, ``lang_pred``, ``score`` for every row."""
+def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """``docs`` with ``lang_pred`` and ``score``; only the text column goes to Python."""
     names = model.langs if model else []
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few thousand floats
-    body = F.col(f"`{text}`")
-    picked = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept"), body.alias("text"))
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def label(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         net = shared.value
         memo = WordMemo(net.pooled, len(names)) if net else None
-        for rows, texts in slices(frames):
+        for column in columns:
             preds, scores = [], []
-            ids = memo.rows([spans_of(t) for t in texts]) if memo else [()] * len(texts)
-            sizes = np.fromiter(map(len, memo.names), np.int64, len(memo.names)) if memo else None
-            for raw, own in zip(texts, ids):
-                if len(own) == 0 or not has_letter(raw):
-                    preds.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                total = memo.values[own].sum(0, dtype=np.float64) / np.sqrt(sizes[own].sum())
-                p = np.exp(total - total.max())
-                preds.append(names[int(p.argmax())])
-                scores.append(float(p.max() / p.sum()))
-            yield pd.DataFrame({"kept": list(rows["kept"]), "lang_pred": preds, "score": scores})
-
-    kept = picked.schema["kept"].dataType.simpleString()
-    flat = picked.mapInPandas(run, f"kept {kept}, lang_pred string, score double")
-    return flat.select("kept.*", "lang_pred", "score")
+            for _, texts in slices(iter([column.to_frame("text")])):
+                ids = memo.rows([spans_of(t) for t in texts]) if memo else [()] * len(texts)
+                sizes = np.fromiter(map(len, memo.names), np.int64, len(memo.names)) if memo else None
+                for raw, own in zip(texts, ids):
+                    if len(own) == 0 or not has_letter(raw):
+                        preds.append(UNKNOWN)
+                        scores.append(0.0)
+                        continue
+                    total = memo.values[own].sum(0, dtype=np.float64) / np.sqrt(sizes[own].sum())
+                    p = np.exp(total - total.max())
+                    preds.append(names[int(p.argmax())])
+                    scores.append(float(p.max() / p.sum()))
+            yield pd.DataFrame({"lang_pred": preds, "score": scores})
+
+    # marked as not deterministic, so that a filter on the result does not run it twice
+    labels = F.pandas_udf(label, "lang_pred string, score double").asNondeterministic()
+    columns = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
+    labelled = docs.select(*columns, labels(F.col(f"`{text}`")).alias("_label"))
+    return labelled.select(*columns, "_label.lang_pred", "_label.score")
 
 
 def classify(docs: DataFrame, folds: int = 4, held: int = 2) -> DataFrame:
     """Learn from rows outside the held-out fold, label every document."""
     in_fold = F.coalesce(fold(F.col("doc_id"), folds) == held, F.lit(False))
     model = train(*sample(docs, use=~in_fold))
-    return identify(docs, model).select("doc_id", in_fold.alias("held_out"), "lang_pred", "score")
+    return identify(docs.select("doc_id", "text"), model).select("doc_id", in_fold.alias("held_out"), "lang_pred", "score")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chunkwise.llm import (decontamination, jaccard_join, language_id, lm_scoring, quality_rules,
-                           secret_scan, sentencepiece_codec, substring_dedup, toxicity)
+from chunkwise.llm import (decontamination, jaccard_join, language_id, lm_scoring,
+                           quality_classifier, quality_rules, secret_scan, sentencepiece_codec,
+                           substring_dedup, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +29,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.digest(quality_rules.cascade(table(spark, sf_dir, "documents")))
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -49,6 +54,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_secret_scans, op2_substring_dedup, op3_toxicity, op4_quality_rules,
-                                     op6_ngram_jaccard_join, op7_sentencepiece,
+                                     op5_quality_classifier, op6_ngram_jaccard_join, op7_sentencepiece,
                                      op8_benchmark_decontamination, op9_lm_scoring,
                                      op10_language_id)}
