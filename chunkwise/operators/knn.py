@@ -1,16 +1,18 @@
 """K-nearest-neighbour search as Spark jobs.
 
-Exact batch search (``knn_join``) has two physical forms:
-
-* **broadcast**: when the valid query vectors fit a byte budget (probed with a
-  bounded ``limit``, never a full collect), they are broadcast once and every
-  corpus partition computes a dense distance block with one matrix product per
-  Arrow batch, keeping only its k best per query. Only k rows per query per
-  partition are shuffled; the final ``row_number() <= k`` is planned as a
-  ``WindowGroupLimit``.
-* **blocked**: beyond the budget both sides are hashed into blocks; each
-  (query block, corpus block) pair is one cogroup, so no task ever holds more
-  than ``block_rows`` rows of either side, and all pairs are never materialised.
+Exact batch search (``knn_join``) has two physical forms, chosen by the caller:
+
+* **blocked** (default): both sides are hashed into blocks of ``BLOCK_ROWS`` rows;
+  each (query block, corpus block) pair is one cogroup, so no task ever holds more
+  than a block of either side, and all pairs are never materialised.
+* **broadcast**: for query sets known to be small. They are broadcast and every
+  corpus task keeps its k best per query while it reads; a set above
+  ``BROADCAST_MAX_BYTES`` is refused.
+
+Both forms share one kernel: tiles of fixed shape, a running best-k per query, kept
+candidates scored again one pair at a time. A pair's distance therefore does not
+depend on how rows were dealt out, and ranks go by the distance rounded to nine
+decimals, then by ids.
 
 ``ann_join`` is the approximate search that the stores' HNSW indexes stand for,
 re-expressed as an inverted-file index: k-means cells, a written corpus tagged by
@@ -39,16 +41,12 @@ from chunkwise.session import scratch_path
 
 METRICS = ("cosine", "l2sq")
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024   # query matrix shipped to every executor
-BLOCK_BYTES = 256 * 1024 * 1024           # vector bytes of one side in one cogroup task
-KERNEL_ENTRIES = 4_000_000                # distance-matrix entries per numpy step
-CANDIDATE_BUDGET = 200_000_000            # candidate rows shuffled by the broadcast form
+BLOCK_ROWS = 16_384                       # rows of one side in one cogroup task
+TILE_QUERIES, TILE_ROWS = 512, 2048       # shape of one distance matrix
+SPARE = 16                                # candidates kept beyond k until pairs are scored again
+DECIMALS = 9                              # distances are ranked as rounded to so many
 REDUCE_EVERY = 8                          # batches between in-task top-k merges
-
-
-def block_rows_for(dim: int, block_bytes: int = BLOCK_BYTES) -> int:
-    """Rows of one side per cogroup task: as many as the byte budget allows
-    (fewer corpus blocks means fewer top-k candidates per query)."""
-    return int(min(1_000_000, max(1_000, block_bytes // (8 * max(dim, 1)))))
+BOUNDED_HITS = 1_000_000                  # hits that count as proven small
 
 
 def _check_metric(metric: str) -> None:
@@ -98,55 +96,74 @@ def _distances(Q: np.ndarray, qn: np.ndarray, C: np.ndarray, cn: np.ndarray, met
     return d
 
 
+def _pair_distances(Q: np.ndarray, C: np.ndarray, metric: str) -> np.ndarray:
+    """Distances of rows (query, candidate, dim): each pair by itself, in one order
+    of summation, so tiles and blocks cannot change the last bits."""
+    if metric == "cosine":
+        dot = np.einsum("qd,qcd->qc", Q, C)
+        norms = np.sqrt(np.einsum("qd,qd->q", Q, Q)[:, None] * np.einsum("qcd,qcd->qc", C, C))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            d = 1.0 - dot / norms
+        d[~np.isfinite(d)] = np.inf
+        return d
+    gap = Q[:, None, :] - C
+    return np.einsum("qcd,qcd->qc", gap, gap)
+
+
+def _best(d: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the k least of each row, equal ones by column, as (rows, k)."""
+    if d.shape[1] <= k:
+        return np.broadcast_to(np.arange(d.shape[1]), d.shape)
+    kth = np.partition(d, k - 1, axis=1)[:, k - 1:k]
+    less, tied = d < kth, d == kth
+    pick = less | (tied & (np.cumsum(tied, axis=1) <= k - less.sum(1, keepdims=True)))
+    return np.nonzero(pick)[1].reshape(len(d), k)
+
+
 def topk_block(qids: np.ndarray, Q: np.ndarray, ids: pd.DataFrame, C: np.ndarray,
                metric: str, k: int) -> pd.DataFrame | None:
-    """For each query row of ``Q``, its k best rows of ``C`` by (distance, ids).
+    """For each query row of ``Q``, its k best rows of ``C`` by (rounded distance, ids).
 
-    Returns ``_qid, *ids, distance`` or None when nothing qualifies.
+    Works through tiles of fixed shape with a running best-k per query, so memory is
+    that of the inputs, one tile and queries x (k + SPARE). Returns
+    ``_qid, *ids, distance`` or None when nothing qualifies.
     """
-    n, nq = len(ids), len(qids)
-    if n == 0 or nq == 0:
+    if len(ids) == 0 or len(qids) == 0:
         return None
     if Q.shape[1] != C.shape[1]:
         raise ValueError(f"query dimension {Q.shape[1]} != corpus dimension {C.shape[1]}")
     ids = ids.reset_index(drop=True)
     order = ids.sort_values(list(ids.columns), kind="mergesort").index.to_numpy()
-    tie = np.empty(n, dtype=np.int64)
-    tie[order] = np.arange(n)
-    qn = np.einsum("ij,ij->i", Q, Q)
-    cn = np.einsum("ij,ij->i", C, C)
-    step = max(1, KERNEL_ENTRIES // nq)
-    rs, cs, ds = [], [], []
-    never = np.iinfo(np.int64).max
-    for s in range(0, n, step):
-        D = _distances(Q, qn, C[s:s + step], cn[s:s + step], metric)
-        kk = min(k, D.shape[1])
-        kth = np.partition(D, kk - 1, axis=1)[:, kk - 1]
-        # rows strictly better than the k-th distance (fewer than k per query) ...
-        r, c = np.nonzero((D < kth[:, None]) & np.isfinite(D))
-        # ... plus, among rows tied at the k-th distance, only the kk with the
-        # smallest ids: many exact copies of one chunk never flood the candidates
-        tied = np.where((D == kth[:, None]) & np.isfinite(D), tie[s:s + step][None, :], never)
-        pick = np.argpartition(tied, kk - 1, axis=1)[:, :kk]
-        keep_tie = np.take_along_axis(tied, pick, axis=1) != never
-        rt = np.repeat(np.arange(nq), kk)[keep_tie.ravel()]
-        ct = pick.ravel()[keep_tie.ravel()]
-        r, c = np.concatenate([r, rt]), np.concatenate([c, ct])
-        rs.append(r)
-        cs.append(c + s)
-        ds.append(D[r, c])
-    r, c, d = np.concatenate(rs), np.concatenate(cs), np.concatenate(ds)
-    if len(r) == 0:
+    ids, C = ids.iloc[order].reset_index(drop=True), C[order]  # from here position is the tie-break
+    qn, cn = np.einsum("ij,ij->i", Q, Q), np.einsum("ij,ij->i", C, C)
+    keep = k + SPARE
+    rows, at, far = [], [], []
+    for s in range(0, len(qids), TILE_QUERIES):
+        q, own = Q[s:s + TILE_QUERIES], qn[s:s + TILE_QUERIES]
+        best_d = np.empty((len(q), 0))
+        best_i = np.empty((len(q), 0), dtype=np.int64)
+        for t in range(0, len(C), TILE_ROWS):
+            d = np.round(_distances(q, own, C[t:t + TILE_ROWS], cn[t:t + TILE_ROWS], metric), DECIMALS)
+            pick = _best(d, keep)
+            d = np.concatenate([best_d, np.take_along_axis(d, pick, axis=1)], axis=1)
+            i = np.concatenate([best_i, pick + t], axis=1)  # earlier tiles hold smaller positions
+            pick = _best(d, keep)
+            best_d, best_i = np.take_along_axis(d, pick, axis=1), np.take_along_axis(i, pick, axis=1)
+        exact = np.empty_like(best_d)
+        for r in range(0, len(q), 64):  # bounds the gathered rows
+            exact[r:r + 64] = _pair_distances(q[r:r + 64], C[best_i[r:r + 64]], metric)
+        rank = np.lexsort((best_i, np.round(exact, DECIMALS)), axis=1)[:, :k]
+        exact, best_i = np.take_along_axis(exact, rank, axis=1), np.take_along_axis(best_i, rank, axis=1)
+        good = np.isfinite(exact)
+        rows.append(np.nonzero(good)[0] + s)
+        at.append(best_i[good])
+        far.append(exact[good])
+    rows, at, far = np.concatenate(rows), np.concatenate(at), np.concatenate(far)
+    if len(rows) == 0:
         return None
-    o = np.lexsort((tie[c], d, r))
-    r, c, d = r[o], c[o], d[o]
-    pos = np.arange(len(r))
-    first = np.r_[True, r[1:] != r[:-1]]
-    rank = pos - np.maximum.accumulate(np.where(first, pos, 0))
-    keep = rank < k
-    out = ids.iloc[c[keep]].reset_index(drop=True)
-    out.insert(0, "_qid", qids[r[keep]])
-    out["distance"] = d[keep]
+    out = ids.iloc[at].reset_index(drop=True)
+    out.insert(0, "_qid", qids[rows])
+    out["distance"] = far
     return out
 
 
@@ -157,7 +174,8 @@ def _reduce(frames: list[pd.DataFrame], id_cols: list[str], k: int) -> pd.DataFr
     allc = pd.concat(frames, ignore_index=True)
     if len(frames) == 1:
         return allc
-    allc = allc.sort_values(["_qid", "distance", *id_cols], kind="mergesort")
+    allc["_round"] = allc["distance"].round(DECIMALS)
+    allc = allc.sort_values(["_qid", "_round", *id_cols], kind="mergesort").drop(columns="_round")
     return allc.groupby("_qid", sort=False).head(k)
 
 
@@ -173,7 +191,7 @@ def _candidate_schema(qtype: T.DataType, corpus: DataFrame, id_cols: list[str])
 
 
 def _final_topk(cand: DataFrame, query_id: str, id_cols: list[str], k: int) -> DataFrame:
-    w = Window.partitionBy("_qid").orderBy("distance", *id_cols)
+    w = Window.partitionBy("_qid").orderBy(F.round("distance", DECIMALS), *id_cols)
     return (cand.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k)
             .select(F.col("_qid").alias(query_id), "rank", *id_cols, "distance"))
@@ -211,15 +229,10 @@ def knn(corpus: DataFrame, vector, k: int, metric: str = "cosine",
 # Exact batch search
 # ----------------------------------------------------------------------------
 
-def _peek_dim(df: DataFrame, vec: str) -> int:
-    row = df.select(F.size(vec).alias("d")).first()
-    return int(row["d"]) if row is not None else 1
-
-
 @dataclass
 class KnnResult:
-    """Hits plus whether their row count is proven small (queries passed the
-    broadcast probe, so hits <= probe bound x k)."""
+    """Hits plus whether their row count is proven small (broadcast queries x k is at
+    most ``BOUNDED_HITS``)."""
     hits: DataFrame
     bounded: bool
 
@@ -235,13 +248,13 @@ def knn_join(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "cosin
 def knn_search(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "cosine", *,
                query_id: str = "query_id", query_vec: str = "embedding",
                corpus_ids: tuple[str, ...] | list[str] = ("id",), corpus_vec: str = "embedding",
-               dim: int | None = None, strategy: str = "auto",
+               dim: int | None = None, strategy: str = "blocked",
                broadcast_max_bytes: int = BROADCAST_MAX_BYTES,
-               block_rows: int | None = None) -> KnnResult:
+               block_rows: int = BLOCK_ROWS) -> KnnResult:
     """Exact k nearest corpus rows for every query, with the bound flag.
 
-    ``strategy``: ``auto`` (broadcast if the query matrix fits the budget, else
-    blocked), ``broadcast`` or ``blocked``.
+    ``strategy``: ``blocked``, or ``broadcast`` for a query set known to be small
+    (one whose vectors exceed ``broadcast_max_bytes`` raises).
     """
     _check_metric(metric)
     ids = list(corpus_ids)
@@ -251,46 +264,29 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "cos
     c = valid_vectors(corpus.select(*ids, corpus_vec), corpus_vec, dim)
     qtype = queries.schema[query_id].dataType
     schema = _candidate_schema(qtype, corpus, ids)
-    if dim is None:
-        dim = _peek_dim(q, query_vec)
-    block_rows = block_rows or block_rows_for(dim)
-    max_rows = max(1, broadcast_max_bytes // (8 * max(dim, 1)))
-
-    probe = None
-    if strategy in ("auto", "broadcast"):
-        probe = q.limit(max_rows + 1).toArrow()
-        if probe.num_rows > max_rows:
-            if strategy == "broadcast":
-                raise ValueError(f"more than {max_rows} query vectors: too large to broadcast")
-            probe = None
-    elif strategy != "blocked":
+    if strategy == "broadcast":
+        cand, rows = _broadcast_candidates(q, c, query_id, query_vec, ids, corpus_vec, metric, k,
+                                           schema, broadcast_max_bytes)
+        return KnnResult(_final_topk(cand, query_id, ids, k), bounded=rows * k <= BOUNDED_HITS)
+    if strategy != "blocked":
         raise ValueError(f"unknown strategy {strategy!r}")
-
-    if probe is not None:
-        cand = _broadcast_candidates(probe, c, query_id, query_vec, ids, corpus_vec,
-                                     metric, k, schema)
-    else:
-        cand = _blocked_candidates(q, c, query_id, query_vec, ids, corpus_vec,
-                                   metric, k, schema, block_rows,
-                                   queries.select(query_id).count(), corpus.select(*ids).count())
-    return KnnResult(_final_topk(cand, query_id, ids, k), bounded=probe is not None)
-
-
-def _broadcast_candidates(probe, c: DataFrame, query_id: str, query_vec: str, ids: list[str],
-                          corpus_vec: str, metric: str, k: int, schema: T.StructType) -> DataFrame:
-    """Every corpus task scores its rows against the broadcast queries and emits
-    its k best per query. Each task emits up to queries x k rows, so the corpus
-    is coalesced (no shuffle) until tasks x queries x k fits CANDIDATE_BUDGET;
-    inside a task the running top-k is merged every few batches."""
-    qids = np.asarray(probe.column(query_id).to_pylist(), dtype=object)
-    vecs = probe.column(query_vec).to_pylist()
-    Q = _matrix(vecs)
-    spark = c.sparkSession
-    bc = spark.sparkContext.broadcast((qids, Q))
-    per_task = max(1, len(qids) * k)
-    max_tasks = max(spark.sparkContext.defaultParallelism, CANDIDATE_BUDGET // per_task)
-    if c.rdd.getNumPartitions() > max_tasks:
-        c = c.coalesce(max_tasks)
+    cand = _blocked_candidates(q, c, query_id, query_vec, ids, corpus_vec, metric, k, schema, block_rows,
+                               queries.select(query_id).count(), corpus.select(*ids).count())
+    return KnnResult(_final_topk(cand, query_id, ids, k), bounded=False)
+
+
+def _broadcast_candidates(q: DataFrame, c: DataFrame, query_id: str, query_vec: str, ids: list[str],
+                          corpus_vec: str, metric: str, k: int, schema: T.StructType,
+                          max_bytes: int) -> tuple[DataFrame, int]:
+    """Every corpus task scores its rows against the broadcast queries and emits its k
+    best per query; inside a task the running top-k is merged every few batches.
+    Returns the candidates and the number of queries."""
+    size = q.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(query_vec)).alias("values")).first()
+    if 8 * (size["values"] or 0) > max_bytes:
+        raise ValueError(f"{size['n']} query vectors exceed {max_bytes} bytes: too large to broadcast")
+    probe = q.toPandas()
+    qids = probe[query_id].to_numpy(dtype=object)
+    bc = c.sparkSession.sparkContext.broadcast((qids, _matrix(probe[query_vec])))
 
     def run(batches):
         qids_b, Q_b = bc.value
@@ -305,7 +301,7 @@ def _broadcast_candidates(probe, c: DataFrame, query_id: str, query_vec: str, id
         if res is not None:
             yield res
 
-    return c.mapInPandas(run, schema)
+    return c.mapInPandas(run, schema), len(qids)
 
 
 def _cogroup_topk(qx: DataFrame, cx: DataFrame, keys: list[str], ids: list[str], metric: str,
@@ -367,13 +363,12 @@ def _space(vec: str, metric: str) -> Column:
 
 def build_ivf_index(corpus: DataFrame, cells: int, metric: str = "cosine", *,
                     ids: tuple[str, ...] | list[str] = ("id",), vec: str = "embedding",
-                    dim: int | None = None, seed: int = 11, train_rows: int = 200_000,
+                    dim: int | None = None, seed: int = 11,
                     max_iter: int = 10, path: str | None = None) -> IvfIndex:
     """Cluster the corpus into ``cells`` k-means cells and write it partitioned by cell.
 
-    The quantiser is trained on a bounded sample (``train_rows``) for a few
-    iterations (cells only steer the search; exactness comes from ``nprobe``);
-    every corpus row is assigned. The written table cuts the lineage, so searching never
+    The quantiser is trained on all valid rows for a few iterations (distributed
+    k-means); every corpus row is assigned. The written table cuts the lineage, so searching never
     recomputes the corpus or its embeddings.
     """
     from pyspark.ml.clustering import KMeans
@@ -387,10 +382,7 @@ def build_ivf_index(corpus: DataFrame, cells: int, metric: str = "cosine", *,
         # zero vectors have no cosine neighbours; keep them out of the index
         c = c.where(F.exists(vec, lambda x: x != 0))
     feats = c.withColumn("_f", array_to_vector(_space(vec, metric)))
-    n = c.count()
-    frac = min(1.0, train_rows / max(n, 1))
-    train = feats.select("_f").sample(False, frac, seed) if frac < 1.0 else feats.select("_f")
-    train = train.persist()
+    train = feats.select("_f").persist()
     try:
         model = KMeans(k=cells, seed=seed, maxIter=max_iter, featuresCol="_f",
                        predictionCol="cell").fit(train)
@@ -420,17 +412,27 @@ def _probe_udf(bc, nprobe: int, metric: str):
             norms = np.linalg.norm(V, axis=1, keepdims=True)
             with np.errstate(divide="ignore", invalid="ignore"):
                 V = np.where(norms > 0, V / norms, 0.0)
-        d = (np.einsum("ij,ij->i", V, V)[:, None] + np.einsum("ij,ij->i", cents, cents)[None, :]
-             - 2.0 * V @ cents.T)
-        p = min(nprobe, cents.shape[0])
-        order = np.lexsort((np.broadcast_to(np.arange(cents.shape[0]), d.shape), d), axis=1)[:, :p]
-        return pd.Series(list(order.astype(np.int32)))
+        p = min(nprobe, len(cents))
+        cn = np.einsum("ij,ij->i", cents, cents)
+        out = []
+        for s in range(0, len(V), TILE_QUERIES):
+            near = np.empty((len(V[s:s + TILE_QUERIES]), 0))
+            cells = np.empty(near.shape, dtype=np.int64)
+            for t in range(0, len(cents), TILE_ROWS):
+                d = cn[t:t + TILE_ROWS] - 2.0 * V[s:s + TILE_QUERIES] @ cents[t:t + TILE_ROWS].T
+                d = np.concatenate([near, d], axis=1)
+                i = np.concatenate([cells, np.broadcast_to(np.arange(t, t + d.shape[1] - near.shape[1]),
+                                                           (len(d), d.shape[1] - near.shape[1]))], axis=1)
+                pick = _best(d, p)
+                near, cells = np.take_along_axis(d, pick, axis=1), np.take_along_axis(i, pick, axis=1)
+            out += list(cells.astype(np.int32))
+        return pd.Series(out)
     return probe
 
 
 def ann_join(queries: DataFrame, index: IvfIndex, k: int, nprobe: int = 1, *,
              query_id: str = "query_id", query_vec: str = "embedding",
-             block_rows: int | None = None) -> DataFrame:
+             block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Approximate k nearest: search only each query's ``nprobe`` nearest cells.
 
     Only the cells some query probes are read (partition pruning on the cell
@@ -441,7 +443,6 @@ def ann_join(queries: DataFrame, index: IvfIndex, k: int, nprobe: int = 1, *,
     if query_id in ids:
         raise ValueError("query id column must not share a name with a corpus id column")
     q = valid_vectors(queries.select(query_id, query_vec), query_vec, None)
-    block_rows = block_rows or block_rows_for(index.centroids.shape[1])
     bc = spark.sparkContext.broadcast(index.centroids)
     probed = q.select(F.col(query_id).alias("_qid"), F.col(query_vec).alias("_v"),
                       F.explode(_probe_udf(bc, nprobe, metric)(F.col(query_vec))).alias("cell"))

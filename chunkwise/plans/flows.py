@@ -61,7 +61,7 @@ def ingest(chunk_df: DataFrame, dim: int = DEFAULT_HASH_DIM, path: str | None =
 
 def retrieve(question_df: DataFrame, store: DataFrame, k_fetch: int = 5,
              k_keep: int | None = None, metric: str = "cosine",
-             dim: int = DEFAULT_HASH_DIM, strategy: str = "auto",
+             dim: int = DEFAULT_HASH_DIM, strategy: str = "blocked",
              encoder: Callable | None = None) -> DataFrame:
     """Hits with payload: ``query_id, rank, file, page, chunk_index, chunk, distance``.
 

@@ -78,7 +78,7 @@ def _hits(k_fetch: int, k_keep: int | None = None) -> list[str]:
   JOIN c_norm cn ON cn.file = d.file AND cn.page = d.page AND cn.chunk_index = d.chunk_index)""",
         """ranked AS (
   SELECT query_id, file, page, chunk_index, distance,
-         CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, file, page, chunk_index) AS INTEGER) AS rank
+         CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(distance, 9), file, page, chunk_index) AS INTEGER) AS rank
   FROM scored)""",
         f"""hits AS (
   SELECT r.query_id, r.rank, r.file, r.page, r.chunk_index, c.chunk, r.distance
@@ -132,7 +132,7 @@ def _self_knn(metric: str, k: int) -> list[str]:
     dist = (COS if metric == "cosine" else L2SQ).format(a="q.v", b="c.v")
     return [EMB, f"""pairs AS (SELECT q.vec_id AS query_id, c.vec_id AS id, {dist} AS distance FROM e q, e c)""",
             f"""knn AS (
-  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS INTEGER) AS rank,
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(distance, 9), id) AS INTEGER) AS rank,
          id, distance FROM pairs QUALIFY rank <= {k})"""]
 
 
@@ -187,7 +187,7 @@ WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(embedding) = {DIM}"""
     "embed_batches": _with(*CHUNKS, CHUNK_COUNTS) + "SELECT file, page, chunk_index, bucket, cnt FROM chunk_counts",
     "knn_single": _with(EMB, "q AS (SELECT v AS qv FROM e ORDER BY vec_id LIMIT 1)",
                         f"d AS (SELECT e.vec_id AS id, {COS.format(a='e.v', b='q.qv')} AS distance FROM e, q)")
-    + f"""SELECT id, CAST(row_number() OVER (ORDER BY distance, id) AS INTEGER) AS rank, {_r6('distance')} AS distance
+    + f"""SELECT id, CAST(row_number() OVER (ORDER BY round(distance, 9), id) AS INTEGER) AS rank, {_r6('distance')} AS distance
 FROM d QUALIFY rank <= 5""",
     "knn_join_cosine": _with(*_self_knn("cosine", 5)) + _knn_select(),
     "knn_join_l2sq": _with(*_self_knn("l2sq", 5)) + _knn_select(),

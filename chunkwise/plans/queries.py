@@ -258,13 +258,13 @@ def _self_queries(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return e.select(F.col("vec_id").alias("query_id"), "embedding"), e.select("vec_id", "embedding")
 
 
-def knn_join_cosine(spark: SparkSession, sf: str, strategy: str = "auto") -> DataFrame:
+def knn_join_cosine(spark: SparkSession, sf: str, strategy: str = "blocked") -> DataFrame:
     q, c = _self_queries(spark, sf)
     return _hits_out(knn_search(q, c, 5, "cosine", corpus_ids=["vec_id"], dim=DIM,
                                 strategy=strategy).hits)
 
 
-def knn_join_l2sq(spark: SparkSession, sf: str, strategy: str = "auto") -> DataFrame:
+def knn_join_l2sq(spark: SparkSession, sf: str, strategy: str = "blocked") -> DataFrame:
     q, c = _self_queries(spark, sf)
     return _hits_out(knn_search(q, c, 5, "l2sq", corpus_ids=["vec_id"], dim=DIM,
                                 strategy=strategy).hits)
@@ -274,7 +274,7 @@ def knn_join_blocked(spark: SparkSession, sf: str) -> DataFrame:
     """The blocked (no-broadcast) physical form of J2; same rows as knn_join_cosine."""
     q, c = _self_queries(spark, sf)
     return _hits_out(knn_search(q, c, 5, "cosine", corpus_ids=["vec_id"], dim=DIM,
-                                strategy="blocked", block_rows=128).hits)
+                                strategy="blocked").hits)
 
 
 def knn_two_stage(spark: SparkSession, sf: str) -> DataFrame:
@@ -283,20 +283,20 @@ def knn_two_stage(spark: SparkSession, sf: str) -> DataFrame:
     return select_hits(hits.withColumn("rank", F.col("rank").cast("int")))
 
 
-def _ann(spark: SparkSession, sf: str, cells: int, nprobe: int, block_rows: int | None) -> DataFrame:
+def _ann(spark: SparkSession, sf: str, cells: int, nprobe: int) -> DataFrame:
     q, c = _self_queries(spark, sf)
     index = build_ivf_index(c, cells, "cosine", ids=["vec_id"], dim=DIM, seed=7)
-    return _hits_out(ann_join_op(q, index, 5, nprobe, block_rows=block_rows))
+    return _hits_out(ann_join_op(q, index, 5, nprobe))
 
 
 def ann_join(spark: SparkSession, sf: str) -> DataFrame:
     """J3 approximate: 16 cells, 4 probed (recall is checked by the tests)."""
-    return _ann(spark, sf, 16, 4, None)
+    return _ann(spark, sf, 16, 4)
 
 
 def ann_join_full_probe(spark: SparkSession, sf: str) -> DataFrame:
-    """J3 probing every cell, with hot cells split into sub-blocks: equals exact J2."""
-    return _ann(spark, sf, 8, 8, 64)
+    """J3 probing every cell: equals exact J2."""
+    return _ann(spark, sf, 8, 8)
 
 
 def hits_payload_defaults(spark: SparkSession, sf: str) -> DataFrame:
@@ -368,6 +368,11 @@ def stub_client(prompts: list[str]) -> list[str]:
     return ["answer-" + hashlib.md5(p.encode("utf-8")).hexdigest()[:16] for p in prompts]
 
 
+def upper_client(prompts: list[str]) -> list[str]:
+    """A second stand-in, so that runs over two models can be compared."""
+    return [p[-200:].upper() for p in prompts]
+
+
 def rag_answers(spark: SparkSession, sf: str) -> DataFrame:
     return generate(flows.rag_prompts(spark, sf), stub_client).select("query_id", "answer")
 
@@ -403,9 +408,12 @@ def run_compare(spark: SparkSession, sf: str) -> DataFrame:
         path = scratch_path(spark, rid)
         records.append(M.timed_write(op(vecs), path, rid, store, "hash64", "stub"))
         stored = spark.read.parquet(path).select(*flows.CHUNK_IDS, "chunk", "embedding")
-        answers = generate(flows.rag_prompts(spark, sf, store=stored), stub_client)
-        records.append(M.timed_count(answers, rid, store, "hash64", "stub"))
-    return M.compare(M.run_log(spark, records)).select("store", "encoder", "llm", "phase", "runs", "rows")
+        for llm, client in (("stub", stub_client), ("upper", upper_client)):
+            records.append(M.timed_answers(
+                lambda: generate(flows.rag_prompts(spark, sf, store=stored), client),
+                scratch_path(spark, f"answers-{rid}-{llm}"), f"{rid}-{llm}", store, "hash64", llm))
+    return M.compare(M.run_log(spark, records)).select("store", "encoder", "llm", "phase", "runs", "rows",
+                                                       "bytes", "avg_seconds")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

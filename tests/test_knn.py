@@ -56,12 +56,46 @@ def test_knn_join_matches_brute_force(spark, metric, strategy, block):
         assert got[1000][:3] == [10, 11, 12]
 
 
-def test_auto_falls_back_to_blocked_beyond_budget(spark):
-    C, Q, cdf, qdf = frames(spark)
-    res = knn_search(qdf, cdf, 3, "cosine", dim=8, broadcast_max_bytes=8 * 8 * 10)
-    assert not res.bounded
-    want = {q: v for q, v in brute(Q, range(1000, 1040), C, range(len(C)), 3, "cosine").items() if v}
-    assert as_lists(res.hits) == want
+def test_broadcast_refuses_a_large_query_set(spark):
+    _, _, cdf, qdf = frames(spark)
+    with pytest.raises(ValueError, match="too large"):
+        knn_search(qdf, cdf, 3, "cosine", dim=8, strategy="broadcast", broadcast_max_bytes=8 * 8 * 10)
+
+
+def test_hits_do_not_depend_on_how_rows_are_dealt_out(spark):
+    rng = np.random.default_rng(9)
+    V = rng.normal(size=(40, 384)).astype(np.float32)
+    V = np.concatenate([V] * 6)                              # six exact copies of each row
+    rows = [(int(i), V[i].tolist()) for i in rng.permutation(len(V))]
+    df = spark.createDataFrame(rows, "id long, embedding array<float>")
+    q = df.select(F.col("id").alias("query_id"), "embedding")
+    want = [[i % 40 + 40 * j for j in range(4)] for i in range(len(V))]
+    for metric in ("cosine", "l2sq"):
+        for parts, block in ((1, 7), (5, 64), (3, 1000)):
+            got = as_lists(knn_search(q, df.repartition(parts), 4, metric, dim=384, block_rows=block).hits)
+            assert [got[i] for i in range(len(V))] == want
+
+
+def test_kernel_memory_is_bounded():
+    import tracemalloc
+
+    import pandas as pd
+    rng = np.random.default_rng(0)
+    V = rng.normal(size=(12_000, 16))
+    tracemalloc.start()
+    out = topk_block(np.arange(len(V)), V, pd.DataFrame({"id": np.arange(len(V))}), V, "cosine", 5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == 5 * len(V) and (out.groupby("_qid")["id"].first() == np.arange(len(V))).all()
+    assert peak < 250e6                                      # all pairs would take 1.15 GB
+
+
+def test_near_copies_far_from_the_origin_keep_their_distances():
+    import pandas as pd
+    base = np.full((1, 4), 4000.0)
+    C = base + np.array([[2e-4, 0, 0, 0], [1e-4, 0, 0, 0], [1.0, 0, 0, 0]])
+    out = topk_block(np.array([0], dtype=object), base, pd.DataFrame({"id": [0, 1, 2]}), C, "l2sq", 3)
+    assert out["id"].tolist() == [1, 0, 2] and np.allclose(out["distance"], [1e-8, 4e-8, 1.0], rtol=1e-3)
 
 
 def test_knn_single(spark):
