@@ -32,9 +32,12 @@ def words(text: str | Column) -> Column:
 
 def chunk_key(file: str | Column = "file", page: str | Column = "page",
               chunk: str | Column = "chunk", prefix: str = KEY_PREFIX) -> Column:
-    """``{prefix}{file}_page_{page}_chunk_{chunk}``; the page is cast to string."""
-    return F.concat(F.lit(prefix), _c(file), F.lit("_page_"),
-                    _c(page).cast("string"), F.lit("_chunk_"), _c(chunk))
+    """``{prefix}{file}_page_{page}_chunk_{chunk}``; the page is cast to string.
+
+    A null part reads ``null``, so rows that lack a part still have a key.
+    """
+    part = lambda c: F.coalesce(_c(c).cast("string"), F.lit("null"))
+    return F.concat(F.lit(prefix), part(file), F.lit("_page_"), part(page), F.lit("_chunk_"), part(chunk))
 
 
 def preview(text: str | Column, n: int) -> Column:

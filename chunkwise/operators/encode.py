@@ -132,7 +132,6 @@ def embed(df: DataFrame, text: str, encoder: Callable[[list[str]], np.ndarray],
     ``(len(batch), dim)``. Encoders that are not deterministic across task
     retries should have their output written before it is joined on.
     """
-    @F.pandas_udf(VECTOR_TYPE)
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
             matrix = np.asarray(encoder([t if t is not None else "" for t in texts]),
@@ -141,4 +140,6 @@ def embed(df: DataFrame, text: str, encoder: Callable[[list[str]], np.ndarray],
                 raise ValueError(f"encoder returned shape {matrix.shape}, expected ({len(texts)}, {dim})")
             yield pd.Series(list(matrix))
 
-    return df.withColumn(out, encode(F.col(text)))
+    # marked as not deterministic: a filter on the vectors must not encode twice
+    udf = F.pandas_udf(encode, VECTOR_TYPE).asNondeterministic()
+    return df.withColumn(out, udf(F.col(text)))

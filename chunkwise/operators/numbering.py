@@ -17,32 +17,16 @@ from pyspark.sql import functions as F
 
 
 ROWS_PER_RANGE = 1_000_000
-MAX_RANGES = 100_000
-FIRST_PASS_CUTS = 1024
 
 
 def _range_cuts(df: DataFrame, order_col: str, ranges: int | None, rel_error: float,
                 rows_per_range: int) -> list[float]:
-    """Inner cut points of the order column (at most ranges - 1 of them).
-
-    One aggregate returns the row count and 1024 quantiles; the count decides
-    how many ranges are needed, and only beyond 1024 ranges (about a billion
-    rows) is a second, finer quantile pass made.
-    """
-    probs = [i / FIRST_PASS_CUTS for i in range(1, FIRST_PASS_CUTS)]
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.percentile_approx(F.col(order_col).cast("double"), probs,
-                                     int(4 * FIRST_PASS_CUTS / 0.25)).alias("q")).first()
-    n, fine = int(row["n"]), list(row["q"] or [])
+    """Inner cut points of the order column: quantiles, as many as the row count asks for."""
     if ranges is None:
-        ranges = min(MAX_RANGES, max(16, -(-n // rows_per_range)))
-    if ranges <= FIRST_PASS_CUTS:
-        step = FIRST_PASS_CUTS / ranges
-        picked = [fine[int(round(i * step)) - 1] for i in range(1, ranges)]
-    else:
-        err = min(rel_error, 0.25 / ranges)
-        picked = df.approxQuantile(order_col, [i / ranges for i in range(1, ranges)], err)
-    return sorted(set(float(c) for c in picked if c is not None))
+        ranges = max(16, -(-df.count() // rows_per_range))
+    probs = [i / ranges for i in range(1, ranges)]
+    picked = df.approxQuantile(order_col, probs, min(rel_error, 0.25 / ranges)) if probs else []
+    return sorted({float(c) for c in picked if c is not None})
 
 
 def row_number_within(df: DataFrame, group_cols: list[str], order_col: str,
@@ -52,7 +36,8 @@ def row_number_within(df: DataFrame, group_cols: list[str], order_col: str,
     """Add ``out`` = position of the row in its group by ``order_col`` (+ ``base``).
 
     ``order_col`` must be numeric and (near) unique inside a group; ties are
-    broken arbitrarily, as ``row_number`` does. By default the number of ranges
+    broken arbitrarily, as ``row_number`` does. Rows with a null group form a group of
+    their own, rows with a null order value come first in theirs. By default the number of ranges
     follows the row count, so no (group, range) cell exceeds about
     ``rows_per_range`` rows, whatever share of the table one group holds.
     """
@@ -62,6 +47,7 @@ def row_number_within(df: DataFrame, group_cols: list[str], order_col: str,
     ordered = df.withColumn("_ord_d", F.col(order_col).cast("double"))
     bucketed = Bucketizer(splits=splits, inputCol="_ord_d", outputCol="_rng",
                           handleInvalid="keep").transform(ordered).drop("_ord_d")
+    bucketed = bucketed.withColumn("_rng", F.when(F.col(order_col).isNull(), -1.0).otherwise(F.col("_rng")))
 
     cell = group_cols + ["_rng"]
     counts = bucketed.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
@@ -71,6 +57,8 @@ def row_number_within(df: DataFrame, group_cols: list[str], order_col: str,
 
     local = bucketed.withColumn(
         "_loc", F.row_number().over(Window.partitionBy(*cell).orderBy(order_col)))
-    return (local.join(offsets, on=cell, how="inner")
+    own = offsets.select("_off", *[F.col(c).alias(f"_cell_{i}") for i, c in enumerate(cell)])
+    same = [local[c].eqNullSafe(own[f"_cell_{i}"]) for i, c in enumerate(cell)]
+    return (local.join(own, same, "inner").drop(*[f"_cell_{i}" for i in range(len(cell))])
             .withColumn(out, (F.col("_off") + F.col("_loc") - 1 + base).cast("int"))
             .drop("_rng", "_loc", "_off"))

@@ -91,11 +91,12 @@ def generate(df: DataFrame, client: Callable[[list[str]], list[str]], prompt_col
     if max_parallel:
         df = df.repartition(max_parallel, F.xxhash64(prompt_col))
 
-    @F.pandas_udf(T.StringType())
     def call(prompts: pd.Series) -> pd.Series:
         answers = list(client([p if p is not None else "" for p in prompts]))
         if len(answers) != len(prompts):
             raise ValueError("client returned a different number of answers")
         return pd.Series(answers, dtype=object)
 
-    return df.withColumn(out, call(F.col(prompt_col)))
+    # marked as not deterministic: a filter on the answer must not call the client twice
+    udf = F.pandas_udf(call, T.StringType()).asNondeterministic()
+    return df.withColumn(out, udf(F.col(prompt_col)))

@@ -1,7 +1,7 @@
 """Joins that stay balanced when one key holds a large share of a table.
 
 ``salted_lookup_join`` joins a large table with a lookup table that has at most
-one row per key. Keys of the large table with more than ``target_rows`` rows are
+one row per key (null is a key like any other). Keys of the large table with more than ``target_rows`` rows are
 found by an aggregate; there can be at most rows / target_rows of them, so that
 small table is broadcast (a proven bound). Each hot key's rows are spread over
 ceil(count / target_rows) salts by a hash of the row, and its lookup row is
@@ -24,17 +24,24 @@ def hot_keys(big: DataFrame, keys: list[str], target_rows: int = TARGET_ROWS) ->
             .select(*keys, F.ceil(F.col("_n") / target_rows).cast("int").alias("_ns")))
 
 
+def _join_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Join on ``keys`` where a null key matches a null key; the left keys are kept."""
+    renamed = right.select(*[F.col(c).alias(f"_right_{c}") if c in keys else F.col(c) for c in right.columns])
+    match = [left[c].eqNullSafe(renamed[f"_right_{c}"]) for c in keys]
+    return left.join(renamed, match, how).drop(*[f"_right_{c}" for c in keys])
+
+
 def salted_lookup_join(big: DataFrame, lookup: DataFrame, keys: list[str], how: str = "left",
                        target_rows: int = TARGET_ROWS) -> DataFrame:
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
     hot = F.broadcast(hot_keys(big, keys, target_rows))
-    salted_big = (big.join(hot, keys, "left")
+    salted_big = (_join_safe(big, hot, keys, "left")
                   .withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in big.columns]),
                                               F.coalesce(F.col("_ns"), F.lit(1)).cast("long")))
                   .drop("_ns"))
-    salted_lookup = (lookup.join(hot, keys, "left")
+    salted_lookup = (_join_safe(lookup, hot, keys, "left")
                      .withColumn("_salt", F.explode(F.sequence(
                          F.lit(0).cast("long"), (F.coalesce(F.col("_ns"), F.lit(1)) - 1).cast("long"))))
                      .drop("_ns"))
-    return salted_big.join(salted_lookup, keys + ["_salt"], how).drop("_salt")
+    return _join_safe(salted_big, salted_lookup, keys + ["_salt"], how).drop("_salt")

@@ -51,6 +51,8 @@ def scratch_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     configured = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="chunkwise-ckpt-")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
