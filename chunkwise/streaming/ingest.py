@@ -1,24 +1,28 @@
 """Continuous ingest: new files in a folder -> pages -> chunks -> vectors -> store.
 
 The store is log-structured: every micro-batch is written to its own partition
-``seq=<batch id>`` with overwrite, so a replayed batch replaces itself instead of
-duplicating rows (exactly-once with the stream checkpoint). Reading resolves the
+``seq=<number>/stream=<source>`` with overwrite, so a replayed batch replaces itself
+instead of duplicating rows (exactly-once with the stream checkpoint), and streams
+from several folders never overwrite each other. A stream's numbers follow those
+that the store held when the stream first began. Reading resolves the
 write semantics by aggregation: upsert = latest (seq, chunk_index) per key,
 insert-if-absent = earliest, append = every row. No file is ever rewritten.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from chunkwise.functions.text import chunk_key
 from chunkwise.operators import sinks
 from chunkwise.operators.chunking import chunk
-from chunkwise.operators.encode import DEFAULT_HASH_DIM, hash_vectors
-from chunkwise.session import scratch_path
+from chunkwise.operators.encode import DEFAULT_HASH_DIM, embed, hash_vectors
 from chunkwise.sources.files import extract_pages, file_name, text_pages
 
 MODES = ("upsert", "insert_if_absent", "append")
@@ -27,9 +31,18 @@ BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length long, cont
 
 def ingest_stream(spark: SparkSession, directory: str, store_path: str, *, suffix: str = ".pdf",
                   extractor: Callable[[bytes], list[str]] | None = None,
+                  encoder: Callable | None = None,
                   dim: int = DEFAULT_HASH_DIM, checkpoint: str | None = None,
                   available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
-    """Start a stream that ingests files appearing in ``directory``."""
+    """Start a stream that ingests files appearing in ``directory``.
+
+    ``encoder`` turns a list of texts into a (n, ``dim``) matrix, as for ``embed``; by
+    default chunks get hashed vectors. Without ``checkpoint`` the progress of each
+    folder is kept in ``_checkpoint`` below the store, so that a stream started again
+    goes on where it was.
+    """
+    source = hashlib.sha256(f"{directory}\0{suffix}".encode()).hexdigest()[:16]
+    base = _first_seq(spark, store_path, source)
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", f"*{suffix}")
               .option("recursiveFileLookup", "false"))
@@ -39,17 +52,39 @@ def ingest_stream(spark: SparkSession, directory: str, store_path: str, *, suffi
     files = raw.withColumn("file", file_name(raw))
     pages = extract_pages(files, extractor) if extractor else text_pages(files)
     chunks = chunk(pages, "text", keep=["file", "page"])
-    rows = hash_vectors(chunks, "chunk", dim).withColumn("key", chunk_key())
+    rows = embed(chunks, "chunk", encoder, dim) if encoder else hash_vectors(chunks, "chunk", dim)
+    rows = rows.withColumn("key", chunk_key())
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        (batch.write.mode("overwrite").parquet(f"{store_path}/seq={batch_id}"))
+        batch.write.mode("overwrite").parquet(f"{store_path}/seq={base + batch_id}/stream={source}")
 
     writer = (rows.writeStream.foreachBatch(write_batch)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "ingest-ckpt")))
+              .option("checkpointLocation", checkpoint or f"{store_path}/_checkpoint/{source}"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="10 seconds")
     return writer.start()
 
 
+def _read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def _first_seq(spark: SparkSession, store_path: str, source: str) -> int:
+    """Number of a source's first batch; chosen once and kept beside the store."""
+    path = f"{store_path}/_first/{source}"
+    kept = _read_if_there(spark, path)
+    if kept is None:
+        log = _read_if_there(spark, store_path)
+        last = log.agg(F.max("seq")).first()[0] if log is not None else None
+        spark.range(0 if last is None else last + 1, (0 if last is None else last + 1) + 1).write.parquet(path)
+        kept = spark.read.parquet(path)
+    return int(kept.first()[0])
+
+
 def run_to_end(query: StreamingQuery, timeout_s: float = 3600.0) -> StreamingQuery:
     """Wait for an available-now stream to finish; stop it and fail past the timeout.
 

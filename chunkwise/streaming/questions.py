@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -20,7 +21,6 @@ from chunkwise.operators.hits import keep_queries
 from chunkwise.operators.rag import DEFAULT_TEMPLATE, context, generate, prompt
 from chunkwise.operators.sessions import take_until
 from chunkwise.plans.flows import retrieve
-from chunkwise.session import scratch_path
 
 QUESTION_SCHEMA = "session string, seq long, query string"
 
@@ -42,8 +42,10 @@ def answer_stream(spark: SparkSession, question_dir: str, store: DataFrame, answ
     def ended_before(batch_id: int) -> DataFrame | None:
         try:
             ended = spark.read.parquet(ended_path)
-        except Exception:  # no session has ended yet
-            return None
+        except AnalysisException as e:
+            if e.getCondition() == "PATH_NOT_FOUND":  # no session has ended yet
+                return None
+            raise
         return ended.where(F.col("batch") < batch_id).select("session").distinct()
 
     def run_batch(batch: DataFrame, batch_id: int) -> None:
@@ -55,7 +57,7 @@ def answer_stream(spark: SparkSession, question_dir: str, store: DataFrame, answ
                  .select("session").distinct().withColumn("batch", F.lit(batch_id)))
         stops.write.mode("overwrite").parquet(f"{ended_path}/batch={batch_id}")
         kept = take_until(live, ["session"], ["seq"], "query", sentinel)
-        qs = kept.select(F.xxhash64("session", "seq").alias("query_id"), "session", "seq", "query")
+        qs = kept.select(F.to_json(F.struct("session", "seq")).alias("query_id"), "session", "seq", "query")
         hits = retrieve(qs.select("query_id", "query"), store, k_fetch, k_keep,
                         dim=dim, encoder=encoder)
         ctx = context(hits, style)
@@ -65,6 +67,6 @@ def answer_stream(spark: SparkSession, question_dir: str, store: DataFrame, answ
          .write.mode("overwrite").parquet(f"{answers_path}/batch={batch_id}"))
 
     writer = (questions.writeStream.foreachBatch(run_batch)
-              .option("checkpointLocation", checkpoint or scratch_path(spark, "answers-ckpt")))
+              .option("checkpointLocation", checkpoint or f"{answers_path}/_checkpoint"))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="5 seconds")
     return writer.start()
