@@ -60,6 +60,12 @@ def append(existing: DataFrame | None, incoming: DataFrame, id_col: str = "id")
     return rows if existing is None else existing.unionByName(rows)
 
 
+def append_to_store(incoming: DataFrame, path: str, id_col: str = "id") -> DataFrame:
+    """O6 append as a write: ids are generated once, with the rows, and read back."""
+    with_generated_id(incoming, id_col).write.mode("append").parquet(path)
+    return incoming.sparkSession.read.parquet(path)
+
+
 def delete_where(df: DataFrame, column: str, value) -> DataFrame:
     """Drop rows whose ``column`` equals ``value`` literally (``'*'`` is not a wildcard)."""
     return df.where(~F.col(column).eqNullSafe(F.lit(value)))
@@ -136,8 +142,8 @@ def merge_bucketed(spark: SparkSession, table: str, incoming: DataFrame, key: li
 
     The batch is partitioned like the store (same key, same bucket count) and
     reduced to one row per key; the store is joined in place, bucket against
-    bucket, so only the batch moves. Upsert assumes the batch is newer than
-    every stored row (its ``order`` is larger), as consecutive writes are.
+    bucket, so only the batch moves. As in ``merge_latest``, the greater ``order``
+    wins: a batch that arrives late does not replace newer rows.
     """
     existing = spark.table(table)
     n = _num_buckets(spark, table)
@@ -147,8 +153,11 @@ def merge_bucketed(spark: SparkSession, table: str, incoming: DataFrame, key: li
         marked = picked.select(*key, *[F.col(c).alias(f"_in_{c}") for c in cols if c not in key],
                                F.lit(True).alias("_in"))
         joined = existing.join(marked, on=key, how="full_outer")
+        # a key that only one side has is null on the other, and null is the least order
+        newer = F.col("_in").isNotNull() & F.coalesce(
+            F.struct(*[F.col(f"_in_{c}").alias(c) for c in order]) >= F.struct(*order), F.lit(True))
         merged = joined.select(*[F.col(c) if c in key else
-                                 F.when(F.col("_in").isNotNull(), F.col(f"_in_{c}")).otherwise(F.col(c)).alias(c)
+                                 F.when(newer, F.col(f"_in_{c}")).otherwise(F.col(c)).alias(c)
                                  for c in cols])
     else:
         fresh = picked.join(existing.select(*key), on=key, how="left_anti")

@@ -170,6 +170,7 @@ WHERE file IS DISTINCT FROM 'src3' AND file IS DISTINCT FROM '*'""",
   SELECT file || '_page_' || CAST(page AS VARCHAR) || '_chunk_' || chunk AS id, file, page, chunk_index FROM chunks)
 WHERE starts_with(id, 'doc:')""",
     "scan_text_files": "SELECT source, text FROM documents",
+    "extract_file_pages": "SELECT source, text FROM documents",
     "vector_norms": f"""SELECT vec_id, {_r6("sqrt(list_dot_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])))")} AS norm,
        CAST(len(embedding) AS INTEGER) AS dim FROM embeddings""",
     "cosine_distance_centroid": _with(*CENTROIDS) + f"SELECT vec_id, label, {_r6(COS.format(a='a', b='b'))} AS distance FROM wc",

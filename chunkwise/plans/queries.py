@@ -31,7 +31,7 @@ from chunkwise.operators.sessions import take_until
 from chunkwise.operators.skew import salted_lookup_join
 from chunkwise.plans import flows
 from chunkwise.session import scratch_path
-from chunkwise.sources.files import scan_files, text_pages
+from chunkwise.sources.files import extract_pages, scan_files, text_pages
 from chunkwise.sources.store import scan_store
 from chunkwise.sources.tables import pages_view, read_table
 from chunkwise.streaming.ingest import ingest_stream, read_store, run_to_end
@@ -108,8 +108,9 @@ def insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
 
 def append_all(spark: SparkSession, sf: str) -> DataFrame:
     b1, b2 = _batches(spark, sf)
-    store = sinks.append(sinks.append(None, b1), b2)
-    return _store_cols(store)
+    path = scratch_path(spark, "append")
+    sinks.append_to_store(b1, path)
+    return _store_cols(sinks.append_to_store(b2, path))
 
 
 def delete_where_file(spark: SparkSession, sf: str) -> DataFrame:
@@ -125,9 +126,11 @@ def reset_and_create(spark: SparkSession, sf: str) -> DataFrame:
     schema = T.StructType([T.StructField("file", T.StringType()), T.StructField("page", T.IntegerType()),
                            T.StructField("chunk_index", T.IntegerType()), T.StructField("chunk", T.StringType()),
                            T.StructField("embedding", T.ArrayType(T.FloatType()))])
-    sinks.create_store(spark, table, schema, DIM, "cosine", location=scratch_path(spark, table))
+    path = scratch_path(spark, table)
+    sinks.create_store(spark, table, schema, DIM, "cosine", location=path)
     sinks.insert_into_store(spark, table, hash_vectors(flows.chunks(spark, sf), "chunk", DIM))
-    return spark.table(table).groupBy("file").agg(F.count(F.lit(1)).alias("n_chunks"))
+    sinks.reset_store(spark, table)  # the catalog forgets the table, its files at ``path`` stay
+    return spark.read.parquet(path).groupBy("file").agg(F.count(F.lit(1)).alias("n_chunks"))
 
 
 def store_prefix_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -157,6 +160,18 @@ def scan_text_files(spark: SparkSession, sf: str) -> DataFrame:
     return text_pages(files, keep=["source"]).select("source", "text")
 
 
+def form_feed_pages(content: bytes) -> list[str]:
+    """Pages of a text file; a form feed ends a page."""
+    return content.decode("utf-8").removesuffix("\f").split("\f")
+
+
+def extract_file_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """O1 + O2 with a caller's extractor (bytes to pages, in Arrow batches)."""
+    files = scan_files(spark, _text_files(spark, sf), suffix=".txt")
+    pages = extract_pages(files, form_feed_pages)
+    return pages.select(F.regexp_extract("file", "source=([^/]*)/", 1).alias("source"), "text")
+
+
 # --- vectors -------------------------------------------------------------------------
 
 def _embeddings(spark: SparkSession, sf: str) -> DataFrame:
@@ -428,6 +443,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delete_where_file": delete_where_file,
     "store_prefix_scan": store_prefix_scan,
     "scan_text_files": scan_text_files,
+    "extract_file_pages": extract_file_pages,
     "stream_ingest": stream_ingest,
     "vector_norms": vector_norms,
     "cosine_distance_centroid": cosine_distance_centroid,

@@ -88,6 +88,9 @@ def test_bucketed_store_merges_move_only_the_batch(spark):
     want_ins = sinks.merge_first(spark.table("bk_v0"), b2, ["key"], order).select(*cols)
     assert sorted(map(tuple, spark.table("bk_up").collect())) == sorted(map(tuple, want_up.collect()))
     assert sorted(map(tuple, spark.table("bk_ins").collect())) == sorted(map(tuple, want_ins.collect()))
+    # a batch that arrives late leaves newer rows alone
+    sinks.merge_bucketed(spark, "bk_up", b1, ["key"], order, True, "bk_late", scratch_path(spark, "bk_late"))
+    assert sorted(map(tuple, spark.table("bk_late").collect())) == sorted(map(tuple, want_up.collect()))
     # the stored side of the merge join is read bucketed, with no exchange above it
     picked = sinks._pick(b2.repartition(4, "key"), ["key"], order, latest=True)
     plan = spark.table("bk_v0").join(picked, "key", "full_outer")._jdf.queryExecution() \
@@ -95,3 +98,12 @@ def test_bucketed_store_merges_move_only_the_batch(spark):
     scan_line = [ln for ln in plan.splitlines() if "bk_v0" in ln][0]
     assert "Bucketed: true" in scan_line
     assert plan.count("Exchange") == 1
+
+
+def test_appended_ids_are_stored(spark):
+    path = scratch_path(spark, "append")
+    rows = spark.createDataFrame([("a",), ("a",)], "payload string")
+    sinks.append_to_store(rows, path)
+    store = sinks.append_to_store(rows, path)
+    ids = sorted(r.id for r in store.collect())
+    assert len(set(ids)) == 4 and ids == sorted(r.id for r in store.collect())
