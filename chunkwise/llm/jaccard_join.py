@@ -18,7 +18,8 @@ documents link when 100 * intersection >= ``percent`` * union. The steps:
    difference (a group's radius covers its other members). Buckets with many groups
    are cut into blocks, and pairs of blocks go to separate places, so no task holds
    more than two blocks of a bucket.
-4. Group pairs are expanded to pairs of classes and verified on the whole sets.
+4. Group pairs are expanded to pairs of classes, filtered by their own sketches, and
+   verified on the whole sets; pairs that other links have joined already are not.
 5. Components come from star rounds over the verified links.
 
 Defined cases: null, empty and blank texts have an empty set, link with nothing and
@@ -46,6 +47,8 @@ FREQUENT = 1000
 #: Groups of a bucket that one block holds.
 BLOCK = 20_000
 SKETCH = 512
+#: Bits of the map that marks rows to verify.
+SLOTS = 1 << 23
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xBF58476D1CE4E5B9)
 _C = np.uint64(0x94D049BB133111EB)
@@ -60,7 +63,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of byte words, remembered; starts afresh above ``limit`` words."""
 
-    def __init__(self, limit: int = 500_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit = limit
 
@@ -115,7 +118,7 @@ def frequent_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarr
             for raw in texts:
                 run.append(shingle_set(raw, hashes, width))
                 size += len(run[-1])
-                if size > 4_000_000:
+                if size > 1_500_000:
                     yield tell(run)
                     run, size = [], 0
         if run:
@@ -128,6 +131,10 @@ def frequent_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarr
     return hot["token"].to_numpy().view(np.uint64)[order], hot["n"].to_numpy()[order]
 
 
+def _row_hash():
+    return F.xxhash64("doc_id", "text").alias("h")
+
+
 def profiles(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], width: int, percent: int) -> DataFrame:
     """Per row: id, set size, fingerprints of set and prefix, prefix, sketch (step 2)."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
@@ -152,10 +159,11 @@ def profiles(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], width: in
                             prefix.view(np.int64), parity_sketch(own)))
             made = pd.DataFrame(out, columns=["n", "f1", "f2", "p1", "p2", "prefix", "sketch"])
             made.insert(0, "doc_id", rows["doc_id"].to_numpy())
+            made.insert(1, "h", rows["h"].to_numpy())
             yield made
 
-    made = docs.select("doc_id", "text").mapInPandas(
-        run, f"doc_id {kind}, n long, f1 long, f2 long, p1 long, p2 long, prefix array<long>, sketch array<long>")
+    made = docs.select("doc_id", "text", _row_hash()).mapInPandas(
+        run, f"doc_id {kind}, h long, n long, f1 long, f2 long, p1 long, p2 long, prefix array<long>, sketch array<long>")
     return stored(made.select("*", F.monotonically_increasing_id().alias("rid")), "profiles")
 
 
@@ -211,12 +219,42 @@ def _bucket_pairs(percent: int):
     return run
 
 
+def _shared_only(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of a sorted partition whose token the row before or behind has too."""
+    rest = None
+    for frame in frames:
+        if not len(frame):
+            continue
+        rows = frame if rest is None else pd.concat([rest, frame])
+        token = rows["token"].to_numpy()
+        same = token[1:] == token[:-1]
+        keep = np.append(same, False) | np.append(False, same)
+        if rest is not None:
+            keep[0] |= rest_shared
+        # the last row waits for the next batch; that it is shared already is remembered
+        rest, rest_shared = rows.iloc[-1:], bool(keep[-1])
+        yield rows[:-1][keep[:-1]]
+    if rest is not None and rest_shared:
+        yield rest
+
+
 def candidate_groups(groups: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """Distinct pairs ``g1 < g2`` of groups that may hold linked members (step 3)."""
-    tokens = groups.select("gid", "n", F.posexplode("prefix").alias("pos", "token"))
-    counts = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
-    shared = tokens.join(counts, "token").withColumn("blocks", F.ceil(F.col("c") / block).cast("int"))
-    shared = shared.join(groups.select("gid", "rad", "sketch"), "gid")
+    """Distinct pairs ``g1 < g2`` of groups that may hold linked members (step 3).
+
+    Most prefix shingles occur in one group only; they are dropped in the first
+    sorted pass, before sketches are attached and buckets are cut into blocks.
+    """
+    packed = F.posexplode(F.col("prefix")).alias("pos", "token")
+    tokens = groups.select("gid", "n", packed).select(
+        "token", "gid", F.shiftleft(F.col("n"), 32).bitwiseOR(F.col("pos").cast("long")).alias("np"))
+    shared = (tokens.repartition("token").sortWithinPartitions("token")
+              .mapInPandas(_shared_only, "token long, gid long, np long"))
+    shared = stored(shared.select("token", "gid", F.shiftright("np", 32).alias("n"),
+                                  F.col("np").bitwiseAND((1 << 32) - 1).cast("int").alias("pos")), "shared")
+    blocks = (shared.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+              .where("blocks > 1"))
+    shared = (shared.join(blocks, "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+              .join(groups.select("gid", "rad", "sketch"), "gid"))
     shared = shared.withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks").cast("long")).cast("int"))
     shared = shared.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     shared = shared.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
@@ -225,36 +263,76 @@ def candidate_groups(groups: DataFrame, percent: int, block: int = BLOCK) -> Dat
     return placed.mapInPandas(_bucket_pairs(percent), "g1 long, g2 long").distinct()
 
 
-def verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs ``u, v`` of classes whose whole sets link (step 4)."""
-    wanted = pairs.select(F.col("u").alias("rid")).union(pairs.select(F.col("v").alias("rid"))).distinct()
-    wanted = wanted.join(classes.select("rid", F.col("doc_id").alias("rep"), "f1", "f2"), "rid")
-    texts = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["rep"])).select("rid", "f1", "f2", "text")
+def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Pairs ``u, v`` whose whole sets link; ``hu`` and ``hv`` are hashes of their rows.
+
+    The sets of the rows that the pairs name are worked out again from the texts. A
+    bitmap of ``SLOTS`` bits (a fixed size) tells tasks which rows to pass on.
+    """
+    ends = pairs.select(F.col("hu").alias("h")).union(pairs.select(F.col("hv").alias("h")))
+    found = ends.select(F.pmod("h", F.lit(SLOTS)).alias("slot")).distinct().toPandas()["slot"].to_numpy(np.int64)
+    wanted = np.zeros(SLOTS, bool)
+    wanted[found] = True
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(wanted))
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
-        for rows, raws in slices(frames):
-            own = [shingle_set(raw, hashes, width) for raw in raws]
-            mark = np.array([[xxhash.xxh3_64_intdigest(x.tobytes(), seed=s) for s in (1, 2)] for x in own],
-                            np.uint64).reshape(-1, 2).view(np.int64)
-            same = (mark == rows[["f1", "f2"]].to_numpy()).all(1)  # of rows that share an id, the class's own
-            yield pd.DataFrame({"rid": rows["rid"].to_numpy()[same],
-                                "own": [x.tobytes() for x, s in zip(own, same) if s]})
+        hashes, marked = WordHashes(), np.unpackbits(shared.value).astype(bool)
+        for frame in frames:
+            picked = frame[marked[frame["h"].to_numpy() % SLOTS]]
+            for rows, raws in slices(iter([picked])):
+                # 40 bits of each hash are enough to count what two sets share
+                own = [np.unique(shingle_set(raw, hashes, width) >> np.uint64(24)) for raw in raws]
+                yield pd.DataFrame({"h": rows["h"].to_numpy(), "own": [
+                    x.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 3:].tobytes() for x in own]})
+
+    def opened(raw: bytes) -> np.ndarray:
+        wide = np.zeros((len(raw) // 5, 8), np.uint8)
+        wide[:, 3:] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
+        return wide.view(">u8").ravel()
 
     def link(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in frames:
             ok = []
             for a, b in zip(rows["a"], rows["b"]):
-                a, b = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                a, b = opened(a), opened(b)
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 ok.append(100 * both >= percent * (len(a) + len(b) - both))
             yield rows.loc[np.array(ok, bool), ["u", "v"]]
 
-    found = texts.mapInPandas(sets, "rid long, own binary").dropDuplicates(["rid"])
-    found = stored(found, "sets")
-    full = (pairs.join(found.select(F.col("rid").alias("u"), F.col("own").alias("a")), "u")
-            .join(found.select(F.col("rid").alias("v"), F.col("own").alias("b")), "v"))
-    return full.select("u", "v", "a", "b").mapInPandas(link, "u long, v long")
+    made = docs.select(_row_hash(), "text").mapInPandas(sets, "h long, own binary")
+    full = (pairs.join(made.select(F.col("h").alias("hu"), F.col("own").alias("a")), "hu")
+            .join(made.select(F.col("h").alias("hv"), F.col("own").alias("b")), "hv"))
+    return stored(full.select("u", "v", "a", "b").mapInPandas(link, "u long, v long").distinct(), "links")
+
+
+def linked_components(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+    """Components of the candidate pairs that link (columns u, hu, v, hv, far).
+
+    Pairs within one component need no check, so pairs are verified in three turns:
+    each node's closest partner, then the closest pair between two components, then
+    all pairs that are still between two components.
+    """
+    near = F.struct("far", "u", "v", "hu", "hv")
+    sides = pairs.select(F.col("u").alias("node"), near.alias("p")).union(
+        pairs.select(F.col("v").alias("node"), near.alias("p")))
+    first = sides.groupBy("node").agg(F.min("p").alias("p")).select("p.*").distinct()
+    links = verified(docs, first, width, percent)
+    roots = components(links)
+
+    def between(roots: DataFrame) -> DataFrame:
+        of = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+        apart = pairs.join(of("u"), "u", "left").join(of("v"), "v", "left")
+        apart = apart.withColumn("x", F.coalesce("root_u", "u")).withColumn("y", F.coalesce("root_v", "v"))
+        return stored(apart.where("x <> y").select("u", "hu", "v", "hv", "far", F.least("x", "y").alias("x"),
+                                                   F.greatest("x", "y").alias("y")), "between")
+
+    second = between(roots).join(first.select("u", "v"), ["u", "v"], "left_anti")
+    second = second.groupBy("x", "y").agg(F.min(near).alias("p")).select("p.*")
+    links = links.union(verified(docs, second, width, percent))
+    roots = components(links)
+    third = (between(roots).join(first.select("u", "v"), ["u", "v"], "left_anti")
+             .join(second.select("u", "v"), ["u", "v"], "left_anti"))
+    return components(links.union(verified(docs, third, width, percent)))
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4,
@@ -267,24 +345,24 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     classes = stored(classes, "classes")
     reps = filled.join(classes.select("rid"), "rid", "left_semi")
     groups = reps.groupBy("n", "p1", "p2").agg(F.min("rid").alias("gid"), F.count(F.lit(1)).alias("members"))
-    members = stored(reps.join(groups, ["n", "p1", "p2"])
-                     .select("rid", "gid", "members", "n", "sketch", "doc_id", "f1", "f2"), "members")
+    members = stored(reps.join(groups, ["n", "p1", "p2"]).select("rid", "gid", "members", "n", "sketch", "h"),
+                     "members")
     heads = members.where("rid = gid").select("gid", "sketch")
     radius = (members.where("members > 1").join(heads.withColumnRenamed("sketch", "head"), "gid")
               .groupBy("gid").agg(F.max(_distance("sketch", "head")).alias("rad")))
-    whole = (reps.join(members.where("rid = gid").select("rid", "gid"), "rid").join(radius, "gid", "left")
-             .select("gid", "n", "prefix", "sketch", F.coalesce("rad", F.lit(0)).cast("long").alias("rad")))
+    heads = heads.join(radius, "gid", "left").select(
+        F.col("gid").alias("rid"), F.coalesce("rad", F.lit(0)).cast("long").alias("rad"))
+    whole = filled.join(heads, "rid").select(F.col("rid").alias("gid"), "n", "prefix", "sketch", "rad")
     group_pairs = candidate_groups(whole, percent).union(
         members.where("members > 1 and rid = gid").select(F.col("gid").alias("g1"), F.col("gid").alias("g2")))
-    side = lambda g, r, n, s: members.select(
-        F.col("gid").alias(g), F.col("rid").alias(r), F.col("n").alias(n), F.col("sketch").alias(s))
-    expanded = (group_pairs.join(side("g1", "a", "na", "sa"), "g1").join(side("g2", "b", "nb", "sb"), "g2")
-                .where("g1 <> g2 or a < b"))
+    side = lambda g, r, n, s, h: members.select(
+        F.col("gid").alias(g), F.col("rid").alias(r), F.col("n").alias(n), F.col("sketch").alias(s), F.col("h").alias(h))
+    expanded = (group_pairs.join(side("g1", "u", "na", "sa", "hu"), "g1").join(side("g2", "v", "nb", "sb", "hv"), "g2")
+                .where("g1 <> g2 or u < v").withColumn("far", _distance("sa", "sb")))
     need = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
-    close = expanded.where(_distance("sa", "sb") <= F.col("na") + F.col("nb") - 2 * need)
-    pairs = stored(close.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")), "pairs")
-    links = verified(docs, pairs, members.select("rid", "doc_id", "f1", "f2"), width, percent)
-    roots = components(links)
+    pairs = stored(expanded.where(F.col("far") <= F.col("na") + F.col("nb") - 2 * need)
+                   .select("u", "hu", "v", "hv", "far"), "pairs")
+    roots = linked_components(docs, pairs, width, percent)
     named = classes.join(roots, classes["rid"] == roots["node"], "left").select(
         "n", "f1", "f2", "least", F.coalesce("root", "rid").alias("root"))
     names = named.groupBy("root").agg(F.min("least").alias("component"))
