@@ -33,7 +33,9 @@ empty table gives no rows; the columns named in ``keep`` are carried along.
 
 from __future__ import annotations
 
+import hashlib
 import re
+import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -49,6 +51,8 @@ MARK = "▁"
 LITERAL = "\udfff"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 NONE = -np.inf
+#: Exit state of the ids that all exits of a chunk share.
+COMMON = -1
 
 
 @dataclass
@@ -60,10 +64,21 @@ class Vocabulary:
 
     def __post_init__(self):
         self.longest = max(map(len, self.pieces), default=1)
-        self.starts = {p[:n] for p in self.pieces for n in range(1, len(p) + 1)}
+        #: character -> [id or None, score, deeper characters]
+        self.trie: dict = {}
+        for piece, (i, score) in self.pieces.items():
+            level = self.trie
+            for n, ch in enumerate(piece, 1):
+                node = level.setdefault(ch, [None, 0.0, {}])
+                if n == len(piece):
+                    node[0], node[1] = i, score
+                level = node[2]
         inner = any(MARK in p.lstrip(MARK) for p in self.pieces)
-        #: without pieces that hold an inner mark, texts part before a mark
-        self.stretches = re.compile("[\\s\\S]+" if inner else f"{MARK}*[^{MARK}]+|{MARK}+")
+        alone = "".join(re.escape(c) for c in "\n\t\r\x0b\x0c" if not any(c in p for p in self.pieces))
+        #: texts part before a mark (unless some piece holds an inner one) and around
+        #: white space that is in no piece
+        self.stretches = re.compile("[\\s\\S]+" if inner else
+                                    f"{MARK}*[^{MARK}{alone}]+|{MARK}+" + (f"|[{alone}]" if alone else ""))
         self.cut = None if inner else re.compile(f"(?<=[^{MARK}]){MARK}")
 
     @property
@@ -95,10 +110,10 @@ def escaped(text: str) -> str:
 
 
 class Coder:
-    """Encodes stretches and chunks; remembers stretches (at most ``limit`` of them)."""
+    """Encodes stretches and chunks; remembers the last ``limit`` to twice ``limit`` stretches."""
 
-    def __init__(self, vocabulary: Vocabulary, limit: int = 300_000):
-        self.v, self.memo, self.limit = vocabulary, {}, limit
+    def __init__(self, vocabulary: Vocabulary, limit: int = 100_000):
+        self.v, self.memo, self.older, self.limit = vocabulary, {}, {}, limit
 
     def lattice(self, text: str, size: int, seed: list[float]) -> tuple[list[float], list[int]]:
         """Best scores at 0 .. size + states - 1 and the starts of the last pieces.
@@ -106,23 +121,25 @@ class Coder:
         ``seed`` are scores at the first places; pieces start before ``size`` and may
         end behind it. A start of -1 means that the seed itself is best.
         """
-        v, n = self.v, len(text)
-        score = [NONE] * (size + v.longest)
+        n, root, unknown = len(text), self.v.trie, self.v.unknown
+        score = [NONE] * (size + self.v.longest)
         score[:len(seed)] = seed[:len(score)]
         start = [-1] * len(score)
         for p in range(size):
             base = score[p]
             if base == NONE:
                 continue
-            if text[p] not in v.pieces and base + v.unknown > score[p + 1]:
-                score[p + 1], start[p + 1] = base + v.unknown, p
-            for q in range(p + 1, min(n, p + v.longest) + 1):
-                piece = text[p:q]
-                if piece not in v.starts:
+            node = root.get(text[p])
+            if (node is None or node[0] is None) and base + unknown > score[p + 1]:
+                score[p + 1], start[p + 1] = base + unknown, p
+            q = p + 1
+            while node is not None:
+                if node[0] is not None and base + node[1] > score[q]:
+                    score[q], start[q] = base + node[1], p
+                if q == n:
                     break
-                found = v.pieces.get(piece)
-                if found is not None and base + found[1] > score[q]:
-                    score[q], start[q] = base + found[1], p
+                node = node[2].get(text[q])
+                q += 1
         return score, start
 
     def ids(self, text: str, start: list[int], end: int) -> tuple[list[int], int]:
@@ -145,10 +162,13 @@ class Coder:
         """Packed ids and score of a stretch that no piece crosses the ends of."""
         known = self.memo.get(text)
         if known is None:
+            known = self.older.get(text)
+            if known is None:
+                score, start = self.lattice(text, len(text), [0.0])
+                ids = self.ids(text, start, len(text))[0]
+                known = struct.pack(f"<{len(ids)}i", *ids), score[len(text)]
             if len(self.memo) >= self.limit:
-                self.memo.clear()
-            score, start = self.lattice(text, len(text), [0.0])
-            known = np.array(self.ids(text, start, len(text))[0], "<i4").tobytes(), score[len(text)]
+                self.memo, self.older = {}, self.memo
             self.memo[text] = known
         return known
 
@@ -182,7 +202,10 @@ class Coder:
         return head[:, None] + middle + tail[None, :]
 
     def paths(self, body: str, size: int, seed: list[float]) -> Iterator[tuple[int, int, bytes]]:
-        """(exit state, entry state, packed ids) of each exit that can be reached."""
+        """(exit state, entry state, packed ids) of each exit that can be reached.
+
+        What all exits share comes first, once, as exit ``COMMON``.
+        """
         k = self.v.states
         pack = lambda ids: np.array(ids, "<i4").tobytes()
         cut = self.parts(body, size)
@@ -198,11 +221,12 @@ class Coder:
         if score[first] == NONE:
             return
         ids, entry = self.ids(body[:first], start, first)
-        front = pack(ids) + b"".join(self.stretch(s)[0] for s in self.v.stretches.findall(body[first:last]))
+        yield COMMON, entry, pack(ids) + b"".join(
+            self.stretch(s)[0] for s in self.v.stretches.findall(body[first:last]))
         score, start = self.lattice(body[last:], size - last, [0.0])
         for j in range(k):
             if score[size - last + j] > NONE:
-                yield j, entry, front + pack(self.ids(body[last:], start, size - last + j)[0])
+                yield j, entry, pack(self.ids(body[last:], start, size - last + j)[0])
 
 
 def max_plus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -222,11 +246,12 @@ def scan(matrices: np.ndarray) -> np.ndarray:
 
 
 def _chunks(docs: DataFrame, chunk_chars: int, reach: int) -> DataFrame:
-    """Chunk rows of long documents: ``rid, chunk, last, size, body``."""
+    """Chunk rows of long documents: ``rid, chunk, last, size, body``; the first chunk of a
+    document also has its ``kept`` columns and ``sha``."""
 
     def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            for rid, text in zip(frame["rid"], frame["text"]):
+            for rid, text, kept, sha in zip(frame["rid"], frame["text"], frame["kept"], frame["sha"]):
                 whole = MARK + escaped(text)
                 at = range(0, len(whole), chunk_chars)
                 for some in range(0, len(at), 64):
@@ -235,17 +260,26 @@ def _chunks(docs: DataFrame, chunk_chars: int, reach: int) -> DataFrame:
                     yield pd.DataFrame({
                         "rid": rid, "chunk": range(some, some + len(own)), "last": [a == at[-1] for a in own],
                         "size": [min(chunk_chars, len(whole) - a) for a in own],
+                        "kept": [None if some + i else kept for i in range(len(own))],
+                        "sha": [None if some + i else sha for i in range(len(own))],
                         "body": [b.encode("utf-8", "surrogatepass") for b in bodies]})
 
-    return docs.mapInPandas(cut, "rid long, chunk int, last boolean, size int, body binary")
+    kind = docs.schema["kept"].dataType.simpleString()
+    return docs.mapInPandas(cut, f"rid long, chunk int, last boolean, size int, kept {kind}, sha string, body binary")
+
+
+def decoded(ids: np.ndarray, bytes_of: list[bytes]) -> bytes:
+    """UTF-8 of the text that packed ids stand for."""
+    return b"".join(map(bytes_of.__getitem__, ids.tolist()))[1:]
 
 
 def _encode_long(docs: DataFrame, shared, chunk_chars: int) -> DataFrame:
-    """``rid, ids`` of long documents by the four steps."""
+    """``kept, ids, round_trip`` of long documents (kept, text, sha) by the four steps."""
     k = shared.value.states
     if chunk_chars <= k:
         raise ValueError(f"chunk_chars must exceed the longest piece ({k})")
-    chunks = stored(_chunks(docs, chunk_chars, k).repartition("rid", "chunk"), "chunks")
+    numbered = docs.withColumn("rid", F.monotonically_increasing_id())
+    chunks = stored(_chunks(numbered, chunk_chars, k).repartition("rid", "chunk"), "chunks")
 
     def matrices(frames):
         coder = Coder(shared.value)
@@ -267,36 +301,40 @@ def _encode_long(docs: DataFrame, shared, chunk_chars: int) -> DataFrame:
         for f in frames:
             for rid, chunk, last, size, body, seed in zip(*(f[c] for c in ("rid", "chunk", "last", "size", "body", "seed"))):
                 found = coder.paths(body.decode("utf-8", "surrogatepass"), size, np.frombuffer(seed).tolist())
-                rows = [(rid, chunk, j, i, ids) for j, i, ids in found if j == 0 or not last]
+                rows = [(rid, chunk, j, i, ids) for j, i, ids in found if j <= 0 or not last]
                 yield pd.DataFrame(rows, columns=["rid", "chunk", "leave", "enter", "ids"])
 
     def chain(own: pd.DataFrame) -> pd.DataFrame:
         step = {(c, j): i for c, j, i in zip(own["chunk"], own["leave"], own["enter"])}
         state, out = 0, []
         for chunk in range(own["chunk"].max(), -1, -1):
-            out.append((own["rid"].iloc[0], chunk, state))
+            out += [(own["rid"].iloc[0], chunk, COMMON), (own["rid"].iloc[0], chunk, state)]
             state = step[chunk, state]
         return pd.DataFrame(out, columns=["rid", "chunk", "leave"])
 
     def joined(frames):
         for f in frames:
-            yield pd.DataFrame({"rid": f["rid"], "ids": [
-                np.frombuffer(b"".join(x["ids"] for x in parts), "<i4") for parts in f["parts"]]})
+            ids = [np.frombuffer(b"".join(x["ids"] for x in parts), "<i4") for parts in f["parts"]]
+            yield pd.DataFrame({"rid": f["rid"], "ids": ids, "decoded_sha": [
+                hashlib.sha256(decoded(x, shared.value.bytes_of)).hexdigest() for x in ids]})
 
-    seeds = (chunks.mapInPandas(matrices, "rid long, chunk int, m binary")
+    seeds = (chunks.select("rid", "chunk", "size", "body").mapInPandas(matrices, "rid long, chunk int, m binary")
              .groupBy("rid").applyInPandas(borders, "rid long, chunk int, seed binary"))
-    traced = stored(chunks.join(seeds, ["rid", "chunk"])
+    traced = stored(chunks.select("rid", "chunk", "last", "size", "body").join(seeds, ["rid", "chunk"])
                     .mapInPandas(paths, "rid long, chunk int, leave int, enter int, ids binary"), "paths")
     chosen = traced.select("rid", "chunk", "leave", "enter").groupBy("rid").applyInPandas(
         chain, "rid long, chunk int, leave int")
     parts = traced.join(chosen, ["rid", "chunk", "leave"]).groupBy("rid").agg(
-        F.array_sort(F.collect_list(F.struct("chunk", "ids"))).alias("parts"))
-    return parts.mapInPandas(joined, "rid long, ids array<int>")
+        F.array_sort(F.collect_list(F.struct("chunk", "leave", "ids"))).alias("parts"))
+    whole = parts.mapInPandas(joined, "rid long, ids array<int>, decoded_sha string")
+    firsts = chunks.where("chunk = 0").select("rid", "kept", "sha")
+    return whole.join(firsts, "rid").select("kept", "ids", (F.col("sha") == F.col("decoded_sha")).alias("round_trip"))
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
-           chunk_chars: int = 16_384) -> DataFrame:
-    """``keep`` columns and ``ids`` (array<int>) of every whole text."""
+           chunk_chars: int = 16_384, check: bool = False) -> DataFrame:
+    """``keep`` columns and ``ids`` (array<int>) of every whole text; with ``check`` also
+    ``round_trip``, whether the ids decode to the very text."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(vocabulary)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept"),
@@ -306,16 +344,18 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: tu
     def short(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = Coder(shared.value)
         for frame in frames:
-            for at in range(0, len(frame), 512):
-                part = frame.iloc[at:at + 512]
-                yield pd.DataFrame({"kept": list(part["kept"]), "ids": [
-                    np.frombuffer(coder.encode(t), "<i4") for t in part["text"]]})
+            for at in range(0, len(frame), 256):
+                part = frame.iloc[at:at + 256]
+                ids = [np.frombuffer(coder.encode(t), "<i4") for t in part["text"]]
+                yield pd.DataFrame({"kept": list(part["kept"]), "ids": ids, "round_trip": [
+                    not check or decoded(x, shared.value.bytes_of) == t.encode("utf-8", "surrogatepass")
+                    for x, t in zip(ids, part["text"])]})
 
     is_long = F.length("text") > chunk_chars
-    brief = rows.where(~is_long).mapInPandas(short, f"kept {kept}, ids array<int>")
-    long = stored(rows.where(is_long).withColumn("rid", F.monotonically_increasing_id()), "long")
-    whole = long.select("rid", "kept").join(_encode_long(long.select("rid", "text"), shared, chunk_chars), "rid")
-    return brief.unionByName(whole.select("kept", "ids")).select("kept.*", "ids")
+    brief = rows.where(~is_long).mapInPandas(short, f"kept {kept}, ids array<int>, round_trip boolean")
+    long = rows.where(is_long).withColumn("sha", F.sha2("text", 256))
+    out = brief.unionByName(_encode_long(long, shared, chunk_chars))
+    return out.select("kept.*", "ids", *["round_trip"][:check])
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", output: str = "decoded") -> DataFrame:
@@ -328,8 +368,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", output:
         for column in columns:
             out = []
             for own in column:
-                raw = b"".join(map(table.__getitem__, own.tolist())) if own is not None else b""
-                out.append(raw.decode("utf-8", "replace")[1:])
+                out.append(decoded(own, table).decode("utf-8", "replace") if own is not None else "")
             yield pd.Series(out, dtype=object)
 
     return encoded.withColumn(output, text_of(F.col(ids)))
@@ -337,9 +376,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", output:
 
 def digest(docs: DataFrame, vocabulary: Vocabulary, **options) -> DataFrame:
     """Per document: counts, a hash of the ids, and whether decoding gives the text back."""
-    body = F.coalesce("text", F.lit(""))
-    keyed = docs.select("doc_id", F.length(body).alias("n_chars"), F.sha2(body, 256).alias("own"), "text")
-    coded = decode(encode(keyed, vocabulary, keep=("doc_id", "n_chars", "own"), **options), vocabulary)
-    return coded.select("doc_id", F.col("n_chars").cast("long").alias("n_chars"),
-                        F.size("ids").cast("long").alias("n_tokens"), F.xxhash64("ids").alias("ids_hash"),
-                        (F.sha2("decoded", 256) == F.col("own")).alias("round_trip"))
+    keyed = docs.select("doc_id", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"), "text")
+    coded = encode(keyed, vocabulary, keep=("doc_id", "n_chars"), check=True, **options)
+    return coded.select("doc_id", "n_chars", F.size("ids").cast("long").alias("n_tokens"),
+                        F.xxhash64("ids").alias("ids_hash"), "round_trip")
