@@ -220,8 +220,8 @@ def by_pairs(texts, width, percent):
     return {i: (len(s), find(i)) for i, s in enumerate(sets)}
 
 
-@pytest.mark.parametrize("block", [3, jaccard_join.BLOCK])
-def test_components_against_all_pairs(spark, make_docs, monkeypatch, block):
+@pytest.mark.parametrize("block,cases", [(3, [(4, 85), (5, 80)]), (jaccard_join.BLOCK, [(3, 50)])])
+def test_components_against_all_pairs(spark, make_docs, monkeypatch, block, cases):
     monkeypatch.setattr(jaccard_join.candidate_groups, "__defaults__", (block,))
     rng = random.Random(block)
     vocabulary = [f"w{i}" for i in range(500)]
@@ -234,7 +234,7 @@ def test_components_against_all_pairs(spark, make_docs, monkeypatch, block):
             for _ in range(rng.choice([0, 0, 1, 1, 2, 4])):
                 copy[rng.randrange(len(copy))] = rng.choice(vocabulary)
             texts.append(" ".join(copy))
-    for width, percent in ((4, 85), (5, 80), (3, 50)):
+    for width, percent in cases:
         out = jaccard_join.jaccard_components(make_docs(texts), width=width, percent=percent).collect()
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == by_pairs(texts, width, percent)
 
