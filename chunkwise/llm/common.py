@@ -41,7 +41,7 @@ def utf8(text) -> bytes:
     return text.encode("utf-8", "surrogatepass") if isinstance(text, str) else b""
 
 
-def slices(frames: Iterator[pd.DataFrame], max_bytes: int = 4 << 20,
+def slices(frames: Iterator[pd.DataFrame], max_bytes: int = 1 << 20,
            column: str = "text") -> Iterator[tuple[pd.DataFrame, list[bytes]]]:
     """Cut Arrow batches into runs of rows of about ``max_bytes`` of text.
 
@@ -49,15 +49,16 @@ def slices(frames: Iterator[pd.DataFrame], max_bytes: int = 4 << 20,
     longest single text.
     """
     for frame in frames:
-        texts = [utf8(t) for t in frame[column]]
-        start, size = 0, 0
-        for i, t in enumerate(texts):
-            if size and size + len(t) > max_bytes:
-                yield frame.iloc[start:i], texts[start:i]
-                start, size = i, 0
-            size += len(t) + 64
-        if start < len(texts):
-            yield frame.iloc[start:], texts[start:]
+        start, size, texts = 0, 0, []
+        for i, text in enumerate(frame[column]):
+            raw = utf8(text)
+            if size and size + len(raw) > max_bytes:
+                yield frame.iloc[start:i], texts
+                start, size, texts = i, 0, []
+            texts.append(raw)
+            size += len(raw) + 64
+        if texts:
+            yield frame.iloc[start:], texts
 
 
 class Interner(dict):
@@ -79,7 +80,7 @@ class WordMemo:
     and never changes a value.
     """
 
-    def __init__(self, compute, width: int, limit: int = 300_000):
+    def __init__(self, compute, width: int, limit: int = 100_000):
         self.compute, self.width, self.limit = compute, width, limit
         self._clear()
 
