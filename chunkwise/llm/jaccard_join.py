@@ -17,7 +17,9 @@ documents link when 100 * intersection >= ``percent`` * union. The steps:
    distance of 512-bit parity sketches, which never exceeds the symmetric
    difference (a group's radius covers its other members). Buckets with many groups
    are cut into blocks, and pairs of blocks go to separate places, so no task holds
-   more than two blocks of a bucket.
+   more than two blocks of a bucket. For ``ROUNDS`` turns every group gives its closest
+   candidate of another component in each bucket alone; all remaining candidates of
+   different components follow, so a group of near copies does not give all its pairs.
 4. Group pairs are expanded to pairs of classes, filtered by their own sketches, and
    verified on the whole sets; pairs that other links have joined already are not.
 5. Components come from star rounds over the verified links.
@@ -46,6 +48,8 @@ from chunkwise.llm.components import components
 FREQUENT = 1000
 #: Groups of a bucket that one block holds.
 BLOCK = 20_000
+#: Turns that take each group's closest candidate only.
+ROUNDS = 2
 SKETCH = 512
 #: Bits of the map that marks rows to verify.
 SLOTS = 1 << 23
@@ -171,17 +175,19 @@ def _distance(a: str, b: str):
     return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
 
 
-def _bucket_pairs(percent: int):
-    """Candidate pairs within sorted buckets; see step 3."""
+def _bucket_pairs(percent: int, nearest: bool):
+    """Candidate pairs within sorted buckets (step 3): with ``nearest`` each row's closest
+    candidate, otherwise all candidates of different labels."""
 
     def pairs(rows: pd.DataFrame) -> pd.DataFrame:
         bucket = np.unique(rows[["token", "low", "high"]].to_numpy(), axis=0, return_inverse=True)[1].ravel()
         order = np.lexsort((rows["n"].to_numpy(), bucket))
         rows, bucket = rows.iloc[order], bucket[order]
-        n, pos, rad, gid = (rows[c].to_numpy() for c in ("n", "pos", "rad", "gid"))
+        n, pos, rad, gid, label = (rows[c].to_numpy() for c in ("n", "pos", "rad", "gid", "label"))
         block, one = rows["block"].to_numpy(), (rows["low"] == rows["high"]).to_numpy()
         sketch = np.stack(rows["sketch"].to_numpy()).astype(np.int64).view(np.uint64)
-        left, right = [], []
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        least, partner = np.full(len(rows), np.iinfo(np.int64).max), np.full(len(rows), -1)
         at, gap = np.arange(len(rows)), 0
         while len(at):
             gap += 1
@@ -191,15 +197,22 @@ def _bucket_pairs(percent: int):
             near = (bucket[at] == bucket[to]) & (100 * n[at] >= percent * n[to])
             at, to = at[near], to[near]
             need = -(-percent * (n[at] + n[to]) // (100 + percent))
-            ok = (1 + np.minimum(n[at] - pos[at], n[to] - pos[to]) - 1 >= need) & (one[at] | (block[at] != block[to]))
+            ok = (label[at] != label[to]) & (one[at] | (block[at] != block[to]))
+            ok &= np.minimum(n[at] - pos[at], n[to] - pos[to]) >= need
             i, j, need = at[ok], to[ok], need[ok]
-            far = np.bitwise_count(sketch[i] ^ sketch[j]).sum(1, dtype=np.int64)
-            ok = far - rad[i] - rad[j] <= n[i] + n[j] - 2 * need
-            left.append(np.minimum(gid[i[ok]], gid[j[ok]]))
-            right.append(np.maximum(gid[i[ok]], gid[j[ok]]))
-        found = pd.DataFrame({"g1": np.concatenate(left) if left else np.zeros(0, np.int64),
-                              "g2": np.concatenate(right) if right else np.zeros(0, np.int64)})
-        return found.drop_duplicates()
+            far = np.bitwise_count(sketch[i] ^ sketch[j]).sum(1, dtype=np.int64) - rad[i] - rad[j]
+            ok = far <= n[i] + n[j] - 2 * need
+            i, j, far = i[ok], j[ok], far[ok]
+            if nearest:
+                for x, y in ((i, j), (j, i)):  # each place occurs once on either side
+                    less = far < least[x]
+                    least[x[less]], partner[x[less]] = far[less], y[less]
+            else:
+                left.append(i)
+                right.append(j)
+        i = np.flatnonzero(partner >= 0) if nearest else np.concatenate(left)
+        j = partner[i] if nearest else np.concatenate(right)
+        return pd.DataFrame({"g1": np.minimum(gid[i], gid[j]), "g2": np.maximum(gid[i], gid[j])}).drop_duplicates()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -238,29 +251,35 @@ def _shared_only(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rest
 
 
-def candidate_groups(groups: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
-    """Distinct pairs ``g1 < g2`` of groups that may hold linked members (step 3).
+def shared_prefixes(groups: DataFrame) -> DataFrame:
+    """``token, gid, n, pos``: prefix shingles that two groups or more have.
 
-    Most prefix shingles occur in one group only; they are dropped in the first
-    sorted pass, before sketches are attached and buckets are cut into blocks.
+    Most prefix shingles occur in one group only and go in this one sorted pass,
+    before sketches are attached.
     """
     packed = F.posexplode(F.col("prefix")).alias("pos", "token")
     tokens = groups.select("gid", "n", packed).select(
         "token", "gid", F.shiftleft(F.col("n"), 32).bitwiseOR(F.col("pos").cast("long")).alias("np"))
     shared = (tokens.repartition("token").sortWithinPartitions("token")
               .mapInPandas(_shared_only, "token long, gid long, np long"))
-    shared = stored(shared.select("token", "gid", F.shiftright("np", 32).alias("n"),
-                                  F.col("np").bitwiseAND((1 << 32) - 1).cast("int").alias("pos")), "shared")
+    return stored(shared.select("token", "gid", F.shiftright("np", 32).alias("n"),
+                                F.col("np").bitwiseAND((1 << 32) - 1).cast("int").alias("pos")), "shared")
+
+
+def candidate_groups(shared: DataFrame, groups: DataFrame, percent: int, nearest: bool,
+                     block: int = BLOCK) -> DataFrame:
+    """Distinct pairs ``g1 < g2`` of groups of different ``label`` that may hold linked
+    members (step 3); with ``nearest`` only the closest one of each group and shingle."""
     blocks = (shared.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
               .where("blocks > 1"))
-    shared = (shared.join(blocks, "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-              .join(groups.select("gid", "rad", "sketch"), "gid"))
-    shared = shared.withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks").cast("long")).cast("int"))
-    shared = shared.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    shared = shared.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    placed = (shared.select("token", "low", "high", "block", "gid", "n", "pos", "rad", "sketch")
+    rows = (shared.join(blocks, "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+            .join(groups.select("gid", "rad", "sketch", "label"), "gid"))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks").cast("long")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    placed = (rows.select("token", "low", "high", "block", "gid", "n", "pos", "rad", "label", "sketch")
               .repartition("token", "low", "high").sortWithinPartitions("token", "low", "high"))
-    return placed.mapInPandas(_bucket_pairs(percent), "g1 long, g2 long").distinct()
+    return placed.mapInPandas(_bucket_pairs(percent, nearest), "g1 long, g2 long").distinct()
 
 
 def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -271,6 +290,8 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
     """
     ends = pairs.select(F.col("hu").alias("h")).union(pairs.select(F.col("hv").alias("h")))
     found = ends.select(F.pmod("h", F.lit(SLOTS)).alias("slot")).distinct().toPandas()["slot"].to_numpy(np.int64)
+    if not len(found):
+        return pairs.select("u", "v")
     wanted = np.zeros(SLOTS, bool)
     wanted[found] = True
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(wanted))
@@ -305,34 +326,28 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
     return stored(full.select("u", "v", "a", "b").mapInPandas(link, "u long, v long").distinct(), "links")
 
 
-def linked_components(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Components of the candidate pairs that link (columns u, hu, v, hv, far).
+def linked_components(docs: DataFrame, pairs: DataFrame, width: int, percent: int,
+                      known: DataFrame | None = None) -> DataFrame:
+    """``node, root`` of the components of the candidate pairs (u, hu, v, hv, far) that
+    link, and of the ``known`` components given in the same form.
 
-    Pairs within one component need no check, so pairs are verified in three turns:
-    each node's closest partner, then the closest pair between two components, then
-    all pairs that are still between two components.
+    Pairs within one component need no check. Without ``known`` components each
+    node's closest pair is verified first, so that most others need none.
     """
-    near = F.struct("far", "u", "v", "hu", "hv")
-    sides = pairs.select(F.col("u").alias("node"), near.alias("p")).union(
-        pairs.select(F.col("v").alias("node"), near.alias("p")))
-    first = sides.groupBy("node").agg(F.min("p").alias("p")).select("p.*").distinct()
-    links = verified(docs, first, width, percent)
-    roots = components(links)
-
-    def between(roots: DataFrame) -> DataFrame:
-        of = lambda end: roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
-        apart = pairs.join(of("u"), "u", "left").join(of("v"), "v", "left")
-        apart = apart.withColumn("x", F.coalesce("root_u", "u")).withColumn("y", F.coalesce("root_v", "v"))
-        return stored(apart.where("x <> y").select("u", "hu", "v", "hv", "far", F.least("x", "y").alias("x"),
-                                                   F.greatest("x", "y").alias("y")), "between")
-
-    second = between(roots).join(first.select("u", "v"), ["u", "v"], "left_anti")
-    second = second.groupBy("x", "y").agg(F.min(near).alias("p")).select("p.*")
-    links = links.union(verified(docs, second, width, percent))
-    roots = components(links)
-    third = (between(roots).join(first.select("u", "v"), ["u", "v"], "left_anti")
-             .join(second.select("u", "v"), ["u", "v"], "left_anti"))
-    return components(links.union(verified(docs, third, width, percent)))
+    links = known.select(F.col("node").alias("u"), F.col("root").alias("v")) if known is not None else None
+    if known is None:
+        near = F.struct("far", "u", "v", "hu", "hv")
+        sides = pairs.select(F.col("u").alias("node"), near.alias("p")).union(
+            pairs.select(F.col("v").alias("node"), near.alias("p")))
+        first = sides.groupBy("node").agg(F.min("p").alias("p")).select("p.*").distinct()
+        links = verified(docs, first, width, percent)
+        known = components(links)
+        pairs = pairs.join(first.select("u", "v"), ["u", "v"], "left_anti")
+    of = lambda end: known.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+    apart = pairs.join(of("u"), "u", "left").join(of("v"), "v", "left").where(
+        F.coalesce("root_u", "u") != F.coalesce("root_v", "v"))
+    apart = stored(apart.select("u", "hu", "v", "hv"), "apart")
+    return stored(components(links.union(verified(docs, apart, width, percent))), "roots")
 
 
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 4,
@@ -353,16 +368,29 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     heads = heads.join(radius, "gid", "left").select(
         F.col("gid").alias("rid"), F.coalesce("rad", F.lit(0)).cast("long").alias("rad"))
     whole = filled.join(heads, "rid").select(F.col("rid").alias("gid"), "n", "prefix", "sketch", "rad")
-    group_pairs = candidate_groups(whole, percent).union(
-        members.where("members > 1 and rid = gid").select(F.col("gid").alias("g1"), F.col("gid").alias("g2")))
+    shared = shared_prefixes(whole)
+    whole = stored(whole.select("gid", "sketch", "rad"), "groups")
     side = lambda g, r, n, s, h: members.select(
         F.col("gid").alias(g), F.col("rid").alias(r), F.col("n").alias(n), F.col("sketch").alias(s), F.col("h").alias(h))
-    expanded = (group_pairs.join(side("g1", "u", "na", "sa", "hu"), "g1").join(side("g2", "v", "nb", "sb", "hv"), "g2")
-                .where("g1 <> g2 or u < v").withColumn("far", _distance("sa", "sb")))
     need = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
-    pairs = stored(expanded.where(F.col("far") <= F.col("na") + F.col("nb") - 2 * need)
-                   .select("u", "hu", "v", "hv", "far"), "pairs")
-    roots = linked_components(docs, pairs, width, percent)
+
+    def expanded(group_pairs: DataFrame) -> DataFrame:
+        full = (group_pairs.join(side("g1", "u", "na", "sa", "hu"), "g1").join(side("g2", "v", "nb", "sb", "hv"), "g2")
+                .where("g1 <> g2 or u < v").withColumn("far", _distance("sa", "sb")))
+        return stored(full.where(F.col("far") <= F.col("na") + F.col("nb") - 2 * need)
+                      .select("u", "hu", "v", "hv", "far"), "pairs")
+
+    # first the closest candidates between components, then all that still lie between them
+    own = members.where("members > 1 and rid = gid").select(F.col("gid").alias("g1"), F.col("gid").alias("g2"))
+    labelled, roots = whole.withColumn("label", F.col("gid")), None
+    for turn in range(ROUNDS + 1):
+        found = candidate_groups(shared, labelled, percent, turn < ROUNDS)
+        roots = linked_components(docs, expanded(found if turn else found.union(own)), width, percent, roots)
+        if turn < ROUNDS:
+            ends = members.join(roots, members["rid"] == roots["node"], "left").groupBy("gid").agg(
+                F.min(F.coalesce("root", "rid")).alias("a"), F.max(F.coalesce("root", "rid")).alias("b"))
+            labelled = whole.join(ends, "gid").withColumn(
+                "label", F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(-1 - F.col("gid")))
     named = classes.join(roots, classes["rid"] == roots["node"], "left").select(
         "n", "f1", "f2", "least", F.coalesce("root", "rid").alias("root"))
     names = named.groupBy("root").agg(F.min("least").alias("component"))
