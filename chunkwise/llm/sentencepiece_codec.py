@@ -315,8 +315,9 @@ def _encode_long(docs: DataFrame, shared, chunk_chars: int) -> DataFrame:
     def joined(frames):
         for f in frames:
             ids = [np.frombuffer(b"".join(x["ids"] for x in parts), "<i4") for parts in f["parts"]]
-            yield pd.DataFrame({"rid": f["rid"], "ids": ids, "decoded_sha": [
-                hashlib.sha256(decoded(x, shared.value.bytes_of)).hexdigest() for x in ids]})
+            yield pd.DataFrame({"kept": list(f["kept"]), "ids": ids, "round_trip": [
+                hashlib.sha256(decoded(x, shared.value.bytes_of)).hexdigest() == sha
+                for x, sha in zip(ids, f["sha"])]})
 
     seeds = (chunks.select("rid", "chunk", "size", "body").mapInPandas(matrices, "rid long, chunk int, m binary")
              .groupBy("rid").applyInPandas(borders, "rid long, chunk int, seed binary"))
@@ -326,9 +327,9 @@ def _encode_long(docs: DataFrame, shared, chunk_chars: int) -> DataFrame:
         chain, "rid long, chunk int, leave int")
     parts = traced.join(chosen, ["rid", "chunk", "leave"]).groupBy("rid").agg(
         F.array_sort(F.collect_list(F.struct("chunk", "leave", "ids"))).alias("parts"))
-    whole = parts.mapInPandas(joined, "rid long, ids array<int>, decoded_sha string")
     firsts = chunks.where("chunk = 0").select("rid", "kept", "sha")
-    return whole.join(firsts, "rid").select("kept", "ids", (F.col("sha") == F.col("decoded_sha")).alias("round_trip"))
+    kind = docs.schema["kept"].dataType.simpleString()
+    return parts.join(firsts, "rid").mapInPandas(joined, f"kept {kind}, ids array<int>, round_trip boolean")
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
