@@ -22,6 +22,7 @@ import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -38,20 +39,28 @@ def _vote(bad: bool, good: bool) -> int:
     return BAD if bad else GOOD if good else ABSTAIN
 
 
-def _stops(m: Measures) -> int:
-    return sum(w.endswith((b".", b"!", b"?")) and not w.endswith((b"!!", b"??", b"...")) for w in m.words)
-
-
 _PLAIN = re.compile(rb"[A-Za-z0-9\x80-\xff'-]+[.,;:!?]?")
 _RUN = re.compile(rb"([!-/:-@\[-`{-~])\1")
 
 
-def _plain(m: Measures) -> int:
-    return sum(_PLAIN.fullmatch(w) is not None for w in m.words)
+class WordMeasures(Measures):
+    """Further lazy measures, over the words of a text."""
+
+    @cached_property
+    def n_plain(self) -> int:
+        return sum(map(bool, map(_PLAIN.fullmatch, self.words)))
+
+    @cached_property
+    def n_runs(self) -> int:
+        return sum(map(bool, map(_RUN.search, self.words)))
 
+    @cached_property
+    def n_stops(self) -> int:
+        return sum(w.endswith((b".", b"!", b"?")) and not w.endswith((b"!!", b"??", b"...")) for w in self.words)
 
-def _runs(m: Measures) -> int:
-    return sum(_RUN.search(w) is not None for w in m.words)
+    @cached_property
+    def n_distinct(self) -> int:
+        return len(set(self.words))
 
 
 #: Labellers in order of their place in a vote pattern.
@@ -62,14 +71,14 @@ LABELLERS = (
     ("top_word", lambda m: _vote(m.n_words >= 20 and 4 * m.top_word > m.n_words, m.n_words >= 20 and 6 * m.top_word < m.n_words)),
     ("letters", lambda m: _vote(10 * m.letter_words < 7 * m.n_words, 20 * m.letter_words > 19 * m.n_words)),
     ("repeated_lines", lambda m: _vote(2 * m.n_dup_lines > m.n_lines, m.n_lines > 2 and m.n_dup_lines == 0)),
-    ("sentences", lambda m: _vote(m.n_words >= 50 and _stops(m) == 0, m.n_words > 0 and _stops(m) > 0)),
-    ("plain_words", lambda m: _vote(2 * _plain(m) < m.n_words, m.n_words > 0 and 10 * _plain(m) > 9 * m.n_words)),
-    ("doubled_marks", lambda m: _vote(10 * _runs(m) > m.n_words, m.n_words > 0 and 50 * _runs(m) < m.n_words)),
-    ("variety", lambda m: _vote(m.n_words >= 50 and 5 * len(set(m.words)) < m.n_words, 5 * len(set(m.words)) > 2 * m.n_words)),
+    ("sentences", lambda m: _vote(m.n_words >= 50 and m.n_stops == 0, m.n_words > 0 and m.n_stops > 0)),
+    ("plain_words", lambda m: _vote(2 * m.n_plain < m.n_words, m.n_words > 0 and 10 * m.n_plain > 9 * m.n_words)),
+    ("doubled_marks", lambda m: _vote(10 * m.n_runs > m.n_words, m.n_words > 0 and 50 * m.n_runs < m.n_words)),
+    ("variety", lambda m: _vote(m.n_words >= 50 and 5 * m.n_distinct < m.n_words, 5 * m.n_distinct > 2 * m.n_words)),
 )
 
 
-def votes(m: Measures) -> int:
+def votes(m: WordMeasures) -> int:
     """Vote pattern of a text as a number in base 3."""
     pattern = 0
     for _, labeller in LABELLERS:
@@ -137,10 +146,10 @@ def slot(kind: bytes, name: bytes, slots: int) -> int:
 MEASURES = (b"repeat", b"lines", b"symbols", b"top", b"runs", b"one")
 
 
-def named(m: Measures) -> list[float]:
+def named(m: WordMeasures) -> list[float]:
     n = max(1, m.n_words)
     return [m.n_repeat_words / n, m.n_dup_lines / max(1, m.n_lines), min(1.0, m.n_symbols / n),
-            m.top_word / n if m.n_words >= 20 else 0.0, _runs(m) / n, 1.0]
+            m.top_word / n if m.n_words >= 20 else 0.0, m.n_runs / n, 1.0]
 
 
 def word_slots(words: list[bytes], slots: int) -> np.ndarray:
@@ -156,7 +165,7 @@ def train(texts: list, target: np.ndarray, slots: int = 1 << 16, epochs: int = 8
     memo: dict[bytes, tuple[int, int]] = {}
     bags = []
     for text in texts:
-        m = Measures(utf8(text))
+        m = WordMeasures(utf8(text))
         for w in m.words:
             if w not in memo:
                 memo[w] = slot(b"w", w.lower(), slots), slot(b"s", shape(w), slots)
@@ -179,7 +188,7 @@ def label_model(rows: DataFrame) -> LabelModel:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, texts in slices(frames):
-            yield pd.DataFrame({"pattern": [votes(Measures(t)) for t in texts]})
+            yield pd.DataFrame({"pattern": [votes(WordMeasures(t)) for t in texts]})
 
     found = (rows.select("text").mapInPandas(run, "pattern long").groupBy("pattern")
              .agg(F.count(F.lit(1)).alias("n")).orderBy("pattern").collect())
@@ -201,7 +210,7 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     model = label_model(rows)
     texts = sample(rows, train_rows)
-    patterns = np.array([votes(Measures(utf8(t))) for t in texts], np.int64)
+    patterns = np.array([votes(WordMeasures(utf8(t))) for t in texts], np.int64)
     weights = train(texts, model.posterior(patterns) if texts else np.zeros(0), slots)
     shared = docs.sparkSession.sparkContext.broadcast((model, weights))
 
@@ -209,7 +218,7 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
         labels, w = shared.value
         memo = WordMemo(lambda words: w[word_slots(words, slots)].sum(1, keepdims=True), 1)
         for own, raws in slices(frames):
-            measures = [Measures(t) for t in raws]
+            measures = [WordMeasures(t) for t in raws]
             ids = memo.rows([m.words for m in measures])
             odds = [float(memo.values[x, 0].sum(dtype=np.float64)) / max(1, len(x)) + float(w[slots:] @ named(m))
                     for x, m in zip(ids, measures)]
