@@ -7,7 +7,7 @@ estimates each labeller's vote probabilities under either class and the share of
 good documents. The posterior of a document's pattern is its weak label.
 
 A linear scorer is then trained in numpy on the weak labels of a bounded sample
-(``train_rows`` documents of small text hash): hashed words and word shapes,
+(``train_rows`` distinct non-blank texts of small hash): hashed words and word shapes,
 averaged over the text, and a few named measures. It scores every whole text.
 
 Defined cases: null, empty and blank texts have no words, all labellers abstain and
@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunkwise.llm.common import WordMemo, slices, utf8
+from chunkwise.llm.common import WORD_CLASS, WordMemo, slices, utf8
 from chunkwise.llm.quality_rules import Measures
 
 GOOD, BAD, ABSTAIN = 1, 0, 2
@@ -196,10 +196,13 @@ def label_model(rows: DataFrame) -> LabelModel:
 
 
 def sample(rows: DataFrame, train_rows: int) -> list:
-    """Texts of small hash, about and at most ``train_rows`` of them, in order of hash."""
-    share = min(1.0, train_rows / max(1, rows.count()))
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
-    picked = rows.select("text", place.alias("h")).where(F.col("h") <= int(share * (1 << 30)))
+    """Distinct texts of small hash with a word in them, about and at most ``train_rows``
+    of them, in order of hash; neither blank texts nor copies can fill the sample."""
+    texts = rows.where(F.col("text").rlike(WORD_CLASS)).select("text", F.xxhash64("text").alias("key"))
+    n = texts.agg(F.approx_count_distinct("key", 0.02)).first()[0]
+    share = min(1.0, 1.1 * train_rows / max(1, n))  # the count is a few per cent off at most
+    place = F.pmod("key", F.lit(1 << 30))
+    picked = texts.select("text", place.alias("h")).where(F.col("h") <= int(share * (1 << 30))).distinct()
     return [r.text for r in picked.orderBy("h", "text").limit(train_rows).collect()]
 
 
