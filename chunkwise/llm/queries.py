@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from chunkwise.llm import (decontamination, jaccard_join, language_id, lm_scoring,
                            quality_classifier, quality_rules, secret_scan, sentencepiece_codec,
-                           substring_dedup, toxicity)
+                           source_divergence, substring_dedup, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -53,7 +53,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.classify(table(spark, sf_dir, "documents"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_secret_scans, op2_substring_dedup, op3_toxicity, op4_quality_rules,
                                      op5_quality_classifier, op6_ngram_jaccard_join, op7_sentencepiece,
                                      op8_benchmark_decontamination, op9_lm_scoring,
-                                     op10_language_id)}
+                                     op10_language_id, op11_source_divergence)}

@@ -94,4 +94,30 @@ FROM d LEFT JOIN n USING (rid)
 JOIN (SELECT r.u AS rid, min(t.doc_id) AS component_id FROM reach r JOIN d t ON t.rid = r.v GROUP BY r.u) c USING (rid)
 """
 
-SQL = {"op6_ngram_jaccard_join": OP6, "op1_secret_scans": OP1, "op4_quality_rules": OP4}
+OP11 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+           FROM documents),
+w AS (SELECT rid, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY ALL HAVING count(DISTINCT rid) >= 30),
+l AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT d.lang, d.source, any_value(coalesce(s.n, 0)) AS n
+      FROM d LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL) s USING (lang, source) GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS cnt,
+             1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (g.n + 5 * l.v)::HUGEINT AS p,
+             1 + (1000000000::HUGEINT * (k.n + 5)) // (l.n + 5 * l.v)::HUGEINT AS q
+      FROM g JOIN l USING (lang) JOIN kept k USING (lang)
+      LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+x AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+      FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(x.value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM p WHERE cnt > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+           FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+SQL = {"op11_source_divergence": OP11, "op6_ngram_jaccard_join": OP6, "op1_secret_scans": OP1, "op4_quality_rules": OP4}
