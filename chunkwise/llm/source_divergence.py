@@ -271,7 +271,7 @@ def _pair_sums(shares: DataFrame, groups: DataFrame) -> DataFrame:
     right = right.toDF(*right.columns)  # both sides come from ``groups``
     schema = "lang string, a string, b string, extra long, base long"
 
-    def sums(key, terms: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
+    def sums(key: tuple, terms: pd.DataFrame, members: pd.DataFrame) -> pd.DataFrame:
         members = members.sort_values("at").reset_index(drop=True)
         place = pd.Series(members.index, index=members["at"])
         codes, names = pd.factorize(terms["term"])

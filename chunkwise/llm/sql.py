@@ -120,4 +120,61 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY
 SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
 """
 
-SQL = {"op11_source_divergence": OP11, "op6_ngram_jaccard_join": OP6, "op1_secret_scans": OP1, "op4_quality_rules": OP4}
+_CRC = """xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''),
+        lambda x: ascii(x)::BIGINT), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)"""
+_TAB = """list_transform(range(0, 256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+
+
+def _leaf(text: str) -> str:
+    fields = ("doc_id", "source", "lang", "n_chars", text)
+    return "sha256(" + " || ".join(
+        f"coalesce(strlen({f}::VARCHAR) || ':' || {f}::VARCHAR, '-')" for f in fields) + ")"
+
+
+def _tree(name: str, leaves: str, levels: int) -> str:
+    """CTEs of a tree of eight: {name}0.. (tree, pos, h), {name}s0.. (siblings), {name}top."""
+    out = [f"{name}0 AS MATERIALIZED ({leaves})"]
+    for k in range(levels):
+        out.append(f"""{name}n{k} AS MATERIALIZED (SELECT tree FROM {name}{k} GROUP BY tree HAVING count(*) > 1),
+{name}{k + 1} AS MATERIALIZED (SELECT tree, pos // 8 AS pos, sha256(string_agg(h, '' ORDER BY pos)) AS h
+  FROM {name}{k} SEMI JOIN {name}n{k} USING (tree) GROUP BY ALL),
+{name}s{k} AS MATERIALIZED (SELECT tree, pos,
+  coalesce(string_agg(h, '') OVER (PARTITION BY tree, pos // 8 ORDER BY pos
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(h, '') OVER (PARTITION BY tree, pos // 8 ORDER BY pos
+    ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}{k} SEMI JOIN {name}n{k} USING (tree))""")
+    tops = " UNION ALL ".join(f"SELECT tree, any_value(h) AS h FROM {name}{k} GROUP BY tree HAVING count(*) = 1"
+                              for k in range(levels + 1))
+    return ",\n".join([*out, f"{name}top AS ({tops})"])
+
+
+def _fold(name: str, tree: str, start: str, levels: int) -> str:
+    """CTEs {name}0..{name}levels: (rid, tree, pos, cur, proof) folded through the siblings of ``tree``."""
+    out = [f"{name}0 AS MATERIALIZED ({start})"]
+    for k in range(levels):
+        out.append(f"""{name}{k + 1} AS MATERIALIZED (SELECT rid, tree, p.pos // 8 AS pos,
+  CASE WHEN s.l IS NULL THEN cur ELSE sha256(s.l || cur || s.r) END AS cur,
+  proof || coalesce(s.l || s.r, '') AS proof FROM {name}{k} p LEFT JOIN {tree}s{k} s USING (tree, pos))""")
+    return ",\n".join(out)
+
+
+OP12 = f"""
+WITH t AS (SELECT {_TAB} AS tab),
+docs AS (SELECT *, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, coalesce('+' || lang, '') AS tree,
+       {_leaf('text')} AS leaf, CASE WHEN {_CRC} % 3 = 0 THEN {_leaf('low')} ELSE {_leaf('text')} END AS shown
+     FROM docs, t),
+o AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM d),
+{_tree("a", "SELECT tree, pos, leaf AS h FROM o", 8)},
+{_tree("b", "SELECT '' AS tree, row_number() OVER (ORDER BY tree) - 1 AS pos, h FROM atop", 4)},
+place AS (SELECT tree, row_number() OVER (ORDER BY tree) - 1 AS pos FROM atop),
+{_fold("f", "a", "SELECT rid, tree, pos, shown AS cur, '' AS proof FROM o", 8)},
+{_fold("g", "b", "SELECT f.rid, '' AS tree, p.pos, f.cur, f.proof FROM f8 f JOIN place p USING (tree)", 4)}
+SELECT o.doc_id, o.leaf, atop.h AS subroot, btop.h AS root, sha256(g.proof) AS proof_sha256,
+       g.cur AS folded_root, g.cur = btop.h AS verified
+FROM o JOIN g4 g USING (rid) JOIN atop ON atop.tree = o.tree, btop
+"""
+
+SQL = {"op12_merkle_manifest": OP12, "op11_source_divergence": OP11, "op6_ngram_jaccard_join": OP6, "op1_secret_scans": OP1, "op4_quality_rules": OP4}
