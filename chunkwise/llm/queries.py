@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from chunkwise.llm import (decontamination, jaccard_join, language_id, lm_scoring,
-                           quality_classifier, quality_rules, secret_scan, sentencepiece_codec,
-                           source_divergence, substring_dedup, toxicity)
+                           merkle_manifest, pii, quality_classifier, quality_rules, secret_scan,
+                           sentencepiece_codec, source_divergence, substring_dedup, toxicity)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,7 +57,16 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle_manifest.digest(merkle_manifest.manifest(docs, tampered=merkle_manifest.tamper_mark(docs["doc_id"])))
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.extract(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {f.__name__: f for f in (op1_secret_scans, op2_substring_dedup, op3_toxicity, op4_quality_rules,
                                      op5_quality_classifier, op6_ngram_jaccard_join, op7_sentencepiece,
                                      op8_benchmark_decontamination, op9_lm_scoring,
-                                     op10_language_id, op11_source_divergence)}
+                                     op10_language_id, op11_source_divergence, op12_merkle_manifest, op13_pii)}
