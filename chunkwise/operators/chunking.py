@@ -33,15 +33,19 @@ def chunk_count(n_words: Column, size: int = DEFAULT_SIZE, overlap: int = DEFAUL
 
 
 def chunk(df: DataFrame, text: str = "text", size: int = DEFAULT_SIZE,
-          overlap: int = DEFAULT_OVERLAP, keep: list[str] | None = None) -> DataFrame:
+          overlap: int = DEFAULT_OVERLAP, keep: list[str] | None = None,
+          pass_on: str | None = None) -> DataFrame:
     """One row per chunk: ``*keep, chunk_index int, chunk string``.
 
-    ``keep`` defaults to every column except ``text``.
+    ``keep`` defaults to every column except ``text``. A row whose column ``pass_on`` (one
+    of ``keep``, such as an error) is not null gives one row with a null chunk.
     """
     step = check_params(size, overlap)
     keep = keep if keep is not None else [c for c in df.columns if c != text]
     ws = df.select(*keep, words(text).alias("_ws"))
     starts = F.when(F.size("_ws") > 0, F.sequence(F.lit(0), F.floor((F.size("_ws") - 1) / step).cast("int")))
+    if pass_on:
+        starts = F.when(F.col(pass_on).isNotNull(), F.array(F.lit(None).cast("int"))).otherwise(starts)
     exploded = ws.select(*keep, "_ws", F.explode(starts).alias("chunk_index"))
     return exploded.select(
         *keep, "chunk_index",

@@ -2,7 +2,8 @@
 
 ``embed`` runs any batch encoder ``list[str] -> ndarray[n, dim]`` inside Python
 workers through an Arrow-batched iterator UDF: only the text column crosses to
-Python, and an encoder that loads weights does so once per task.
+Python. An encoder that loads weights is given as ``Once(factory, key)`` and loads them
+once per worker process.
 
 ``hash_vectors`` is the built-in stand-in encoder (hashed bag of words,
 Weinberger et al. 2009), computed entirely in the JVM: bucket = md5 of the
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chunkwise.functions.text import words
+from chunkwise.operators.outside import apart
 
 VECTOR_TYPE = T.ArrayType(T.FloatType())
 DEFAULT_HASH_DIM = 64
@@ -125,21 +127,43 @@ class HashEncoder:
 
 
 def embed(df: DataFrame, text: str, encoder: Callable[[list[str]], np.ndarray], dim: int,
-          out: str = "embedding") -> DataFrame:
+          out: str = "embedding", errors: str | None = None) -> DataFrame:
     """Add ``out`` = encoder(text) as ``array<float>`` of length ``dim``.
 
     The encoder is called once per Arrow batch; its result must have shape
-    ``(len(batch), dim)``. Encoders that are not deterministic across task
+    ``(len(batch), dim)``. One that loads weights is best given as ``Once(factory, key)``,
+    which builds it once per worker process. Encoders that are not deterministic across task
     retries should have their output written before it is joined on.
+
+    With ``errors``, the column of that name tells why a row has no vector: what the
+    encoder raised for this text alone, or what an earlier step already wrote there (such
+    rows are not encoded). Without it an error ends the job.
     """
-    def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            matrix = np.asarray(encoder([t if t is not None else "" for t in texts]),
-                                dtype=np.float32)
-            if matrix.shape != (len(texts), dim):
-                raise ValueError(f"encoder returned shape {matrix.shape}, expected ({len(texts)}, {dim})")
-            yield pd.Series(list(matrix))
-
-    # marked as not deterministic: a filter on the vectors must not encode twice
-    udf = F.pandas_udf(encode, VECTOR_TYPE).asNondeterministic()
-    return df.withColumn(out, udf(F.col(text)))
+    def matrix_of(texts: list) -> np.ndarray:
+        matrix = np.asarray(encoder([t if t is not None else "" for t in texts]), dtype=np.float32)
+        if matrix.shape != (len(texts), dim):
+            raise ValueError(f"encoder returned shape {matrix.shape}, expected ({len(texts)}, {dim})")
+        return matrix
+
+    if errors is None:
+        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for texts in batches:
+                yield pd.Series(list(matrix_of(list(texts))))
+
+        # marked as not deterministic: a filter on the vectors must not encode twice
+        udf = F.pandas_udf(encode, VECTOR_TYPE).asNondeterministic()
+        return df.withColumn(out, udf(F.col(text)))
+
+    def encode_apart(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        for texts, before in batches:
+            open_rows = [i for i, e in enumerate(before) if e is None]
+            vectors, found = [None] * len(texts), list(before)
+            got, failed = apart(matrix_of, [texts.iloc[i] for i in open_rows])
+            for i, v, e in zip(open_rows, got, failed):
+                vectors[i], found[i] = v, e
+            yield pd.DataFrame({"v": pd.Series(vectors, dtype=object), "e": pd.Series(found, dtype=object)})
+
+    udf = F.pandas_udf(encode_apart, T.StructType([T.StructField("v", VECTOR_TYPE), T.StructField("e", T.StringType())]))
+    before = F.col(errors) if errors in df.columns else F.lit(None).cast("string")
+    return (df.withColumn("_coded", udf.asNondeterministic()(F.col(text), before))
+            .withColumn(out, F.col("_coded.v")).withColumn(errors, F.col("_coded.e")).drop("_coded"))

@@ -16,8 +16,10 @@ from chunkwise.operators.chunking import chunk
 from chunkwise.operators.encode import DEFAULT_HASH_DIM, HashEncoder, embed
 from chunkwise.operators.hits import keep_queries, with_payload
 from chunkwise.operators.knn import knn_search
+from chunkwise.operators.outside import write_apart
 from chunkwise.operators.rag import DEFAULT_TEMPLATE, context, generate, prompt
 from chunkwise.session import scratch_path
+from chunkwise.sources.files import extract_pages
 from chunkwise.sources.tables import pages_view, read_table
 
 CHUNK_IDS = ["file", "page", "chunk_index"]
@@ -59,15 +61,32 @@ def ingest(chunk_df: DataFrame, dim: int = DEFAULT_HASH_DIM, path: str | None =
     return spark.read.parquet(path)
 
 
+def ingest_apart(files: DataFrame, extractor: Callable[[bytes], list[str]], encoder: Callable,
+                 dim: int = DEFAULT_HASH_DIM, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Ingest ``file, content`` where a failing file or chunk leaves all others alone.
+
+    One pass and one write. Returns the store (``file, page, chunk_index, chunk,
+    embedding``) and the rejected inputs, which have ``error`` too: a file that the
+    extractor raised for (null page), or a chunk that the encoder raised for.
+    """
+    pages = extract_pages(files, extractor, errors="error")
+    rows = chunk(pages, "text", keep=["file", "page", "error"], pass_on="error")
+    rows = embed(rows, "chunk", encoder, dim, errors="error")
+    return write_apart(rows.select(*CHUNK_IDS, "chunk", "embedding", "error"),
+                       path or scratch_path(files.sparkSession, "store-apart"))
+
+
 def retrieve(question_df: DataFrame, store: DataFrame, k_fetch: int = 5,
              k_keep: int | None = None, metric: str = "cosine",
-             dim: int = DEFAULT_HASH_DIM, strategy: str = "blocked",
+             dim: int = DEFAULT_HASH_DIM, strategy: str = "auto",
              encoder: Callable | None = None) -> DataFrame:
     """Hits with payload: ``query_id, rank, file, page, chunk_index, chunk, distance``.
 
     ``store`` has ``file, page, chunk_index, chunk, embedding`` (see ``ingest``).
     Questions are embedded with ``encoder`` (the one the store was built with;
-    default: the hashed encoder). Fetch ``k_fetch`` and keep the first ``k_keep`` (S3).
+    default: the hashed encoder). Fetch ``k_fetch`` and keep the first ``k_keep`` (S3). A
+    handful of questions is broadcast, so neither vectors nor chunk texts of the store are
+    shuffled; a batch of questions beyond the broadcast limit is searched block by block.
     """
     questions_only = question_df.select("query_id", "query")
     qv = (embed(questions_only, "query", encoder, dim) if encoder is not None

@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chunkwise.operators.outside import error_text
+
 PAGES_SCHEMA = T.StructType([
     T.StructField("file", T.StringType()),
     T.StructField("page", T.IntegerType()),
@@ -63,21 +65,29 @@ def text_pages(files: DataFrame, keep: list[str] | None = None) -> DataFrame:
             .select(*keep, "file", F.col("page").cast("int").alias("page"), "text"))
 
 
-def extract_pages(files: DataFrame, extractor: Callable[[bytes], list[str]]) -> DataFrame:
+def extract_pages(files: DataFrame, extractor: Callable[[bytes], list[str]],
+                  errors: str | None = None) -> DataFrame:
     """One row per page of every file, using ``extractor`` in Arrow batches.
 
-    Only ``file`` and ``content`` travel to Python; blank pages are kept.
+    Only ``file`` and ``content`` travel to Python; blank pages are kept. A file whose
+    extractor raises ends the job, or, with ``errors``, gives one row without page and
+    text that holds the error in the column of that name. A null content has no pages.
     """
     def run(batches):
         for pdf in batches:
-            rows_file, rows_page, rows_text = [], [], []
+            rows = []
             for name, content in zip(pdf["file"], pdf["content"]):
-                for i, text in enumerate(extractor(bytes(content))):
-                    rows_file.append(name)
-                    rows_page.append(i)
-                    rows_text.append(text)
-            yield pd.DataFrame({"file": rows_file,
-                                "page": pd.Series(rows_page, dtype="int32"),
-                                "text": rows_text})
-
-    return files.select("file", "content").mapInPandas(run, PAGES_SCHEMA)
+                if content is None:
+                    continue
+                try:
+                    rows += [(name, i, text, None) for i, text in enumerate(extractor(bytes(content)))]
+                except Exception as e:
+                    if errors is None:
+                        raise
+                    rows.append((name, None, None, error_text(e)))
+            out = pd.DataFrame(rows, columns=["file", "page", "text", errors or "_error"])
+            out["page"] = out["page"].astype("Int32")
+            yield out if errors else out.drop(columns="_error")
+
+    schema = T.StructType(PAGES_SCHEMA.fields + ([T.StructField(errors, T.StringType())] if errors else []))
+    return files.select("file", "content").mapInPandas(run, schema)
