@@ -8,6 +8,7 @@ pass). Timings are wall-clock seconds around an action, recorded as one
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -32,6 +33,42 @@ def store_stats(df: DataFrame, vec: str = "embedding", text: str = "chunk") -> D
     )
 
 
+SKETCH_BITS = 14  # of the distinct count of files: a standard error of 0.8 %
+BATCH_STATS = ("n_records long, min_dim int, max_dim int, vector_bytes long, text_bytes long, files binary")
+
+
+def write_with_stats(df: DataFrame, path: str, name: str, vec: str = "embedding", text: str = "chunk") -> None:
+    """Write a batch to ``path/name`` and its statistics beside it, in one pass over the rows.
+
+    The statistics of a batch are one row that merges with others: counts, sizes, and a
+    sketch of the files' names.
+    """
+    seen = Observation(f"stats-{uuid.uuid4().hex}")
+    (df.observe(seen, F.count(F.lit(1)).alias("n_records"), F.min(F.size(vec)).alias("min_dim"),
+                F.max(F.size(vec)).alias("max_dim"),
+                F.coalesce(F.sum(F.size(vec) * FLOAT_BYTES), F.lit(0)).cast("long").alias("vector_bytes"),
+                F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).cast("long").alias("text_bytes"),
+                F.hll_sketch_agg("file", F.lit(SKETCH_BITS)).alias("files"))
+     .write.mode("overwrite").parquet(f"{path}/{name}"))
+    row = seen.get
+    names = [c.split()[0] for c in BATCH_STATS.split(", ")]
+    values = tuple(bytes(row[c]) if c == "files" and row[c] is not None else row[c] for c in names)
+    df.sparkSession.createDataFrame([values], BATCH_STATS).coalesce(1) \
+        .write.mode("overwrite").parquet(f"{path}/_stats/{name}")
+
+
+def merged_stats(spark: SparkSession, path: str) -> DataFrame:
+    """A3 of a store of batches, from their statistics alone: no row of the store is read.
+
+    ``n_files`` is an estimate (see ``SKETCH_BITS``), exact for few files.
+    """
+    rows = spark.read.schema(BATCH_STATS).option("recursiveFileLookup", "true").parquet(f"{path}/_stats")
+    return rows.agg(F.sum("n_records").alias("n_records"), F.min("min_dim").alias("min_dim"),
+                    F.max("max_dim").alias("max_dim"),
+                    F.hll_sketch_estimate(F.hll_union_agg("files")).alias("n_files"),
+                    F.sum("vector_bytes").alias("vector_bytes"), F.sum("text_bytes").alias("text_bytes"))
+
+
 def ingest_summary(chunks: DataFrame, text: str = "chunk") -> DataFrame:
     """A4: per file, pages and chunks written and chunk bytes."""
     return chunks.groupBy("file").agg(
@@ -97,6 +134,16 @@ def run_log(spark: SparkSession, records: list[RunRecord]) -> DataFrame:
     return spark.createDataFrame([tuple(r.__dict__.values()) for r in records], RUN_LOG_SCHEMA)
 
 
+def append_runs(spark: SparkSession, records: list[RunRecord], path: str) -> None:
+    """M1: append run records to the log at ``path``."""
+    run_log(spark, records).coalesce(1).write.mode("append").parquet(path)
+
+
+def read_runs(spark: SparkSession, path: str) -> DataFrame:
+    """Every run logged at ``path``, by any session."""
+    return spark.read.schema(RUN_LOG_SCHEMA).parquet(path)
+
+
 def compare(log: DataFrame) -> DataFrame:
     """M4: runs compared by store, encoder and language model."""
     return log.groupBy("store", "encoder", "llm", "phase").agg(

@@ -6,7 +6,9 @@ instead of duplicating rows (exactly-once with the stream checkpoint), and strea
 from several folders never overwrite each other. A stream's numbers follow those
 that the store held when the stream first began. Reading resolves the
 write semantics by aggregation: upsert = latest (seq, chunk_index) per key,
-insert-if-absent = earliest, append = every row. No file is ever rewritten.
+insert-if-absent = earliest, append = every row. Deletes are rows of a log too: a mark
+names a value and, for each stream, the last number that the store held then; it takes
+away what was there, not what comes later. No file is ever rewritten.
 """
 
 from __future__ import annotations
@@ -96,11 +98,43 @@ def run_to_end(query: StreamingQuery, timeout_s: float = 3600.0) -> StreamingQue
     return query
 
 
+MARKS = "column string, value string, stream string, upto long"
+
+
+def delete_from_store(spark: SparkSession, store_path: str, column: str, value) -> None:
+    """O9 while streams go on: take away the rows whose ``column`` equals ``value`` (null
+    equals null) and which the store holds now. Rows written later stay, also with the
+    same value, key and stream."""
+    log = _read_if_there(spark, store_path)
+    if log is None:
+        return
+    if column not in log.columns:
+        raise ValueError(f"the store has no column {column!r}")
+    if "stream" not in log.columns:
+        log = log.withColumn("stream", F.lit(""))
+    (log.groupBy(F.col("stream").cast("string").alias("stream")).agg(F.max("seq").cast("long").alias("upto"))
+     .select(F.lit(column).alias("column"), F.lit(value).cast("string").alias("value"), "stream", "upto")
+     .write.mode("append").parquet(f"{store_path}/_marks"))
+
+
+def _without_marked(log: DataFrame, store_path: str) -> DataFrame:
+    marks = _read_if_there(log.sparkSession, f"{store_path}/_marks")
+    if marks is None:
+        return log
+    marks = marks.groupBy("column", "value", "stream").agg(F.max("upto").alias("_upto"))
+    for column in sorted(r["column"] for r in marks.select("column").distinct().collect()):  # columns of the store
+        own = marks.where(F.col("column") == column).select(F.col("value").alias("_value"), F.col("stream").alias("_stream"), "_upto")
+        stream = F.col("stream").cast("string") if "stream" in log.columns else F.lit("")
+        log = log.join(own, F.col(column).cast("string").eqNullSafe(F.col("_value"))
+                       & (stream == F.col("_stream")) & (F.col("seq") <= F.col("_upto")), "left_anti")
+    return log
+
+
 def read_store(spark: SparkSession, store_path: str, mode: str = "upsert") -> DataFrame:
     """The store as of now under the given write semantics."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    log = spark.read.parquet(store_path)
+    log = _without_marked(spark.read.parquet(store_path), store_path)
     if mode == "append":
         return log
     pick = sinks.merge_latest if mode == "upsert" else sinks.merge_first
@@ -109,7 +143,7 @@ def read_store(spark: SparkSession, store_path: str, mode: str = "upsert") -> Da
 
 def compact_store(spark: SparkSession, store_path: str, out_path: str,
                   mode: str = "upsert") -> str:
-    """Fold every batch of a log-structured store into one version at ``out_path``.
+    """Fold every batch and every delete of a log-structured store into one version at ``out_path``.
 
     The result keeps the ``seq`` column, so a compacted store can itself be
     read (or compacted again) with the same semantics; the source log is left
