@@ -1,6 +1,6 @@
 """K-nearest-neighbour search as Spark jobs.
 
-Exact batch search (``knn_join``) has two physical forms, chosen by the caller:
+Exact batch search (``knn_join``) has two physical forms, chosen by the caller or by size:
 
 * **blocked** (default): both sides are hashed into blocks of ``BLOCK_ROWS`` rows;
   each (query block, corpus block) pair is one cogroup, so no task ever holds more
@@ -253,8 +253,9 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "cos
                block_rows: int = BLOCK_ROWS) -> KnnResult:
     """Exact k nearest corpus rows for every query, with the bound flag.
 
-    ``strategy``: ``blocked``, or ``broadcast`` for a query set known to be small
-    (one whose vectors exceed ``broadcast_max_bytes`` raises).
+    ``strategy``: ``blocked``; ``broadcast`` for a query set known to be small (one whose
+    vectors exceed ``broadcast_max_bytes`` raises); or ``auto``, which measures the query
+    vectors and broadcasts those within the limit. The rows are the same.
     """
     _check_metric(metric)
     ids = list(corpus_ids)
@@ -264,6 +265,8 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "cos
     c = valid_vectors(corpus.select(*ids, corpus_vec), corpus_vec, dim)
     qtype = queries.schema[query_id].dataType
     schema = _candidate_schema(qtype, corpus, ids)
+    if strategy == "auto":
+        strategy = "broadcast" if _vector_bytes(q, query_vec)[1] <= broadcast_max_bytes else "blocked"
     if strategy == "broadcast":
         cand, rows = _broadcast_candidates(q, c, query_id, query_vec, ids, corpus_vec, metric, k,
                                            schema, broadcast_max_bytes)
@@ -275,15 +278,21 @@ def knn_search(queries: DataFrame, corpus: DataFrame, k: int, metric: str = "cos
     return KnnResult(_final_topk(cand, query_id, ids, k), bounded=False)
 
 
+def _vector_bytes(q: DataFrame, vec: str) -> tuple[int, int]:
+    """Rows of a query set and the bytes of its vectors as the kernel holds them."""
+    size = q.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(vec)).alias("values")).first()
+    return int(size["n"]), 8 * int(size["values"] or 0)
+
+
 def _broadcast_candidates(q: DataFrame, c: DataFrame, query_id: str, query_vec: str, ids: list[str],
                           corpus_vec: str, metric: str, k: int, schema: T.StructType,
                           max_bytes: int) -> tuple[DataFrame, int]:
     """Every corpus task scores its rows against the broadcast queries and emits its k
     best per query; inside a task the running top-k is merged every few batches.
     Returns the candidates and the number of queries."""
-    size = q.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size(query_vec)).alias("values")).first()
-    if 8 * (size["values"] or 0) > max_bytes:
-        raise ValueError(f"{size['n']} query vectors exceed {max_bytes} bytes: too large to broadcast")
+    n, size = _vector_bytes(q, query_vec)
+    if size > max_bytes:
+        raise ValueError(f"{n} query vectors exceed {max_bytes} bytes: too large to broadcast")
     probe = q.toPandas()
     qids = probe[query_id].to_numpy(dtype=object)
     bc = c.sparkSession.sparkContext.broadcast((qids, _matrix(probe[query_vec])))

@@ -49,16 +49,21 @@ def row_number_within(df: DataFrame, group_cols: list[str], order_col: str,
                           handleInvalid="keep").transform(ordered).drop("_ord_d")
     bucketed = bucketed.withColumn("_rng", F.when(F.col(order_col).isNull(), -1.0).otherwise(F.col("_rng")))
 
-    cell = group_cols + ["_rng"]
+    # keys without nulls: one set of columns that the window, the counts and the join share, so
+    # that the rows are shuffled once
+    cell = []
+    for i, c in enumerate(group_cols):
+        bucketed = bucketed.withColumn(f"_g{i}", F.coalesce(F.col(c).cast("string"), F.lit(""))) \
+                           .withColumn(f"_z{i}", F.col(c).isNull())
+        cell += [f"_g{i}", f"_z{i}"]
+    groups, cell = cell, [*cell, "_rng"]
     counts = bucketed.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*group_cols).orderBy("_rng").rowsBetween(
+    before = Window.partitionBy(*groups).orderBy("_rng").rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
 
     local = bucketed.withColumn(
         "_loc", F.row_number().over(Window.partitionBy(*cell).orderBy(order_col)))
-    own = offsets.select("_off", *[F.col(c).alias(f"_cell_{i}") for i, c in enumerate(cell)])
-    same = [local[c].eqNullSafe(own[f"_cell_{i}"]) for i, c in enumerate(cell)]
-    return (local.join(own, same, "inner").drop(*[f"_cell_{i}" for i in range(len(cell))])
+    return (local.join(offsets, cell, "inner").drop(*cell)
             .withColumn(out, (F.col("_off") + F.col("_loc") - 1 + base).cast("int"))
-            .drop("_rng", "_loc", "_off"))
+            .drop("_loc", "_off"))

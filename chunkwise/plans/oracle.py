@@ -192,8 +192,15 @@ WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(embedding) = {DIM}"""
 FROM d QUALIFY rank <= 5""",
     "knn_join_cosine": _with(*_self_knn("cosine", 5)) + _knn_select(),
     "knn_join_l2sq": _with(*_self_knn("l2sq", 5)) + _knn_select(),
+    "knn_join_pruned": _with(*_self_knn("l2sq", 5)) + _knn_select(),
     "knn_join_blocked": _with(*_self_knn("cosine", 5)) + _knn_select(),
     "ann_join_full_probe": _with(*_self_knn("cosine", 5)) + _knn_select(),
+    "ann_index_writes": _with(EMB, """now AS (SELECT x.vec_id, CASE WHEN x.label = 3 THEN list_reverse(e.v) ELSE e.v END AS v
+  FROM embeddings x JOIN e ON e.vec_id = x.vec_id WHERE x.label <> 7)""",
+                              f"pairs AS (SELECT q.vec_id AS query_id, c.vec_id AS id, {COS.format(a='q.v', b='c.v')} AS distance FROM e q, now c)",
+                              """knn AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(distance, 9), id) AS INTEGER) AS rank,
+         id, distance FROM pairs QUALIFY rank <= 5)""") + _knn_select(),
     "knn_two_stage": _with(*_hits(5, 3)) + "SELECT query_id, rank, file, page, chunk, distance FROM hits",
     "hits_payload_defaults": _with(*_self_knn("cosine", 3), PAGES_V) + f"""SELECT k.query_id, k.rank,
        coalesce(p.file, 'Unknown file') AS file, coalesce(CAST(p.page AS VARCHAR), 'Unknown page') AS page,
@@ -208,6 +215,19 @@ FROM hits GROUP BY query_id""",
     "rag_prompts": _with(*_hits(5, 3), _context_cte("scored")) + RAG_PROMPTS_SELECT,
     "rag_answers": _with(*_hits(5, 3), _context_cte("scored"), "prompts AS (" + RAG_PROMPTS_SELECT + ")")
     + "SELECT query_id, 'answer-' || substr(md5(prompt), 1, 16) AS answer FROM prompts",
+    "rag_answers_kept": _with(*_hits(5, 3), _context_cte("scored"), "prompts AS (" + RAG_PROMPTS_SELECT + ")")
+    + """SELECT query_id, 'answer-' || substr(md5(prompt), 1, 16) AS answer, true AS answered, true AS timed,
+       CAST(1 AS INTEGER) AS tries FROM prompts""",
+    "ingest_rejects": _with(f"""files AS (SELECT 'doc' || CAST(doc_id AS VARCHAR) AS file, text,
+         coalesce(lang = 'de', false) AND text <> '' AS broken FROM documents)""",
+                            f"""file_words AS (SELECT file, {_words('text')} AS w FROM files WHERE NOT broken)""",
+                            f"""file_chunks AS (SELECT file, CAST(i AS INTEGER) AS chunk_index,
+         array_to_string(w[i * {STEP} + 1 : i * {STEP} + {SIZE}], ' ') AS chunk
+  FROM (SELECT file, w, unnest(generate_series(0, (len(w) - 1) // {STEP})) AS i FROM file_words WHERE len(w) > 0))""")
+    + f"""SELECT file, CAST(0 AS INTEGER) AS page, chunk_index, chunk,
+       CAST(CASE WHEN contains(chunk, '$$$') THEN 0 ELSE {DIM} END AS INTEGER) AS dim,
+       CASE WHEN contains(chunk, '$$$') THEN 'encode' END AS failed FROM file_chunks
+UNION ALL SELECT file, NULL, NULL, NULL, 0, 'extract' FROM files WHERE broken""",
     "take_until_sentinel": """SELECT user_id, event_id, event_type FROM (
   SELECT *, max(CAST(lower(event_type) = 'error' AS INTEGER)) OVER (
       PARTITION BY user_id ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stop
@@ -242,6 +262,14 @@ FROM hits GROUP BY query_id"""
 SQL["stream_ingest"] = _with(*CHUNKS) + """SELECT chunk_index, chunk FROM chunks
 QUALIFY row_number() OVER (PARTITION BY file, page, chunk ORDER BY chunk_index DESC) = 1"""
 
+SQL["store_stats_merged"] = SQL["store_stats"]
+SQL["stream_delete"] = _with(*CHUNKS) + """SELECT chunk_index, chunk FROM (
+  SELECT * FROM chunks WHERE chunk_index <> 1
+  QUALIFY row_number() OVER (PARTITION BY file, page, chunk ORDER BY chunk_index DESC) = 1)
+UNION ALL SELECT chunk_index, chunk FROM (
+  SELECT c.* FROM chunks c JOIN pages_v p USING (file, page) JOIN documents d USING (doc_id) WHERE d.lang = 'de'
+  QUALIFY row_number() OVER (PARTITION BY c.file, c.page, c.chunk ORDER BY c.chunk_index DESC) = 1)"""
+
 
 def _smoke_hits() -> list[str]:
     from chunkwise.plans.queries import SMOKE_QUESTION

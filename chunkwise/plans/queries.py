@@ -8,6 +8,7 @@ DuckDB oracle in ``chunkwise.plans.oracle``.
 from __future__ import annotations
 
 import hashlib
+import math
 import uuid
 from collections.abc import Callable
 
@@ -21,20 +22,25 @@ from chunkwise.functions.vectors import (cosine_distance, cosine_similarity, l2_
 from chunkwise.operators import metrics as M
 from chunkwise.operators import sinks
 from chunkwise.operators.chunking import chunk
+from chunkwise.operators.coded import build_codes, coded_search
 from chunkwise.operators.encode import HashEncoder, embed, hash_counts, hash_vectors
 from chunkwise.operators.hits import merge_hits as merge_hits_op
 from chunkwise.operators.hits import select_hits, with_defaults, with_payload
 from chunkwise.operators.knn import ann_join as ann_join_op
 from chunkwise.operators.knn import build_ivf_index, knn, knn_search, valid_vectors
-from chunkwise.operators.rag import context, generate, merged_context
+from chunkwise.operators.outside import Once
+from chunkwise.operators.pruned_knn import knn_join_pruned as knn_join_pruned_op
+from chunkwise.operators.rag import answer_once, context, generate, merged_context
 from chunkwise.operators.sessions import take_until
 from chunkwise.operators.skew import salted_lookup_join
+from chunkwise.operators.vector_index import VectorIndex, create_index, live_cells, search_index, write_batch
 from chunkwise.plans import flows
 from chunkwise.session import scratch_path
 from chunkwise.sources.files import extract_pages, scan_files, text_pages
-from chunkwise.sources.store import scan_store
+from chunkwise.sources.store import scan_keyed_store, write_keyed_store
 from chunkwise.sources.tables import pages_view, read_table
-from chunkwise.streaming.ingest import ingest_stream, read_store, run_to_end
+from chunkwise.streaming.ingest import (compact_store, delete_from_store, ingest_stream, read_store,
+                                        run_to_end)
 from chunkwise.streaming.questions import answer_stream
 
 DIM = 64
@@ -138,9 +144,8 @@ def store_prefix_scan(spark: SparkSession, sf: str) -> DataFrame:
     ch = flows.chunks(spark, sf)
     rows = (ch.select(chunk_key(prefix="doc::").alias("id"), "file", "page", "chunk_index")
             .unionByName(ch.select(chunk_key(prefix="").alias("id"), "file", "page", "chunk_index")))
-    path = scratch_path(spark, "prefix-store")
-    sinks.write_store(rows, path)
-    return scan_store(spark, path, prefix="doc:", key="id")
+    path = write_keyed_store(rows, scratch_path(spark, "prefix-store"), rows_per_file=20_000)
+    return scan_keyed_store(spark, path, prefix="doc:")
 
 
 def _text_files(spark: SparkSession, sf: str) -> str:
@@ -172,6 +177,29 @@ def extract_file_pages(spark: SparkSession, sf: str) -> DataFrame:
     return pages.select(F.regexp_extract("file", "source=([^/]*)/", 1).alias("source"), "text")
 
 
+class Picky(HashEncoder):
+    """The hashed encoder, raising for texts with '$$$' (to show that others go on)."""
+
+    def __call__(self, texts: list[str]):
+        if any("$$$" in t for t in texts):
+            raise ValueError("cannot encode '$$$'")
+        return super().__call__(texts)
+
+
+def ingest_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """O2 + V5 + P13: every document as a file, the German ones in an encoding that the
+    extractor cannot read, and an encoder that raises for some chunks. All rows of the
+    store and all rejected inputs, after one write."""
+    docs = read_table(spark, sf, "documents")
+    content = F.when(F.col("lang") == "de", F.encode("text", "UTF-16")).otherwise(F.encode("text", "UTF-8"))
+    files = docs.select(F.concat(F.lit("doc"), F.col("doc_id")).alias("file"), content.alias("content"))
+    store, rejects = flows.ingest_apart(files, form_feed_pages, Once(lambda: Picky(DIM), f"picky-{DIM}"), DIM)
+    cols = ["file", "page", "chunk_index", "chunk"]
+    failed = F.when(F.col("page").isNull(), F.lit("extract")).otherwise(F.lit("encode"))
+    return store.select(*cols, F.size("embedding").alias("dim"), F.lit(None).cast("string").alias("failed")) \
+        .unionByName(rejects.select(*cols, F.lit(0).alias("dim"), failed.alias("failed")))
+
+
 # --- vectors -------------------------------------------------------------------------
 
 def _embeddings(spark: SparkSession, sf: str) -> DataFrame:
@@ -304,9 +332,54 @@ def _ann(spark: SparkSession, sf: str, cells: int, nprobe: int) -> DataFrame:
     return _hits_out(ann_join_op(q, index, 5, nprobe))
 
 
-def ann_join(spark: SparkSession, sf: str) -> DataFrame:
-    """J3 approximate: 16 cells, 12 probed (recall of 0.9 or more is checked by the tests)."""
-    return _ann(spark, sf, 16, 12)
+def knn_join_pruned(spark: SparkSession, sf: str) -> DataFrame:
+    """J2 exact with pivots and triangle inequalities; the same rows as knn_join_l2sq."""
+    q, c = _self_queries(spark, sf)
+    return _hits_out(knn_join_pruned_op(q, c, 5, "l2sq", corpus_ids=["vec_id"], dim=DIM))
+
+
+CODE_GROUPS = 16
+
+
+def knn_coded(spark: SparkSession, sf: str) -> DataFrame:
+    """S3 with a coded first stage: 20 fetched by 16-byte codes, 5 kept by exact distance
+    (the tests assert a recall of 0.9)."""
+    q, c = _self_queries(spark, sf)
+    store = build_codes(c, "cosine", ids=["vec_id"], dim=DIM, groups=CODE_GROUPS)
+    return _hits_out(coded_search(q, store, c, 20, 5))
+
+
+#: Share of the cells that the registered approximate search probes, over both tables. The
+#: test vectors have no structure at all; vectors of real texts need far less.
+PROBE_SHARE = 0.185
+
+
+def _new_index(c: DataFrame) -> VectorIndex:
+    return create_index(c, scratch_path(c.sparkSession, "vector-index"), c.count(), "cosine", ids=["vec_id"], dim=DIM, seed=7)
+
+
+def ann_join(spark: SparkSession, sf: str, compared: list | None = None) -> DataFrame:
+    """J3 approximate: two overlapping tables of cells, ``PROBE_SHARE`` of the cells probed
+    (the tests assert a recall of 0.9 with at most a fifth of the pairs compared)."""
+    q, c = _self_queries(spark, sf)
+    index = _new_index(c)
+    write_batch(index, c, breadth=None)
+    cells = live_cells(spark, index).count()
+    return _hits_out(search_index(q, index, 5, math.ceil(PROBE_SHARE * cells / index.tables ** 2), breadth=None,
+                                  compared=compared))
+
+
+def ann_index_writes(spark: SparkSession, sf: str) -> DataFrame:
+    """J3 + O4 + O9: an index after three batches and a delete, all cells probed. The second
+    batch adds vectors, the third replaces those of label 3 by their reverse, and the ids of
+    label 7 are deleted."""
+    e = _embeddings(spark, sf).select("vec_id", "label", "embedding")
+    index = _new_index(e.select("vec_id", "embedding"))
+    write_batch(index, e.where("label < 5").select("vec_id", "embedding"))
+    write_batch(index, e.where("label >= 5").select("vec_id", "embedding"))
+    write_batch(index, e.where("label = 3").select("vec_id", F.reverse("embedding").alias("embedding")),
+                delete=e.where("label = 7").select("vec_id"))
+    return _hits_out(search_index(e.select(F.col("vec_id").alias("query_id"), "embedding"), index, 5, None))
 
 
 def ann_join_full_probe(spark: SparkSession, sf: str) -> DataFrame:
@@ -350,6 +423,20 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return read_store(spark, store, "upsert").select("chunk_index", "chunk")
 
 
+def stream_delete(spark: SparkSession, sf: str) -> DataFrame:
+    """O9 in the streaming log: documents ingested, the chunks of index 1 deleted, then the
+    German documents ingested once more by another stream, which the delete leaves alone."""
+    store = scratch_path(spark, "stream-store")
+    run_to_end(ingest_stream(spark, _text_files(spark, sf), store, suffix=".txt", dim=DIM))
+    delete_from_store(spark, store, "chunk_index", 1)
+    again = scratch_path(spark, "more-text-files")
+    (read_table(spark, sf, "documents").where("lang = 'de'").select("source", "text")
+     .write.partitionBy("source").option("lineSep", "\u000c").text(again))
+    run_to_end(ingest_stream(spark, again, store, suffix=".txt", dim=DIM))
+    compacted = compact_store(spark, store, scratch_path(spark, "compacted"))
+    return read_store(spark, compacted, "upsert").select("chunk_index", "chunk")
+
+
 def stream_answers(spark: SparkSession, sf: str) -> DataFrame:
     """The question loop as a stream: benchmark questions arrive as JSON lines
     (one session), are answered against the ingested chunk store, and the
@@ -392,6 +479,20 @@ def rag_answers(spark: SparkSession, sf: str) -> DataFrame:
     return generate(flows.rag_prompts(spark, sf), stub_client).select("query_id", "answer")
 
 
+def unreachable(prompts: list[str]) -> list[str]:
+    raise ConnectionError("no model is there")
+
+
+def rag_answers_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """G4 + M3: answers kept by prompt, with the seconds of their call. The second run finds
+    every answer in the store and calls nothing (its client always raises)."""
+    prompts, path = flows.rag_prompts(spark, sf), scratch_path(spark, "kept-answers")
+    answer_once(prompts, stub_client, path, model="stub")
+    again = answer_once(prompts, unreachable, path, model="stub")
+    return again.select("query_id", "answer", F.col("error").isNull().alias("answered"),
+                        (F.col("seconds") >= 0).alias("timed"), "tries")
+
+
 # --- sessions and metrics --------------------------------------------------------------
 
 def take_until_sentinel(spark: SparkSession, sf: str) -> DataFrame:
@@ -404,6 +505,17 @@ def store_stats(spark: SparkSession, sf: str) -> DataFrame:
     return M.store_stats(flows.encode(flows.chunks(spark, sf), "chunk", DIM))
 
 
+def store_stats_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """A3 over ten batches, from the statistics that each write left behind."""
+    rows, path = flows.encode(flows.chunks(spark, sf), "chunk", DIM), scratch_path(spark, "batches")
+    vectors = scratch_path(spark, "vectors")
+    rows.withColumn("batch", F.pmod(F.xxhash64("file", "page"), F.lit(10))).write.partitionBy("batch").parquet(vectors)
+    for i in range(10):
+        batch = spark.read.parquet(vectors).where(F.col("batch") == i).drop("batch")
+        M.write_with_stats(batch, path, f"seq={i}")
+    return M.merged_stats(spark, path)
+
+
 def ingest_summary(spark: SparkSession, sf: str) -> DataFrame:
     return M.ingest_summary(flows.chunks(spark, sf))
 
@@ -411,7 +523,7 @@ def ingest_summary(spark: SparkSession, sf: str) -> DataFrame:
 def run_compare(spark: SparkSession, sf: str) -> DataFrame:
     """M1-M4: ingest the chunked documents under each write mode, then answer the
     benchmark questions from that store; every run is timed and compared."""
-    records = []
+    log = scratch_path(spark, "run-log")
     vecs = flows.encode(flows.chunks(spark, sf), "chunk", DIM).withColumn("key", chunk_key())
     modes = {
         "upsert": lambda df: sinks.merge_latest(None, df, ["key"], ["chunk_index"]),
@@ -421,13 +533,14 @@ def run_compare(spark: SparkSession, sf: str) -> DataFrame:
     for store, op in modes.items():
         rid = f"{store}-{uuid.uuid4().hex[:8]}"
         path = scratch_path(spark, rid)
-        records.append(M.timed_write(op(vecs), path, rid, store, "hash64", "stub"))
+        records = [M.timed_write(op(vecs), path, rid, store, "hash64", "stub")]
         stored = spark.read.parquet(path).select(*flows.CHUNK_IDS, "chunk", "embedding")
         for llm, client in (("stub", stub_client), ("upper", upper_client)):
             records.append(M.timed_answers(
                 lambda: generate(flows.rag_prompts(spark, sf, store=stored), client),
                 scratch_path(spark, f"answers-{rid}-{llm}"), f"{rid}-{llm}", store, "hash64", llm))
-    return M.compare(M.run_log(spark, records)).select("store", "encoder", "llm", "phase", "runs", "rows",
+        M.append_runs(spark, records, log)
+    return M.compare(M.read_runs(spark, log)).select("store", "encoder", "llm", "phase", "runs", "rows",
                                                        "bytes", "avg_seconds")
 
 
@@ -444,6 +557,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "store_prefix_scan": store_prefix_scan,
     "scan_text_files": scan_text_files,
     "extract_file_pages": extract_file_pages,
+    "ingest_rejects": ingest_rejects,
     "stream_ingest": stream_ingest,
     "vector_norms": vector_norms,
     "cosine_distance_centroid": cosine_distance_centroid,
@@ -457,9 +571,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "knn_join_cosine": knn_join_cosine,
     "knn_join_l2sq": knn_join_l2sq,
     "knn_join_blocked": knn_join_blocked,
+    "knn_join_pruned": knn_join_pruned,
     "knn_two_stage": knn_two_stage,
+    "knn_coded": knn_coded,
     "ann_join": ann_join,
     "ann_join_full_probe": ann_join_full_probe,
+    "ann_index_writes": ann_index_writes,
     "hits_payload_defaults": hits_payload_defaults,
     "merge_hits": merge_hits,
     "context_merged": context_merged,
@@ -467,9 +584,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "context_plain": context_plain,
     "rag_prompts": rag_prompts,
     "rag_answers": rag_answers,
+    "rag_answers_kept": rag_answers_kept,
+    "stream_delete": stream_delete,
     "stream_answers": stream_answers,
     "take_until_sentinel": take_until_sentinel,
     "store_stats": store_stats,
+    "store_stats_merged": store_stats_merged,
     "ingest_summary": ingest_summary,
     "run_compare": run_compare,
 }

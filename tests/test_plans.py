@@ -125,3 +125,39 @@ def test_no_registered_query_plans_a_cross_join(spark):
         if "CartesianProduct" in p or "BroadcastNestedLoopJoin" in p:
             offenders.append(name)
     assert offenders == []
+
+
+def test_page_numbering_shuffles_the_text_once(spark):
+    """Window, counts and join share their keys, so the rows meet one exchange (none is
+    broadcast here, as on a large table)."""
+    from chunkwise.operators.numbering import row_number_within
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("source", "doc_id", "text")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbered = row_number_within(docs, ["source"], "doc_id", out="page", base=0)
+        p = numbered._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        nodes = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]", p)
+        assert nodes and sum("text#" in n for n in nodes) == 1
+        nulls = docs.withColumn("source", F.when(F.col("doc_id") % 3 == 0, None).when(F.col("doc_id") % 3 == 1, "").otherwise("x"))
+        got = row_number_within(nulls, ["source"], "doc_id", out="page").groupBy("source").agg(
+            F.count(F.lit(1)).alias("n"), F.max("page").alias("m"), F.countDistinct("page").alias("d")).collect()
+        assert len(got) == 3 and all(r["n"] == r["m"] == r["d"] for r in got)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_questions_shuffle_neither_vectors_nor_chunk_texts_of_the_store(spark):
+    store = flows.ingest(flows.chunks(spark, SF))
+    hits = flows.retrieve(flows.questions(spark, SF), store, 5, 3)
+    p = hits._jdf.queryExecution().explainString(
+        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    moved = re.findall(r"\(\d+\) (?:Exchange|FlatMapCoGroupsInPandas)\nInput \[\d+\]: \[([^\]]*)\]", p)
+    assert not any("embedding#" in n for n in moved)
+    # the payload meets the hits after a semi-join with their ids: whatever moves then is k rows a question
+    assert p.count("LeftSemi") >= 1
+    same = flows.retrieve(flows.questions(spark, SF), store, 5, 3, strategy="blocked")
+    key = lambda df: sorted(map(tuple, df.collect()))
+    assert key(hits) == key(same)
