@@ -141,9 +141,10 @@ class Finder:
         while part.above is not None:
             part = part.above
             reach = part.budget
-            low = max(0, at - (leaf.start - part.start) - reach)
+            first = at - (leaf.start - part.start) - reach  # may lie before the text: still its own window
+            low = max(0, first)
             high = min(len(text), at + (part.end - leaf.start) + reach)
-            key = (id(part), low)
+            key = (id(part), first)
             if key in tried:
                 return  # the same window has been verified from another piece
             tried.add(key)
