@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chunkwise.llm.common import WordMemo, fold, slices
@@ -190,26 +190,30 @@ def train(spans: list[bytes], langs: list[str], width: int = 12, epochs: int = 6
 
 
 def sample(docs: DataFrame, lang: str = "lang", text: str = "text", use: Column | None = None,
-           per_lang: int = 500, spans: int = 12_000, seed: int = 3) -> tuple[list[bytes], list[str]]:
-    """Training spans and their languages, from ``per_lang`` documents a language.
-
-    The documents of a language are those of smallest text hash among all rows that
-    may be learned from: a share is passed map-side, then the exact bound is cut.
+           per_lang: int = 500, max_langs: int = 1000, spans: int = 12_000,
+           seed: int = 3) -> tuple[list[bytes], list[str]]:
+    """Training spans and their languages, from ``per_lang`` distinct texts a language.
+
+    Learned are the ``max_langs`` languages of most distinct texts. The texts of a language
+    are those of smallest text hash among all rows that may be learned from: a share
+    of its distinct texts is passed map-side, copies are dropped, and the exact bound is
+    cut per language, so neither copies nor another language can crowd one out.
     """
     rows = docs.select(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang"),
                        (use if use is not None else F.lit(True)).alias("use"))
     rows = rows.where(F.col("use") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    found = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # one row a language
-    place = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    share = F.lit(0.0)
-    for r in found:
-        share = F.when(F.col("lang") == r.lang, F.lit(1.3 * per_lang / r.n)).otherwise(share)
-    picked = rows.where(place < share).select("lang", "text", place.alias("place")).orderBy("place", "text")
-    texts: dict[str, dict[str, None]] = {}
-    for r in picked.limit(2 * per_lang * len(found)).toLocalIterator():
-        own = texts.setdefault(r.lang, {})
-        if len(own) < per_lang:
-            own[r.text] = None  # copies teach nothing more
+    rows = rows.select("lang", "text", F.xxhash64("text").alias("h"))
+    found = rows.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n")).orderBy(F.desc("n"), "lang").limit(max_langs)
+    shares = docs.sparkSession.createDataFrame(  # at most max_langs rows
+        [(r.lang, 1.3 * per_lang / max(1, r.n)) for r in found.collect()], "lang string, share double")
+    place = F.pmod("h", F.lit(1 << 30)) / float(1 << 30)
+    passed = (rows.join(F.broadcast(shares), "lang").where(place < F.col("share"))
+              .groupBy("lang", "h").agg(F.min("text").alias("text")))
+    rank = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 30)), "h")
+    picked = passed.withColumn("_n", F.row_number().over(rank)).where(F.col("_n") <= per_lang)
+    texts: dict[str, list[str]] = {}
+    for r in picked.orderBy("lang", "h").toLocalIterator():
+        texts.setdefault(r.lang, []).append(r.text)
     rng = np.random.default_rng(seed)
     out: list[bytes] = []
     langs: list[str] = []
