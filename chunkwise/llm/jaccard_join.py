@@ -14,8 +14,11 @@ documents link when 100 * intersection >= ``percent`` * union. The steps:
    classes with identical prefixes and size are collapsed into one group.
 3. Group pairs. Groups that share a prefix shingle meet in that shingle's bucket
    and are filtered by size, by the positions of the shingle and by the Hamming
-   distance of 512-bit parity sketches, which never exceeds the symmetric
-   difference (a group's radius covers its other members). Buckets with many groups
+   distance of parity sketches, which never exceeds the symmetric difference (a
+   group's radius covers its other members): 512 bits for all, and for sets of more
+   than 1,024 shingles, where these tell little, as many bits as the set has shingles or
+   more. Shingles whose groups are in one component by then are left out of later
+   turns; long sketches travel from the second turn on. Buckets with many groups
    are cut into blocks, and pairs of blocks go to separate places, so no task holds
    more than two blocks of a bucket. For ``ROUNDS`` turns every group gives its closest
    candidate of another component in each bucket alone; all remaining candidates of
@@ -40,6 +43,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chunkwise.llm.common import row_key, slices, stored
 from chunkwise.llm.components import components
@@ -105,6 +109,35 @@ def parity_sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
+def wide_sketch(shingles: np.ndarray) -> bytes | None:
+    """Parity sketch of a power of two of bits, at least one a shingle; none for short sets."""
+    if len(shingles) <= 2 * SKETCH:
+        return None
+    width = 1 << (len(shingles) - 1).bit_length()
+    odd = np.bincount((mix(shingles ^ _B) % np.uint64(width)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def wide_distance(a: bytes | None, b: bytes | None) -> int:
+    """A lower bound of the symmetric difference from two wide sketches (0 without them).
+
+    The wider sketch is folded to the other's width: a bit's place is a hash modulo it.
+    """
+    if a is None or b is None:
+        return 0
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) != len(y):
+        if len(x) < len(y):
+            x, y = y, x
+        x = x[:len(x) // 2] ^ x[len(x) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+@F.pandas_udf(T.LongType())
+def _wide_distance(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([wide_distance(x, y) for x, y in zip(a, b)], dtype="int64")
+
+
 def frequent_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Shingles above the threshold with their counts, sorted by shingle (step 1)."""
 
@@ -151,7 +184,7 @@ def profiles(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], width: in
             for raw in texts:
                 own = shingle_set(raw, hashes, width)
                 if not len(own):
-                    out.append((0, 0, 0, 0, 0, [], []))
+                    out.append((0, 0, 0, 0, 0, [], [], None))
                     continue
                 rank = np.zeros(len(own), np.int64)
                 if len(tokens):
@@ -160,14 +193,15 @@ def profiles(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], width: in
                 prefix = own[np.lexsort((own, rank))][:prefix_length(len(own), percent)]
                 marks = [xxhash.xxh3_64_intdigest(x.tobytes(), seed=s) for x in (own, prefix) for s in (1, 2)]
                 out.append((len(own), *np.array(marks, np.uint64).view(np.int64).tolist(),
-                            prefix.view(np.int64), parity_sketch(own)))
-            made = pd.DataFrame(out, columns=["n", "f1", "f2", "p1", "p2", "prefix", "sketch"])
+                            prefix.view(np.int64), parity_sketch(own), wide_sketch(own)))
+            made = pd.DataFrame(out, columns=["n", "f1", "f2", "p1", "p2", "prefix", "sketch", "wide"])
             made.insert(0, "doc_id", rows["doc_id"].to_numpy())
             made.insert(1, "h", rows["h"].to_numpy())
             yield made
 
     made = docs.select("doc_id", "text", _row_hash()).mapInPandas(
-        run, f"doc_id {kind}, h long, n long, f1 long, f2 long, p1 long, p2 long, prefix array<long>, sketch array<long>")
+        run, f"doc_id {kind}, h long, n long, f1 long, f2 long, p1 long, p2 long, prefix array<long>, "
+             "sketch array<long>, wide binary")
     return stored(made.select("*", F.monotonically_increasing_id().alias("rid")), "profiles")
 
 
@@ -186,6 +220,7 @@ def _bucket_pairs(percent: int, nearest: bool):
         n, pos, rad, gid, label = (rows[c].to_numpy() for c in ("n", "pos", "rad", "gid", "label"))
         block, one = rows["block"].to_numpy(), (rows["low"] == rows["high"]).to_numpy()
         sketch = np.stack(rows["sketch"].to_numpy()).astype(np.int64).view(np.uint64)
+        wide, wide_rad = rows["wide"].to_numpy(object), rows["wide_rad"].to_numpy()
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         least, partner = np.full(len(rows), np.iinfo(np.int64).max), np.full(len(rows), -1)
         at, gap = np.arange(len(rows)), 0
@@ -201,7 +236,11 @@ def _bucket_pairs(percent: int, nearest: bool):
             ok &= np.minimum(n[at] - pos[at], n[to] - pos[to]) >= need
             i, j, need = at[ok], to[ok], need[ok]
             far = np.bitwise_count(sketch[i] ^ sketch[j]).sum(1, dtype=np.int64) - rad[i] - rad[j]
-            ok = far <= n[i] + n[j] - 2 * need
+            most = n[i] + n[j] - 2 * need
+            for x in np.flatnonzero((far <= most) & (n[i] > 2 * SKETCH)):
+                apart = wide_distance(wide[i[x]], wide[j[x]]) - wide_rad[i[x]] - wide_rad[j[x]]
+                far[x] = max(far[x], apart)
+            ok = far <= most
             i, j, far = i[ok], j[ok], far[ok]
             if nearest:
                 for x, y in ((i, j), (j, i)):  # each place occurs once on either side
@@ -266,18 +305,27 @@ def shared_prefixes(groups: DataFrame) -> DataFrame:
                                 F.col("np").bitwiseAND((1 << 32) - 1).cast("int").alias("pos")), "shared")
 
 
-def candidate_groups(shared: DataFrame, groups: DataFrame, percent: int, nearest: bool,
-                     block: int = BLOCK) -> DataFrame:
+def open_shingles(shared: DataFrame, labels: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``token, gid, n, pos, label, blocks``: rows of shingles whose groups have two labels or
+    more. Labels only merge, so the other shingles are done with for good."""
+    rows = shared.select("token", "gid", "n", "pos").join(labels.select("gid", "label"), "gid")
+    mixed = (rows.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"),
+                                       F.min("label").alias("a"), F.max("label").alias("b"))
+             .where("a <> b").select("token", "blocks"))
+    return stored(rows.join(mixed, "token"), "open")
+
+
+def candidate_groups(rows: DataFrame, groups: DataFrame, percent: int, nearest: bool, wide: bool) -> DataFrame:
     """Distinct pairs ``g1 < g2`` of groups of different ``label`` that may hold linked
-    members (step 3); with ``nearest`` only the closest one of each group and shingle."""
-    blocks = (shared.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
-              .where("blocks > 1"))
-    rows = (shared.join(blocks, "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-            .join(groups.select("gid", "rad", "sketch", "label"), "gid"))
+    members (step 3); with ``nearest`` only the closest one of each group and shingle.
+    ``wide`` attaches the long sketches too."""
+    long = (F.col("wide"), F.col("wide_rad")) if wide else \
+        (F.lit(None).cast("binary").alias("wide"), F.lit(0).cast("long").alias("wide_rad"))
+    rows = rows.join(groups.select("gid", "rad", "sketch", *long), "gid")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks").cast("long")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    placed = (rows.select("token", "low", "high", "block", "gid", "n", "pos", "rad", "label", "sketch")
+    placed = (rows.select("token", "low", "high", "block", "gid", "n", "pos", "rad", "label", "sketch", "wide", "wide_rad")
               .repartition("token", "low", "high").sortWithinPartitions("token", "low", "high"))
     return placed.mapInPandas(_bucket_pairs(percent, nearest), "g1 long, g2 long").distinct()
 
@@ -320,7 +368,8 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
                 ok.append(100 * both >= percent * (len(a) + len(b) - both))
             yield rows.loc[np.array(ok, bool), ["u", "v"]]
 
-    made = docs.select(_row_hash(), "text").mapInPandas(sets, "h long, own binary")
+    # rows of equal id and text have one set: one of them is enough
+    made = docs.select(_row_hash(), "text").mapInPandas(sets, "h long, own binary").groupBy("h").agg(F.first("own").alias("own"))
     full = (pairs.join(made.select(F.col("h").alias("hu"), F.col("own").alias("a")), "hu")
             .join(made.select(F.col("h").alias("hv"), F.col("own").alias("b")), "hv"))
     return stored(full.select("u", "v", "a", "b").mapInPandas(link, "u long, v long").distinct(), "links")
@@ -360,37 +409,43 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     classes = stored(classes, "classes")
     reps = filled.join(classes.select("rid"), "rid", "left_semi")
     groups = reps.groupBy("n", "p1", "p2").agg(F.min("rid").alias("gid"), F.count(F.lit(1)).alias("members"))
-    members = stored(reps.join(groups, ["n", "p1", "p2"]).select("rid", "gid", "members", "n", "sketch", "h"),
+    members = stored(reps.join(groups, ["n", "p1", "p2"]).select("rid", "gid", "members", "n", "sketch", "wide", "h"),
                      "members")
-    heads = members.where("rid = gid").select("gid", "sketch")
-    radius = (members.where("members > 1").join(heads.withColumnRenamed("sketch", "head"), "gid")
-              .groupBy("gid").agg(F.max(_distance("sketch", "head")).alias("rad")))
+    heads = members.where("rid = gid").select("gid", F.col("sketch").alias("head"), F.col("wide").alias("wide_head"))
+    radius = (members.where("members > 1").join(heads, "gid")
+              .select("gid", _distance("sketch", "head").alias("d"), _wide_distance("wide", "wide_head").alias("w"))
+              .groupBy("gid").agg(F.max("d").alias("rad"), F.max("w").alias("wide_rad")))
     heads = heads.join(radius, "gid", "left").select(
-        F.col("gid").alias("rid"), F.coalesce("rad", F.lit(0)).cast("long").alias("rad"))
-    whole = filled.join(heads, "rid").select(F.col("rid").alias("gid"), "n", "prefix", "sketch", "rad")
+        F.col("gid").alias("rid"), F.coalesce("rad", F.lit(0)).cast("long").alias("rad"),
+        F.coalesce("wide_rad", F.lit(0)).cast("long").alias("wide_rad"))
+    whole = filled.join(heads, "rid").select(F.col("rid").alias("gid"), "n", "prefix", "sketch", "rad", "wide", "wide_rad")
     shared = shared_prefixes(whole)
-    whole = stored(whole.select("gid", "sketch", "rad"), "groups")
-    side = lambda g, r, n, s, h: members.select(
-        F.col("gid").alias(g), F.col("rid").alias(r), F.col("n").alias(n), F.col("sketch").alias(s), F.col("h").alias(h))
+    whole = stored(whole.select("gid", "sketch", "rad", "wide", "wide_rad"), "groups")
+    side = lambda g, r, n, s, w, h: members.select(
+        F.col("gid").alias(g), F.col("rid").alias(r), F.col("n").alias(n), F.col("sketch").alias(s),
+        F.col("wide").alias(w), F.col("h").alias(h))
     need = F.ceil(percent * (F.col("na") + F.col("nb")) / (100 + percent))
 
     def expanded(group_pairs: DataFrame) -> DataFrame:
-        full = (group_pairs.join(side("g1", "u", "na", "sa", "hu"), "g1").join(side("g2", "v", "nb", "sb", "hv"), "g2")
+        full = (group_pairs.join(side("g1", "u", "na", "sa", "wa", "hu"), "g1")
+                .join(side("g2", "v", "nb", "sb", "wb", "hv"), "g2")
                 .where("g1 <> g2 or u < v").withColumn("far", _distance("sa", "sb")))
-        return stored(full.where(F.col("far") <= F.col("na") + F.col("nb") - 2 * need)
-                      .select("u", "hu", "v", "hv", "far"), "pairs")
+        most = F.col("na") + F.col("nb") - 2 * need
+        return stored(full.where(F.col("far") <= most).withColumn("wide_far", _wide_distance("wa", "wb"))
+                      .where(F.col("wide_far") <= most)
+                      .select("u", "hu", "v", "hv", F.greatest("far", "wide_far").alias("far")), "pairs")
 
     # first the closest candidates between components, then all that still lie between them
     own = members.where("members > 1 and rid = gid").select(F.col("gid").alias("g1"), F.col("gid").alias("g2"))
-    labelled, roots = whole.withColumn("label", F.col("gid")), None
+    labels, roots = whole.select("gid", F.col("gid").alias("label")), None
     for turn in range(ROUNDS + 1):
-        found = candidate_groups(shared, labelled, percent, turn < ROUNDS)
+        shared = open_shingles(shared, labels)
+        found = candidate_groups(shared, whole, percent, turn < ROUNDS, wide=turn > 0)
         roots = linked_components(docs, expanded(found if turn else found.union(own)), width, percent, roots)
         if turn < ROUNDS:
             ends = members.join(roots, members["rid"] == roots["node"], "left").groupBy("gid").agg(
                 F.min(F.coalesce("root", "rid")).alias("a"), F.max(F.coalesce("root", "rid")).alias("b"))
-            labelled = whole.join(ends, "gid").withColumn(
-                "label", F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(-1 - F.col("gid")))
+            labels = ends.select("gid", F.when(F.col("a") == F.col("b"), F.col("a")).otherwise(-1 - F.col("gid")).alias("label"))
     named = classes.join(roots, classes["rid"] == roots["node"], "left").select(
         "n", "f1", "f2", "least", F.coalesce("root", "rid").alias("root"))
     names = named.groupBy("root").agg(F.min("least").alias("component"))

@@ -80,3 +80,61 @@ def test_no_passage_repeats_its_own_words(spark, make_docs):
     assert out and {r.doc_id for r in out} == {1}                            # a true repeat inside one text is found
     for r in out:
         assert r.start_word >= r.ref_start_word + r.ref_n_words or r.ref_start_word >= r.start_word + r.n_words
+
+
+def test_wide_sketches_bound_the_difference_of_long_sets():
+    import numpy as np
+
+    from chunkwise.llm import jaccard_join
+
+    rng = np.random.default_rng(5)
+    for n in (1100, 1500, 2047, 2049, 5000, 20_000):
+        for share in (0.0, 0.5, 0.9, 1.0):
+            m = int(n * rng.uniform(0.85, 1.0))
+            a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+            same = int(share * min(n, m))
+            b = np.unique(np.concatenate([a[:same], rng.integers(0, 2**63, m - same).astype(np.uint64)]))
+            true = len(np.setxor1d(a, b))
+            got = jaccard_join.wide_distance(jaccard_join.wide_sketch(a), jaccard_join.wide_sketch(b))
+            assert got <= true
+            if share < 0.6 and min(n, m) > 1024:  # beyond what 80 % may differ by: seen as too far
+                assert got > len(a) + len(b) - 2 * -(-80 * (len(a) + len(b)) // 180)
+    assert jaccard_join.wide_sketch(np.arange(1024, dtype=np.uint64)) is None and jaccard_join.wide_distance(None, b"") == 0
+
+
+def test_long_texts_of_one_stock_passage_are_no_candidates(spark, make_docs):
+    from chunkwise.llm import jaccard_join
+
+    rng = random.Random(9)
+    words = lambda n: [f"w{rng.randint(0, 10**7)}" for _ in range(n)]
+    stock = words(80)
+    texts = [" ".join(words(900) + stock + words(900)) for _ in range(24)]
+    near = texts[0].split()
+    near[40] = "changed"
+    texts.append(" ".join(near))
+    docs = make_docs(texts)
+    made, count = [], jaccard_join.candidate_groups
+
+    def counted(*a, **k):
+        out = count(*a, **k)
+        made.append(out.count())
+        return out
+
+    jaccard_join.candidate_groups = counted
+    try:
+        got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(docs).collect()}
+    finally:
+        jaccard_join.candidate_groups = count
+    assert got == {i: 0 if i == 24 else i for i in range(25)}
+    assert made[-1] <= 1                                       # of 276 pairs of unlike texts that share the passage
+
+
+def test_many_equal_rows_are_verified_once(spark, make_docs):
+    from chunkwise.llm import jaccard_join
+
+    rng = random.Random(10)
+    a = [f"w{rng.randint(0, 10**6)}" for _ in range(200)]
+    b = a[:100] + ["changed"] + a[101:]
+    docs = make_docs([(None, " ".join(t), "en", "s") for t in (a, b) for _ in range(2000)])
+    got = jaccard_join.jaccard_components(docs).groupBy("n_shingles", "component_id").count().collect()
+    assert [(r.n_shingles, r.component_id, r["count"]) for r in got] == [(197, None, 4000)]

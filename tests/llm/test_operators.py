@@ -222,7 +222,7 @@ def by_pairs(texts, width, percent):
 
 @pytest.mark.parametrize("block,cases", [(3, [(4, 85), (5, 80)]), (jaccard_join.BLOCK, [(3, 50)])])
 def test_components_against_all_pairs(spark, make_docs, monkeypatch, block, cases):
-    monkeypatch.setattr(jaccard_join.candidate_groups, "__defaults__", (block,))
+    monkeypatch.setattr(jaccard_join.open_shingles, "__defaults__", (block,))
     rng = random.Random(block)
     vocabulary = [f"w{i}" for i in range(500)]
     header = [rng.choice(vocabulary) for _ in range(12)]
