@@ -17,7 +17,6 @@ an empty table gives no rows; other columns are passed by.
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -26,6 +25,7 @@ from functools import cached_property
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -132,14 +132,20 @@ def fit_labels(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200) -> L
     return model
 
 
+_KIND = bytes(65 if 65 <= c <= 90 else 97 if 97 <= c <= 122 or c >= 128 else 48 if 48 <= c <= 57 else c for c in range(256))
+_LETTERS = re.compile(rb"([Aa0])\1+")
+_MARKS = re.compile(rb"(.)\1+", re.S)
+#: Distinct words that a task remembers.
+WORDS = 400_000
+
+
 def shape(word: bytes) -> bytes:
     """Kinds of characters in a word, runs of a kind once: ``Aa``, ``A!``, ``a*``, ``0``."""
-    kinds = re.sub(rb"[a-z\x80-\xff]+", b"a", re.sub(rb"[0-9]+", b"0", re.sub(rb"[A-Z]+", b"A", word)))
-    return re.sub(rb"(.)\1+", rb"\1\1", kinds, flags=re.S)
+    return _MARKS.sub(rb"\1\1", _LETTERS.sub(rb"\1", word.translate(_KIND)))
 
 
 def slot(kind: bytes, name: bytes, slots: int) -> int:
-    return int.from_bytes(hashlib.blake2b(kind + name, digest_size=8).digest(), "little") % slots
+    return xxhash.xxh3_64_intdigest(kind + name) % slots
 
 
 #: Named measures of a text, each between 0 and about 1.
@@ -153,7 +159,11 @@ def named(m: WordMeasures) -> list[float]:
 
 
 def word_slots(words: list[bytes], slots: int) -> np.ndarray:
-    return np.array([(slot(b"w", w.lower(), slots), slot(b"s", shape(w), slots)) for w in words]).reshape(-1, 2)
+    """Slots of each word itself and of its shape; few kinds of words have many words."""
+    kinds = [w.translate(_KIND) for w in words]
+    of = {kind: slot(b"s", shape(kind), slots) for kind in set(kinds)}
+    own = [slot(b"w", w.lower(), slots) for w in words]
+    return np.array([own, [of[kind] for kind in kinds]], np.int64).T.reshape(-1, 2)
 
 
 def train(texts: list, target: np.ndarray, slots: int = 1 << 16, epochs: int = 8, rate: float = 0.3,
@@ -219,7 +229,7 @@ def classify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresh
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         labels, w = shared.value
-        memo = WordMemo(lambda words: w[word_slots(words, slots)].sum(1, keepdims=True), 1)
+        memo = WordMemo(lambda words: w[word_slots(words, slots)].sum(1, keepdims=True), 1, WORDS)
         for own, raws in slices(frames):
             measures = [WordMeasures(t) for t in raws]
             ids = memo.rows([m.words for m in measures])

@@ -1,7 +1,9 @@
 """Leaks at the start of a text, languages beside crowds of copies, passages within one text."""
 
 import random
+import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from chunkwise.llm import decontamination, language_id, substring_dedup
@@ -83,8 +85,6 @@ def test_no_passage_repeats_its_own_words(spark, make_docs):
 
 
 def test_wide_sketches_bound_the_difference_of_long_sets():
-    import numpy as np
-
     from chunkwise.llm import jaccard_join
 
     rng = np.random.default_rng(5)
@@ -168,3 +168,18 @@ def test_registered_codec_returns_ids_that_decode(spark):
     for r in rows:
         assert r.round_trip and r.n_tokens == len(r.ids)
         assert b"".join(v.bytes_of[i] for i in r.ids)[1:].decode() == (texts[r.doc_id] or "")
+
+
+
+def test_shapes_of_words():
+    from chunkwise.llm import quality_classifier as qc
+
+    def plain(word):
+        out = re.sub(rb"[a-z\x80-\xff]+", b"a", re.sub(rb"[0-9]+", b"0", re.sub(rb"[A-Z]+", b"A", word)))
+        return re.sub(rb"(.)\1+", rb"\1\1", out, flags=re.S)
+
+    rng = random.Random(2)
+    words = [bytes(rng.choice(b"ABab09!!?-\xc3\xa9\n") for _ in range(rng.randint(0, 12))) for _ in range(3000)]
+    assert [qc.shape(w) for w in words] == [plain(w) for w in words]
+    slots = qc.word_slots(words, 1 << 16)
+    assert slots.shape == (3000, 2) and (slots == np.array([qc.word_slots([w], 1 << 16)[0] for w in words])).all()
