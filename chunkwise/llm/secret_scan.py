@@ -3,10 +3,10 @@
 Candidates are found in every whole text by four patterns. ``assign``, ``access``
 and ``hex`` are the base kinds and are always reported. ``owned`` candidates are
 long mixed tokens outside every base span; they are reported when the corpus shows
-their value under few owners. For each candidate value (by SHA-256) the corpus
-gives the number of distinct owners and of distinct repositories: values seen
-under at most ``max_owners`` owners are owner-specific and look live, others are
-widely copied examples.
+their value under few owners and repositories. For each candidate value (by SHA-256) the
+corpus gives the number of distinct owners and of distinct repositories: values seen
+under at most ``max_owners`` owners and in at most ``max_repos`` repositories are
+owner-specific and look live, others are widely copied examples.
 
 Positions come from ``split`` and ``regexp_extract_all`` of the same pattern: the
 pieces between matches and the matches alternate, so their code-point lengths add
@@ -42,37 +42,54 @@ KINDS = (
     ("hex", HEX, 0, 16, "[0-9a-f]{16}"),
     ("owned", TOKEN, 0, 20, "[A-Za-z0-9+/_=-]{20}"),
 )
+RUN = 128
 SPAN = "array<struct<start:int,rank:int,kind:string,end:int,value:string>>"
 
 
 def _spans(text: Column, rank: int) -> Column:
-    """Kept matches of one kind as structs, in order of start."""
+    """Kept matches of one kind as structs, in order of start.
+
+    The pieces between matches and the matches are paired and walked once, the offset
+    carried along. Spans are gathered in runs of ``RUN``, as appending copies an array.
+    """
     kind, pattern, group, least, needed = KINDS[rank]
-    gaps = F.transform(F.split(text, pattern, -1), F.length)
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
-    total = lambda xs, n: F.aggregate(F.slice(xs, 1, n), F.lit(0), lambda a, x: a + x)
-    lengths = F.transform(found, F.length)
-    # lengths first: offsets are only worked out for the few matches that are kept
+    pieces = F.arrays_zip(F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
+                          F.transform(found, F.length).alias("size"), value.alias("value"))
     mixed = lambda v: (v.rlike("[0-9]") & v.rlike("[a-z]") & v.rlike("[A-Z]")
                        if kind == "owned" else F.lit(True))
-    keep = lambda v: (F.length(v) >= least) & mixed(v)
-    at = F.filter(F.transform(value, lambda v, i: F.when(keep(v), i)), lambda i: i.isNotNull())
-    spans = F.transform(at, lambda i: F.struct(
-        (total(gaps, i + 1) + total(lengths, i)).alias("start"), F.lit(rank).alias("rank"),
-        F.lit(kind).alias("kind"),
-        (total(gaps, i + 1) + total(lengths, i + 1)).alias("end"),
-        F.sha2(F.get(value, i), 256).alias("value")))
+    keep = lambda x: x["size"].isNotNull() & (F.length(x["value"]) >= least) & mixed(x["value"])
+
+    def step(seen: Column, x: Column) -> Column:
+        start = seen["at"] + x["gap"]
+        end = start + F.coalesce(x["size"], F.lit(0))
+        span = F.struct(start.alias("start"), F.lit(rank).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"),
+                        F.sha2(x["value"], 256).alias("value"))
+        kept, full = keep(x), F.size(seen["run"]) >= RUN
+        return F.struct(
+            end.alias("at"),
+            F.when(~kept, seen["run"]).when(full, F.array(span)).otherwise(F.concat(seen["run"], F.array(span))).alias("run"),
+            F.when(kept & full, F.concat(seen["runs"], F.array(seen["run"]))).otherwise(seen["runs"]).alias("runs"))
+
+    spans = F.aggregate(pieces, F.struct(F.lit(0).alias("at"), F.expr(f"cast(array() as {SPAN})").alias("run"),
+                                         F.expr(f"cast(array() as array<{SPAN}>)").alias("runs")),
+                        step, lambda seen: F.concat(F.flatten(seen["runs"]), seen["run"]))
     return F.when(text.rlike(needed), spans).otherwise(F.expr(f"cast(array() as {SPAN})"))
 
 
 def find_candidates(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``_base`` and ``_tokens``: base spans and mixed tokens outside them."""
+    """Add ``_base`` and ``_all``: base spans and mixed tokens, wherever they stand."""
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     base = F.concat(*[_spans(body, rank) for rank in range(3)])
-    out = docs.withColumn("_base", F.array_sort(base)).withColumn("_all", _spans(body, 3))
+    return docs.withColumn("_base", F.array_sort(base)).withColumn("_all", _spans(body, 3))
+
+
+def outside_base(found: DataFrame) -> DataFrame:
+    """``found`` with ``_tokens``, the mixed tokens outside every base span, for ``_all``. Both
+    columns should be stored: worked out in the same step, spans would be found anew a token."""
     inside = lambda t, b: (b["start"] < t["end"]) & (t["start"] < b["end"])
-    return out.withColumn("_tokens", F.filter("_all", lambda t: ~F.exists("_base", lambda b: inside(t, b)))).drop("_all")
+    return found.withColumn("_tokens", F.filter("_all", lambda t: ~F.exists("_base", lambda b: inside(t, b)))).drop("_all")
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
@@ -88,26 +105,27 @@ def ownership(candidates: DataFrame) -> DataFrame:
 
 
 def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                 owner: str = "source", repo: str = "lang", max_owners: int = 2,
+                 owner: str = "source", repo: str = "lang", max_owners: int = 2, max_repos: int = 3,
                  keep: tuple[str, ...] = (), target_rows: int = 100_000) -> DataFrame:
     """One row per input row: ``doc_id``, ``base`` and ``extra`` spans, ``n_live``,
     ``n_copied``, and the columns of ``keep`` gathered in the struct ``kept``.
 
     ``owner`` names the owner column; a repository is the pair of ``owner`` and
-    ``repo``. ``n_live`` counts spans whose value has at most ``max_owners``
-    owners, ``n_copied`` the other ones among base spans and mixed tokens.
+    ``repo``. ``n_live`` counts spans whose value has at most ``max_owners`` owners and
+    ``max_repos`` repositories, ``n_copied`` the other ones among base spans and mixed
+    tokens.
     """
     named = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"),
                         F.coalesce(F.col(f"`{owner}`").cast("string"), F.lit("")).alias("owner"),
                         F.coalesce(F.col(f"`{repo}`").cast("string"), F.lit("")).alias("repo"),
                         *([F.struct(*[F.col(f"`{c}`") for c in keep]).alias("kept")] if keep else []))
-    found = find_candidates(named).select("doc_id", "owner", "repo", "_base", "_tokens", *["kept"][:len(keep)],
+    found = find_candidates(named).select("doc_id", "owner", "repo", "_base", "_all", *["kept"][:len(keep)],
                                           F.monotonically_increasing_id().alias("_row"))
-    found = stored(found, "secrets")
+    found = outside_base(stored(found, "secrets"))
     spans = found.select("_row", "owner", "repo", F.explode(F.concat("_base", "_tokens")).alias("s"))
     per_row = spans.groupBy("_row", F.col("s.value").alias("value")).agg(
         F.first("owner").alias("owner"), F.first("repo").alias("repo"), F.count(F.lit(1)).alias("n"))
-    owned = ownership(per_row).where(F.col("n_owners") <= max_owners).select("value")
+    owned = ownership(per_row).where((F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)).select("value")
     live = salted_lookup_join(per_row.select("_row", "value", "n"),
                               owned.withColumn("live", F.lit(True)), ["value"], "inner", target_rows)
     live = live.groupBy("_row").agg(F.collect_set("value").alias("_live"),

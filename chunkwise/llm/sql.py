@@ -34,7 +34,7 @@ tokens AS (SELECT * FROM ({_kind(3, 'owned', TOKEN, 0, 20)}) t
     AND NOT EXISTS (SELECT 1 FROM base b WHERE b.rid = t.rid AND b.s < t.s + length(t.found)
                                            AND t.s < b.s + length(b.found))),
 cand AS (SELECT * FROM base UNION ALL SELECT * FROM tokens),
-live AS (SELECT value FROM cand GROUP BY value HAVING count(DISTINCT owner) <= 2),
+live AS (SELECT value FROM cand GROUP BY value HAVING count(DISTINCT owner) <= 2 AND count(DISTINCT (owner, repo)) <= 3),
 flagged AS (SELECT c.*, c.value IN (SELECT value FROM live) AS is_live,
                    kind || ':' || s || ':' || (s + length(found)) AS span FROM cand c),
 per AS (SELECT rid, count(*) FILTER (kind = 'assign') AS n_assign,

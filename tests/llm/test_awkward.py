@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from chunkwise.llm import (decontamination, jaccard_join, language_id, lm_scoring, quality_classifier,
-                           quality_rules, secret_scan, sentencepiece_codec, substring_dedup, toxicity)
+from chunkwise.llm import (decontamination, jaccard_join, language_id, lm_scoring, merkle_manifest, pii,
+                           quality_classifier, quality_rules, secret_scan, sentencepiece_codec,
+                           source_divergence, substring_dedup, toxicity)
 
 from .conftest import AWKWARD, DOCS
 
@@ -29,10 +30,14 @@ ROW_WISE = {  # one output row per input row
     "op7": lambda spark, docs: sentencepiece_codec.digest(docs, sentencepiece_codec.load()),
     "op9": lambda spark, docs: lm_scoring.classify(docs),
     "op10": lambda spark, docs: language_id.classify(docs),
+    "op12": lambda spark, docs: merkle_manifest.digest(merkle_manifest.manifest(
+        docs, tampered=merkle_manifest.tamper_mark(F.col("doc_id")), block_levels=1)),
+    "op13": lambda spark, docs: pii.digest(pii.extract(docs)),
 }
 PAIR_WISE = {
     "op2": lambda spark, docs: substring_dedup.repeated_passages(docs),
     "op8": lambda spark, docs: decontamination.find_leaks(docs, items_of(spark)),
+    "op11": lambda spark, docs: source_divergence.audit(docs, 1),
 }
 
 
@@ -62,6 +67,14 @@ def test_pairs_on_awkward_rows(spark, awkward, clashing):
         assert PAIR_WISE["op2"](spark, docs).count() == 0
 
 
+def test_divergence_of_awkward_rows(spark, awkward, clashing):
+    rows = [sorted(map(tuple, PAIR_WISE["op11"](spark, docs).collect())) for docs in (awkward, clashing)]
+    assert rows[0] == rows[1]
+    groups = {r[:2] for r in rows[0]}
+    assert ("es", "src3") not in groups and ("en", "src1") in groups and ("", "") in groups  # alone; others; nulls
+    assert [(r[3], r[5]) for r in rows[0] if r[:3] == ("en", "src2", "term")] == [("word", 1)]
+
+
 def test_repeated_rows_get_equal_results(spark, awkward):
     for name in ("op1", "op4", "op6"):
         rows = ROW_WISE[name](spark, awkward).where("doc_id = 5").collect()

@@ -183,3 +183,27 @@ def test_shapes_of_words():
     assert [qc.shape(w) for w in words] == [plain(w) for w in words]
     slots = qc.word_slots(words, 1 << 16)
     assert slots.shape == (3000, 2) and (slots == np.array([qc.word_slots([w], 1 << 16)[0] for w in words])).all()
+
+
+def test_repositories_decide_beside_owners(spark, make_docs):
+    from chunkwise.llm import secret_scan
+
+    spread, own = "Aa1" * 8, "Bb2" * 8
+    docs = make_docs([(i, f"see {spread} here", f"l{i}", "one") for i in range(4)] + [(9, f"our {own} key", "en", "one")])
+    out = {r.doc_id: r for r in secret_scan.digest(secret_scan.scan_secrets(docs)).collect()}
+    assert out[9].spans == "owned:4:28" and out[0].spans == ""            # one owner, four repositories
+    wide = {r.doc_id: r for r in secret_scan.digest(secret_scan.scan_secrets(docs, max_repos=4)).collect()}
+    assert wide[0].spans == "owned:4:28"
+
+
+def test_a_text_of_many_keys_takes_seconds(spark, make_docs):
+    import time
+
+    from chunkwise.llm import secret_scan
+
+    text = " ".join(f"token={i:016d} k" for i in range(6_000))
+    docs = make_docs([text])
+    started = time.perf_counter()
+    r = secret_scan.digest(secret_scan.scan_secrets(docs)).collect()[0]
+    assert r.n_assign == 6_000 and r.n_hex == 6_000
+    assert time.perf_counter() - started < 60
