@@ -49,7 +49,7 @@ from chunkwise.llm.common import row_key, slices, stored
 from chunkwise.llm.components import components
 
 #: A shingle in more than one of so many documents counts as frequent.
-FREQUENT = 1000
+FREQUENT = 8000
 #: Groups of a bucket that one block holds.
 BLOCK = 20_000
 #: Turns that take each group's closest candidate only.
