@@ -105,31 +105,6 @@ def load(path: str = DEFAULT_MODEL) -> Vocabulary:
     return Vocabulary(pieces, bytes_of, byte_ids, min((s for _, s in pieces.values()), default=0.0) - 10)
 
 
-class TrieArrays:
-    """The pieces' trie as sorted (node, character) keys, to walk many stretches at once."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        keys, children, ids, scores, todo = [], [], [-1], [0.0], [(0, vocabulary.trie)]
-        while todo:
-            at, level = todo.pop()
-            for ch, (i, score, deeper) in level.items():
-                keys.append((at << 21) | ord(ch))
-                children.append(len(ids))
-                todo.append((len(ids), deeper))
-                ids.append(-1 if i is None else i)
-                scores.append(score)
-        order = np.argsort(np.array(keys, np.int64))
-        self.keys, self.children = np.array(keys, np.int64)[order], np.array(children, np.int64)[order]
-        self.ids, self.scores = np.array(ids, np.int32), np.array(scores)
-
-    def step(self, node: np.ndarray, char: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where a child exists, and the children there."""
-        key = (node << 21) | char
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        found = np.flatnonzero(self.keys[at] == key)
-        return found, self.children[at[found]]
-
-
 def escaped(text: str) -> str:
     return text.replace(MARK, LITERAL).replace(" ", MARK)
 
@@ -139,7 +114,6 @@ class Coder:
 
     def __init__(self, vocabulary: Vocabulary, limit: int = 100_000):
         self.v, self.memo, self.older, self.limit = vocabulary, {}, {}, limit
-        self.walk = TrieArrays(vocabulary) if vocabulary.pieces else None
 
     def lattice(self, text: str, size: int, seed: list[float]) -> tuple[list[float], list[int]]:
         """Best scores at 0 .. size + states - 1 and the starts of the last pieces.
@@ -193,87 +167,16 @@ class Coder:
                 score, start = self.lattice(text, len(text), [0.0])
                 ids = self.ids(text, start, len(text))[0]
                 known = struct.pack(f"<{len(ids)}i", *ids), score[len(text)]
-            self.remember(text, known)
+            if len(self.memo) >= self.limit:
+                self.memo, self.older = {}, self.memo
+            self.memo[text] = known
         return known
 
-    def lattices(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For words from longest to shortest: best score of the whole word, and for each
-        end the start of its last piece and that piece's id (-1: a character without one).
-        The same choices as ``lattice``, made for all words together."""
-        n = np.array([len(w) for w in words])
-        flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        chars = np.zeros((len(words), int(n[0])), np.int64)
-        chars[np.arange(n[0]) < n[:, None]] = flat
-        score = np.full((len(words), int(n[0]) + 1), NONE)
-        score[:, 0] = 0.0
-        start = np.zeros(score.shape, np.int32)
-        piece = np.full(score.shape, -1, np.int32)
-
-        def offer(rows: np.ndarray, end: int, value: np.ndarray, p: int, ids) -> None:
-            better = value > score[rows, end]
-            rows = rows[better]
-            score[rows, end], start[rows, end] = value[better], p
-            piece[rows, end] = ids if np.isscalar(ids) else ids[better]
-
-        for p in range(int(n[0])):
-            rows = np.arange(np.searchsorted(-n, -p, "left"))  # words longer than p
-            base = score[rows, p]
-            at, node = self.walk.step(np.zeros(len(rows), np.int64), chars[rows, p])
-            alone = np.ones(len(rows), bool)
-            alone[at[self.walk.ids[node] >= 0]] = False
-            offer(rows[alone], p + 1, base[alone] + self.v.unknown, p, -1)
-            rows, base, q = rows[at], base[at], p + 1
-            while len(rows):
-                ends = self.walk.ids[node] >= 0
-                offer(rows[ends], q, base[ends] + self.walk.scores[node[ends]], p, self.walk.ids[node[ends]])
-                on = n[rows] > q
-                rows, base, node = rows[on], base[on], node[on]
-                if len(rows):
-                    at, node = self.walk.step(node, chars[rows, q])
-                    rows, base = rows[at], base[at]
-                q += 1
-        return score[np.arange(len(words)), n], start, piece
-
-    def learn(self, words: set[str]) -> None:
-        """Work out stretches that are not remembered, all together. Left to ``stretch`` are
-        those with characters that have no piece, and very long ones."""
-        new = sorted([w for w in words if w not in self.memo and w not in self.older and len(w) <= 4 * self.v.longest],
-                     key=len, reverse=True)
-        if self.walk is None or len(new) < 64:
-            return  # few are quicker one by one
-        for at in range(0, len(new), 16_384):
-            own = new[at:at + 16_384]
-            score, start, piece = self.lattices(own)
-            rows, end, steps = np.arange(len(own)), np.array([len(w) for w in own]), []
-            while len(rows):  # all paths back by one piece
-                steps.append((rows, piece[rows, end]))
-                end = start[rows, end]
-                rows, end = rows[end > 0], end[end > 0]
-            rows, ids = (np.concatenate([x[i] for x in reversed(steps)]) for i in (0, 1))
-            order = np.argsort(rows, kind="stable")
-            raw = ids[order].astype("<i4").tobytes()
-            ends = 4 * np.cumsum(np.bincount(rows, minlength=len(own)))
-            whole = np.bincount(rows[ids < 0], minlength=len(own)) == 0
-            for w, total, a, z, ok in zip(own, score.tolist(), [0, *ends.tolist()], ends.tolist(), whole.tolist()):
-                if ok:
-                    self.remember(w, (raw[a:z], total))
-
-    def remember(self, text: str, known: tuple[bytes, float]) -> None:
-        if len(self.memo) >= self.limit:
-            self.memo, self.older = {}, self.memo
-        self.memo[text] = known
-
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of whole texts."""
-        parted = [self.v.stretches.findall(MARK + escaped(t)) if t else [] for t in texts]
-        distinct = set().union(*parted)
-        self.learn(distinct)
-        known = {w: self.stretch(w)[0] for w in distinct}
-        return [b"".join(map(known.__getitem__, words)) for words in parted]
-
     def encode(self, text: str) -> bytes:
         """Packed ids of a whole text."""
-        return self.encode_all([text])[0]
+        if not text:
+            return b""
+        return b"".join([self.stretch(s)[0] for s in self.v.stretches.findall(MARK + escaped(text))])
 
     def parts(self, body: str, size: int) -> tuple[int, int] | None:
         """First and last place of a chunk that no piece crosses, if there is any."""
@@ -381,10 +284,9 @@ def _encode_long(docs: DataFrame, shared, chunk_chars: int) -> DataFrame:
     def matrices(frames):
         coder = Coder(shared.value)
         for f in frames:
-            bodies = [escaped(b.decode("utf-8", "surrogatepass")) for b in f["body"]]
-            coder.learn(set().union(*map(coder.v.stretches.findall, bodies)))
             yield pd.DataFrame({"rid": f["rid"], "chunk": f["chunk"], "m": [
-                coder.matrix(b, s).tobytes() for b, s in zip(bodies, f["size"])]})
+                coder.matrix(escaped(b.decode("utf-8", "surrogatepass")), s).tobytes()
+                for b, s in zip(f["body"], f["size"])]})
 
     def borders(own: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values("chunk")
@@ -397,10 +299,8 @@ def _encode_long(docs: DataFrame, shared, chunk_chars: int) -> DataFrame:
     def paths(frames):
         coder = Coder(shared.value)
         for f in frames:
-            bodies = [escaped(b.decode("utf-8", "surrogatepass")) for b in f["body"]]
-            coder.learn(set().union(*map(coder.v.stretches.findall, bodies)))
-            for rid, chunk, last, size, body, seed in zip(f["rid"], f["chunk"], f["last"], f["size"], bodies, f["seed"]):
-                found = coder.paths(body, size, np.frombuffer(seed).tolist())
+            for rid, chunk, last, size, body, seed in zip(*(f[c] for c in ("rid", "chunk", "last", "size", "body", "seed"))):
+                found = coder.paths(escaped(body.decode("utf-8", "surrogatepass")), size, np.frombuffer(seed).tolist())
                 rows = [(rid, chunk, j, i, ids) for j, i, ids in found if j <= 0 or not last]
                 yield pd.DataFrame(rows, columns=["rid", "chunk", "leave", "enter", "ids"])
 
@@ -447,7 +347,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: tu
         for frame in frames:
             for at in range(0, len(frame), 256):
                 part = frame.iloc[at:at + 256]
-                ids = [np.frombuffer(x, "<i4") for x in coder.encode_all(list(part["text"]))]
+                ids = [np.frombuffer(coder.encode(t), "<i4") for t in part["text"]]
                 yield pd.DataFrame({"kept": list(part["kept"]), "ids": ids, "round_trip": [
                     not check or decoded(x, shared.value.bytes_of) == t.encode("utf-8", "surrogatepass")
                     for x, t in zip(ids, part["text"])]})

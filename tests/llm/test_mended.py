@@ -140,22 +140,6 @@ def test_many_equal_rows_are_verified_once(spark, make_docs):
     assert [(r.n_shingles, r.component_id, r["count"]) for r in got] == [(197, None, 4000)]
 
 
-def test_stretches_worked_out_together_equal_those_one_by_one():
-    from chunkwise.llm import sentencepiece_codec as sp
-
-    rng = random.Random(7)
-    pieces = {p: (i, -rng.randint(1, 4) * 1.0) for i, p in enumerate(
-        ["▁", "a", "b", "c", "▁a", "ab", "abc", "bca", "▁abca", "é", "caé", "aaaa"])}
-    vocabulary = sp.Vocabulary(pieces, [b""] * 300, list(range(20, 276)), -14.0)
-    words = list({"".join(rng.choice(rng.choice(["abc▁", "abcé▁x\udfff🙂"])) for _ in range(rng.randint(1, 14)))
-                  for _ in range(3000)} | {"".join(rng.choice("abc▁") for _ in range(rng.randint(1, 14))) for _ in range(2000)})
-    together, alone = sp.Coder(vocabulary), sp.Coder(vocabulary)
-    together.learn(set(words))
-    assert len(together.memo) > 300
-    for w in words:
-        assert together.stretch(w) == alone.stretch(w), w
-
-
 def test_registered_codec_returns_ids_that_decode(spark):
     from chunkwise.llm import sentencepiece_codec as sp
     from chunkwise.llm.queries import op7_sentencepiece
