@@ -220,6 +220,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text:
 def drop_leaking(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text",
                  **options) -> DataFrame:
     """``docs`` without the rows that leak an item (rows of equal id and text go together)."""
-    keyed = docs.withColumn("_key", row_key(F.col(f"`{doc_id}`"), F.col(f"`{text}`")))
-    leaks = find_leaks(keyed, items, "_key", text, **options).select(F.col("doc_id").alias("_key")).distinct()
-    return keyed.join(stored(leaks, "leaks"), "_key", "left_anti").drop("_key")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"),
+                        row_key(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).alias("_key"))
+    leaks = find_leaks(keyed, items, "_key", "_text", **options).select(F.col("doc_id").alias("_key")).distinct()
+    kept = keyed.join(stored(leaks, "leaks"), "_key", "left_anti")
+    return kept.select("_row.*")  # the struct keeps columns of clashing names apart

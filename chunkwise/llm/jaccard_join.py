@@ -457,10 +457,11 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 def distinct_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with one row of every component: the one of least id (then least text hash)."""
-    keyed = docs.withColumn("_key", row_key(F.col(f"`{doc_id}`"), F.col(f"`{text}`")))
-    found = jaccard_components(keyed, "_key", text, **options)
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(f"`{text}`").alias("_text"),
+                        row_key(F.col(f"`{doc_id}`"), F.col(f"`{text}`")).alias("_key"))
+    found = jaccard_components(keyed, "_key", "_text", **options)
     stay = stored(found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_key"))
                   .agg(F.count(F.lit(1)).alias("_rows")), "stay")
-    kept = keyed.join(stay, "_key")
+    kept = keyed.select("_row", "_key").join(stay, "_key")
     single, repeated = kept.where("_rows = 1"), kept.where("_rows > 1").dropDuplicates(["_key"])
-    return single.unionByName(repeated).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return single.unionByName(repeated).select("_row.*")  # the struct keeps columns of clashing names apart

@@ -191,3 +191,17 @@ def test_a_text_of_many_keys_takes_seconds(spark, make_docs):
     r = secret_scan.digest(secret_scan.scan_secrets(docs)).collect()[0]
     assert r.n_assign == 6_000 and r.n_hex == 6_000
     assert time.perf_counter() - started < 60
+
+
+def test_stages_keep_columns_of_their_own_inner_names(spark, make_docs):
+    from chunkwise.llm import jaccard_join
+
+    docs = make_docs(["one text to keep", "a leaked item of the benchmark", "one text to keep"]).withColumn(
+        "_key", F.lit("k")).withColumn("_rows", F.lit(7)).withColumn("_row", F.lit(1)).withColumn("_text", F.lit("t"))
+    items = spark.createDataFrame([(1, "a leaked item of the benchmark")], "item_id long, text string")
+    left = decontamination.drop_leaking(docs, items)
+    assert left.columns == docs.columns
+    assert sorted((r.doc_id, r._key, r._rows, r["_row"], r._text) for r in left.collect()) == [(0, "k", 7, 1, "t"), (2, "k", 7, 1, "t")]
+    alone = jaccard_join.distinct_documents(docs, width=5, percent=80)
+    assert alone.columns == docs.columns
+    assert sorted((r.doc_id, r._key, r._rows) for r in alone.collect()) == [(0, "k", 7), (1, "k", 7)]
