@@ -27,6 +27,7 @@ Search. A query ranks the cells of its ``breadth`` nearest coarse groups and is
 with the vectors of the ``nprobe`` nearest of them. Cells are packed into blocks of about
 ``block_rows`` rows (larger cells are cut by a hash of the ids), and each (block, part of
 its queries) is one bounded cogroup. Only the coarse groups that some query probes are read.
+A search of all cells ranks none: every query meets every block of one table.
 """
 
 from __future__ import annotations
@@ -37,16 +38,18 @@ from dataclasses import asdict, dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chunkwise.operators.knn import (BLOCK_ROWS, BROADCAST_MAX_BYTES, DECIMALS, SPARE, _best,
                                      _candidate_schema, _check_metric, _distances, _empty,
-                                     _final_topk, _matrix, _pair_distances, valid_vectors)
+                                     _final_topk, _matrix, _pair_distances, topk_block, valid_vectors)
 from chunkwise.session import scratch_path
 
 TILE = 256                 # queries of one distance matrix
+NEAR_VALUES = 1 << 21      # cells ranked, and cell numbers returned, at a time
 FIT_ROUNDS = 8             # Lloyd iterations of a quantiser
 CELLS = "tbl int, coarse int, cell int, used boolean, whole boolean, centroid array<double>"
 
@@ -227,12 +230,12 @@ class _Quantisers:
         X = _unit(X, self.metric)
         out = {}
         for t, (C, cell, groups, group_of, means) in self.tables.items():
-            picked = []
-            for s in range(0, len(X), 1024):
-                far = _far(X[s:s + 1024], C)
+            picked, tile = [], max(16, min(1024, NEAR_VALUES // len(C)))
+            for s in range(0, len(X), tile):
+                far = _far(X[s:s + tile], C)
                 if breadth is not None and breadth < len(groups):
                     seen = np.zeros((len(far), len(groups)), bool)
-                    np.put_along_axis(seen, _best(_far(X[s:s + 1024], means), breadth), True, axis=1)
+                    np.put_along_axis(seen, _best(_far(X[s:s + tile], means), breadth), True, axis=1)
                     far[~seen[:, group_of]] = np.inf
                 at = _best(far, len(cell) if n is None else min(n, len(cell)))
                 picked += [cell[a[np.isfinite(f[a])]] for a, f in zip(at, far)]
@@ -240,6 +243,76 @@ class _Quantisers:
         return out
 
 
+def _vectors(column: pa.Array, dim: int) -> np.ndarray:
+    """The vectors of an Arrow list column without nulls, all of length ``dim``."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+
+
+def _ranked_parts(ranked: _Quantisers, batch: pa.RecordBatch, vec: str, dim: int, n: int | None, breadth: int | None):
+    """Runs of rows of a batch, each as ``(rows, table, nearest cells of each)``: a run has
+    so few rows that about ``NEAR_VALUES`` cell numbers are held at a time."""
+    widest = max((len(t[1]) for t in ranked.tables.values()), default=1)
+    step = max(1, NEAR_VALUES // (widest if n is None else min(n, widest)))
+    for s in range(0, batch.num_rows, step):
+        part = batch.slice(s, step)
+        for t, picked in ranked.nearest(_vectors(part.column(vec), dim), n, breadth).items():
+            yield part, t, picked
+
+
+def _with_lists(rows: pa.RecordBatch, plain: dict[str, pa.Array], lists: dict[str, list[np.ndarray]]) -> pa.RecordBatch:
+    """``rows`` with further columns; those of ``lists`` hold an array of ints a row."""
+    arrays = list(plain.values())
+    for parts in lists.values():
+        ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+        values = np.concatenate(parts).astype(np.int32) if parts else np.zeros(0, np.int32)
+        arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(values)))
+    return pa.RecordBatch.from_arrays([*rows.columns, *arrays], [*rows.schema.names, *plain, *lists])
+
+
+def _probed_blocks(q: DataFrame, index: VectorIndex, cells: DataFrame, plan: DataFrame, n: int, breadth: int | None,
+                   max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """``q`` with ``tbl, block, cells, groups, cuts``: a row for each block that holds some of
+    the ``n`` nearest cells, with those cells, their coarse groups, and the most cuts of one.
+
+    Centroids that go to every task take the plan with them, so the cells are dealt to
+    blocks where they are ranked; beyond ``max_bytes`` the ranked cells meet the plan in a join.
+    """
+    if plan.count() * index.dim * 8 > max_bytes:
+        near = _near_cells(q, index, cells, "_v", n, breadth, max_bytes)
+        return (near.join(plan, ["tbl", "coarse", "cell"]).groupBy("tbl", "block", "_qid")
+                .agg(F.first("_v").alias("_v"), F.collect_list("cell").alias("cells"),
+                     F.collect_set("coarse").alias("groups"), F.max("_cuts").alias("cuts")))
+    where = {int(t): own.set_index("cell")[["block", "coarse", "_cuts"]]
+             for t, own in plan.select("tbl", "cell", "block", "coarse", "_cuts").toPandas().groupby("tbl")}
+    bc = q.sparkSession.sparkContext.broadcast((_Quantisers(cells.toPandas(), index.metric), where))
+
+    def probe(batches):
+        ranked, at = bc.value
+        for batch in batches:
+            for part, t, picked in _ranked_parts(ranked, batch, "_v", index.dim, n, breadth):
+                if t not in at or not part.num_rows:
+                    continue
+                found = at[t].reindex(np.concatenate(picked))  # a cell without rows is in no block
+                row = np.repeat(np.arange(len(picked)), [len(p) for p in picked])
+                held = found["block"].notna().to_numpy()
+                row, found = row[held], found[held]
+                block, cuts = found["block"].to_numpy(np.int64), found["_cuts"].to_numpy(np.int32)
+                order = np.lexsort((block, row))
+                fresh = np.flatnonzero(np.diff(row[order], prepend=-1) | np.diff(block[order], prepend=-1))
+                if len(fresh):
+                    first = order[fresh]
+                    split = lambda x: np.split(x[order], fresh[1:])
+                    yield _with_lists(
+                        part.take(pa.array(row[first])),
+                        {"tbl": pa.array(np.full(len(first), t, np.int32)), "block": pa.array(block[first]),
+                         "cuts": pa.array(np.maximum.reduceat(cuts[order], fresh))},
+                        {"cells": split(found.index.to_numpy()),
+                         "groups": [np.unique(g) for g in split(found["coarse"].to_numpy(np.int64))]})
+
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in q.schema.fields)
+    return q.mapInArrow(probe, f"{kept}, tbl int, block long, cuts int, cells array<int>, groups array<int>")
+
+
 def _near_cells(rows: DataFrame, index: VectorIndex, cells: DataFrame, vec: str, n: int | None,
                 breadth: int | None, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """``rows`` with ``tbl, coarse, cell``: one row for each of the ``n`` nearest cells a table.
@@ -249,19 +322,17 @@ def _near_cells(rows: DataFrame, index: VectorIndex, cells: DataFrame, vec: str,
     join. Both rank by the same distances.
     """
     spark = rows.sparkSession
-    near_type = "array<struct<tbl:int,cell:int>>"
     if cells.count() * index.dim * 8 <= max_bytes:
         bc = spark.sparkContext.broadcast(_Quantisers(cells.toPandas(), index.metric))
 
-        @F.pandas_udf(near_type)
-        def near(vectors: pd.Series) -> pd.Series:
-            if len(vectors) == 0:
-                return pd.Series([], dtype=object)
-            by_table = bc.value.nearest(_matrix(vectors), n, breadth)
-            return pd.Series([[{"tbl": t, "cell": int(c)} for t, picked in by_table.items() for c in picked[i]]
-                              for i in range(len(vectors))])
+        def near(batches):
+            for batch in batches:
+                for part, t, picked in _ranked_parts(bc.value, batch, vec, index.dim, n, breadth):
+                    yield _with_lists(part, {"tbl": pa.array(np.full(part.num_rows, t, np.int32))}, {"_near": picked})
 
-        out = rows.withColumn("_near", F.explode(near(F.col(vec)))).select(*rows.columns, "_near.*")
+        kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+        out = (rows.mapInArrow(near, f"{kept}, tbl int, _near array<int>")
+               .select(*rows.columns, "tbl", F.explode("_near").alias("cell")))
         return out.join(F.broadcast(cells.select("tbl", "cell", "coarse")), ["tbl", "cell"]) \
             .select(*rows.columns, "tbl", "coarse", "cell")
     return _near_cells_joined(rows, index, cells, vec, n, breadth)
@@ -547,38 +618,49 @@ def search_index(queries: DataFrame, index: VectorIndex, k: int, nprobe: int | N
     plan = spark.read.parquet(plan_path)
 
     q = valid_vectors(queries.select(F.col(query_id).alias("_qid"), F.col(query_vec).alias("_v")), "_v", index.dim)
+    keys = ["tbl", "block", "_cut", "_turn"]
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    turn = lambda turns: F.pmod(F.xxhash64("_qid"), turns.cast("long")).cast("int")
     if nprobe is None:  # one table holds every row
         one = int(cells.agg(F.min("tbl")).first()[0])
-        cells, plan, breadth = cells.where(F.col("tbl") == one), plan.where(F.col("tbl") == one), None
-    near = _near_cells(q, index, cells, "_v", nprobe, breadth)
-    probes_path = scratch_path(spark, "index-probes")
-    (near.join(plan, ["tbl", "coarse", "cell"])
-     .withColumn("_cut", F.explode(F.sequence(F.lit(0), F.col("_cuts") - 1)))
-     .groupBy("tbl", "block", "_cut", "_qid").agg(F.first("_v").alias("_v"), F.collect_list("cell").alias("cells"),
-                                                  F.collect_set("coarse").alias("groups"), F.sum("n").alias("n"))
-     .write.parquet(probes_path))
-    probes = spark.read.parquet(probes_path)
-    if compared is not None:
-        compared.append(int(near.join(plan, ["tbl", "coarse", "cell"]).agg(F.sum("n")).first()[0] or 0))
-    groups = [(r["tbl"], r["g"]) for r in probes.select("tbl", F.explode("groups").alias("g")).distinct().collect()]
-    rows = live_rows(spark, index, groups)
-
-    spread = (probes.groupBy("tbl", "block", "_cut").agg(F.count(F.lit(1)).alias("_nq"))
-              .withColumn("_turns", F.ceil(F.col("_nq") / block_rows).cast("int")).drop("_nq"))
-    keys = ["tbl", "block", "_cut", "_turn"]
-    qx = (probes.join(spread, ["tbl", "block", "_cut"])
-          .withColumn("_turn", F.pmod(F.xxhash64("_qid"), F.col("_turns").cast("long")).cast("int"))
-          .select(*keys, "_qid", "_v", "cells"))
+        plan = plan.where(F.col("tbl") == one)
+        n_queries = q.count()
+        if compared is not None:
+            compared.append(n_queries * int(plan.agg(F.sum("n")).first()[0] or 0))
+        blocks = plan.select("block", every(F.col("_cuts")).alias("_cut")).distinct()
+        every_block = F.from_json(F.lit(json.dumps([r.asDict() for r in blocks.collect()])), "array<struct<block:long,_cut:int>>")
+        turns = F.lit(max(1, math.ceil(n_queries / block_rows)))
+        qx = (q.select(F.lit(one).alias("tbl"), F.explode(every_block).alias("_b"), turn(turns).alias("_turn"), "_qid", "_v")
+              .select("tbl", "_b.block", "_b._cut", "_turn", "_qid", "_v"))
+        rows = live_rows(spark, index).where(F.col("tbl") == one)
+        spread = None
+    else:
+        probes_path = scratch_path(spark, "index-probes")
+        _probed_blocks(q, index, cells, plan, nprobe, breadth).withColumn("_cut", every(F.col("cuts"))).write.parquet(probes_path)
+        probes = spark.read.parquet(probes_path)
+        if compared is not None:
+            met = probes.where("_cut = 0").select("tbl", F.explode("cells").alias("cell"))
+            compared.append(int(met.join(plan, ["tbl", "cell"]).agg(F.sum("n")).first()[0] or 0))
+        groups = [(r["tbl"], r["g"]) for r in probes.select("tbl", F.explode("groups").alias("g")).distinct().collect()]
+        rows = live_rows(spark, index, groups)
+        spread = (probes.groupBy("tbl", "block", "_cut").agg(F.count(F.lit(1)).alias("_nq"))
+                  .withColumn("_turns", F.ceil(F.col("_nq") / block_rows).cast("int")).drop("_nq"))
+        qx = (probes.join(spread, ["tbl", "block", "_cut"]).withColumn("_turn", turn(F.col("_turns")))
+              .select(*keys, "_qid", "_v", "cells"))
     cx = (rows.join(plan.select("tbl", "cell", "block", "_cuts"), ["tbl", "cell"])
-          .withColumn("_cut", F.pmod(F.xxhash64(*ids), F.col("_cuts").cast("long")).cast("int"))
-          .join(spread, ["tbl", "block", "_cut"])
-          .withColumn("_turn", F.explode(F.sequence(F.lit(0), F.col("_turns") - 1)))
-          .select(*keys, "cell", *ids, F.col(index.vec).alias("_v")))
+          .withColumn("_cut", F.pmod(F.xxhash64(*ids), F.col("_cuts").cast("long")).cast("int")))
+    cx = cx.withColumn("_turns", turns) if spread is None else cx.join(spread, ["tbl", "block", "_cut"])
+    cx = cx.withColumn("_turn", every(F.col("_turns"))).select(*keys, "cell", *ids, F.col(index.vec).alias("_v"))
     schema = _candidate_schema(queries.schema[query_id].dataType, rows, ids)
     metric = index.metric
 
     def hits(qpdf: pd.DataFrame, cpdf: pd.DataFrame) -> pd.DataFrame:
-        found = _block_hits(qpdf, cpdf, ids, metric, k) if len(qpdf) and len(cpdf) else None
+        if not len(qpdf) or not len(cpdf):
+            return _empty(schema)
+        if "cells" in qpdf:
+            found = _block_hits(qpdf, cpdf, ids, metric, k)
+        else:
+            found = topk_block(qpdf["_qid"].to_numpy(dtype=object), _matrix(qpdf["_v"]), cpdf[ids], _matrix(cpdf["_v"]), metric, k)
         return found if found is not None else _empty(schema)
 
     cand = qx.groupBy(*keys).cogroup(cx.groupBy(*keys)).applyInPandas(hits, schema)

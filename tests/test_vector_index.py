@@ -143,3 +143,48 @@ def test_registered_ann_join_compares_a_fifth_of_the_pairs(spark, sf, share):
     n = len({q for q, _ in want})
     assert len(got & want) >= 0.9 * len(want) > 0
     assert compared[0] <= share * n * n
+
+
+def test_a_search_of_all_cells_ranks_none(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    V = clusters(rng, 300)
+    c, q = frame(spark, range(300), V), frame(spark, range(40), V[:40], "query_id")
+    index = VI.create_index(c, scratch_path(spark, "vi"), 300, dim=DIM)
+    VI.write_batch(index, c)
+
+    def refuse(*a, **kw):
+        raise AssertionError("cells were ranked")
+
+    monkeypatch.setattr(VI, "_near_cells", refuse)
+    monkeypatch.setattr(VI._Quantisers, "nearest", refuse)
+    assert lists(VI.search_index(q, index, 4, None, block_rows=70)) == lists(knn_join(q, c, 4, dim=DIM))
+
+
+def test_ranked_cells_are_held_in_small_runs(spark):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(9)
+    V = clusters(rng, 400)
+    index = VI.create_index(frame(spark, range(400), V), scratch_path(spark, "vi"), 400, dim=DIM, cells_per_root=5.0)
+    cells = VI.live_cells(spark, index).toPandas()
+    ranked = VI._Quantisers(cells, "cosine")
+    batch = pa.RecordBatch.from_arrays([pa.array(V.tolist() * 200, pa.list_(pa.float32()))], ["v"])
+    runs = [(part.num_rows, t, sum(map(len, picked))) for part, t, picked in VI._ranked_parts(ranked, batch, "v", DIM, None, None)]
+    assert max(n for _, _, n in runs) <= VI.NEAR_VALUES and len(runs) > 2
+    assert sum(n for n, t, _ in runs if t == 0) == batch.num_rows
+
+
+def test_blocks_dealt_by_plan_or_by_join_hold_the_same_cells(spark):
+    rng = np.random.default_rng(10)
+    V = clusters(rng, 500)
+    c, q = frame(spark, range(500), V), frame(spark, range(60), V[:60], "query_id")
+    index = VI.create_index(c, scratch_path(spark, "vi"), 500, dim=DIM, cells_per_root=3.0)
+    VI.write_batch(index, c)
+    want = lists(VI.search_index(q, index, 4, 5, breadth=None))
+    assert want == lists(VI.search_index(q, index, 4, 5, breadth=None, block_rows=30))
+    cells = VI.live_cells(spark, index)
+    counts = cells.join(VI._counts(spark, index, [0]), ["tbl", "cell"])
+    plan = counts.select("tbl", "coarse", "cell", (F.col("cell") % 7).cast("long").alias("block"), "n", (F.col("cell") % 3 + 1).alias("_cuts"))
+    q = q.select(F.col("query_id").alias("_qid"), F.col("embedding").alias("_v"))
+    key = lambda df: sorted((r["tbl"], r["block"], r["_qid"], r["cuts"], sorted(r["cells"]), sorted(r["groups"])) for r in df.collect())
+    assert key(VI._probed_blocks(q, index, cells, plan, 5, 3)) == key(VI._probed_blocks(q, index, cells, plan, 5, 3, max_bytes=0))
