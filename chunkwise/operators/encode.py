@@ -19,6 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +29,7 @@ from chunkwise.operators.outside import apart
 
 VECTOR_TYPE = T.ArrayType(T.FloatType())
 DEFAULT_HASH_DIM = 64
+ENCODE_ROWS = 512  # texts that an encoder gets at a time
 
 
 def word_buckets(text: str | Column, dim: int = DEFAULT_HASH_DIM) -> Column:
@@ -96,7 +98,7 @@ class HashEncoder:
     recent words are memoised per worker (word frequencies are heavily skewed).
     """
 
-    MEMO_LIMIT = 500_000
+    MEMO_LIMIT = 100_000
 
     def __init__(self, dim: int = DEFAULT_HASH_DIM):
         self.dim = dim
@@ -130,10 +132,10 @@ def embed(df: DataFrame, text: str, encoder: Callable[[list[str]], np.ndarray],
           out: str = "embedding", errors: str | None = None) -> DataFrame:
     """Add ``out`` = encoder(text) as ``array<float>`` of length ``dim``.
 
-    The encoder is called once per Arrow batch; its result must have shape
-    ``(len(batch), dim)``. One that loads weights is best given as ``Once(factory, key)``,
-    which builds it once per worker process. Encoders that are not deterministic across task
-    retries should have their output written before it is joined on.
+    The encoder is called for runs of up to ``ENCODE_ROWS`` texts of an Arrow batch; its result
+    must have shape ``(len(run), dim)``. One that loads weights is best given as
+    ``Once(factory, key)``, which builds it once per worker process. Encoders that are not
+    deterministic across task retries should have their output written before it is joined on.
 
     With ``errors``, the column of that name tells why a row has no vector: what the
     encoder raised for this text alone, or what an earlier step already wrote there (such
@@ -146,24 +148,33 @@ def embed(df: DataFrame, text: str, encoder: Callable[[list[str]], np.ndarray],
         return matrix
 
     if errors is None:
-        def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             for texts in batches:
-                yield pd.Series(list(matrix_of(list(texts))))
+                vectors = np.empty((len(texts), dim), np.float32)
+                for s in range(0, len(texts), ENCODE_ROWS):
+                    vectors[s:s + ENCODE_ROWS] = matrix_of(texts.slice(s, ENCODE_ROWS).to_pylist())
+                ends = np.arange(0, vectors.size + 1, dim, dtype=np.int32)
+                yield pa.ListArray.from_arrays(pa.array(ends), pa.array(vectors.ravel()))
 
         # marked as not deterministic: a filter on the vectors must not encode twice
-        udf = F.pandas_udf(encode, VECTOR_TYPE).asNondeterministic()
+        udf = F.arrow_udf(encode, VECTOR_TYPE).asNondeterministic()
         return df.withColumn(out, udf(F.col(text)))
 
-    def encode_apart(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+    def encode_apart(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for texts, before in batches:
-            open_rows = [i for i, e in enumerate(before) if e is None]
-            vectors, found = [None] * len(texts), list(before)
-            got, failed = apart(matrix_of, [texts.iloc[i] for i in open_rows])
-            for i, v, e in zip(open_rows, got, failed):
-                vectors[i], found[i] = v, e
-            yield pd.DataFrame({"v": pd.Series(vectors, dtype=object), "e": pd.Series(found, dtype=object)})
-
-    udf = F.pandas_udf(encode_apart, T.StructType([T.StructField("v", VECTOR_TYPE), T.StructField("e", T.StringType())]))
+            vectors, found = [], []
+            for s in range(0, len(texts), ENCODE_ROWS):
+                own, why = texts.slice(s, ENCODE_ROWS).to_pylist(), before.slice(s, ENCODE_ROWS).to_pylist()
+                open_rows = [i for i, e in enumerate(why) if e is None]
+                got, failed = apart(matrix_of, [own[i] for i in open_rows])
+                coded = [None] * len(own)
+                for i, v, e in zip(open_rows, got, failed):
+                    coded[i], why[i] = v, e
+                vectors.append(pa.array(coded, pa.list_(pa.float32())))
+                found.append(pa.array(why, pa.string()))
+            yield pa.StructArray.from_arrays([pa.concat_arrays(vectors), pa.concat_arrays(found)], ["v", "e"])
+
+    udf = F.arrow_udf(encode_apart, T.StructType([T.StructField("v", VECTOR_TYPE), T.StructField("e", T.StringType())]))
     before = F.col(errors) if errors in df.columns else F.lit(None).cast("string")
     return (df.withColumn("_coded", udf.asNondeterministic()(F.col(text), before))
             .withColumn(out, F.col("_coded.v")).withColumn(errors, F.col("_coded.e")).drop("_coded"))

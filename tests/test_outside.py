@@ -148,3 +148,21 @@ def test_failing_calls_are_retried_and_failures_tried_again_later(spark):
     assert all(r.error is None for r in out)
     with pytest.raises(ValueError):
         answer_once(df, healed, path, model="m", tries=0)
+
+
+def test_an_encoder_gets_few_texts_at_a_time(spark):
+    from chunkwise.operators.encode import ENCODE_ROWS
+
+    def encoder(texts):
+        if len(texts) > ENCODE_ROWS:
+            raise ValueError(f"{len(texts)} texts at once")
+        return np.array([[len(t), 1] for t in texts], np.float32)
+
+    df = spark.range(2000).select("id", F.when(F.col("id") % 7 > 0, F.repeat(F.lit("x"), F.col("id").cast("int"))).alias("t")).coalesce(1)
+    want = {(i, float(i if i % 7 else 0)) for i in range(2000)}
+    assert {(r.id, r.embedding[0]) for r in embed(df, "t", encoder, 2).collect()} == want
+    assert {(r.id, r.embedding[0]) for r in embed(df, "t", encoder, 2, errors="why").where("why is null").collect()} == want
+    # what calls apart gives for the texts that fail alone
+    short = lambda texts: encoder(texts) if max(map(len, texts)) < 1990 else 1 / 0
+    assert {r.id for r in embed(df, "t", short, 2, errors="why").where("why is not null").collect()} == \
+        {i for i in range(1990, 2000) if i % 7}
