@@ -148,14 +148,18 @@ def store_prefix_scan(spark: SparkSession, sf: str) -> DataFrame:
     return scan_keyed_store(spark, path, prefix="doc:")
 
 
+PAGES_PER_FILE = 4_096
+
+
 def _text_files(spark: SparkSession, sf: str) -> str:
     """Write ``documents`` as text files, one folder per source, pages separated
-    by form feeds (range-partitioned, so a large source spans many files)."""
+    by form feeds (range-partitioned, so a large source spans many files; a file, which is
+    read whole, has at most ``PAGES_PER_FILE`` pages)."""
     path = scratch_path(spark, "text-files")
     (read_table(spark, sf, "documents")
      .repartitionByRange("source", "doc_id").sortWithinPartitions("source", "doc_id")
      .select("source", "text").write.partitionBy("source")
-     .option("lineSep", "\u000c").text(path))
+     .option("lineSep", "\u000c").option("maxRecordsPerFile", PAGES_PER_FILE).text(path))
     return path
 
 
@@ -431,7 +435,7 @@ def stream_delete(spark: SparkSession, sf: str) -> DataFrame:
     delete_from_store(spark, store, "chunk_index", 1)
     again = scratch_path(spark, "more-text-files")
     (read_table(spark, sf, "documents").where("lang = 'de'").select("source", "text")
-     .write.partitionBy("source").option("lineSep", "\u000c").text(again))
+     .write.partitionBy("source").option("lineSep", "\u000c").option("maxRecordsPerFile", PAGES_PER_FILE).text(again))
     run_to_end(ingest_stream(spark, again, store, suffix=".txt", dim=DIM))
     compacted = compact_store(spark, store, scratch_path(spark, "compacted"))
     return read_store(spark, compacted, "upsert").select("chunk_index", "chunk")

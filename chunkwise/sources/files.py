@@ -11,13 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chunkwise.operators.outside import error_text
 
+PAGE_BYTES = 1 << 20  # text of the pages that leave a Python worker at a time
 PAGES_SCHEMA = T.StructType([
     T.StructField("file", T.StringType()),
     T.StructField("page", T.IntegerType()),
@@ -69,25 +70,42 @@ def extract_pages(files: DataFrame, extractor: Callable[[bytes], list[str]],
                   errors: str | None = None) -> DataFrame:
     """One row per page of every file, using ``extractor`` in Arrow batches.
 
-    Only ``file`` and ``content`` travel to Python; blank pages are kept. A file whose
-    extractor raises ends the job, or, with ``errors``, gives one row without page and
-    text that holds the error in the column of that name. A null content has no pages.
+    Only ``file`` and ``content`` travel to Python, file by file, and pages come back in
+    batches of about ``PAGE_BYTES`` of text; blank pages are kept. A file whose extractor raises
+    ends the job, or, with ``errors``, gives one row without page and text that holds the
+    error in the column of that name. A null content has no pages.
     """
     def run(batches):
-        for pdf in batches:
-            rows = []
-            for name, content in zip(pdf["file"], pdf["content"]):
+        for batch in batches:
+            names, contents = batch.column("file"), batch.column("content")
+            rows, size = [], 0
+            for at in range(batch.num_rows):
+                content, name = contents[at].as_py(), names[at].as_py()
                 if content is None:
                     continue
                 try:
-                    rows += [(name, i, text, None) for i, text in enumerate(extractor(bytes(content)))]
+                    pages = extractor(content)
+                    pages = pages if isinstance(pages, list) else list(pages)
                 except Exception as e:
                     if errors is None:
                         raise
                     rows.append((name, None, None, error_text(e)))
-            out = pd.DataFrame(rows, columns=["file", "page", "text", errors or "_error"])
-            out["page"] = out["page"].astype("Int32")
-            yield out if errors else out.drop(columns="_error")
+                    continue
+                del content
+                for i, text in enumerate(pages):
+                    rows.append((name, i, text, None))
+                    size += 64 + (len(text) if text is not None else 0)
+                    if size >= PAGE_BYTES:
+                        yield out(rows)
+                        rows, size = [], 0
+                del pages
+            if rows:
+                yield out(rows)
+
+    def out(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.string(), pa.int32(), pa.string(), pa.string()][:len(schema.fields)]
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
+                                          schema.fieldNames())
 
     schema = T.StructType(PAGES_SCHEMA.fields + ([T.StructField(errors, T.StringType())] if errors else []))
-    return files.select("file", "content").mapInPandas(run, schema)
+    return files.select("file", "content").mapInArrow(run, schema)

@@ -166,3 +166,23 @@ def test_an_encoder_gets_few_texts_at_a_time(spark):
     short = lambda texts: encoder(texts) if max(map(len, texts)) < 1990 else 1 / 0
     assert {r.id for r in embed(df, "t", short, 2, errors="why").where("why is not null").collect()} == \
         {i for i in range(1990, 2000) if i % 7}
+
+
+def test_pages_leave_a_worker_in_small_batches():
+    import pyarrow as pa
+    from chunkwise.sources.files import PAGE_BYTES
+
+    class Files:  # takes the function that would go to the workers
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    content = [b"\f".join([b"y" * 1000] * 3000), None, b"\xff", b"a\f\fb"]
+    batch = pa.RecordBatch.from_arrays([pa.array(["f", "g", "h", "i"]), pa.array(content, pa.binary())], ["file", "content"])
+    out = list(extract_pages(Files(), page_reader, errors="error")(iter([batch])))
+    assert max(b.nbytes for b in out) < 1.2 * PAGE_BYTES and len(out) > 2
+    rows = [tuple(r.values()) for b in out for r in b.to_pylist()]
+    assert [r[:2] for r in rows] == [("f", i) for i in range(3000)] + [("h", None)] + [("i", i) for i in range(3)]
+    assert [r[2] for r in rows[-3:]] == ["a", "", "b"] and rows[3000][3].startswith("UnicodeDecodeError")
