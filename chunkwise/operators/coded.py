@@ -3,8 +3,10 @@
 A vector is cut into ``groups`` runs of dimensions; each run is coded by the nearest of at
 most 256 centroids of its own codebook, one byte a run. The first stage reads ids and
 codes only: for a query, a table of squared distances to the 256 centroids of each run
-turns a code into a distance by one look-up a run. The ``fetch`` nearest by code meet
-their vectors in a join by id, and the ``keep`` nearest by exact distance stay.
+turns a code into a distance by one look-up a run. Which rows can be among the nearest is
+found by one matrix product a tile, in single precision and with a margin for its error;
+only those are looked up. The ``fetch`` nearest by code meet their vectors in a join by
+id, and the ``keep`` nearest by exact distance stay.
 
 Codebooks are fitted on a bounded sample (``train_rows`` distinct vectors, in order of a
 hash of the ids); every vector is coded. Cosine search codes unit vectors. Null, empty,
@@ -21,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chunkwise.operators.knn import (BLOCK_ROWS, DECIMALS, _best, _candidate_schema, _check_metric, _empty, _matrix,
+from chunkwise.operators.knn import (BLOCK_ROWS, DECIMALS, _candidate_schema, _check_metric, _empty, _matrix,
                                      distance_column, valid_vectors)
 from chunkwise.operators.vector_index import _far, _hash_order, _unit, fit_centroids
 from chunkwise.session import scratch_path
@@ -96,6 +98,61 @@ def code_distances(Q: np.ndarray, codes: np.ndarray, books: tuple[np.ndarray, ..
     return out
 
 
+def _first_of_equal(rows: pd.DataFrame, codes: np.ndarray, n: int) -> tuple[pd.DataFrame, np.ndarray]:
+    """The first ``n`` rows of each code: position breaks ties, so no later one is fetched."""
+    own = np.unique(np.ascontiguousarray(codes).view(f"V{codes.shape[1]}").ravel(), return_inverse=True)[1]
+    order = np.argsort(own, kind="stable")
+    size = np.bincount(own)
+    place = np.empty(len(own), np.int64)
+    place[order] = np.arange(len(own)) - np.repeat(np.cumsum(size) - size, size)
+    kept = np.flatnonzero(place < n)
+    return rows.iloc[kept].reset_index(drop=True), codes[kept]
+
+
+def _near_codes(Q: np.ndarray, codes: np.ndarray, books: tuple[np.ndarray, ...], fetch: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(rows of Q, rows of codes)`` that hold for each query its ``fetch`` nearest codes, equal
+    ones at the border included: those within the error of a product in single precision."""
+    size = np.einsum("ij,ij->i", Q, Q) + sum(np.einsum("ij,ij->i", book, book).max() for book in books)
+    kind = np.float32 if size.max(initial=0) < 1e36 else np.float64  # no overflow
+    left = np.concatenate([-2.0 * Q, np.ones((len(Q), 1))], axis=1).astype(kind)
+    # |q|^2 + |c|^2 bounds every term: rounding of the factors and of the sum, on both sides
+    margin = 2 * (np.finfo(kind).eps * (Q.shape[1] + 2) * size + 10.0 ** -DECIMALS)
+    best, limit, found = np.empty((len(Q), 0), kind), np.full(len(Q), np.inf), []
+    for t in range(0, len(codes), TILE_CODES):
+        part = np.concatenate([book[codes[t:t + TILE_CODES, g]] for g, book in enumerate(books)], axis=1)
+        own = np.einsum("ij,ij->i", part, part)
+        d = left @ np.concatenate([part, own[:, None]], axis=1).astype(kind).T
+        if t == 0:
+            best = np.partition(d, min(fetch, d.shape[1]) - 1, axis=1)[:, :fetch]
+        else:
+            row, at = np.nonzero(d <= limit[:, None])
+            if len(row):
+                n = np.bincount(row, minlength=len(Q))
+                more = np.full((len(Q), n.max()), np.inf, kind)
+                more[row, np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)] = d[row, at]
+                best = np.concatenate([best, more], axis=1)
+                best = np.partition(best, min(fetch, best.shape[1]) - 1, axis=1)[:, :fetch]
+        if best.shape[1] == fetch:
+            limit = np.maximum.reduce(best, axis=1).astype(np.float64) + margin
+        if t == 0:
+            row, at = np.nonzero(d <= limit[:, None])
+        found.append((row, at + t, d[row, at]))
+    row, at, d = (np.concatenate([f[i] for f in found]) for i in range(3))
+    kept = d <= limit[row]
+    return row[kept], at[kept]
+
+
+def _looked_up(Q: np.ndarray, codes: np.ndarray, books: tuple[np.ndarray, ...], row: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """``code_distances`` of single pairs: the same look-ups, added in the same order."""
+    out, start = np.zeros(len(row)), 0
+    for g, book in enumerate(books):
+        part = Q[:, start:start + book.shape[1]]
+        table = np.maximum(np.einsum("ij,ij->i", part, part)[:, None] + _far(part, book), 0.0)
+        out += table[row, codes[at, g]]
+        start += book.shape[1]
+    return out
+
+
 def fetch_by_code(queries: DataFrame, store: CodedStore, fetch: int, *, query_id: str = "query_id",
                   query_vec: str = "embedding", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """First stage: ``_qid, *ids, distance`` of the ``fetch`` rows nearest by code. Each
@@ -104,8 +161,9 @@ def fetch_by_code(queries: DataFrame, store: CodedStore, fetch: int, *, query_id
     if query_id in ids:
         raise ValueError("query id column must not share a name with a corpus id column")
     q = _indexable(queries.select(F.col(query_id).alias("_qid"), F.col(query_vec).alias("_v")), "_v", store.dim, store.metric)
-    turns = max(1, math.ceil(queries.select(query_id).count() / block_rows))
-    cuts = max(1, math.ceil(store.rows / block_rows))
+    # codes are small: long blocks of them with short ones of queries, so that few candidates are made
+    turns = max(1, math.ceil(4 * queries.select(query_id).count() / block_rows))
+    cuts = max(1, math.ceil(store.rows / (4 * block_rows)))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
     qx = q.withColumn("_qb", F.pmod(F.xxhash64("_qid"), F.lit(turns))).withColumn("_cb", every(cuts))
     codes = spark.read.parquet(store.path)
@@ -118,20 +176,19 @@ def fetch_by_code(queries: DataFrame, store: CodedStore, fetch: int, *, query_id
             return _empty(schema)
         cpdf = cpdf.sort_values(ids, kind="mergesort").reset_index(drop=True)  # position is the tie-break
         coded = np.frombuffer(b"".join(cpdf["code"]), np.uint8).reshape(len(cpdf), -1)
+        cpdf, coded = _first_of_equal(cpdf, coded, fetch)
         Q, out = _unit(_matrix(qpdf["_v"]), metric), []
         for s in range(0, len(Q), TILE_QUERIES):
             part = Q[s:s + TILE_QUERIES]
-            far, at = np.empty((len(part), 0)), np.empty((len(part), 0), np.int64)
-            for t in range(0, len(coded), TILE_CODES):
-                d = np.round(code_distances(part, coded[t:t + TILE_CODES], bc.value), DECIMALS)
-                pick = _best(d, fetch)
-                far = np.concatenate([far, np.take_along_axis(d, pick, axis=1)], axis=1)
-                at = np.concatenate([at, pick + t], axis=1)
-                pick = _best(far, fetch)
-                far, at = np.take_along_axis(far, pick, axis=1), np.take_along_axis(at, pick, axis=1)
-            hits = cpdf[ids].iloc[at.ravel()].reset_index(drop=True)
-            hits.insert(0, "_qid", np.repeat(qpdf["_qid"].to_numpy(dtype=object)[s:s + TILE_QUERIES], at.shape[1]))
-            hits["distance"] = far.ravel()
+            row, at = _near_codes(part, coded, bc.value, fetch)
+            far = np.round(_looked_up(part, coded, bc.value, row, at), DECIMALS)
+            order = np.lexsort((at, far, row))
+            row, at, far = row[order], at[order], far[order]
+            n = np.bincount(row, minlength=len(part))
+            kept = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) < fetch
+            hits = cpdf[ids].iloc[at[kept]].reset_index(drop=True)
+            hits.insert(0, "_qid", qpdf["_qid"].to_numpy(dtype=object)[s + row[kept]])
+            hits["distance"] = far[kept]
             out.append(hits)
         return pd.concat(out, ignore_index=True)
 

@@ -92,3 +92,29 @@ def test_coded_search_with_everything_fetched_is_exact(spark):
                                              if metric == "l2sq" or h[0] != 4]
     empty = build_codes(spark.createDataFrame([], c.schema), dim=8, groups=3)
     assert coded_search(q, empty, c, 5, 2).count() == 0
+
+
+def test_only_codes_that_may_be_nearest_are_looked_up():
+    from chunkwise.operators.coded import _looked_up, _near_codes
+
+    rng = np.random.default_rng(11)
+    for scale, move in ((1.0, 0.0), (1e-3, 0.0), (1e20, 0.0), (1.0, 50.0)):
+        books = tuple((rng.normal(size=(64, 4)) + move) * scale for _ in range(4))
+        codes = rng.integers(0, 64, (9000, 4)).astype(np.uint8)
+        codes[5000:5030] = codes[17]                                # ties
+        Q = (rng.normal(size=(40, 16)) + move) * scale
+        Q[3] = np.concatenate([b[c] for b, c in zip(books, codes[17])])
+        want = np.round(code_distances(Q, codes, books), 9)
+        row, at = _near_codes(Q, codes, books, 20)
+        assert np.array_equal(np.round(_looked_up(Q, codes, books, row, at), 9), want[row, at])
+        kth = np.sort(want, axis=1)[:, 19:20]
+        assert set(zip(*np.nonzero(want <= kth))) <= set(zip(row, at))
+        if not move:
+            assert len(row) < 0.02 * want.size
+
+
+def test_a_common_code_is_fetched_in_order_of_id(spark):
+    V = np.concatenate([np.tile([[1.0, 2.0, 3.0, 4.0]], (300, 1)), np.random.default_rng(12).normal(size=(50, 4))]).astype(np.float32)
+    c, q = frame(spark, V), frame(spark, V[:3], "query_id")
+    got = coded_search(q, build_codes(c, "l2sq", dim=4, groups=2), c, 6, 4, block_rows=30)
+    assert [h[:3] for h in hits(got)] == [(i, r, r - 1) for i in range(3) for r in range(1, 5)]
