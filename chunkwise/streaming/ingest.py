@@ -8,7 +8,9 @@ that the store held when the stream first began. Reading resolves the
 write semantics by aggregation: upsert = latest (seq, chunk_index) per key,
 insert-if-absent = earliest, append = every row. Deletes are rows of a log too: a mark
 names a value and, for each stream, the last number that the store held then; it takes
-away what was there, not what comes later. No file is ever rewritten.
+away what was there, not what comes later. No file is ever rewritten. A compacted store
+notes in ``_folded`` up to which number each key stands once: while nothing was written
+after it, reading has nothing to resolve.
 """
 
 from __future__ import annotations
@@ -134,13 +136,24 @@ def read_store(spark: SparkSession, store_path: str, mode: str = "upsert") -> Da
     """The store as of now under the given write semantics."""
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    log = _without_marked(spark.read.parquet(store_path), store_path)
-    if mode == "append":
-        return log
+    log = spark.read.parquet(store_path)
+    folded = mode == "append" or _is_folded(log, store_path)
+    log = _without_marked(log, store_path)
+    return log if folded else _resolved(log, mode)
+
+
+def _resolved(log: DataFrame, mode: str) -> DataFrame:
     pick = sinks.merge_latest if mode == "upsert" else sinks.merge_first
     return pick(None, log, ["key"], ["seq", "chunk_index"])
 
 
+def _is_folded(log: DataFrame, store_path: str) -> bool:
+    """Whether every row of the store is one that a compaction left, each key once."""
+    noted = _read_if_there(log.sparkSession, f"{store_path}/_folded")
+    upto = noted.agg(F.max("upto")).first()[0] if noted is not None else None
+    return upto is not None and log.where(F.col("seq") > upto).isEmpty()
+
+
 def compact_store(spark: SparkSession, store_path: str, out_path: str,
                   mode: str = "upsert") -> str:
     """Fold every batch and every delete of a log-structured store into one version at ``out_path``.
@@ -149,7 +162,14 @@ def compact_store(spark: SparkSession, store_path: str, out_path: str,
     read (or compacted again) with the same semantics; the source log is left
     untouched until the caller switches to the new path.
     """
-    resolved = read_store(spark, store_path, mode)
-    (resolved.repartitionByRange("key").write.mode("errorifexists")
-     .partitionBy("seq").parquet(out_path))
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    # dealt out by key before they are resolved: that layout serves the aggregate and the files
+    rows = _without_marked(spark.read.parquet(store_path), store_path).repartitionByRange("key")
+    if mode != "append":
+        rows = _resolved(rows, mode)
+    rows.write.mode("errorifexists").partitionBy("seq").parquet(out_path)
+    if mode != "append":
+        (spark.read.schema(rows.schema).parquet(out_path).agg(F.max("seq").cast("long").alias("upto"))
+         .coalesce(1).write.parquet(f"{out_path}/_folded"))
     return out_path

@@ -127,3 +127,30 @@ def test_ended_sessions_hold_over_batches_and_restarts_and_expire(spark, tmpdir_
     ask(qdir, "2", [("s", 2, "a new session of that name")])
     run(ended_ttl=1)
     assert seen() == [("s", 2), ("t", 1)]
+
+
+def test_a_compacted_store_moves_its_rows_once(spark, tmpdir_fresh):
+    src, store = f"{tmpdir_fresh}/in", scratch_path(spark, "log")
+    for name in "ab":
+        put(f"{src}/{name}.pdf", f"words of {name}".encode())
+    run_to_end(ingest_stream(spark, src, store), 60)
+    plain = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    folded = compact_store(spark, store, scratch_path(spark, "folded"))
+    assert "Aggregate" not in plain(read_store(spark, folded)) and "Aggregate" in plain(read_store(spark, store))
+    key = lambda df: sorted(map(tuple, df.select("key", "file", "chunk").collect()))
+    want = key(read_store(spark, store))
+    assert key(read_store(spark, folded)) == want and len(want) == 2
+    # what is written after it is resolved again: a second row of a key replaces the first
+    spark.read.parquet(folded).where("file = 'a.pdf'").drop("seq").write.parquet(f"{folded}/seq=7")
+    assert "Aggregate" in plain(read_store(spark, folded))
+    assert key(read_store(spark, folded)) == want
+    assert {r["file"]: r["seq"] > 0 for r in read_store(spark, folded).collect()} == {"a.pdf": True, "b.pdf": False}
+    delete_from_store(spark, folded, "file", "b.pdf")
+    assert [r["file"] for r in read_store(spark, folded).collect()] == ["a.pdf"]
+    twice = compact_store(spark, folded, scratch_path(spark, "folded"))
+    assert [r["file"] for r in read_store(spark, twice).collect()] == ["a.pdf"]
+    # a layout by key serves the aggregate: no second exchange
+    rows = spark.read.parquet(store).repartitionByRange("key")
+    from chunkwise.operators import sinks
+    p = sinks.merge_latest(None, rows, ["key"], ["seq", "chunk_index"])._jdf.queryExecution().executedPlan().toString()
+    assert p.count("Exchange") == 1
