@@ -19,9 +19,9 @@ has already taken, at most one less than the longest piece:
 
 Pieces hold the mark only in front, so no piece crosses a place where a mark follows
 another character. Between such places segmentations do not depend on each other;
-each distinct stretch is worked out once per task, in chunks as in short documents,
-and matrices are only worked out in full before the first and after the last such
-place of a chunk.
+distinct stretches are worked out side by side, some thousand at a time, in chunks as
+in short documents, and remembered for a while. Matrices are only worked out before the
+first and after the last such place of a chunk: what lies between adds the same to all.
 
 Decoding maps ids to bytes and takes off the front mark. A literal U+2581 of a text
 is coded as bytes, so it is not taken for a blank and every text decodes to itself.
@@ -55,6 +55,21 @@ NONE = -np.inf
 COMMON = -1
 
 
+#: Stretches up to this length are worked out together, unless they are few.
+TOGETHER = 64
+FEW = 500
+
+
+def longer(key: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """Hashes of strings with one more character."""
+    key = (key + code.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return key ^ (key >> np.uint64(29))
+
+
+def slot_of(keys: np.ndarray, bits: int) -> np.ndarray:
+    return ((keys * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - bits)).astype(np.int64)
+
+
 @dataclass
 class Vocabulary:
     pieces: dict[str, tuple[int, float]]
@@ -81,6 +96,48 @@ class Vocabulary:
                                     f"{MARK}*[^{MARK}{alone}]+|{MARK}+" + (f"|[{alone}]" if alone else ""))
         self.cut = None if inner else re.compile(f"(?<=[^{MARK}]){MARK}")
 
+        self._tabulate()
+
+    def _tabulate(self) -> None:
+        """Pieces as arrays, and the hashes of all beginnings of pieces in an open hash table."""
+        known = list(self.pieces.items())
+        self.piece_ids = np.array([i for _, (i, _) in known] + [-1], np.int32)
+        self.piece_scores = np.array([s for _, (_, s) in known] + [NONE])
+        codes = np.frombuffer("".join(p for p, _ in known).encode("utf-32-le", "surrogatepass"), "<u4")
+        sizes = np.array([len(p) for p, _ in known], np.int64)
+        first = np.cumsum(sizes) - sizes
+        key, begun, whole = np.zeros(len(known), np.uint64), [], np.zeros(len(known), np.uint64)
+        for n in range(1, self.longest + 1):
+            own = np.flatnonzero(sizes >= n)
+            key[own] = longer(key[own], codes[first[own] + n - 1])
+            begun.append(key[own])
+            whole[sizes == n] = key[sizes == n]
+        left = np.unique(np.concatenate(begun or [key]))
+        self.bits = max(8, (4 * len(left)).bit_length())
+        self.slots = np.zeros(1 << self.bits, np.uint64)
+        at = slot_of(left, self.bits)
+        while len(left):
+            free = np.flatnonzero(self.slots[at] == 0)
+            taken = free[np.unique(at[free], return_index=True)[1]]
+            self.slots[at[taken]] = left[taken]
+            left, at = np.delete(left, taken), (np.delete(at, taken) + 1) & ((1 << self.bits) - 1)
+        self.piece_at = np.full(1 << self.bits, len(known), np.int32)  # the number behind the last one for no piece
+        self.piece_at[self.places(whole)] = np.arange(len(known))
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        """Slots of such hashes, -1 for those of no beginning of a piece."""
+        at = slot_of(keys, self.bits)
+        there = self.slots[at]
+        out = np.where(there == keys, at, -1)
+        open_ = np.flatnonzero((there != keys) & (there != 0))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & ((1 << self.bits) - 1)
+            there = self.slots[at[open_]]
+            met = there == keys[open_]
+            out[open_[met]] = at[open_[met]]
+            open_ = open_[~met & (there != 0)]
+        return out
+
     @property
     def states(self) -> int:
         return self.longest
@@ -110,7 +167,7 @@ def escaped(text: str) -> str:
 
 
 class Coder:
-    """Encodes stretches and chunks; remembers the last ``limit`` to twice ``limit`` stretches."""
+    """Encodes stretches and chunks; remembers the last stretches, about ``limit`` to twice ``limit``."""
 
     def __init__(self, vocabulary: Vocabulary, limit: int = 100_000):
         self.v, self.memo, self.older, self.limit = vocabulary, {}, {}, limit
@@ -158,33 +215,94 @@ class Coder:
                 out += [self.v.byte_ids[b] for b in raw]
         return out, end
 
-    def stretch(self, text: str) -> tuple[bytes, float]:
-        """Packed ids and score of a stretch that no piece crosses the ends of."""
-        known = self.memo.get(text)
-        if known is None:
-            known = self.older.get(text)
-            if known is None:
-                score, start = self.lattice(text, len(text), [0.0])
-                ids = self.ids(text, start, len(text))[0]
-                known = struct.pack(f"<{len(ids)}i", *ids), score[len(text)]
-            if len(self.memo) >= self.limit:
-                self.memo, self.older = {}, self.memo
-            self.memo[text] = known
-        return known
+    def stretch(self, text: str) -> bytes:
+        """Packed ids of a stretch that no piece crosses the ends of."""
+        ids = self.ids(text, self.lattice(text, len(text), [0.0])[1], len(text))[0]
+        return struct.pack(f"<{len(ids)}i", *ids)
+
+    def joined(self, parts: list[list[str]], at_once: int = 8_192) -> list[bytes]:
+        """Packed ids of lists of stretches; short ones not yet known are worked out together."""
+        ids = {s: self.memo.get(s) or self.older.get(s) for s in set().union(*parts)}
+        fresh = sorted((s for s, known in ids.items() if known is None and len(s) <= TOGETHER), key=len, reverse=True)
+        for a in range(0, len(fresh) if len(fresh) >= FEW else 0, at_once):
+            some = fresh[a:a + at_once]
+            ids.update(zip(some, self.together(some)))
+        for s, known in ids.items():
+            if known is None:  # few, long, or with characters outside the vocabulary
+                ids[s] = self.stretch(s)
+        if len(self.memo) + len(ids) >= self.limit:
+            self.memo, self.older = {}, self.memo
+        self.memo.update(ids)
+        return [b"".join(map(ids.__getitem__, own)) for own in parts]
+
+    def together(self, texts: list[str]) -> list[bytes | None]:
+        """Packed ids of stretches, longest first: the lattices of all of them side by side."""
+        v, none = self.v, len(self.v.pieces)
+        codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+        size = np.fromiter(map(len, texts), np.int64, len(texts))
+        begin = np.cumsum(size) - size
+        room = np.repeat(begin + size, size) - np.arange(len(codes))
+        at, key, pieces = np.arange(len(codes)), np.zeros(len(codes), np.uint64), []
+        for n in range(min(v.longest, int(size[0]))):  # by length - 1: the piece from each character on
+            key = longer(key, codes[at + n])
+            slot = v.places(key)
+            begun = np.flatnonzero(slot >= 0)
+            own = np.full(len(codes), none, np.int32)
+            own[at[begun]] = v.piece_at[slot[begun]]
+            pieces.append(own)
+            begun = begun[room[at[begun]] > n + 1]
+            at, key = at[begun], key[begun]
+        score = np.full((int(size[0]) + 1, len(texts)), NONE)
+        took = np.zeros(score.shape, np.int8)  # length of the last piece
+        score[0] = 0.0
+        here = np.searchsorted(-size, -np.arange(1, size[0] + 1), side="right")  # stretches of at least so many characters
+        for end in range(1, int(size[0]) + 1):
+            m = here[end - 1]
+            best, last = np.full(m, NONE), np.zeros(m, np.int8)
+            for n in range(min(end, v.longest), 0, -1):  # of equal totals the earliest start wins
+                value = score[end - n, :m] + v.piece_scores[pieces[n - 1][begin[:m] + end - n]]
+                better = value > best
+                best[better], last[better] = value[better], n
+            score[end, :m], took[end, :m] = best, last
+        whole = score[size, np.arange(len(texts))] > NONE
+        out = np.zeros((len(texts), int(size[0])), np.int32)
+        end, count, own = np.where(whole, size, 0), np.zeros(len(texts), np.int64), np.flatnonzero(whole)
+        while len(own):
+            count[own] += 1
+            n = took[end[own], own].astype(np.int64)
+            end[own] -= n
+            for length in np.unique(n):
+                some = own[n == length]
+                out[some, -count[some]] = v.piece_ids[pieces[length - 1][begin[some] + end[some]]]
+            own = own[end[own] > 0]
+        raw, width = out.astype("<i4").tobytes(), 4 * out.shape[1]
+        return [raw[(i + 1) * width - 4 * c:(i + 1) * width] if ok else None
+                for i, (c, ok) in enumerate(zip(count.tolist(), whole.tolist()))]
 
     def encode(self, text: str) -> bytes:
         """Packed ids of a whole text."""
-        if not text:
-            return b""
-        return b"".join([self.stretch(s)[0] for s in self.v.stretches.findall(MARK + escaped(text))])
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of whole texts."""
+        return self.joined([self.v.stretches.findall(MARK + escaped(t)) if t else [] for t in texts])
 
     def parts(self, body: str, size: int) -> tuple[int, int] | None:
         """First and last place of a chunk that no piece crosses, if there is any."""
-        places = [m.start() for m in self.v.cut.finditer(body, 0, size)] if self.v.cut else []
-        return (places[0], places[-1]) if places else None
+        first = self.v.cut.search(body, 0, size) if self.v.cut else None
+        if first is None:
+            return None
+        last = body.rfind(MARK, 0, size)
+        while body[last - 1] == MARK:  # the front one of a row of marks
+            last -= 1
+        return first.start(), max(last, first.start())
 
     def matrix(self, body: str, size: int) -> np.ndarray:
-        """Transfer matrix of a chunk; ``body`` has the next characters after ``size``."""
+        """Transfer matrix of a chunk, up to a constant; ``body`` has the next characters after ``size``.
+
+        What lies between the first and the last place that no piece crosses adds the same
+        to all paths, so it decides nothing and is left out.
+        """
         k = self.v.states
         out = np.full((k, k), NONE)
         cut = self.parts(body, size)
@@ -197,9 +315,13 @@ class Coder:
         head = np.full(k, NONE)
         for i, seed in enumerate(entries[:first + 1]):
             head[i] = self.lattice(body[:first], first, seed)[0][first]
-        middle = sum(self.stretch(s)[1] for s in self.v.stretches.findall(body[first:last]))
         tail = np.array(self.lattice(body[last:], size - last, [0.0])[0][size - last:size - last + k])
-        return head[:, None] + middle + tail[None, :]
+        return head[:, None] + tail[None, :]
+
+    def middle(self, body: str, size: int) -> list[str]:
+        """Stretches between the first and the last place of a chunk that no piece crosses."""
+        cut = self.parts(body, size)
+        return self.v.stretches.findall(body[cut[0]:cut[1]]) if cut else []
 
     def paths(self, body: str, size: int, seed: list[float]) -> Iterator[tuple[int, int, bytes]]:
         """(exit state, entry state, packed ids) of each exit that can be reached.
@@ -221,8 +343,7 @@ class Coder:
         if score[first] == NONE:
             return
         ids, entry = self.ids(body[:first], start, first)
-        yield COMMON, entry, pack(ids) + b"".join(
-            self.stretch(s)[0] for s in self.v.stretches.findall(body[first:last]))
+        yield COMMON, entry, pack(ids) + self.joined([self.middle(body, size)])[0]
         score, start = self.lattice(body[last:], size - last, [0.0])
         for j in range(k):
             if score[size - last + j] > NONE:
@@ -298,17 +419,20 @@ def _encode_long(docs: DataFrame, shared, chunk_chars: int) -> DataFrame:
 
     def paths(frames):
         coder = Coder(shared.value)
-        for f in frames:
-            for rid, chunk, last, size, body, seed in zip(*(f[c] for c in ("rid", "chunk", "last", "size", "body", "seed"))):
-                found = coder.paths(escaped(body.decode("utf-8", "surrogatepass")), size, np.frombuffer(seed).tolist())
-                rows = [(rid, chunk, j, i, ids) for j, i, ids in found if j <= 0 or not last]
-                yield pd.DataFrame(rows, columns=["rid", "chunk", "leave", "enter", "ids"])
+        for some in (f.iloc[at:at + 32] for f in frames for at in range(0, len(f), 32)):
+            bodies = [escaped(b.decode("utf-8", "surrogatepass")) for b in some["body"]]
+            coder.joined([coder.middle(body, size) for body, size in zip(bodies, some["size"])])  # known from now on
+            rows = []
+            for rid, chunk, last, size, seed, body in zip(*(some[c] for c in ("rid", "chunk", "last", "size", "seed")), bodies):
+                found = coder.paths(body, size, np.frombuffer(seed).tolist())
+                rows += [(rid, chunk, j, i, ids) for j, i, ids in found if j <= 0 or not last]
+            yield pd.DataFrame(rows, columns=["rid", "chunk", "leave", "enter", "ids"])
 
     def chain(own: pd.DataFrame) -> pd.DataFrame:
         step = {(c, j): i for c, j, i in zip(own["chunk"], own["leave"], own["enter"])}
         state, out = 0, []
         for chunk in range(own["chunk"].max(), -1, -1):
-            out += [(own["rid"].iloc[0], chunk, COMMON), (own["rid"].iloc[0], chunk, state)]
+            out.append((own["rid"].iloc[0], chunk, state))
             state = step[chunk, state]
         return pd.DataFrame(out, columns=["rid", "chunk", "leave"])
 
@@ -323,9 +447,12 @@ def _encode_long(docs: DataFrame, shared, chunk_chars: int) -> DataFrame:
              .groupBy("rid").applyInPandas(borders, "rid long, chunk int, seed binary"))
     traced = stored(chunks.select("rid", "chunk", "last", "size", "body").join(seeds, ["rid", "chunk"])
                     .mapInPandas(paths, "rid long, chunk int, leave int, enter int, ids binary"), "paths")
-    chosen = traced.select("rid", "chunk", "leave", "enter").groupBy("rid").applyInPandas(
-        chain, "rid long, chunk int, leave int")
-    parts = traced.join(chosen, ["rid", "chunk", "leave"]).groupBy("rid").agg(
+    steps = traced.select("rid", "chunk", "leave", "enter")
+    chosen = steps.groupBy("rid").applyInPandas(chain, "rid long, chunk int, leave int")
+    # what all exits share, most of the ids, needs no choice and travels once only
+    wanted = traced.where(F.col("leave") == COMMON).drop("enter").unionByName(
+        traced.where(F.col("leave") != COMMON).drop("enter").join(chosen, ["rid", "chunk", "leave"]))
+    parts = wanted.groupBy("rid").agg(
         F.array_sort(F.collect_list(F.struct("chunk", "leave", "ids"))).alias("parts"))
     firsts = chunks.where("chunk = 0").select("rid", "kept", "sha")
     kind = docs.schema["kept"].dataType.simpleString()
@@ -347,7 +474,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: tu
         for frame in frames:
             for at in range(0, len(frame), 256):
                 part = frame.iloc[at:at + 256]
-                ids = [np.frombuffer(coder.encode(t), "<i4") for t in part["text"]]
+                ids = [np.frombuffer(raw, "<i4") for raw in coder.encode_all(part["text"].tolist())]
                 yield pd.DataFrame({"kept": list(part["kept"]), "ids": ids, "round_trip": [
                     not check or decoded(x, shared.value.bytes_of) == t.encode("utf-8", "surrogatepass")
                     for x, t in zip(ids, part["text"])]})

@@ -296,6 +296,27 @@ def test_encoding_is_the_best_segmentation(vocabulary):
         assert np.frombuffer(coder.encode(t), "<i4").tolist() == plain_viterbi(vocabulary, t), t
 
 
+def test_stretches_side_by_side_are_the_best_segmentations(vocabulary):
+    rng = random.Random(31)
+    texts = TEXTS + [" ".join("".join(rng.choices("abcdeinorst", k=rng.randint(1, 80))) for _ in range(50)) for _ in range(20)]
+    texts += ["x" * 200, "", "日本 語 日本"]
+    coder = sentencepiece_codec.Coder(vocabulary, limit=300)  # the memo is emptied on the way
+    for _ in range(2):
+        got = [np.frombuffer(raw, "<i4").tolist() for raw in coder.encode_all(texts)]
+        assert got == [plain_viterbi(vocabulary, t) for t in texts]
+        assert all(s in coder.memo for s in ("▁the", "▁quick", "▁brown"))
+
+
+def test_a_chunk_is_not_encoded_for_its_matrix(vocabulary, monkeypatch):
+    coder = sentencepiece_codec.Coder(vocabulary)
+    walked = []
+    whole = coder.lattice
+    monkeypatch.setattr(coder, "lattice", lambda text, size, seed: walked.append(size) or whole(text, size, seed))
+    body = sentencepiece_codec.escaped("some words of a long text " * 200)
+    coder.matrix(body, 5000)
+    assert sum(walked) < 100 and not coder.memo
+
+
 @pytest.mark.parametrize("chunk", [17, 64])
 def test_chunks_give_the_ids_of_whole_texts(spark, make_docs, vocabulary, chunk):
     docs = make_docs(TEXTS + ["", None])
