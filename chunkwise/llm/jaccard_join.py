@@ -45,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chunkwise.llm.common import row_key, slices, stored
+from chunkwise.llm.common import arrow_rows, row_key, slices, stored
 from chunkwise.llm.components import components
 
 #: A shingle in more than one of so many documents counts as frequent.
@@ -163,7 +163,8 @@ def frequent_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarr
 
     counts = docs.select("text").mapInPandas(count, "token long, n long")
     least = max(2, docs.count() / (2 * FREQUENT))
-    hot = counts.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas()
+    with arrow_rows(docs.sparkSession):
+        hot = counts.groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas()
     order = np.argsort(hot["token"].to_numpy().view(np.uint64))
     return hot["token"].to_numpy().view(np.uint64)[order], hot["n"].to_numpy()[order]
 
@@ -202,7 +203,8 @@ def profiles(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], width: in
     made = docs.select("doc_id", "text", _row_hash()).mapInPandas(
         run, f"doc_id {kind}, h long, n long, f1 long, f2 long, p1 long, p2 long, prefix array<long>, "
              "sketch array<long>, wide binary")
-    return stored(made.select("*", F.monotonically_increasing_id().alias("rid")), "profiles")
+    with arrow_rows(docs.sparkSession):
+        return stored(made.select("*", F.monotonically_increasing_id().alias("rid")), "profiles")
 
 
 def _distance(a: str, b: str):
@@ -372,7 +374,8 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
     made = docs.select(_row_hash(), "text").mapInPandas(sets, "h long, own binary").groupBy("h").agg(F.first("own").alias("own"))
     full = (pairs.join(made.select(F.col("h").alias("hu"), F.col("own").alias("a")), "hu")
             .join(made.select(F.col("h").alias("hv"), F.col("own").alias("b")), "hv"))
-    return stored(full.select("u", "v", "a", "b").mapInPandas(link, "u long, v long").distinct(), "links")
+    with arrow_rows(docs.sparkSession):
+        return stored(full.select("u", "v", "a", "b").mapInPandas(link, "u long, v long").distinct(), "links")
 
 
 def linked_components(docs: DataFrame, pairs: DataFrame, width: int, percent: int,

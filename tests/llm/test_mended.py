@@ -205,3 +205,15 @@ def test_stages_keep_columns_of_their_own_inner_names(spark, make_docs):
     alone = jaccard_join.distinct_documents(docs, width=5, percent=80)
     assert alone.columns == docs.columns
     assert sorted((r.doc_id, r._key, r._rows) for r in alone.collect()) == [(0, "k", 7), (1, "k", 7)]
+
+
+def test_the_join_sends_few_whole_texts_to_python_at_once(spark, make_docs, monkeypatch):
+    from chunkwise.llm import common, jaccard_join
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, stored = spark.conf.get(key), [], jaccard_join.stored
+    monkeypatch.setattr(jaccard_join, "stored", lambda df, name: seen.append((name, int(spark.conf.get(key)))) or stored(df, name))
+    docs = make_docs([f"one two three four five six seven {i % 3}" for i in range(30)])
+    assert {r.component_id for r in jaccard_join.jaccard_components(docs).collect()} <= {0, 1, 2}
+    assert {n for name, n in seen if name in ("profiles", "links")} == {common.TEXT_ROWS}
+    assert spark.conf.get(key) == before
