@@ -47,6 +47,7 @@ from pyspark.sql import types as T
 
 from chunkwise.llm.common import arrow_rows, row_key, slices, stored
 from chunkwise.llm.components import components
+from chunkwise.llm.words import hashed_words, mix
 
 #: A shingle in more than one of so many documents counts as frequent.
 FREQUENT = 8000
@@ -59,44 +60,36 @@ SKETCH = 512
 SLOTS = 1 << 23
 _A = np.uint64(0x9E3779B97F4A7C15)
 _B = np.uint64(0xBF58476D1CE4E5B9)
-_C = np.uint64(0x94D049BB133111EB)
 
 
-def mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _B
-    x = (x ^ (x >> np.uint64(27))) * _C
-    return x ^ (x >> np.uint64(31))
-
-
-class WordHashes(dict):
-    """64-bit hashes of byte words, remembered; starts afresh above ``limit`` words."""
-
-    def __init__(self, limit: int = 150_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-    def array(self, words: list[bytes]) -> np.ndarray:
-        if len(self) > self.limit:
-            self.clear()
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
-
-
-def shingle_set(raw: bytes, hashes: WordHashes, width: int = 4) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text (ASCII letters lower-cased)."""
-    words = raw.lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = hashes.array(words)
-    size = min(width, len(h))
-    rolled = np.full(len(h) - size + 1, size, np.uint64)
+def _rolled(h: np.ndarray, size: int) -> np.ndarray:
+    out = np.full(len(h) - size + 1, size, np.uint64)
     for k in range(size):
-        rolled = (rolled + h[k:len(h) - size + k + 1]) * _A
-        rolled ^= rolled >> np.uint64(29)
-    return np.unique(mix(rolled))
+        out = (out + h[k:len(h) - size + k + 1]) * _A
+        out ^= out >> np.uint64(29)
+    return mix(out)
+
+
+def shingle_sets(raws: list[bytes], width: int = 4) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text (ASCII letters lower-cased)."""
+    h, counts = hashed_words(raws)
+    ends = np.cumsum(counts)
+    whole = np.ones(max(0, len(h) - width + 1), bool)  # windows inside one text
+    for k in range(1, width):
+        cut = ends[counts >= k] - k
+        whole[cut[cut < len(whole)]] = False
+    made = _rolled(h, width)[whole] if len(whole) else np.zeros(0, np.uint64)
+    edges = np.append(0, np.cumsum(np.maximum(counts - width + 1, 0)))
+    for a, b in zip(edges, edges[1:]):
+        made[a:b].sort()
+    fresh = np.ones(len(made), bool)
+    fresh[1:] = made[1:] != made[:-1]
+    fresh[edges[:-1][edges[:-1] < len(made)]] = True
+    edges, made = np.append(0, np.cumsum(fresh))[edges], made[fresh]
+    out = [made[a:b] for a, b in zip(edges, edges[1:])]
+    for i in np.flatnonzero((counts > 0) & (counts < width)):  # the whole sequence as one
+        out[i] = _rolled(h[ends[i] - counts[i]:ends[i]], int(counts[i]))
+    return out
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -142,8 +135,6 @@ def frequent_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarr
     """Shingles above the threshold with their counts, sorted by shingle (step 1)."""
 
     def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
-
         def tell(run: list[np.ndarray]) -> pd.DataFrame:
             found, n = np.unique(np.concatenate(run), return_counts=True)
             often = n >= max(2, -(-len(run) // (2 * FREQUENT)))
@@ -152,9 +143,9 @@ def frequent_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarr
         run: list[np.ndarray] = []
         size = 0
         for _, texts in slices(frames):
-            for raw in texts:
-                run.append(shingle_set(raw, hashes, width))
-                size += len(run[-1])
+            for own in shingle_sets(texts, width):
+                run.append(own)
+                size += len(own)
                 if size > 1_500_000:
                     yield tell(run)
                     run, size = [], 0
@@ -179,11 +170,10 @@ def profiles(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], width: in
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, (tokens, counts) = WordHashes(), shared.value
+        tokens, counts = shared.value
         for rows, texts in slices(frames):
             out = []
-            for raw in texts:
-                own = shingle_set(raw, hashes, width)
+            for own in shingle_sets(texts, width):
                 if not len(own):
                     out.append((0, 0, 0, 0, 0, [], [], None))
                     continue
@@ -191,7 +181,7 @@ def profiles(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], width: in
                 if len(tokens):
                     at = np.minimum(np.searchsorted(tokens, own), len(tokens) - 1)
                     rank = np.where(tokens[at] == own, counts[at], 0)
-                prefix = own[np.lexsort((own, rank))][:prefix_length(len(own), percent)]
+                prefix = own[np.argsort(rank, kind="stable")[:prefix_length(len(own), percent)]]
                 marks = [xxhash.xxh3_64_intdigest(x.tobytes(), seed=s) for x in (own, prefix) for s in (1, 2)]
                 out.append((len(own), *np.array(marks, np.uint64).view(np.int64).tolist(),
                             prefix.view(np.int64), parity_sketch(own), wide_sketch(own)))
@@ -347,12 +337,12 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(wanted))
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, marked = WordHashes(), np.unpackbits(shared.value).astype(bool)
+        marked = np.unpackbits(shared.value).view(bool)
         for frame in frames:
             picked = frame[marked[frame["h"].to_numpy() % SLOTS]]
             for rows, raws in slices(iter([picked])):
                 # 40 bits of each hash are enough to count what two sets share
-                own = [np.unique(shingle_set(raw, hashes, width) >> np.uint64(24)) for raw in raws]
+                own = [np.unique(x >> np.uint64(24)) for x in shingle_sets(raws, width)]
                 yield pd.DataFrame({"h": rows["h"].to_numpy(), "own": [
                     x.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 3:].tobytes() for x in own]})
 

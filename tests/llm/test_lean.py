@@ -1,10 +1,18 @@
 """What the steps of the training-data operators leave on disk, hold and send."""
 
+import random
 import time
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from chunkwise.llm import common, substring_dedup, words
+from chunkwise.llm import common, jaccard_join, substring_dedup, words
+
+
+def awkward_texts(rng: random.Random) -> list[str]:
+    return ["", " ", "\n", "\n\n a\n", " \n", "a \t b  c", "x" * 70 + " y " + "Z" * 64, "日本 語\r\n",
+            "﷐ x", "▁ x▁"] + ["".join(rng.choice(" \n\tabCé日▁﷐.1") for _ in range(rng.randint(0, 300)))
+                                      for _ in range(200)]
 
 
 def test_shuffle_files_of_a_stored_step_are_gone(spark):
@@ -22,6 +30,20 @@ def test_shuffle_files_of_a_stored_step_are_gone(spark):
     assert sum(r["count"] for r in kept.collect()) == 2000
 
 
+def test_shingles_of_many_texts_at_once_are_those_of_each():
+    raws = [t.encode() for t in awkward_texts(random.Random(4))] + [b"ab " * 100_000 + b"q" * 300_000 + b" c"]
+    for width in (4, 5):
+        whole = []
+        for raw in raws:
+            own = raw.lower().split()
+            n = min(width, len(own))
+            whole.append({tuple(own[i:i + n]) for i in range(len(own) - n + 1)} if own else set())
+        found = jaccard_join.shingle_sets(raws, width)
+        assert [len(x) for x in found] == [len(x) for x in whole]
+        for i, j in zip(range(len(raws)), [*range(1, len(raws)), 0]):
+            assert len(np.intersect1d(found[i], found[j])) == len(whole[i] & whole[j])
+
+
 def test_words_have_the_same_hash_wherever_they_stand():
     h, n = words.hashed_words([b"One two " + b"x" * 65, b"", b"TWO\tone " + b"X" * 65 + b"\n" + b"x" * 64])
     assert n.tolist() == [3, 0, 4]
