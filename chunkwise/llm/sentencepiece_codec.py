@@ -38,6 +38,7 @@ import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain, filterfalse
 
 import numpy as np
 import pandas as pd
@@ -49,6 +50,8 @@ from chunkwise.llm.common import stored
 MARK = "▁"
 #: Stands for a literal mark while encoding; a lone surrogate is in no UTF-8 text.
 LITERAL = "\udfff"
+#: Parts stretches of texts that do not hold it, a code point that is no character.
+PART = "\ufdd0"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 NONE = -np.inf
 #: Exit state of the ids that all exits of a chunk share.
@@ -89,7 +92,8 @@ class Vocabulary:
                     node[0], node[1] = i, score
                 level = node[2]
         inner = any(MARK in p.lstrip(MARK) for p in self.pieces)
-        alone = "".join(re.escape(c) for c in "\n\t\r\x0b\x0c" if not any(c in p for p in self.pieces))
+        self.alone = [c for c in "\n\t\r\x0b\x0c" if not any(c in p for p in self.pieces)]
+        alone = "".join(map(re.escape, self.alone))
         #: texts part before a mark (unless some piece holds an inner one) and around
         #: white space that is in no piece
         self.stretches = re.compile("[\\s\\S]+" if inner else
@@ -98,6 +102,15 @@ class Vocabulary:
 
         self._tabulate()
 
+    def cut_up(self, text: str) -> list[str]:
+        """The stretches of an escaped text, maybe with empty ones between."""
+        if self.cut is None or MARK + MARK in text or PART in text:
+            return self.stretches.findall(text)
+        for c in self.alone:
+            if c in text:
+                text = text.replace(c, PART + c + PART)
+        return text.replace(MARK, PART + MARK).split(PART)
+
     def _tabulate(self) -> None:
         """Pieces as arrays, and the hashes of all beginnings of pieces in an open hash table."""
         known = list(self.pieces.items())
@@ -170,7 +183,7 @@ class Coder:
     """Encodes stretches and chunks; remembers the last stretches, about ``limit`` to twice ``limit``."""
 
     def __init__(self, vocabulary: Vocabulary, limit: int = 100_000):
-        self.v, self.memo, self.older, self.limit = vocabulary, {}, {}, limit
+        self.v, self.memo, self.older, self.limit = vocabulary, {"": b""}, {}, limit
 
     def lattice(self, text: str, size: int, seed: list[float]) -> tuple[list[float], list[int]]:
         """Best scores at 0 .. size + states - 1 and the starts of the last pieces.
@@ -222,7 +235,8 @@ class Coder:
 
     def joined(self, parts: list[list[str]], at_once: int = 8_192) -> list[bytes]:
         """Packed ids of lists of stretches; short ones not yet known are worked out together."""
-        ids = {s: self.memo.get(s) or self.older.get(s) for s in set().union(*parts)}
+        unknown = set(filterfalse(self.memo.__contains__, chain.from_iterable(parts)))
+        ids = {s: self.older.get(s) for s in unknown}
         fresh = sorted((s for s, known in ids.items() if known is None and len(s) <= TOGETHER), key=len, reverse=True)
         for a in range(0, len(fresh) if len(fresh) >= FEW else 0, at_once):
             some = fresh[a:a + at_once]
@@ -230,10 +244,11 @@ class Coder:
         for s, known in ids.items():
             if known is None:  # few, long, or with characters outside the vocabulary
                 ids[s] = self.stretch(s)
-        if len(self.memo) + len(ids) >= self.limit:
-            self.memo, self.older = {}, self.memo
         self.memo.update(ids)
-        return [b"".join(map(ids.__getitem__, own)) for own in parts]
+        out = [b"".join(map(self.memo.__getitem__, own)) for own in parts]
+        if len(self.memo) >= self.limit:
+            self.memo, self.older = {"": b""}, self.memo
+        return out
 
     def together(self, texts: list[str]) -> list[bytes | None]:
         """Packed ids of stretches, longest first: the lattices of all of them side by side."""
@@ -260,9 +275,12 @@ class Coder:
             m = here[end - 1]
             best, last = np.full(m, NONE), np.zeros(m, np.int8)
             for n in range(min(end, v.longest), 0, -1):  # of equal totals the earliest start wins
-                value = score[end - n, :m] + v.piece_scores[pieces[n - 1][begin[:m] + end - n]]
-                better = value > best
-                best[better], last[better] = value[better], n
+                piece = pieces[n - 1][begin[:m] + end - n]
+                own = np.flatnonzero(piece != none)
+                value = score[end - n, own] + v.piece_scores[piece[own]]
+                better = value > best[own]
+                own = own[better]
+                best[own], last[own] = value[better], n
             score[end, :m], took[end, :m] = best, last
         whole = score[size, np.arange(len(texts))] > NONE
         out = np.zeros((len(texts), int(size[0])), np.int32)
@@ -285,7 +303,7 @@ class Coder:
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """Packed ids of whole texts."""
-        return self.joined([self.v.stretches.findall(MARK + escaped(t)) if t else [] for t in texts])
+        return self.joined([self.v.cut_up(MARK + escaped(t)) if t else [] for t in texts])
 
     def parts(self, body: str, size: int) -> tuple[int, int] | None:
         """First and last place of a chunk that no piece crosses, if there is any."""
@@ -321,7 +339,7 @@ class Coder:
     def middle(self, body: str, size: int) -> list[str]:
         """Stretches between the first and the last place of a chunk that no piece crosses."""
         cut = self.parts(body, size)
-        return self.v.stretches.findall(body[cut[0]:cut[1]]) if cut else []
+        return self.v.cut_up(body[cut[0]:cut[1]]) if cut else []
 
     def paths(self, body: str, size: int, seed: list[float]) -> Iterator[tuple[int, int, bytes]]:
         """(exit state, entry state, packed ids) of each exit that can be reached.
@@ -394,7 +412,23 @@ def decoded(ids: np.ndarray, bytes_of: list[bytes]) -> bytes:
     return b"".join(map(bytes_of.__getitem__, ids.tolist()))[1:]
 
 
-def _encode_long(docs: DataFrame, shared, chunk_chars: int) -> DataFrame:
+def decoded_rows(rows: list[np.ndarray], bytes_of: list[bytes], at_once: int = 1 << 18) -> Iterator[bytes]:
+    """``decoded`` of many rows of ids, some ``at_once`` ids together."""
+    flat, size = np.frombuffer(b"".join(bytes_of), np.uint8), np.fromiter(map(len, bytes_of), np.int64, len(bytes_of))
+    first, run, n = np.cumsum(size) - size, [], 0
+    for i, row in enumerate(rows, 1):
+        run.append(row)
+        n += len(row)
+        if n >= at_once or i == len(rows):
+            ids = np.concatenate(run)
+            ends = np.append(0, np.cumsum(size[ids]))
+            raw = flat[np.repeat(first[ids] - ends[:-1], size[ids]) + np.arange(ends[-1])].tobytes()
+            edges = ends[np.cumsum([0] + [len(x) for x in run])].tolist()
+            yield from (raw[a + 1:b] for a, b in zip(edges, edges[1:]))
+            run, n = [], 0
+
+
+def _encode_long(docs: DataFrame, shared, chunk_chars: int, check: bool) -> DataFrame:
     """``kept, ids, round_trip`` of long documents (kept, text, sha) by the four steps."""
     k = shared.value.states
     if chunk_chars <= k:
@@ -440,7 +474,7 @@ def _encode_long(docs: DataFrame, shared, chunk_chars: int) -> DataFrame:
         for f in frames:
             ids = [np.frombuffer(b"".join(x["ids"] for x in parts), "<i4") for parts in f["parts"]]
             yield pd.DataFrame({"kept": list(f["kept"]), "ids": ids, "round_trip": [
-                hashlib.sha256(decoded(x, shared.value.bytes_of)).hexdigest() == sha
+                not check or hashlib.sha256(decoded(x, shared.value.bytes_of)).hexdigest() == sha
                 for x, sha in zip(ids, f["sha"])]})
 
     seeds = (chunks.select("rid", "chunk", "size", "body").mapInPandas(matrices, "rid long, chunk int, m binary")
@@ -481,8 +515,8 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: tu
 
     is_long = F.length("text") > chunk_chars
     brief = rows.where(~is_long).mapInPandas(short, f"kept {kept}, ids array<int>, round_trip boolean")
-    long = rows.where(is_long).withColumn("sha", F.sha2("text", 256))
-    out = brief.unionByName(_encode_long(long, shared, chunk_chars))
+    long = rows.where(is_long).withColumn("sha", F.sha2("text", 256) if check else F.lit(None).cast("string"))
+    out = brief.unionByName(_encode_long(long, shared, chunk_chars, check))
     return out.select("kept.*", "ids", *["round_trip"][:check])
 
 
@@ -494,10 +528,8 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids: str = "ids", output:
     def text_of(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
         table = shared.value
         for column in columns:
-            out = []
-            for own in column:
-                out.append(decoded(own, table).decode("utf-8", "replace") if own is not None else "")
-            yield pd.Series(out, dtype=object)
+            rows = [np.zeros(0, np.int64) if own is None else own for own in column]
+            yield pd.Series([raw.decode("utf-8", "replace") for raw in decoded_rows(rows, table)], dtype=object)
 
     return encoded.withColumn(output, text_of(F.col(ids)))
 

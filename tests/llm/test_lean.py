@@ -6,7 +6,7 @@ import time
 import numpy as np
 from pyspark.sql import functions as F
 
-from chunkwise.llm import common, jaccard_join, substring_dedup, words
+from chunkwise.llm import common, jaccard_join, sentencepiece_codec, substring_dedup, words
 
 
 def awkward_texts(rng: random.Random) -> list[str]:
@@ -54,3 +54,19 @@ def test_words_around_a_chain_travel_as_words():
     own = b"a b c d e f g h".split()
     assert substring_dedup.around(own, 3, 5, 2) == b"b c d e f g"
     assert substring_dedup.around(own, 1, 8, 4) == b" ".join(own)
+
+
+def test_stretches_by_parting_are_those_of_the_pattern():
+    vocabulary = sentencepiece_codec.load()
+    for text in awkward_texts(random.Random(5)):
+        marked = sentencepiece_codec.MARK + sentencepiece_codec.escaped(text)
+        assert [s for s in vocabulary.cut_up(marked) if s] == vocabulary.stretches.findall(marked)
+
+
+def test_rows_of_ids_decoded_together_are_those_of_each():
+    vocabulary = sentencepiece_codec.load()
+    coder = sentencepiece_codec.Coder(vocabulary)
+    rows = [np.frombuffer(raw, "<i4") for raw in coder.encode_all(awkward_texts(random.Random(6)))]
+    for at_once in (1, 50, 1 << 18):
+        together = list(sentencepiece_codec.decoded_rows(rows, vocabulary.bytes_of, at_once))
+        assert together == [sentencepiece_codec.decoded(x, vocabulary.bytes_of) for x in rows]
