@@ -70,3 +70,17 @@ def test_rows_of_ids_decoded_together_are_those_of_each():
     for at_once in (1, 50, 1 << 18):
         together = list(sentencepiece_codec.decoded_rows(rows, vocabulary.bytes_of, at_once))
         assert together == [sentencepiece_codec.decoded(x, vocabulary.bytes_of) for x in rows]
+
+
+def test_stages_of_the_pipeline_send_few_whole_texts_to_python_at_once(spark, make_docs, monkeypatch):
+    import corpus_pipeline
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, stored = spark.conf.get(key), [], corpus_pipeline.stored
+    monkeypatch.setattr(corpus_pipeline, "stored", lambda df, name: seen.append((name, int(spark.conf.get(key)))) or stored(df, name))
+    docs = make_docs(["some words of a text", "other words", ""]).withColumn("lang", F.lit("en")).withColumn("source", F.lit("s"))
+    left = corpus_pipeline.identified(spark, docs, "")
+    assert left.columns == docs.columns
+    assert corpus_pipeline.tokenized(spark, left, "").count() == left.count() == 2
+    assert dict(seen) == {"identified": common.TEXT_ROWS, "tokenized": common.TEXT_ROWS}
+    assert spark.conf.get(key) == before
