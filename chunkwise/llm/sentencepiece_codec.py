@@ -45,7 +45,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chunkwise.llm.common import stored
+from chunkwise.llm.common import arrow_rows, slices, stored
 
 MARK = "▁"
 #: Stands for a literal mark while encoding; a lone surrogate is in no UTF-8 text.
@@ -58,6 +58,8 @@ NONE = -np.inf
 COMMON = -1
 
 
+#: Long documents, or chunks of them, that go to Python at once.
+LONG_ROWS = 64
 #: Stretches up to this length are worked out together, unless they are few.
 TOGETHER = 64
 FEW = 500
@@ -183,7 +185,7 @@ class Coder:
     """Encodes stretches and chunks; remembers the last stretches, about ``limit`` to twice ``limit``."""
 
     def __init__(self, vocabulary: Vocabulary, limit: int = 100_000):
-        self.v, self.memo, self.older, self.limit = vocabulary, {"": b""}, {}, limit
+        self.v, self.memo, self.older, self.limit = vocabulary, {}, {}, limit
 
     def lattice(self, text: str, size: int, seed: list[float]) -> tuple[list[float], list[int]]:
         """Best scores at 0 .. size + states - 1 and the starts of the last pieces.
@@ -235,8 +237,10 @@ class Coder:
 
     def joined(self, parts: list[list[str]], at_once: int = 8_192) -> list[bytes]:
         """Packed ids of lists of stretches; short ones not yet known are worked out together."""
+        if len(self.memo) >= self.limit:
+            self.memo, self.older = {}, self.memo
         unknown = set(filterfalse(self.memo.__contains__, chain.from_iterable(parts)))
-        ids = {s: self.older.get(s) for s in unknown}
+        ids = {s: self.older.get(s) if s else b"" for s in unknown}
         fresh = sorted((s for s, known in ids.items() if known is None and len(s) <= TOGETHER), key=len, reverse=True)
         for a in range(0, len(fresh) if len(fresh) >= FEW else 0, at_once):
             some = fresh[a:a + at_once]
@@ -245,10 +249,7 @@ class Coder:
             if known is None:  # few, long, or with characters outside the vocabulary
                 ids[s] = self.stretch(s)
         self.memo.update(ids)
-        out = [b"".join(map(self.memo.__getitem__, own)) for own in parts]
-        if len(self.memo) >= self.limit:
-            self.memo, self.older = {"": b""}, self.memo
-        return out
+        return [b"".join(map(self.memo.__getitem__, own)) for own in parts]
 
     def together(self, texts: list[str]) -> list[bytes | None]:
         """Packed ids of stretches, longest first: the lattices of all of them side by side."""
@@ -434,7 +435,8 @@ def _encode_long(docs: DataFrame, shared, chunk_chars: int, check: bool) -> Data
     if chunk_chars <= k:
         raise ValueError(f"chunk_chars must exceed the longest piece ({k})")
     numbered = docs.withColumn("rid", F.monotonically_increasing_id())
-    chunks = stored(_chunks(numbered, chunk_chars, k).repartition("rid", "chunk"), "chunks")
+    with arrow_rows(docs.sparkSession, LONG_ROWS):
+        chunks = stored(_chunks(numbered, chunk_chars, k).repartition("rid", "chunk"), "chunks")
 
     def matrices(frames):
         coder = Coder(shared.value)
@@ -471,7 +473,7 @@ def _encode_long(docs: DataFrame, shared, chunk_chars: int, check: bool) -> Data
         return pd.DataFrame(out, columns=["rid", "chunk", "leave"])
 
     def joined(frames):
-        for f in frames:
+        for f in (f.iloc[at:at + LONG_ROWS] for f in frames for at in range(0, len(f), LONG_ROWS)):
             ids = [np.frombuffer(b"".join(x["ids"] for x in parts), "<i4") for parts in f["parts"]]
             yield pd.DataFrame({"kept": list(f["kept"]), "ids": ids, "round_trip": [
                 not check or hashlib.sha256(decoded(x, shared.value.bytes_of)).hexdigest() == sha
@@ -479,8 +481,9 @@ def _encode_long(docs: DataFrame, shared, chunk_chars: int, check: bool) -> Data
 
     seeds = (chunks.select("rid", "chunk", "size", "body").mapInPandas(matrices, "rid long, chunk int, m binary")
              .groupBy("rid").applyInPandas(borders, "rid long, chunk int, seed binary"))
-    traced = stored(chunks.select("rid", "chunk", "last", "size", "body").join(seeds, ["rid", "chunk"])
-                    .mapInPandas(paths, "rid long, chunk int, leave int, enter int, ids binary"), "paths")
+    with arrow_rows(docs.sparkSession, LONG_ROWS):
+        traced = stored(chunks.select("rid", "chunk", "last", "size", "body").join(seeds, ["rid", "chunk"])
+                        .mapInPandas(paths, "rid long, chunk int, leave int, enter int, ids binary"), "paths")
     steps = traced.select("rid", "chunk", "leave", "enter")
     chosen = steps.groupBy("rid").applyInPandas(chain, "rid long, chunk int, leave int")
     # what all exits share, most of the ids, needs no choice and travels once only
@@ -505,13 +508,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", keep: tu
 
     def short(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         coder = Coder(shared.value)
-        for frame in frames:
-            for at in range(0, len(frame), 256):
-                part = frame.iloc[at:at + 256]
-                ids = [np.frombuffer(raw, "<i4") for raw in coder.encode_all(part["text"].tolist())]
-                yield pd.DataFrame({"kept": list(part["kept"]), "ids": ids, "round_trip": [
-                    not check or decoded(x, shared.value.bytes_of) == t.encode("utf-8", "surrogatepass")
-                    for x, t in zip(ids, part["text"])]})
+        for part, raws in slices(frames):
+            ids = [np.frombuffer(raw, "<i4") for raw in coder.encode_all(part["text"].tolist())]
+            yield pd.DataFrame({"kept": list(part["kept"]), "ids": ids, "round_trip": [
+                not check or decoded(x, shared.value.bytes_of) == raw for x, raw in zip(ids, raws)]})
 
     is_long = F.length("text") > chunk_chars
     brief = rows.where(~is_long).mapInPandas(short, f"kept {kept}, ids array<int>, round_trip boolean")

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chunkwise.llm import lm_scoring, substring_dedup
+from chunkwise.llm import lm_scoring, sentencepiece_codec, substring_dedup
 from tests.llm.test_operators import naive_log10
 from tests.llm.test_passages import covered, words
 
@@ -69,3 +69,12 @@ def test_short_chains_are_dropped_only_where_they_give_no_passage():
                     dropped += 1
                     assert substring_dedup.fitting(a, b, at, to, 50, 0.8) == []
     assert dropped > 50
+
+
+def test_long_texts_go_to_python_few_at_a_time(spark, make_docs, monkeypatch):
+    key, seen, plain = "spark.sql.execution.arrow.maxRecordsPerBatch", [], sentencepiece_codec.stored
+    monkeypatch.setattr(sentencepiece_codec, "stored", lambda df, name: seen.append(int(spark.conf.get(key))) or plain(df, name))
+    docs = make_docs(["some words of a text " * 40, "brief", None])
+    out = sentencepiece_codec.encode(docs, sentencepiece_codec.load(), chunk_chars=100, check=True).collect()
+    assert len(seen) == 2 and max(seen) <= 100
+    assert sorted(r.doc_id for r in out) == [0, 1, 2] and all(r.round_trip for r in out)
