@@ -48,7 +48,7 @@ from chunkwise.operators.knn import (BLOCK_ROWS, BROADCAST_MAX_BYTES, DECIMALS,
                                      _final_topk, _matrix, _pair_distances, topk_block, valid_vectors)
 from chunkwise.session import scratch_path
 
-TILE = 256                 # queries of one distance matrix
+TILE = 1024                # queries that meet the cells of a block together, at most
 NEAR_VALUES = 1 << 21      # cells ranked, and cell numbers returned, at a time
 FIT_ROUNDS = 8             # Lloyd iterations of a quantiser
 CELLS = "tbl int, coarse int, cell int, used boolean, whole boolean, centroid array<double>"
@@ -560,30 +560,67 @@ def compact_index(spark: SparkSession, index: VectorIndex, path: str) -> VectorI
 # search
 # ----------------------------------------------------------------------------
 
+def _least(far: np.ndarray, row: np.ndarray, k: int) -> np.ndarray:
+    """Columns of the k least of each row of ``far``, equal ones by ``row`` (as many numbers)."""
+    if far.shape[1] <= k:
+        return np.broadcast_to(np.arange(far.shape[1]), far.shape)
+    pick = np.argpartition(far, k - 1, axis=1)[:, :k]
+    found = np.take_along_axis(far, pick, axis=1)
+    kth = found.max(axis=1, keepdims=True)
+    more = (far == kth).sum(1) > (found == kth).sum(1)
+    for i in np.flatnonzero(more & np.isfinite(kth[:, 0])):
+        tied = np.flatnonzero(far[i] == kth[i])
+        less = np.flatnonzero(far[i] < kth[i])
+        pick[i] = np.append(less, tied[np.argsort(row[i, tied], kind="stable")[:k - len(less)]])
+    return pick
+
+
 def _block_hits(qpdf: pd.DataFrame, cpdf: pd.DataFrame, ids: list[str], metric: str, k: int) -> pd.DataFrame | None:
-    """The k best rows of each query among the cells it probes, by (rounded distance, ids)."""
+    """The k best rows of each query among the cells it probes, by (rounded distance, ids).
+
+    A tile of queries meets the cells one by one; each query keeps the distances to the
+    rows of its own cells side by side, and nothing of the others.
+    """
     cpdf = cpdf.sort_values(ids, kind="mergesort").reset_index(drop=True)  # position is the tie-break
     C, cell = _matrix(cpdf["_v"]), cpdf["cell"].to_numpy()
+    order = np.argsort(cell, kind="stable")
+    C, cell, place_of = C[order], cell[order], np.argsort(order)  # the rows of a cell follow each other
     cn = np.einsum("ij,ij->i", C, C)
-    of = {c: np.flatnonzero(cell == c) for c in np.unique(cell)}
+    start = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+    names, size = cell[start], np.diff(np.append(start, len(cell)))
+    query = np.repeat(np.arange(len(qpdf)), [len(x) for x in qpdf["cells"]])
+    wanted = np.concatenate([np.asarray(x, np.int64) for x in qpdf["cells"]])
+    at = np.searchsorted(names, wanted)
+    held = at < len(names)
+    held[held] = names[at[held]] == wanted[held]
+    query, at = query[held], at[held]
+    widths = np.bincount(query, size[at], len(qpdf)).astype(np.int64)
+    tile = max(16, min(TILE, 2 * NEAR_VALUES // max(1, int(widths.max(initial=0)))))
     out = []
-    for s in range(0, len(qpdf), TILE):
-        part = qpdf.iloc[s:s + TILE]
-        Q, far = _matrix(part["_v"]), np.full((len(part), len(C)), np.inf)
+    for s in range(0, len(qpdf), tile):
+        part, width = qpdf.iloc[s:s + tile], widths[s:s + tile]
+        if not width.any():
+            continue
+        Q = _matrix(part["_v"])
         qn = np.einsum("ij,ij->i", Q, Q)
-        probing: dict[int, list[int]] = {}
-        for i, cells in enumerate(part["cells"]):
-            for c in cells:
-                probing.setdefault(int(c), []).append(i)
-        for c, rows in of.items():
-            at = np.array(probing.get(int(c), ()), dtype=np.int64)
-            if len(at):
-                far[np.ix_(at, rows)] = np.round(_distances(Q[at], qn[at], C[rows], cn[rows], metric), DECIMALS)
-        best = _best(far, k + SPARE)
+        own = slice(*np.searchsorted(query, [s, s + tile]))
+        probes = np.unique(np.stack([at[own], query[own] - s]), axis=1)  # by cell
+        far, row = np.full((len(part), int(width.max())), np.inf), np.zeros((len(part), int(width.max())), np.int32)
+        filled = np.zeros(len(part), np.int64)
+        for own in np.split(probes, np.flatnonzero(np.diff(probes[0])) + 1, axis=1):
+            c, met = own[0, 0], own[1]
+            rows = np.arange(start[c], start[c] + size[c])
+            place = (met[:, None], filled[met][:, None] + np.arange(size[c]))
+            far[place] = _distances(Q[met], qn[met], C[rows[0]:rows[-1] + 1], cn[rows[0]:rows[-1] + 1], metric)
+            row[place] = order[rows]
+            filled[met] += size[c]
+        np.round(far, DECIMALS, out=far)
+        best = _least(far, row, k + SPARE)
         reached = np.isfinite(np.take_along_axis(far, best, axis=1))
+        best = np.take_along_axis(row, best, axis=1).astype(np.int64)
         exact = np.full(best.shape, np.inf)
         for r in range(0, len(Q), 64):
-            exact[r:r + 64] = _pair_distances(Q[r:r + 64], C[best[r:r + 64]], metric)
+            exact[r:r + 64] = _pair_distances(Q[r:r + 64], C[place_of[best[r:r + 64]]], metric)
         exact[~reached] = np.inf
         rank = np.lexsort((best, np.round(exact, DECIMALS)), axis=1)[:, :k]
         exact, best = np.take_along_axis(exact, rank, axis=1), np.take_along_axis(best, rank, axis=1)

@@ -1,6 +1,7 @@
 """J3 with O4/O6/O9: the index kept by writes, against brute force and against exact search."""
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -188,3 +189,21 @@ def test_blocks_dealt_by_plan_or_by_join_hold_the_same_cells(spark):
     q = q.select(F.col("query_id").alias("_qid"), F.col("embedding").alias("_v"))
     key = lambda df: sorted((r["tbl"], r["block"], r["_qid"], r["cuts"], sorted(r["cells"]), sorted(r["groups"])) for r in df.collect())
     assert key(VI._probed_blocks(q, index, cells, plan, 5, 3)) == key(VI._probed_blocks(q, index, cells, plan, 5, 3, max_bytes=0))
+
+
+def test_a_block_is_met_cell_by_cell_with_ties_by_id(monkeypatch):
+    rng = np.random.default_rng(5)
+    C = rng.integers(-1, 2, (400, 3)).astype(float)  # few distinct vectors: many ties
+    cells = rng.integers(0, 12, len(C))
+    corpus = pd.DataFrame({"cell": cells, "id": rng.permutation(len(C)), "_v": list(C)})
+    Q = rng.integers(-1, 2, (50, 3)).astype(float)
+    probed = [sorted(rng.choice(15, rng.integers(0, 6), replace=False).tolist()) for _ in Q]
+    queries = pd.DataFrame({"_qid": range(50), "_v": list(Q), "cells": probed})
+    wide, plain = [], np.full
+    monkeypatch.setattr(VI.np, "full", lambda shape, *a, **k: wide.append(np.shape(np.empty(shape))) or plain(shape, *a, **k))
+    got = VI._block_hits(queries, corpus, ["id"], "l2sq", 4)
+    assert {i: list(g) for i, g in got.groupby("_qid")["id"]} == {
+        i: w for i, (q, own) in enumerate(zip(Q, probed))
+        if (w := [x for _, x in sorted((round(float(((q - C[r]) ** 2).sum()), 9), corpus["id"][r])
+                                       for r in range(len(C)) if cells[r] in own)[:4]])}
+    assert max(shape[1] for shape in wide if len(shape) == 2) < len(C)  # no column for rows of cells that no query probes
